@@ -32,16 +32,28 @@ def as_vector(df: DataFrame, column: str) -> DataFrame:
 
 
 def kmeans(
-    df: DataFrame, vector: str, k: int = 5, seeds: Sequence[int] = START_SEEDS, max_iter: int = 100
+    df: DataFrame,
+    vector: str,
+    k: int = 5,
+    seeds: Sequence[int] = START_SEEDS,
+    max_iter: int = 100,
+    weight: str | None = None,
 ) -> KMeansModel:
-    """The best of several k-means runs by training cost. The vectors are kept between the runs."""
-    vectors = as_vector(df.select(vector), vector).persist(StorageLevel.MEMORY_AND_DISK)
+    """The best of several k-means runs by training cost. The vectors are kept between the runs.
+
+    ``weight`` is the number of equal rows a row stands for.
+    """
+    used = [vector] if weight is None else [vector, weight]
+    vectors = as_vector(df.select(*used), vector).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         best: KMeansModel | None = None
         for seed in seeds:
-            model = KMeans(
+            estimator = KMeans(
                 k=k, seed=seed, featuresCol=vector, predictionCol="cluster", maxIter=max_iter
-            ).fit(vectors)
+            )
+            if weight is not None:
+                estimator = estimator.setWeightCol(weight)
+            model = estimator.fit(vectors)
             if best is None or model.summary.trainingCost < best.summary.trainingCost:
                 best = model
         if best is None:

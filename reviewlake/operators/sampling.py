@@ -158,12 +158,11 @@ def split(
     def bounds(total: Column) -> list[Column]:
         out: list[Column] = []
         taken: Column = F.lit(0).cast("long")
-        remaining = sum(fractions.values())
-        for name in names[:-1]:
-            share = fractions[name] / remaining
+        for i, name in enumerate(names[:-1]):
+            # Rounded, so that 0.15 of 0.15 + 0.15 is a half and not a little less.
+            share = round(fractions[name] / sum(fractions[other] for other in names[i:]), 12)
             part = F.floor(F.lit(share) * (total - taken).cast("double")).cast("long")
             taken = taken + part
-            remaining -= fractions[name]
             out.append(taken)
         return out
 

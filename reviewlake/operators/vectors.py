@@ -131,14 +131,16 @@ def tfidf_vectors(
     max_features: int,
     ngram: tuple[int, int] = (1, 1),
     output: str = "features",
+    documents: int | None = None,
 ) -> DataFrame:
     """Adds the TF-IDF vector over the vocabulary at unit length, as a Spark ML vector.
 
     The weights equal those of :func:`tfidf`. The terms and their document counts, at most
-    ``max_features`` of them, go through the driver; documents do not.
+    ``max_features`` of them, go through the driver; documents do not. ``documents`` is the number of
+    documents behind the vocabulary where that is not the rows of ``df``.
     """
     rows = vocab.select("term", "df").orderBy("term").limit(max_features).collect()
-    total = df.count()
+    total = df.count() if documents is None else documents
     idf = [math.log((1 + total) / (1 + row["df"])) + 1 for row in rows]
     counted = count_vectors(df, words, [row["term"] for row in rows], ngram, "_counts")
     scaled = ElementwiseProduct(

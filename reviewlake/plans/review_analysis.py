@@ -42,18 +42,22 @@ def cluster_products(
 ) -> DataFrame:
     """Rows with the k-means cluster of their 'category product' description.
 
-    Rows of one description get one cluster, so the vectors are made once per distinct description.
+    Equal descriptions have equal vectors, so vectors are made once per distinct description and
+    weighted with its rows; document frequencies count rows.
     """
     described = df.withColumn("_description", filters.description(F.col(category), F.col(product)))
-    distinct = (
-        described.filter(F.col("_description").isNotNull())
-        .groupBy("_description")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_words", tx.remove_stop_words(tx.tokens(F.col("_description")), stop_words))
+    present = described.filter(F.col("_description").isNotNull())
+    words = tx.remove_stop_words(tx.tokens(F.col("_description")), stop_words)
+    vocab = vectors.vocabulary(
+        present.select(words.alias("_words")), "_words", max_features=max_features
     )
-    vocab = vectors.vocabulary(distinct, "_words", max_features=max_features)
-    featured = vectors.tfidf_vectors(distinct, "_words", vocab, max_features)
-    model = clusters.kmeans(featured, "features", k)
+    distinct = present.groupBy("_description").agg(
+        F.count(F.lit(1)).cast("double").alias("_rows")
+    ).withColumn("_words", words)
+    featured = vectors.tfidf_vectors(
+        distinct, "_words", vocab, max_features, documents=present.count()
+    )
+    model = clusters.kmeans(featured, "features", k, weight="_rows")
     placed = clusters.assign(featured, model, "features", output).select("_description", output)
     return described.join(placed, "_description", "left").drop("_description")
 

@@ -17,7 +17,7 @@ ENTITIES: tuple[tuple[str, str], ...] = (
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(path, html): one row per file."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
 
 
