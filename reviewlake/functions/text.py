@@ -196,17 +196,16 @@ def ngrams(words: Column, shortest: int = 1, longest: int = 1) -> Column:
     """All runs of ``shortest`` to ``longest`` words, joined by a space, as one array."""
     if (shortest, longest) == (1, 1):
         return words
-    parts = []
-    for size in range(shortest, longest + 1):
+    empty = F.array().cast("array<string>")
+
+    def runs(size: int) -> Column:
         if size == 1:
-            parts.append(words)
-            continue
-        starts = F.sequence(F.lit(1), F.size(words) - F.lit(size - 1), F.lit(1))
-        grams = F.transform(
-            starts, lambda at, size=size: F.array_join(F.slice(words, at, size), " ")
-        )
-        empty = F.array().cast("array<string>")
-        parts.append(F.when(F.size(words) >= size, grams).otherwise(empty))
+            return words
+        starts = F.sequence(F.lit(1), F.size(words) - F.lit(size - 1))
+        grams = F.transform(starts, lambda at: F.array_join(F.slice(words, at, size), " "))
+        return F.when(F.size(words) >= size, grams).otherwise(empty)
+
+    parts = [runs(size) for size in range(shortest, longest + 1)]
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 

@@ -50,11 +50,13 @@ def _label_score(words: Column, terms: Mapping[str, float]) -> Column:
     by_weight: dict[float, list[str]] = defaultdict(list)
     for term, weight in terms.items():
         by_weight[weight].append(term)
+
+    def hits(listed: list[str]) -> Column:
+        return F.size(F.filter(words, lambda word: word.isin(*[F.lit(term) for term in listed])))
+
     total: Column = F.lit(0.0)
     for weight, listed in sorted(by_weight.items()):
-        members = [F.lit(term) for term in listed]
-        hits = F.size(F.filter(words, lambda word, members=members: word.isin(*members)))
-        total = total + F.lit(weight) * hits
+        total = total + F.lit(weight) * hits(listed)
     return total / (total + 1)
 
 

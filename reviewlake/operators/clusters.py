@@ -272,13 +272,14 @@ def nearest(
     checked = F.when(
         F.size(listed) > MAX_CENTRES, F.raise_error(F.lit(f"more than {MAX_CENTRES} centres"))
     ).otherwise(listed)
+    carried = df.withColumn("_centres", checked)
     distances = F.transform(
-        checked,
+        "_centres",
         lambda c: F.struct(
             squared_distance(F.col(vector), c["centre"]).alias("d"), c["topic"].alias("topic")
         ),
     )
-    placed = df.withColumn("_best", F.array_min(distances))
+    placed = carried.withColumn("_best", F.array_min(distances)).drop("_centres")
     choice = F.col("_best")["topic"]
     if radius is not None:
         choice = F.when(F.sqrt(F.col("_best")["d"]) <= radius, choice).otherwise(-1)
