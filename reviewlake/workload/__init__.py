@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 from types import ModuleType
 
-SECTIONS = ("io", "text", "rows", "counts", "samples", "vectors")
+SECTIONS = ("io", "text", "rows", "counts", "samples", "vectors", "models", "scores", "products")
 
 
 def load() -> ModuleType:
