@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
+from typing import Any
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, PCAModel
@@ -22,6 +24,7 @@ from reviewlake.session import cut_lineage
 
 # Ten starts from these seeds, the best one kept.
 START_SEEDS: tuple[int, ...] = tuple(range(42, 52))
+PARALLEL_RUNS = 4
 
 
 def as_vector(df: DataFrame, column: str) -> DataFrame:
@@ -31,6 +34,14 @@ def as_vector(df: DataFrame, column: str) -> DataFrame:
     return df
 
 
+def _at_once(run: Callable[[Any], Any], inputs: Sequence[Any]) -> list[Any]:
+    """Results of a few Spark jobs started side by side, in the order of the inputs."""
+    if not inputs:
+        raise ValueError("nothing to run")
+    with ThreadPool(min(PARALLEL_RUNS, len(inputs))) as pool:
+        return pool.map(inheritable_thread_target(run), inputs)
+
+
 def kmeans(
     df: DataFrame,
     vector: str,
@@ -39,26 +50,26 @@ def kmeans(
     max_iter: int = 100,
     weight: str | None = None,
 ) -> KMeansModel:
-    """The best of several k-means runs by training cost. The vectors are kept between the runs.
+    """The best of several k-means runs by training cost.
 
-    ``weight`` is the number of equal rows a row stands for.
+    The vectors are kept between the runs, and some runs go on at the same time, so that one fills the
+    cluster while another waits for its centres. ``weight`` is the number of equal rows a row stands
+    for.
     """
     used = [vector] if weight is None else [vector, weight]
     vectors = as_vector(df.select(*used), vector).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        best: KMeansModel | None = None
-        for seed in seeds:
+        def run(seed: int) -> KMeansModel:
             estimator = KMeans(
                 k=k, seed=seed, featuresCol=vector, predictionCol="cluster", maxIter=max_iter
             )
             if weight is not None:
                 estimator = estimator.setWeightCol(weight)
-            model = estimator.fit(vectors)
-            if best is None or model.summary.trainingCost < best.summary.trainingCost:
-                best = model
-        if best is None:
-            raise ValueError("no seeds given")
-        return best
+            return estimator.fit(vectors)
+
+        models = _at_once(run, seeds)
+        # The first of equals, so the choice does not depend on which run ended first.
+        return min(models, key=lambda model: model.summary.trainingCost)
     finally:
         vectors.unpersist()
 

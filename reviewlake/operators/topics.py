@@ -17,7 +17,7 @@ from reviewlake.operators.vectors import MAX_BROADCAST_TERMS
 from reviewlake.session import cut_lineage
 
 # Topics a reduction or a similarity matrix accepts: these are per-topic, not per-row, computations.
-MAX_TOPICS = 2_000
+MAX_TOPICS = 500
 
 
 def term_counts(
@@ -118,44 +118,53 @@ def similarity(weights: DataFrame) -> DataFrame:
     )
 
 
+def _nearest_topic(counts: DataFrame, merged: dict[int, int], small: int) -> tuple[int, float] | None:
+    """The topic whose class-based TF-IDF row is nearest to that of ``small``, and the cosine."""
+    table = counts
+    if merged:
+        mapping = F.create_map(*[F.lit(x) for pair in merged.items() for x in pair])
+        moved = F.coalesce(F.try_element_at(mapping, F.col("topic")), F.col("topic"))
+        table = counts.groupBy(moved.alias("topic"), "term").agg(F.sum("n").alias("n"))
+    weights = ctfidf(table)
+    mine = weights.filter(F.col("topic") == small).select("term", F.col("weight").alias("_mine"))
+    own = mine.agg(F.sqrt(F.sum(F.col("_mine") * F.col("_mine")))).scalar()
+    near = (
+        weights.filter(F.col("topic") != small)
+        .join(mine, "term", "left")
+        .groupBy("topic")
+        .agg(
+            F.coalesce(F.sum(F.col("weight") * F.col("_mine")), F.lit(0.0)).alias("_dot"),
+            F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"),
+        )
+    )
+    cosine = F.round(F.coalesce(F.try_divide(F.col("_dot"), F.col("_norm") * own), F.lit(0.0)), 9)
+    best = near.select("topic", cosine.alias("cosine")).orderBy(F.desc("cosine"), "topic").first()
+    return None if best is None else (best["topic"], float(best["cosine"]))
+
+
 def merge_order(counts: DataFrame, sizes: DataFrame, keep: int) -> list[tuple[int, int, float]]:
     """The merges (smallest topic, nearest topic, cosine) that leave ``keep`` topics.
 
-    Each round merges the smallest topic into the one whose class-based TF-IDF row is nearest by
-    cosine (ties to the smaller id). Topic -1 takes no part. Work per round is on the counted
-    (topic, term) table; only the chosen pair comes to the driver.
+    Each round merges the smallest topic (ties to the smaller id) into the one whose class-based
+    TF-IDF row is nearest by cosine (ties likewise). Topic -1 takes no part. Term counts stay a
+    distributed table; the driver holds the topic sizes, at most MAX_TOPICS numbers.
     """
-    _checked(counts)
+    rows = sizes.filter(F.col("topic") != -1).select("topic", "size").limit(MAX_TOPICS + 1).collect()
+    if len(rows) > MAX_TOPICS:
+        raise ValueError(f"more than {MAX_TOPICS} topics: cluster more coarsely first")
+    held = {row["topic"]: row["size"] for row in rows}
     table = cut_lineage(counts.filter(F.col("topic") != -1))
-    held = cut_lineage(sizes.filter(F.col("topic") != -1).select("topic", F.col("size").cast("long")))
+    merged: dict[int, int] = {}
     merges: list[tuple[int, int, float]] = []
-    remaining = held.count()
-    while remaining > max(keep, 1):
-        small = held.orderBy("size", "topic").first()["topic"]
-        weights = ctfidf(table)
-        mine = weights.filter(F.col("topic") == small).select("term", F.col("weight").alias("_mine"))
-        near = (
-            weights.filter(F.col("topic") != small)
-            .join(mine, "term", "left")
-            .groupBy("topic")
-            .agg(
-                F.coalesce(F.sum(F.col("weight") * F.col("_mine")), F.lit(0.0)).alias("_dot"),
-                F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"),
-            )
-        )
-        own = mine.agg(F.sqrt(F.sum(F.col("_mine") * F.col("_mine")))).scalar()
-        cosine = F.round(F.coalesce(F.try_divide(F.col("_dot"), F.col("_norm") * own), F.lit(0.0)), 9)
-        # A topic without any term left still has a size; it merges into the largest by id order.
-        candidates = held.filter(F.col("topic") != small).join(
-            near.select("topic", cosine.alias("cosine")), "topic", "left"
-        )
-        chosen = candidates.orderBy(F.desc_nulls_last("cosine"), "topic").first()
-        target = chosen["topic"]
-        merges.append((small, target, float(chosen["cosine"] or 0.0)))
-        moved = F.when(F.col("topic") == small, F.lit(target)).otherwise(F.col("topic"))
-        table = cut_lineage(table.groupBy(moved.alias("topic"), "term").agg(F.sum("n").alias("n")))
-        held = cut_lineage(held.groupBy(moved.alias("topic")).agg(F.sum("size").alias("size")))
-        remaining -= 1
+    while len(held) > max(keep, 1):
+        small = min(held, key=lambda topic: (held[topic], topic))
+        # Without any terms left to compare by, the smallest id takes it.
+        found = _nearest_topic(table, merged, small)
+        target, cosine = found or (min(topic for topic in held if topic != small), 0.0)
+        merges.append((small, target, cosine))
+        held[target] += held.pop(small)
+        merged = {old: (target if new == small else new) for old, new in merged.items()}
+        merged[small] = target
     return merges
 
 
@@ -168,15 +177,10 @@ def reduce_topics(df: DataFrame, topic: str, counts: DataFrame, keep: int) -> Da
         final[source] = target
     if not final:
         return df
-    mapping = df.sparkSession.createDataFrame(
-        list(final.items()), f"{topic} {df.schema[topic].dataType.simpleString()}, _merged long"
-    )
-    # At most MAX_TOPICS rows, checked by merge_order.
-    joined = df.join(F.broadcast(mapping), topic, "left")
     kind = df.schema[topic].dataType
-    return joined.withColumn(topic, F.coalesce(F.col("_merged").cast(kind), F.col(topic))).select(
-        *df.columns
-    )
+    mapping = F.create_map(*[F.lit(x).cast(kind) for pair in final.items() for x in pair])
+    moved = F.coalesce(F.try_element_at(mapping, F.col(topic)), F.col(topic))
+    return df.withColumn(topic, moved)
 
 
 def hierarchy(df: DataFrame, counts: DataFrame, sizes: DataFrame) -> DataFrame:

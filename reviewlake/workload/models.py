@@ -96,7 +96,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @query("top3_reduce_topics")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = numbered_sources(spark, sf)
-    counts = topics.term_counts(rows, "topic", "words")
+    counts = source_counts(rows)
     reduced = topics.reduce_topics(rows, "topic", counts, 12)
     return reduced.groupBy("topic").agg(F.count(F.lit(1)).alias("count"))
 
@@ -107,11 +107,17 @@ def numbered_sources(spark: SparkSession, sf: str) -> DataFrame:
     return worded(spark, sf).withColumn("topic", number)
 
 
+def source_counts(rows: DataFrame) -> DataFrame:
+    """Uses of the 1,000 most frequent n-grams per topic."""
+    vocab = vectors.vocabulary(rows, "words", (1, 3), 1000, 10, 0.7)
+    return topics.term_counts(rows, "topic", "words", vocab, (1, 3), 1000)
+
+
 @query("top5_hierarchy")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = numbered_sources(spark, sf)
     sizes = rows.groupBy("topic").agg(F.count(F.lit(1)).alias("size"))
-    return topics.hierarchy(rows, topics.term_counts(rows, "topic", "words"), sizes)
+    return topics.hierarchy(rows, source_counts(rows), sizes)
 
 
 def lda_counts(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
