@@ -193,20 +193,30 @@ def stem(word: Column) -> Column:
 
 
 def ngrams(words: Column, shortest: int = 1, longest: int = 1) -> Column:
-    """All runs of ``shortest`` to ``longest`` words, joined by a space, as one array."""
+    """All runs of ``shortest`` to ``longest`` words, joined by a space, as one array.
+
+    Each size is the previous one zipped with the words shifted by one more place; what runs over the
+    end, or over a null word, is null and left out.
+    """
     if (shortest, longest) == (1, 1):
-        return words
-    empty = F.array().cast("array<string>")
+        return F.filter(words, lambda word: word.isNotNull())
+    sizes = [words]
+    for size in range(2, longest + 1):
+        shifted = F.slice(words, size, F.size(words))
+        sizes.append(
+            F.zip_with(sizes[-1], shifted, lambda gram, word: F.concat(gram, F.lit(" "), word))
+        )
+    wanted = sizes[shortest - 1 :]
+    grams = wanted[0] if len(wanted) == 1 else F.concat(*wanted)
+    return F.filter(grams, lambda gram: gram.isNotNull())
 
-    def runs(size: int) -> Column:
-        if size == 1:
-            return words
-        starts = F.sequence(F.lit(1), F.size(words) - F.lit(size - 1))
-        grams = F.transform(starts, lambda at: F.array_join(F.slice(words, at, size), " "))
-        return F.when(F.size(words) >= size, grams).otherwise(empty)
 
-    parts = [runs(size) for size in range(shortest, longest + 1)]
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+def only_words(words: Column, kept: Sequence[str]) -> Column:
+    """The words with null in the place of every word not in ``kept``, one hash set in the plan."""
+    if not kept:
+        return F.transform(words, lambda word: F.lit(None).cast("string"))
+    listed = [F.lit(word) for word in kept]
+    return F.transform(words, lambda word: F.when(word.isin(*listed), word))
 
 
 def shorten(text: Column, length: int, ellipsis: str = "") -> Column:

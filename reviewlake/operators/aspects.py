@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reviewlake.functions import text as tx
 from reviewlake.functions.scalars import best_column
 from reviewlake.operators.joins import broadcast_if_small
+from reviewlake.operators.once import compute_once
 from reviewlake.operators.stats import group_stats
 
 # The aspects of a game review.
@@ -69,12 +70,12 @@ def score(
     expression, so rows are scored where they are, without a join or a shuffle.
     """
     blank = tx.is_blank(F.col(text))
-    worded = df.withColumn("_words", tx.tokens(F.col(text)))
+    worded = compute_once(df, {"_words": tx.tokens(F.col(text))})
     scores = {
         score_column(label): F.when(~blank, _label_score(F.col("_words"), terms))
         for label, terms in lexicon.items()
     }
-    return worded.withColumns(scores).drop("_words")
+    return compute_once(worded, scores).drop("_words")
 
 
 def score_with_table(df: DataFrame, key: str, text: str, lexicon: DataFrame, labels: Sequence[str]) -> DataFrame:

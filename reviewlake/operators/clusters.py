@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from reviewlake.functions.scalars import squared_distance
 from reviewlake.operators.components import connected_components
 from reviewlake.operators.ranks import top_n
+from reviewlake.operators.vectors import term_at
 from reviewlake.session import cut_lineage
 
 # Ten starts from these seeds, the best one kept.
@@ -80,23 +81,23 @@ def assign(df: DataFrame, model: KMeansModel, vector: str, cluster: str = "clust
     return scored.withColumnRenamed(model.getPredictionCol(), cluster)
 
 
-def top_terms(weights: DataFrame, labels: DataFrame, key: str, cluster: str, n: int = 10) -> DataFrame:
+def top_terms(
+    df: DataFrame, vector: str, cluster: str, terms: list[str], n: int = 10
+) -> DataFrame:
     """(cluster, term, weight, rank): the heaviest terms of each cluster centre.
 
-    ``weights`` is (key, term, weight), ``labels`` is (key, cluster). A centre is the sum of its
-    members' weights over the number of members.
+    ``vector`` is a term vector over ``terms``. Centres are mean vectors, combined map-side, so a
+    cluster that holds most rows is no heavier than the others.
     """
-    sizes = labels.groupBy(cluster).agg(F.count(F.lit(1)).alias("_size"))
-    sums = (
-        weights.join(labels.select(key, cluster), key)
-        .groupBy(cluster, "term")
-        .agg(F.sum("weight").alias("_sum"))
-    )
+    centres = df.groupBy(cluster).agg(Summarizer.mean(F.col(vector)).alias("_centre"))
+    entries = centres.select(
+        cluster, F.posexplode(vector_to_array("_centre")).alias("_at", "_weight")
+    ).filter(F.col("_weight") > 0)
     # Rounded so that sums of equal parts added in another order tie and fall back to the term.
-    centres = sums.join(sizes, cluster).select(
-        cluster, "term", F.round(F.col("_sum") / F.col("_size"), 9).alias("weight")
+    named = entries.select(
+        cluster, term_at(terms, F.col("_at")).alias("term"), F.round("_weight", 9).alias("weight")
     )
-    return top_n(centres, [cluster], [F.desc("weight"), F.col("term")], n)
+    return top_n(named, [cluster], [F.desc("weight"), F.col("term")], n)
 
 
 @dataclass

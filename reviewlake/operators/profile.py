@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from reviewlake.functions import text as tx
 from reviewlake.functions.scalars import percent
+from reviewlake.operators.once import compute_once
 from reviewlake.operators.ranks import quantiles, top_n
 
 
@@ -54,8 +55,8 @@ def duplicates(df: DataFrame) -> DataFrame:
 
 def with_text_sizes(df: DataFrame, text: str) -> DataFrame:
     """Adds text_length and word_count."""
-    return df.withColumns(
-        {"text_length": tx.char_length(F.col(text)), "word_count": tx.word_count(F.col(text))}
+    return compute_once(
+        df, {"text_length": tx.char_length(F.col(text)), "word_count": tx.word_count(F.col(text))}
     )
 
 

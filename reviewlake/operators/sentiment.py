@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
@@ -45,25 +46,34 @@ def train(
     rows = rows.select(F.col(text), F.col(label).cast("double").alias(label))
     if balanced:
         rows = with_class_weights(rows, label)
-    stages = [
-        RegexTokenizer(
-            inputCol=text, outputCol="_tokens", pattern=f"{NON_SPACE}+", gaps=False, toLowercase=True
-        ),
-        StopWordsRemover(inputCol="_tokens", outputCol="_words", stopWords=list(stop_words)),
-        CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=max_features, minDF=min_df),
-        IDF(inputCol="_counts", outputCol="_features"),
-        LogisticRegression(
+    tokenizer = RegexTokenizer(
+        inputCol=text, outputCol="_tokens", pattern=f"{NON_SPACE}+", gaps=False, toLowercase=True
+    )
+    remover = StopWordsRemover(inputCol="_tokens", outputCol="_words", stopWords=list(stop_words))
+    words = remover.transform(tokenizer.transform(rows))
+    counter = CountVectorizer(
+        inputCol="_words", outputCol="_counts", vocabSize=max_features, minDF=min_df
+    ).fit(words)
+    # The later stages read the count vectors many times; the texts are not needed any more.
+    counted = counter.transform(words).drop(text, "_tokens", "_words")
+    counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        idf = IDF(inputCol="_counts", outputCol="_features").fit(counted)
+        regression = LogisticRegression(
             featuresCol="_features",
             labelCol=label,
             maxIter=max_iter,
             regParam=regularisation,
-            weightCol="_class_weight" if balanced else None,
             probabilityCol="_probability",
             rawPredictionCol="_raw",
             predictionCol="_prediction",
-        ),
-    ]
-    return Pipeline(stages=stages).fit(rows)
+        )
+        if balanced:
+            regression = regression.setWeightCol("_class_weight")
+        classifier = regression.fit(idf.transform(counted))
+    finally:
+        counted.unpersist()
+    return PipelineModel(stages=[tokenizer, remover, counter, idf, classifier])
 
 
 def predict(df: DataFrame, model: PipelineModel) -> DataFrame:

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.functions.scalars import outlier_verdict, percent
-from reviewlake.functions.text import ngrams
 from reviewlake.operators.joins import broadcast_if_small, with_topic_names
 from reviewlake.operators.ranks import top_n
-from reviewlake.operators.vectors import MAX_BROADCAST_TERMS
+from reviewlake.operators.vectors import count_vectors, term_at, with_ngrams
 from reviewlake.session import cut_lineage
 
 # Topics a reduction or a similarity matrix accepts: these are per-topic, not per-row, computations.
@@ -24,17 +25,24 @@ def term_counts(
     df: DataFrame,
     topic: str,
     words: str,
-    vocab: DataFrame | None = None,
+    terms: list[str] | None = None,
     ngram: tuple[int, int] = (1, 1),
-    max_features: int | None = None,
 ) -> DataFrame:
-    """(topic, term, n): uses of each term in the texts of each topic, summed map-side first."""
-    terms = df.select(F.col(topic).alias("topic"), F.explode(ngrams(F.col(words), *ngram)).alias("term"))
-    if vocab is not None:
-        side = vocab.select("term")
-        bounded = max_features is not None and max_features <= MAX_BROADCAST_TERMS
-        terms = terms.join(F.broadcast(side) if bounded else side, "term", "left_semi")
-    return terms.groupBy("topic", "term").agg(F.count(F.lit(1)).alias("n"))
+    """(topic, term, n): uses of each term in the texts of each topic.
+
+    With a list of ``terms`` each row is counted in place and the count vectors are summed map-side;
+    without it every n-gram counts, one row per (topic, n-gram) and map task in the shuffle.
+    """
+    if terms is not None:
+        counted = count_vectors(df.select(F.col(topic).alias("topic"), words), words, terms, ngram)
+        sums = counted.groupBy("topic").agg(Summarizer.sum(F.col("counts")).alias("_sum"))
+        entries = sums.select("topic", F.posexplode(vector_to_array("_sum")).alias("_at", "_n"))
+        return entries.filter(F.col("_n") > 0).select(
+            "topic", term_at(terms, F.col("_at")).alias("term"), F.col("_n").cast("long").alias("n")
+        )
+    rows = with_ngrams(df.select(F.col(topic).alias("topic"), words), words, ngram)
+    grams = rows.select("topic", F.explode("_grams").alias("term"))
+    return grams.groupBy("topic", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def ctfidf(counts: DataFrame) -> DataFrame:
@@ -209,23 +217,30 @@ def named_topics(df: DataFrame, topic: str, words: str, n: int = 4) -> DataFrame
 
 
 def lda(df: DataFrame, counts: str, k: int, seed: int = 42, max_iter: int = 20) -> LDAModel:
-    """Latent Dirichlet allocation on count vectors (online variational Bayes)."""
-    return LDA(
+    """Latent Dirichlet allocation on count vectors (online variational Bayes).
+
+    Each iteration samples the vectors, so they are kept meanwhile.
+    """
+    estimator = LDA(
         k=k, seed=seed, maxIter=max_iter, featuresCol=counts, topicDistributionCol="_topics"
-    ).fit(df)
+    )
+    rows = df.select(counts).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def lda_top_words(model: LDAModel, terms: list[str], n: int = 10) -> DataFrame:
     """(topic, rank, term, weight) of the heaviest terms. The vocabulary is a bounded list."""
     described = model.describeTopics(n)
-    words = F.array(*[F.lit(term) for term in terms])
     return described.select(
         F.col("topic").cast("long"),
         F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("_at", "_entry"),
     ).select(
         "topic",
         (F.col("_at") + 1).cast("long").alias("rank"),
-        F.get(words, F.col("_entry")["termIndices"]).alias("term"),
+        term_at(terms, F.col("_entry")["termIndices"]).alias("term"),
         F.col("_entry")["termWeights"].alias("weight"),
     )
 

@@ -1,6 +1,7 @@
 """n-gram vocabularies and TF-IDF weights.
 
-Long form (id, term, weight) for relational work, Spark ML vectors for models.
+Long form (id, term, weight) for relational work, Spark ML vectors for models. With a bounded
+vocabulary documents are counted inside their own rows and nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -8,49 +9,52 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlake.functions.text import ngrams
+from reviewlake.functions.text import ngrams, only_words
+from reviewlake.operators.once import compute_once
 
-# Vocabularies up to this size are broadcast: at 1,500 terms the reference settings are far below.
-MAX_BROADCAST_TERMS = 100_000
+# Largest vocabulary that is held as a list in the plan; the reference settings stay below 1,501.
+MAX_LISTED_TERMS = 5_000
 
 
-def vocabulary(
+def with_ngrams(
     df: DataFrame,
     words: str,
-    ngram: tuple[int, int] = (1, 1),
-    max_features: int | None = None,
-    min_df: int | float = 1,
-    max_df: int | float = 1.0,
+    ngram: tuple[int, int],
+    only: list[str] | None = None,
+    output: str = "_grams",
 ) -> DataFrame:
-    """(term, df, frequency) of the n-grams of an array-of-words column.
+    """Adds the n-grams of an array of words, those made of ``only`` these words if given."""
+    if ngram == (1, 1) and only is None:
+        return df.withColumn(output, F.col(words))
+    kept = F.col(words) if only is None else only_words(F.col(words), only)
+    staged = compute_once(df, {"_kept": kept})
+    return compute_once(staged, {output: ngrams(F.col("_kept"), *ngram)}).drop("_kept")
 
-    ``min_df`` and ``max_df`` are numbers of documents, or shares of all documents when given as a
-    float. ``max_features`` keeps the most frequent terms (ties by term). A document's distinct terms
-    come from its own row, so one map-side-combined shuffle by term gives both counts.
+
+def _counts(df: DataFrame, words: str, ngram: tuple[int, int], only: list[str] | None = None) -> DataFrame:
+    """(term, df, frequency) of the n-grams of an array column.
+
+    Each row's n-grams are sorted, so the first of equal terms is known in the row itself; one
+    map-side-combined shuffle by term then gives both counts.
     """
-    grams = ngrams(F.col(words), *ngram)
-    rows = df.select(grams.alias("_grams"))
-    entries = F.concat(
-        F.transform("_grams", lambda t: F.struct(t.alias("term"), F.lit(0).alias("_d"))),
-        F.transform(F.array_distinct("_grams"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("_d"))),
+    grams = with_ngrams(df.select(words), words, ngram, only)
+    ordered = compute_once(grams, {"_sorted": F.sort_array("_grams")})
+    before = F.concat(
+        F.array(F.lit(None).cast("string")),
+        F.slice("_sorted", F.lit(1), F.greatest(F.size("_sorted") - 1, F.lit(0))),
     )
-    counts = (
-        rows.select(F.inline(entries))
-        .groupBy("term")
-        .agg(F.sum("_d").alias("df"), F.count_if(F.col("_d") == 0).alias("frequency"))
+    rows = ordered.filter(F.size("_sorted") > 0).select(
+        F.inline(F.arrays_zip(F.col("_sorted").alias("term"), before.alias("_before")))
+    )
+    first = ~F.col("_before").eqNullSafe(F.col("term"))
+    return rows.groupBy("term").agg(
+        F.count_if(first).alias("df"), F.count(F.lit(1)).alias("frequency")
     )
-    lowest, highest = _document_bound(df, min_df), _document_bound(df, max_df)
-    if not (isinstance(min_df, int) and min_df <= 1):
-        counts = counts.filter(F.col("df") >= lowest)
-    if not (isinstance(max_df, float) and max_df >= 1.0):
-        counts = counts.filter(F.col("df") <= highest)
-    if max_features:
-        counts = counts.orderBy(F.desc("frequency"), "term").limit(max_features)
-    return counts
 
 
 def _document_bound(df: DataFrame, bound: int | float) -> Column:
@@ -59,50 +63,75 @@ def _document_bound(df: DataFrame, bound: int | float) -> Column:
     return F.lit(bound) * df.agg(F.count(F.lit(1))).scalar()
 
 
-def _bounded(vocab: DataFrame, max_features: int | None) -> DataFrame:
-    """Broadcast only what ``max_features`` bounds."""
-    if max_features and max_features <= MAX_BROADCAST_TERMS:
-        return F.broadcast(vocab)
-    return vocab
+def _within(
+    counts: DataFrame, df: DataFrame, min_df: int | float, max_df: int | float
+) -> DataFrame:
+    if not (isinstance(min_df, int) and min_df <= 1):
+        counts = counts.filter(F.col("df") >= _document_bound(df, min_df))
+    if not (isinstance(max_df, float) and max_df >= 1.0):
+        counts = counts.filter(F.col("df") <= _document_bound(df, max_df))
+    return counts
 
 
-def term_counts(
-    df: DataFrame,
-    key: str,
-    words: str,
-    vocab: DataFrame,
-    ngram: tuple[int, int] = (1, 1),
-    max_features: int | None = None,
-) -> DataFrame:
-    """(key, term, tf, df) for the terms of the vocabulary.
+def _top(counts: DataFrame, n: int) -> DataFrame:
+    return counts.orderBy(F.desc("frequency"), "term").limit(n)
 
-    Pass the ``max_features`` the vocabulary was made with: it is the proof that the vocabulary may be
-    broadcast, and the rows are then shuffled once, by key, with only vocabulary terms on them. The
-    same partitioning serves whatever groups by key next.
+
+def _frequent_words(
+    df: DataFrame, words: str, max_features: int, min_df: int | float, max_df: int | float
+) -> list[str] | None:
+    """Words that can occur in one of the ``max_features`` most frequent n-grams; None if too many.
+
+    An n-gram is at most as frequent as each of its words, and the ``max_features``-th most frequent
+    single word is a lower bound for what makes the list. Bounded by MAX_LISTED_TERMS.
     """
-    terms = df.select(key, F.explode(ngrams(F.col(words), *ngram)).alias("term"))
-    hits = terms.join(_bounded(vocab.select("term", "df"), max_features), "term")
-    return hits.repartition(key).groupBy(key, "term").agg(
-        F.count(F.lit(1)).alias("tf"), F.first("df").alias("df")
-    )
+    counts = _counts(df, words, (1, 1))
+    listed = _top(_within(counts, df, min_df, max_df), max_features)
+    stats = listed.agg(F.count(F.lit(1)).alias("n"), F.min("frequency").alias("least")).first()
+    if stats["n"] < max_features:
+        return None
+    wanted = _within(counts, df, min_df, 1.0).filter(F.col("frequency") >= stats["least"])
+    rows = wanted.select("term").limit(MAX_LISTED_TERMS + 1).collect()
+    return None if len(rows) > MAX_LISTED_TERMS else [row["term"] for row in rows]
 
 
-def tfidf(
+def vocabulary(
     df: DataFrame,
-    key: str,
     words: str,
-    vocab: DataFrame,
     ngram: tuple[int, int] = (1, 1),
     max_features: int | None = None,
+    min_df: int | float = 1,
+    max_df: int | float = 1.0,
 ) -> DataFrame:
-    """(key, term, weight): tf * (ln((1 + N) / (1 + df)) + 1), each document at unit length."""
-    documents = df.agg(F.count(F.lit(1))).scalar()
-    counts = term_counts(df, key, words, vocab, ngram, max_features)
-    idf = F.log((documents + 1).cast("double") / (F.col("df") + 1).cast("double")) + 1
-    raw = counts.select(key, "term", (F.col("tf") * idf).alias("_raw"))
-    # The window runs over one document and reuses the partitioning by key.
-    norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(key)))
-    return raw.select(key, "term", (F.col("_raw") / norm).alias("weight"))
+    """(term, df, frequency) of the n-grams of an array-of-words column.
+
+    ``min_df`` and ``max_df`` are numbers of documents, or shares of all documents when given as a
+    float. ``max_features`` keeps the most frequent terms (ties by term). For n-grams up from single
+    words, a first pass over single words finds which words the most frequent n-grams can be made of;
+    other n-grams are not built. The result is the same without that pass.
+    """
+    only = None
+    if max_features and ngram[0] == 1 and ngram[1] > 1:
+        only = _frequent_words(df, words, max_features, min_df, max_df)
+    counts = _within(_counts(df, words, ngram, only), df, min_df, max_df)
+    return _top(counts, max_features) if max_features else counts
+
+
+def vocabulary_rows(vocab: DataFrame, max_features: int) -> list[tuple[str, int]]:
+    """(term, df) on the driver in alphabetical order: at most ``max_features`` of them."""
+    if max_features > MAX_LISTED_TERMS:
+        raise ValueError(f"at most {MAX_LISTED_TERMS} terms can be listed")
+    rows = vocab.select("term", "df").orderBy("term").limit(max_features).collect()
+    return [(row["term"], row["df"]) for row in rows]
+
+
+def vocabulary_terms(vocab: DataFrame, max_features: int) -> list[str]:
+    return [term for term, _ in vocabulary_rows(vocab, max_features)]
+
+
+def term_at(terms: list[str], index: Column) -> Column:
+    """The term with a vector index."""
+    return F.get(F.array(*[F.lit(term) for term in terms]), index)
 
 
 def count_vectors(
@@ -113,38 +142,73 @@ def count_vectors(
     output: str = "counts",
 ) -> DataFrame:
     """Adds the sparse count vector over ``terms``; counted inside each row, without a shuffle."""
-    model = CountVectorizerModel.from_vocabulary(
-        terms, inputCol="_grams", outputCol=output
-    )
-    return model.transform(df.withColumn("_grams", ngrams(F.col(words), *ngram))).drop("_grams")
-
-
-def vocabulary_terms(vocab: DataFrame, max_features: int) -> list[str]:
-    """The terms on the driver, in alphabetical order: at most ``max_features`` strings."""
-    return [row["term"] for row in vocab.select("term").orderBy("term").limit(max_features).collect()]
+    if not terms:
+        raise ValueError("the vocabulary is empty")
+    parts = sorted({part for term in terms for part in term.split(" ")})
+    grams = with_ngrams(df, words, ngram, parts)
+    model = CountVectorizerModel.from_vocabulary(terms, inputCol="_grams", outputCol=output)
+    return model.transform(grams).drop("_grams")
 
 
 def tfidf_vectors(
     df: DataFrame,
     words: str,
-    vocab: DataFrame,
-    max_features: int,
+    vocab: list[tuple[str, int]],
+    documents: int,
     ngram: tuple[int, int] = (1, 1),
     output: str = "features",
-    documents: int | None = None,
 ) -> DataFrame:
     """Adds the TF-IDF vector over the vocabulary at unit length, as a Spark ML vector.
 
-    The weights equal those of :func:`tfidf`. The terms and their document counts, at most
-    ``max_features`` of them, go through the driver; documents do not. ``documents`` is the number of
-    documents behind the vocabulary where that is not the rows of ``df``.
+    ``vocab`` is what :func:`vocabulary_rows` returns and ``documents`` the number of documents behind
+    it. The weights equal those of :func:`tfidf`.
     """
-    rows = vocab.select("term", "df").orderBy("term").limit(max_features).collect()
-    total = df.count() if documents is None else documents
-    idf = [math.log((1 + total) / (1 + row["df"])) + 1 for row in rows]
-    counted = count_vectors(df, words, [row["term"] for row in rows], ngram, "_counts")
+    idf = [math.log((1 + documents) / (1 + found)) + 1 for _, found in vocab]
+    counted = count_vectors(df, words, [term for term, _ in vocab], ngram, "_counts")
     scaled = ElementwiseProduct(
         scalingVec=Vectors.dense(idf), inputCol="_counts", outputCol="_scaled"
     ).transform(counted)
     unit = Normalizer(inputCol="_scaled", outputCol=output, p=2.0).transform(scaled)
     return unit.drop("_counts", "_scaled")
+
+
+def long_form(df: DataFrame, key: str, vector: str, terms: list[str]) -> DataFrame:
+    """(key, term, weight) of the non-zero entries of a vector column."""
+    entries = df.select(key, F.posexplode(vector_to_array(F.col(vector))).alias("_at", "weight"))
+    return entries.filter(F.col("weight") != 0).select(
+        key, term_at(terms, F.col("_at")).alias("term"), "weight"
+    )
+
+
+def tfidf(
+    df: DataFrame,
+    key: str,
+    words: str,
+    vocab: DataFrame,
+    ngram: tuple[int, int] = (1, 1),
+    max_features: int | None = None,
+) -> DataFrame:
+    """(key, term, weight): tf * (ln((1 + N) / (1 + df)) + 1), each document at unit length.
+
+    Pass the ``max_features`` the vocabulary was made with: the terms are then counted in the rows.
+    Without a bound the tokens are shuffled once by key and meet the vocabulary in a join.
+    """
+    if max_features and max_features <= MAX_LISTED_TERMS:
+        listed = vocabulary_rows(vocab, max_features)
+        if not listed:
+            return df.sparkSession.createDataFrame(
+                [], f"{key} {df.schema[key].dataType.simpleString()}, term string, weight double"
+            )
+        placed = tfidf_vectors(df.select(key, words), words, listed, df.count(), ngram)
+        return long_form(placed, key, "features", [term for term, _ in listed])
+    documents = df.agg(F.count(F.lit(1))).scalar()
+    grams = with_ngrams(df.select(key, words), words, ngram)
+    terms = grams.select(key, F.explode("_grams").alias("term"))
+    # Counts first: a frequent word is then one row per document when it meets the vocabulary.
+    counts = terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("_tf"))
+    idf = F.log((documents + 1).cast("double") / (F.col("df") + 1).cast("double")) + 1
+    raw = counts.join(vocab.select("term", "df"), "term").select(
+        key, "term", (F.col("_tf") * idf).alias("_raw")
+    )
+    norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(key)))
+    return raw.select(key, "term", (F.col("_raw") / norm).alias("weight"))

@@ -55,7 +55,7 @@ def cluster_products(
         F.count(F.lit(1)).cast("double").alias("_rows")
     ).withColumn("_words", words)
     featured = vectors.tfidf_vectors(
-        distinct, "_words", vocab, max_features, documents=present.count()
+        distinct, "_words", vectors.vocabulary_rows(vocab, max_features), present.count()
     )
     model = clusters.kmeans(featured, "features", k, weight="_rows")
     placed = clusters.assign(featured, model, "features", output).select("_description", output)

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from reviewlake.functions import text as tx
 from reviewlake.operators import clusters, filters, topics
 from reviewlake.operators.joins import with_topic_names
+from reviewlake.operators.once import compute_once
 from reviewlake.session import cut_lineage
 
 
 def load_reviews(df: DataFrame, text: str, min_words: int = 5) -> DataFrame:
     """Reviews with a text, their ``cleaned_text``, and at least ``min_words`` words left in it."""
-    rows = filters.drop_null(df, text).withColumn("cleaned_text", tx.drop_metadata(F.col(text)))
+    rows = filters.drop_null(df, text)
+    rows = compute_once(rows, {"cleaned_text": tx.drop_metadata(F.col(text))})
     return filters.at_least_words(rows, "cleaned_text", min_words)
 
 

@@ -14,6 +14,17 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def scan_spread(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """A table whose rows are about to get heavy work each.
+
+    Kept in fewer files than the session has cores, it is spread by key over the cores; a table of many
+    files is read as it lies.
+    """
+    rows = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if len(rows.inputFiles()) < cores else rows
+
+
 def scan_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     return spark.read.parquet(path).select(*columns)
 

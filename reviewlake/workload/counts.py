@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from reviewlake.functions import text as tx
 from reviewlake.operators import filters, profile, stats
+from reviewlake.operators.once import compute_once
 from reviewlake.operators.topics import outlier_report
 from reviewlake.plans import preprocessing
 from reviewlake.workload import sqltext as sq
-from reviewlake.workload.registry import REVIEWS_SQL, query, reviews, rounded, scratch, six, table
+from reviewlake.workload.registry import REVIEWS_SQL, documents, query, reviews, rounded, scratch, six, table
 from reviewlake.workload.rows import (
     LABELLED_SQL,
     NOTES_SQL,
@@ -30,7 +31,9 @@ from reviewlake.workload.text import STOP_SQL, STOP_WORDS
         WHERE length(cleaned) >= 10 GROUP BY source ORDER BY total DESC, source LIMIT 30""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    cleaned = reviews(spark, sf).withColumn("cleaned", tx.clean_text(F.col("text"), brackets=True))
+    cleaned = compute_once(
+        reviews(spark, sf), {"cleaned": tx.clean_text(F.col("text"), brackets=True)}
+    )
     rows = filters.at_least_chars(cleaned, "cleaned", 10)
     return rounded(stats.label_counts(rows, "source", "quality", 30), "positive_pct")
 
@@ -345,7 +348,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
           round(median(n), 6) AS median_length FROM t""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    out = profile.text_stats(table(spark, sf, "documents"), "text")
+    out = profile.text_stats(documents(spark, sf), "text")
     return rounded(out, "mean_length", "mean_words", "median_length")
 
 

@@ -10,7 +10,7 @@ from reviewlake.operators.filters import at_least_chars
 from reviewlake.plans import review_analysis, topic_model
 from reviewlake.workload.registry import query, reviews, scratch, table
 from reviewlake.workload.text import STOP_WORDS
-from reviewlake.workload.vectors import worded
+from reviewlake.workload.vectors import text_vectors, worded
 
 FEW_SEEDS = clusters.START_SEEDS[:3]
 
@@ -19,15 +19,9 @@ def embedded(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").select("vec_id", "embedding")
 
 
-def text_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    docs = worded(spark, sf)
-    vocab = vectors.vocabulary(docs, "words", (1, 3), 1000)
-    return vectors.tfidf_vectors(docs, "words", vocab, 1000, (1, 3)).select("doc_id", "source", "features")
-
-
 @query("clu1_text_kmeans")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    rows = text_vectors(spark, sf)
+    rows, _ = text_vectors(spark, sf)
     model = clusters.kmeans(rows, "features", 5)
     return clusters.assign(rows, model, "features").select("doc_id", "cluster")
 
@@ -110,7 +104,7 @@ def numbered_sources(spark: SparkSession, sf: str) -> DataFrame:
 def source_counts(rows: DataFrame) -> DataFrame:
     """Uses of the 1,000 most frequent n-grams per topic."""
     vocab = vectors.vocabulary(rows, "words", (1, 3), 1000, 10, 0.7)
-    return topics.term_counts(rows, "topic", "words", vocab, (1, 3), 1000)
+    return topics.term_counts(rows, "topic", "words", vectors.vocabulary_terms(vocab, 1000), (1, 3))
 
 
 @query("top5_hierarchy")

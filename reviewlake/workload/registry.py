@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.session import checkpoint_dir
+from reviewlake.sources.tables import scan_spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +33,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents, spread over the cores for heavy work on each text."""
+    return scan_spread(spark, f"{sf}/documents.parquet", "doc_id")
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder next to the checkpoints, which all executors can reach."""
     return f"{checkpoint_dir(spark).rstrip('/')}/reviewlake-{uuid.uuid4().hex}"
@@ -39,7 +45,7 @@ def scratch(spark: SparkSession) -> str:
 
 def reviews(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with a label, in the role of reviews."""
-    return table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    return documents(spark, sf).join(table(spark, sf, "labels"), "doc_id")
 
 
 REVIEWS_SQL = "(SELECT * FROM documents JOIN labels USING (doc_id))"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reviewlake.functions import text as tx
 from reviewlake.operators import filters, joins, profile
 from reviewlake.operators.sampling import random_per_group
+from reviewlake.plans import topic_model
 from reviewlake.sources.tables import query as sql_query
 from reviewlake.workload import sqltext as sq
 from reviewlake.workload.registry import (
@@ -68,8 +69,7 @@ FIVE_WORDS_SQL = f"""(SELECT doc_id, text, {DROP_METADATA_SQL} AS cleaned_text,
 
 @query("flt4_min_words", f"SELECT doc_id, cleaned_text FROM {FIVE_WORDS_SQL} WHERE n >= 20")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    rows = marked_up(spark, sf).withColumn("cleaned_text", tx.drop_metadata(F.col("text")))
-    return filters.at_least_words(rows, "cleaned_text", 20).select("doc_id", "cleaned_text")
+    return topic_model.load_reviews(marked_up(spark, sf), "text", 20).select("doc_id", "cleaned_text")
 
 
 @query(

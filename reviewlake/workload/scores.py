@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.operators import aspects, evaluate
 from reviewlake.workload import sqltext as sq
-from reviewlake.workload.registry import query, rounded, table
+from reviewlake.workload.registry import documents, query, rounded, table
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,7 +138,7 @@ ROUNDED_SQL = ", ".join(f"round({name}, 6) AS {name}" for name in SCORES)
 
 @query("asp1_aspect_scores", f"SELECT doc_id, {ROUNDED_SQL} FROM {ASPECT_SQL}")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    found = aspects.score(table(spark, sf, "documents").select("doc_id", "text"), "text", LEXICON)
+    found = aspects.score(documents(spark, sf).select("doc_id", "text"), "text", LEXICON)
     return rounded(found.drop("text"), *SCORES)
 
 
@@ -146,7 +146,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = [(label, term, weight) for label, terms in LEXICON.items() for term, weight in terms.items()]
     lexicon = spark.createDataFrame(rows, "label string, term string, weight double")
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = documents(spark, sf).select("doc_id", "text")
     return rounded(aspects.score_with_table(docs, "doc_id", "text", lexicon, list(LEXICON)), *SCORES)
 
 
@@ -157,7 +157,7 @@ BEST_SQL = "CASE " + " ".join(
 
 @query("asp2_best_aspect", f"SELECT doc_id, {BEST_SQL} AS best_topic FROM {ASPECT_SQL}")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    found = aspects.score(table(spark, sf, "documents").select("doc_id", "text"), "text", LEXICON)
+    found = aspects.score(documents(spark, sf).select("doc_id", "text"), "text", LEXICON)
     return aspects.best_aspect(found, list(LEXICON)).select("doc_id", "best_topic")
 
 
@@ -169,5 +169,5 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         UNION ALL SELECT best_topic, 'max', max(n_chars)::DOUBLE FROM b GROUP BY best_topic""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    found = aspects.score(table(spark, sf, "documents").select("doc_id", "text", "n_chars"), "text", LEXICON)
+    found = aspects.score(documents(spark, sf).select("doc_id", "text", "n_chars"), "text", LEXICON)
     return rounded(aspects.aspect_stats(found, list(LEXICON), "n_chars"), "value")

@@ -11,7 +11,7 @@ from reviewlake.operators import words
 from reviewlake.operators.ranks import top_n
 from reviewlake.plans.summaries import joined_in_order
 from reviewlake.workload import sqltext as sq
-from reviewlake.workload.registry import query, six, table
+from reviewlake.workload.registry import documents, query, six, table
 
 # A short list of words frequent in the documents, spelled out in the SQL as well.
 STOP_WORDS = ("the", "of", "and", "to", "in", "is", "de", "la", "der", "die", "und", "le", "el", "que")
@@ -20,7 +20,7 @@ STOP_SQL = ", ".join(f"'{word}'" for word in STOP_WORDS)
 
 def marked_up(spark: SparkSession, sf: str) -> DataFrame:
     """Documents wrapped in the links, tags and platform lines reviews come with."""
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id",
         F.concat(
             F.lit("[h1]Posted by "), "source", F.lit("[/h1] <b>See</b> https://a.b/c?d=e www.f.g "),
@@ -36,7 +36,7 @@ MARKED_UP_SQL = """(SELECT doc_id, '[h1]Posted by ' || source || '[/h1] <b>See</
 
 
 def _documents(spark: SparkSession, sf: str, value: Column, name: str = "value") -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", value.alias(name))
+    return documents(spark, sf).select("doc_id", value.alias(name))
 
 
 @query("txt1_clean_text", f"SELECT page_id, {sq.clean('html')} AS value FROM pages")
@@ -199,7 +199,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         USING (doc_id)""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = documents(spark, sf).select("doc_id", "text")
     return words.preprocess(docs, "doc_id", "text", STOP_WORDS, stem=True).drop("text")
 
 
@@ -209,7 +209,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
           CAST(length(text) AS BIGINT) AS text_length FROM documents""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id",
         tx.word_count(F.col("text")).alias("word_count"),
         tx.char_length(F.col("text")).alias("text_length"),

@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 
 from reviewlake.functions import text as tx
 from reviewlake.operators import clusters, topics, vectors
+from reviewlake.operators.once import compute_once
 from reviewlake.workload import sqltext as sq
-from reviewlake.workload.registry import query, rounded, table
+from reviewlake.workload.registry import documents, query, rounded, table
 from reviewlake.workload.text import STOP_SQL, STOP_WORDS
 
 
 def worded(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as tokens without stop words."""
     words = tx.remove_stop_words(tx.tokens(F.col("text")), STOP_WORDS)
-    return table(spark, sf, "documents").select("doc_id", "source", "lang", words.alias("words"))
+    rows = documents(spark, sf).select("doc_id", "source", "lang", "text")
+    return compute_once(rows, {"words": words}).drop("text")
 
 
 WORDED_SQL = f"""(SELECT doc_id, source, lang, list_filter({sq.tokens('text')}, lambda w: w NOT IN ({STOP_SQL})) AS words
@@ -78,6 +80,14 @@ def tfidf_sql(low: int, high: int, vocab: str) -> str:
 TFIDF_SQL = tfidf_sql(1, 3, vocabulary_sql(1, 3, 1000))
 
 
+def text_vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    """Documents with their TF-IDF vector over 1,000 n-grams, and the terms."""
+    docs = worded(spark, sf)
+    vocab = vectors.vocabulary_rows(vectors.vocabulary(docs, "words", (1, 3), 1000), 1000)
+    placed = vectors.tfidf_vectors(docs, "words", vocab, docs.count(), (1, 3))
+    return placed.drop("words"), [term for term, _ in vocab]
+
+
 def weights(spark: SparkSession, sf: str) -> DataFrame:
     docs = worded(spark, sf)
     vocab = vectors.vocabulary(docs, "words", (1, 3), 1000)
@@ -108,8 +118,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
           SELECT *, row_number() OVER (PARTITION BY lang ORDER BY weight DESC, term) AS rank FROM c) WHERE rank <= 10""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    labels = table(spark, sf, "documents").select("doc_id", "lang")
-    return rounded(clusters.top_terms(weights(spark, sf), labels, "doc_id", "lang"), "weight")
+    placed, terms = text_vectors(spark, sf)
+    return rounded(clusters.top_terms(placed, "features", "lang", terms), "weight")
 
 
 CTFIDF_SQL = f"""(WITH t AS (SELECT source AS topic, unnest(words) AS term FROM {WORDED_SQL}),
