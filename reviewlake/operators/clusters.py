@@ -136,10 +136,12 @@ def silhouette_sweep(
     vectors = as_vector(df.select(vector), vector).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         evaluator = ClusteringEvaluator(featuresCol=vector, predictionCol="cluster")
-        scores = [
-            (int(k), float(evaluator.evaluate(assign(vectors, kmeans(vectors, vector, k, seeds), vector))))
-            for k in ks
-        ]
+
+        def run(k: int) -> tuple[int, float]:
+            model = kmeans(vectors, vector, k, seeds)
+            return int(k), float(evaluator.evaluate(assign(vectors, model, vector)))
+
+        scores = _at_once(run, ks)
     finally:
         vectors.unpersist()
     best = max(scores, key=lambda pair: (pair[1], -pair[0]))[0]
@@ -154,15 +156,17 @@ def elbow_sweep(
     """(k, inertia): within-cluster sum of squares for each k."""
     vectors = as_vector(df.select(vector), vector).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = []
-        for k in ks:
-            if k == 1:
-                stats = vectors.agg(
-                    Summarizer.metrics("variance", "count").summary(F.col(vector)).alias("s")
-                ).first()["s"]
-                rows.append((1, float(sum(stats["variance"].toArray()) * (stats["count"] - 1))))
-            else:
-                rows.append((int(k), float(kmeans(vectors, vector, k, seeds).summary.trainingCost)))
+
+        def run(k: int) -> tuple[int, float]:
+            if k > 1:
+                return int(k), float(kmeans(vectors, vector, k, seeds).summary.trainingCost)
+            # One cluster: the squared distances to the mean.
+            stats = vectors.agg(
+                Summarizer.metrics("variance", "count").summary(F.col(vector)).alias("s")
+            ).first()["s"]
+            return 1, float(sum(stats["variance"].toArray()) * (stats["count"] - 1))
+
+        rows = _at_once(run, ks)
     finally:
         vectors.unpersist()
     return df.sparkSession.createDataFrame(rows, "k long, inertia double")

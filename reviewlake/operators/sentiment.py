@@ -10,20 +10,22 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewlake.functions.text import NON_SPACE
+from reviewlake.functions.text import SPACE
 
 
-def with_class_weights(df: DataFrame, label: str, weight: str = "_class_weight") -> DataFrame:
-    """Adds n / (classes * n_class): every class weighs the same in training."""
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    totals = sizes.agg(F.struct(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("classes"))).scalar()
-    positive = df.agg(F.count_if(F.col(label) == 1)).scalar()
-    mine = F.when(F.col(label) == 1, positive).otherwise(totals["rows"] - positive)
-    return df.withColumn(weight, totals["rows"].cast("double") / (totals["classes"] * mine))
+def class_weight(df: DataFrame, label: str) -> Column:
+    """n / (2 * n_class) for a 0/1 label: both classes weigh the same in training."""
+    counts = df.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(label) == 1).alias("positive")
+    ).first()
+    rows, positive = counts["rows"], counts["positive"]
+    if positive in (0, rows):
+        raise ValueError("training needs rows of both classes")
+    return F.when(F.col(label) == 1, rows / (2 * positive)).otherwise(rows / (2 * (rows - positive)))
 
 
 def train(
@@ -45,9 +47,9 @@ def train(
     rows = df.filter(F.col(text).isNotNull() & F.col(label).isNotNull())
     rows = rows.select(F.col(text), F.col(label).cast("double").alias(label))
     if balanced:
-        rows = with_class_weights(rows, label)
+        rows = rows.withColumn("_class_weight", class_weight(rows, label))
     tokenizer = RegexTokenizer(
-        inputCol=text, outputCol="_tokens", pattern=f"{NON_SPACE}+", gaps=False, toLowercase=True
+        inputCol=text, outputCol="_tokens", pattern=f"{SPACE}+", gaps=True, toLowercase=True
     )
     remover = StopWordsRemover(inputCol="_tokens", outputCol="_words", stopWords=list(stop_words))
     words = remover.transform(tokenizer.transform(rows))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.functions.scalars import outlier_verdict, percent
-from reviewlake.operators.joins import broadcast_if_small, with_topic_names
+from reviewlake.operators.joins import with_topic_names
 from reviewlake.operators.ranks import top_n
 from reviewlake.operators.vectors import count_vectors, term_at, with_ngrams
 from reviewlake.session import cut_lineage
@@ -53,7 +53,7 @@ def ctfidf(counts: DataFrame) -> DataFrame:
     topics = counts.groupBy("topic").agg(F.sum("n").alias("_words"))
     mean_words = topics.agg(F.avg("_words")).scalar()
     terms = counts.groupBy("term").agg(F.sum("n").alias("_uses"))
-    joined = counts.join(terms, "term").join(broadcast_if_small(topics, MAX_TOPICS), "topic")
+    joined = counts.join(terms, "term").join(_few(topics, "_words"), "topic")
     weight = (F.col("n") / F.col("_words")) * F.log(1 + mean_words / F.col("_uses"))
     return joined.select("topic", "term", weight.alias("weight"))
 
@@ -100,9 +100,13 @@ def outlier_report(df: DataFrame, topic: str = "topic") -> DataFrame:
     )
 
 
-def _checked(counts: DataFrame) -> None:
-    if counts.select("topic").distinct().limit(MAX_TOPICS + 1).count() > MAX_TOPICS:
-        raise ValueError(f"more than {MAX_TOPICS} topics: cluster more coarsely first")
+def _few(per_topic: DataFrame, column: str) -> DataFrame:
+    """A table of one row per topic as a broadcast side: at most MAX_TOPICS + 1 rows by a limit, and
+    an error, not a shorter table, where there are more."""
+    found = per_topic.agg(F.count(F.lit(1))).scalar()
+    stop = F.raise_error(F.lit(f"more than {MAX_TOPICS} topics: cluster more coarsely first"))
+    checked = F.when(found > MAX_TOPICS, stop).otherwise(F.col(column))
+    return F.broadcast(per_topic.limit(MAX_TOPICS + 1).withColumn(column, checked))
 
 
 def similarity(weights: DataFrame) -> DataFrame:
@@ -111,9 +115,8 @@ def similarity(weights: DataFrame) -> DataFrame:
     The table has one row per (topic, term); topics are a short, checked list, so a term meets at
     most that many topics.
     """
-    _checked(weights)
     norms = weights.groupBy("topic").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"))
-    unit = weights.join(F.broadcast(norms), "topic").select(
+    unit = weights.join(_few(norms, "_norm"), "topic").select(
         "topic", "term", (F.col("weight") / F.col("_norm")).alias("_w")
     )
     left = unit.select(F.col("topic").alias("topic_a"), "term", F.col("_w").alias("_a"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.functions import text as tx
-from reviewlake.operators.joins import broadcast_if_small
+from reviewlake.operators.joins import is_small
 
 # Rows of a word table that may be broadcast: two short strings each.
 MAX_BROADCAST_FORMS = 500_000
@@ -28,17 +28,19 @@ def apply_base_forms(
     A small table is broadcast. A larger one is joined on the word: words are first reduced to their
     positions per document, so that a frequent word is one row per document and not one per use.
     """
-    placed = (
-        df.select(key, F.posexplode(words).alias("_at", "word"))
-        .groupBy(key, "word")
-        .agg(F.collect_list("_at").alias("_places"))
-    )
-    based = placed.join(broadcast_if_small(forms.select("word", "base"), MAX_BROADCAST_FORMS), "word", "left")
+    placed = df.select(key, F.posexplode(words).alias("_at", "word"))
+    table = forms.select("word", "base")
+    if is_small(table, MAX_BROADCAST_FORMS):
+        based = placed.join(F.broadcast(table), "word", "left")
+    else:
+        places = placed.groupBy(key, "word").agg(F.collect_list("_at").alias("_places"))
+        based = places.join(table, "word", "left").select(
+            key, "word", "base", F.explode("_places").alias("_at")
+        )
     entry = F.struct(F.col("_at"), F.coalesce("base", "word").alias("_word"))
     texts = (
-        based.select(key, "word", "base", F.explode("_places").alias("_at"))
-        .groupBy(key)
-        .agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["_word"]).alias("_words"))
+        based.groupBy(key)
+        .agg(F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["_word"]).alias("_words"))
         .select(key, F.array_join("_words", " ").alias(output))
     )
     return df.join(texts, key, "left").withColumn(output, F.coalesce(output, F.lit("")))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reviewlake.functions import text as tx
 from reviewlake.operators import clusters, evaluate, filters, sampling, sentiment, stats, vectors
 from reviewlake.plans import summaries
+from reviewlake.sinks.files import write_splits
 
 SPLIT = {"train": 0.8, "test": 0.2}
 
@@ -22,9 +23,13 @@ class SentimentRun:
     metrics: DataFrame
 
 
-def run_sentiment(df: DataFrame, text: str, label: str, key: str) -> SentimentRun:
-    """Train on 80 %, score and evaluate the rest."""
-    parts = sampling.split(df, label, key, SPLIT)
+def run_sentiment(df: DataFrame, text: str, label: str, key: str, path: str) -> SentimentRun:
+    """Split 80/20 into tables under ``path``, train on the first, score and evaluate the second.
+
+    Training reads its rows several times, so the split is written once and not worked out again.
+    """
+    write_splits(sampling.split(df, label, key, SPLIT), path)
+    parts = df.sparkSession.read.parquet(path)
     model = sentiment.train(parts.filter(F.col("split") == "train"), text, label)
     scored = sentiment.predict(parts.filter(F.col("split") == "test"), model)
     metrics = evaluate.report(evaluate.confusion(scored, label, "prediction"))

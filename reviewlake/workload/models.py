@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.operators import clusters, sampling, sentiment, topics, vectors
+from reviewlake.operators import clusters, sentiment, topics, vectors
 from reviewlake.operators.filters import at_least_chars
 from reviewlake.plans import review_analysis, topic_model
 from reviewlake.workload.registry import query, reviews, scratch, table
@@ -150,7 +150,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 def sentiment_run(spark: SparkSession, sf: str) -> review_analysis.SentimentRun:
     rows = at_least_chars(reviews(spark, sf).select("doc_id", "text", "quality"), "text", 10)
-    return review_analysis.run_sentiment(rows, "text", "quality", "doc_id")
+    return review_analysis.run_sentiment(rows, "text", "quality", "doc_id", scratch(spark))
 
 
 @query("sen1_train_metrics")
@@ -192,9 +192,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("sen3_reload_check", "SELECT count(*) AS rows, 0 AS mismatches FROM documents JOIN labels USING (doc_id)")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    rows = reviews(spark, sf).select("doc_id", "text", "quality")
-    parts = sampling.split(rows, "quality", "doc_id", review_analysis.SPLIT)
-    model = sentiment.train(parts.filter(F.col("split") == "train"), "text", "quality")
     path = scratch(spark)
-    sentiment.save(model, path)
-    return sentiment.reload_mismatches(rows, "doc_id", model, sentiment.load(path))
+    rows = reviews(spark, sf).select("doc_id", "text", "quality")
+    run = review_analysis.run_sentiment(rows, "text", "quality", "doc_id", f"{path}/split")
+    sentiment.save(run.model, f"{path}/model")
+    return sentiment.reload_mismatches(rows, "doc_id", run.model, sentiment.load(f"{path}/model"))
