@@ -42,9 +42,26 @@ def empty_strings(df: DataFrame, only_found: bool = True) -> DataFrame:
     return rows.filter(F.col("count") > 0) if only_found else rows
 
 
+def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
+    """SHA-256 of the named columns of a row: what has to be shuffled to find equal rows.
+
+    The JSON form keeps names and values apart and leaves out nulls, so different rows have different
+    texts; zero has one sign.
+    """
+    floating = (T.FloatType, T.DoubleType)
+    values = [
+        (F.col(name) + 0.0).alias(name) if isinstance(df.schema[name].dataType, floating) else F.col(name)
+        for name in columns
+    ]
+    return F.sha2(F.to_json(F.struct(*values)), 256)
+
+
 def duplicates(df: DataFrame) -> DataFrame:
-    """One row: rows, rows that repeat an earlier one, and their share. Copies combine map-side."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    """One row: rows, rows that repeat an earlier one, and their share.
+
+    Only digests are shuffled, and copies combine map-side.
+    """
+    groups = df.groupBy(row_digest(df, df.columns).alias("_row")).agg(F.count(F.lit(1)).alias("_n"))
     totals = groups.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"),
@@ -190,8 +207,8 @@ def cleaning_funnel(
 ) -> DataFrame:
     """Rows left after each cleaning step: (step, name, rows, removed, removed_pct).
 
-    Steps: all rows, without duplicate rows, without blank text, long enough, labelled. Copies are
-    counted once in a single aggregate; every step is a running condition on the distinct rows.
+    Steps: all rows, without duplicate rows, without blank text, long enough, labelled. Rows meet by
+    their digest in a single aggregate; every step is a running condition on the distinct rows.
     """
     columns = list(key or df.columns)
     missing_columns = {text, label} - set(df.columns)
@@ -205,7 +222,7 @@ def cleaning_funnel(
                 "_label_ok": F.col(label).isNotNull(),
             }
         )
-        .groupBy(*columns)
+        .groupBy(row_digest(df, columns).alias("_row"))
         .agg(
             F.count(F.lit(1)).alias("_n"),
             F.bool_or("_text_ok").alias("_text_ok"),

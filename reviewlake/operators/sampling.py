@@ -135,9 +135,19 @@ def draw_rank(label: Column, draw: Column, total: Column, seed: int = 42) -> Col
     return F.pmod(number, total)
 
 
-def repeat_rows(df: DataFrame, copies: str = "copies") -> DataFrame:
-    """One row per copy, numbered from 1 in ``copy``."""
-    return df.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).drop(copies)
+def repeat_rows(df: DataFrame, key: str, copies: str = "copies") -> DataFrame:
+    """One row per copy, numbered from 1 in ``copy``.
+
+    A row of a tiny class may stand for a large part of the output, so copies are made in blocks that
+    are spread over the tasks.
+    """
+    count = F.col(copies)
+    blocks = df.withColumn(
+        "_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((count - 1) / DRAW_BLOCK)))
+    ).repartition(F.col(key), F.col("_block"))
+    first = F.col("_block") * DRAW_BLOCK + 1
+    last = F.least(first + (DRAW_BLOCK - 1), count)
+    return blocks.withColumn("copy", F.explode(F.sequence(first, last))).drop(copies, "_block")
 
 
 def split(

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.functions.scalars import outlier_verdict, percent
+from reviewlake.operators.clusters import as_vector
 from reviewlake.operators.joins import with_topic_names
 from reviewlake.operators.ranks import top_n
 from reviewlake.operators.vectors import count_vectors, term_at, with_ngrams
@@ -205,12 +206,9 @@ def hierarchy(df: DataFrame, counts: DataFrame, sizes: DataFrame) -> DataFrame:
 
 def centres(df: DataFrame, topic: str, vector: str) -> DataFrame:
     """(topic, centre): the mean vector of each topic, noise left out."""
-    values = df.filter(F.col(topic) != -1).select(
-        F.col(topic).alias("topic"), F.posexplode(vector).alias("_at", "_x")
-    )
-    means = values.groupBy("topic", "_at").agg(F.avg(F.col("_x").cast("double")).alias("_mean"))
-    entries = F.array_sort(F.collect_list(F.struct("_at", "_mean")))
-    return means.groupBy("topic").agg(F.transform(entries, lambda e: e["_mean"]).alias("centre"))
+    members = as_vector(df.filter(F.col(topic) != -1).select(F.col(topic).alias("topic"), vector), vector)
+    means = members.groupBy("topic").agg(Summarizer.mean(F.col(vector)).alias("_mean"))
+    return means.select("topic", vector_to_array("_mean").alias("centre"))
 
 
 def named_topics(df: DataFrame, topic: str, words: str, n: int = 4) -> DataFrame:

@@ -33,7 +33,7 @@ def balance(df: DataFrame, label: str, key: str, method: str = "undersample", se
     if method == "undersample":
         return sampling.undersample(df, label, key, seed)
     if method == "oversample":
-        return sampling.repeat_rows(sampling.oversample(df, label, key, seed))
+        return sampling.repeat_rows(sampling.oversample(df, label, key, seed), key)
     return df
 
 

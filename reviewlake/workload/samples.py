@@ -107,7 +107,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = reviews(spark, sf).select("doc_id", "source", "quality")
-    return sampling.repeat_rows(sampling.oversample(rows, "quality", "doc_id"))
+    return sampling.repeat_rows(sampling.oversample(rows, "quality", "doc_id"), "doc_id")
 
 
 @query("smp3_shuffle", "SELECT event_id, user_id FROM events")

@@ -75,12 +75,20 @@ def test_oversample(spark, minority_only, monkeypatch):
     monkeypatch.setattr(sampling, "DRAW_BLOCK", 64)
     df = labelled(spark, {"a": 300, "b": 20})
     found = sampling.oversample(df, "label", "id", minority_only=minority_only)
-    rows = sampling.repeat_rows(found).collect()
+    rows = sampling.repeat_rows(found, "id").collect()
     assert Counter(r["label"] for r in rows) == {"a": 300, "b": 300}
     copies = Counter(r["id"] for r in rows if r["label"] == "a")
     assert (max(copies.values()) == 1) is minority_only
 
 
+def test_copies_are_numbered_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "DRAW_BLOCK", 10)
+    df = spark.createDataFrame([(1, 25), (2, 1)], "id long, copies long")
+    found = sampling.repeat_rows(df, "id").collect()
+    assert sorted(r["copy"] for r in found if r["id"] == 1) == list(range(1, 26))
+    assert [r["copy"] for r in found if r["id"] == 2] == [1]
+
+
 def test_samples_do_not_depend_on_partitioning(spark):
     df = labelled(spark, {"a": 300, "b": 120})
     first = {r["id"] for r in sampling.undersample(df.repartition(1), "label", "id").collect()}
