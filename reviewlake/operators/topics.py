@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.functions.scalars import outlier_verdict, percent
@@ -52,10 +52,10 @@ def ctfidf(counts: DataFrame) -> DataFrame:
     A is the mean number of words per topic. Everything runs on the counted (topic, term) table.
     """
     topics = counts.groupBy("topic").agg(F.sum("n").alias("_words"))
-    mean_words = topics.agg(F.avg("_words")).scalar()
+    mean_words = topics.agg(F.struct(F.avg("_words").alias("mean"), F.count(F.lit(1)).alias("n"))).scalar()
     terms = counts.groupBy("term").agg(F.sum("n").alias("_uses"))
-    joined = counts.join(terms, "term").join(_few(topics, "_words"), "topic")
-    weight = (F.col("n") / F.col("_words")) * F.log(1 + mean_words / F.col("_uses"))
+    joined = counts.join(terms, "term").join(_few(topics, "_words", mean_words["n"]), "topic")
+    weight = (F.col("n") / F.col("_words")) * F.log(1 + mean_words["mean"] / F.col("_uses"))
     return joined.select("topic", "term", weight.alias("weight"))
 
 
@@ -101,10 +101,11 @@ def outlier_report(df: DataFrame, topic: str = "topic") -> DataFrame:
     )
 
 
-def _few(per_topic: DataFrame, column: str) -> DataFrame:
+def _few(per_topic: DataFrame, column: str, found: Column | None = None) -> DataFrame:
     """A table of one row per topic as a broadcast side: at most MAX_TOPICS + 1 rows by a limit, and
     an error, not a shorter table, where there are more."""
-    found = per_topic.agg(F.count(F.lit(1))).scalar()
+    if found is None:
+        found = per_topic.agg(F.count(F.lit(1))).scalar()
     stop = F.raise_error(F.lit(f"more than {MAX_TOPICS} topics: cluster more coarsely first"))
     checked = F.when(found > MAX_TOPICS, stop).otherwise(F.col(column))
     return F.broadcast(per_topic.limit(MAX_TOPICS + 1).withColumn(column, checked))
@@ -113,20 +114,19 @@ def _few(per_topic: DataFrame, column: str) -> DataFrame:
 def similarity(weights: DataFrame) -> DataFrame:
     """(topic_a, topic_b, cosine) for topic_a < topic_b that share a term.
 
-    The table has one row per (topic, term); topics are a short, checked list, so a term meets at
-    most that many topics.
+    The table has one row per (topic, term) and topics are a short, checked list, so what is gathered
+    per term is at most MAX_TOPICS weights. Products are summed map-side per pair of topics.
     """
     norms = weights.groupBy("topic").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"))
     unit = weights.join(_few(norms, "_norm"), "topic").select(
-        "topic", "term", (F.col("weight") / F.col("_norm")).alias("_w")
+        "term", F.struct("topic", (F.col("weight") / F.col("_norm")).alias("w")).alias("_entry")
     )
-    left = unit.select(F.col("topic").alias("topic_a"), "term", F.col("_w").alias("_a"))
-    right = unit.select(F.col("topic").alias("topic_b"), "term", F.col("_w").alias("_b"))
-    return (
-        left.join(right, "term")
-        .filter(F.col("topic_a") < F.col("topic_b"))
-        .groupBy("topic_a", "topic_b")
-        .agg(F.sum(F.col("_a") * F.col("_b")).alias("cosine"))
+    listed = unit.groupBy("term").agg(F.sort_array(F.collect_list("_entry")).alias("_entries"))
+    first = listed.select("_entries", F.posexplode("_entries").alias("_at", "_a"))
+    later = F.slice("_entries", F.col("_at") + 2, F.size("_entries"))
+    pairs = first.select("_a", F.explode(later).alias("_b"))
+    return pairs.groupBy(F.col("_a.topic").alias("topic_a"), F.col("_b.topic").alias("topic_b")).agg(
+        F.sum(F.col("_a.w") * F.col("_b.w")).alias("cosine")
     )
 
 

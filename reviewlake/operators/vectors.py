@@ -85,14 +85,19 @@ def _frequent_words(
     An n-gram is at most as frequent as each of its words, and the ``max_features``-th most frequent
     single word is a lower bound for what makes the list. Bounded by MAX_LISTED_TERMS.
     """
-    counts = _counts(df, words, (1, 1))
-    listed = _top(_within(counts, df, min_df, max_df), max_features)
-    stats = listed.agg(F.count(F.lit(1)).alias("n"), F.min("frequency").alias("least")).first()
-    if stats["n"] < max_features:
+    counts = _within(_counts(df, words, (1, 1)), df, min_df, 1.0)
+    if isinstance(max_df, float) and max_df >= 1.0:
+        highest = math.inf
+    else:
+        highest = max_df if isinstance(max_df, int) else max_df * df.count()
+    rows = _top(counts, MAX_LISTED_TERMS + 1).collect()
+    qualified = [row["frequency"] for row in rows if row["df"] <= highest]
+    if len(qualified) < max_features:
         return None
-    wanted = _within(counts, df, min_df, 1.0).filter(F.col("frequency") >= stats["least"])
-    rows = wanted.select("term").limit(MAX_LISTED_TERMS + 1).collect()
-    return None if len(rows) > MAX_LISTED_TERMS else [row["term"] for row in rows]
+    least = qualified[max_features - 1]
+    if len(rows) > MAX_LISTED_TERMS and rows[-1]["frequency"] >= least:
+        return None
+    return [row["term"] for row in rows if row["frequency"] >= least]
 
 
 def vocabulary(

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from reviewlake.functions import text as tx
 from reviewlake.operators import clusters, topics, vectors
-from reviewlake.operators.once import compute_once
 from reviewlake.workload import sqltext as sq
 from reviewlake.workload.registry import documents, query, rounded, table
 from reviewlake.workload.text import STOP_SQL, STOP_WORDS
@@ -16,8 +15,7 @@ from reviewlake.workload.text import STOP_SQL, STOP_WORDS
 def worded(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as tokens without stop words."""
     words = tx.remove_stop_words(tx.tokens(F.col("text")), STOP_WORDS)
-    rows = documents(spark, sf).select("doc_id", "source", "lang", "text")
-    return compute_once(rows, {"words": words}).drop("text")
+    return documents(spark, sf).select("doc_id", "source", "lang", words.alias("words"))
 
 
 WORDED_SQL = f"""(SELECT doc_id, source, lang, list_filter({sq.tokens('text')}, lambda w: w NOT IN ({STOP_SQL})) AS words
