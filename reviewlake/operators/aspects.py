@@ -80,7 +80,8 @@ def score(
 
 def score_with_table(df: DataFrame, key: str, text: str, lexicon: DataFrame, labels: Sequence[str]) -> DataFrame:
     """The same scores for a lexicon kept as a table (label, term, weight): (key, score_<label>...)."""
-    words = df.select(key, F.explode(tx.tokens(F.col(text))).alias("term"))
+    worded = compute_once(df.select(key, text), {"_words": tx.tokens(F.col(text))})
+    words = worded.select(key, F.explode("_words").alias("term"))
     hits = words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("_n")).join(
         broadcast_if_small(lexicon), "term"
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,3 +18,15 @@ def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     kept = [name for name in df.columns if name not in columns]
     row = F.struct(*[column.alias(name) for name, column in columns.items()])
     return df.select(*kept, F.inline(F.array(row)))
+
+
+def present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows with a value in every named column.
+
+    Joins and explodes drop the other rows anyway. Said up front, every branch that reads the table
+    has the same filters, so that Spark computes the exchange they share once.
+    """
+    out = df
+    for name in columns:
+        out = out.filter(F.col(name).isNotNull())
+    return out

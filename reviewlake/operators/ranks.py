@@ -12,6 +12,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewlake.operators.once import present
+
 # 4096 buckets per group for hashed order keys, and per doubling of magnitude for numbers.
 HASH_DIGITS = 3
 STEPS_PER_DOUBLING = 4096
@@ -102,6 +104,7 @@ def rows_at_ranks(
         bucket.alias("_bucket"),
         (F.lit(1).cast("long") if weight is None else weight.cast("long")).alias("_weight"),
     )
+    rows = present(rows, [*group, "_bucket"])
     totals = _bucket_totals(rows, group)
     targets = (
         totals.withColumn("_rank", F.explode(F.array_distinct(wanted(F.col("_total")))))
@@ -131,7 +134,7 @@ def running_totals(
     ``bucket`` must not fall along ``order``. The running sum inside a bucket is local; the sums of the
     buckets before it come from a small table.
     """
-    rows = df.withColumn("_bucket", bucket)
+    rows = present(df.withColumn("_bucket", bucket), ["_bucket"])
     per_bucket = rows.groupBy("_bucket").agg(
         *[F.sum(column).alias(f"_sum_{new}") for column, new in sums.items()]
     )
@@ -165,6 +168,7 @@ def numbered(df: DataFrame, by: Sequence[str], order_key: str, key: str) -> Data
         hash_bucket(F.col(order_key)).alias("_bucket"),
         F.lit(1).cast("long").alias("_weight"),
     )
+    rows = present(rows, [*group, "_bucket"])
     inside = Window.partitionBy(*group, "_bucket").orderBy(order_key, key)
     return rows.join(_bucket_totals(rows, group), [*group, "_bucket"]).select(
         *by,
@@ -182,7 +186,7 @@ def quantiles(
     Equal values are counted first, so a value that fills a third of a group is one row.
     """
     counted = (
-        df.filter(F.col(value).isNotNull())
+        present(df, [value, *by])
         .groupBy(*by, F.col(value).cast("double").alias("_x"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reviewlake.functions.scalars import percent
 from reviewlake.functions.text import remove_stop_words, tokens
 from reviewlake.operators.joins import few_values, in_top_values
+from reviewlake.operators.once import compute_once, present
 from reviewlake.operators.ranks import quantiles, top_n
 
 
@@ -24,8 +25,7 @@ def value_counts(
     df: DataFrame, column: str, with_percent: bool = False, top: int | None = None
 ) -> DataFrame:
     """(value, count[, percent]) from the most frequent value down, ties by value."""
-    present = df.filter(F.col(column).isNotNull())
-    counts = present.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+    counts = present(df, [column]).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
     if with_percent:
         total = counts.agg(F.sum("count")).scalar()
         counts = counts.withColumn("percent", percent(F.col("count"), total))
@@ -118,9 +118,8 @@ def histogram(df: DataFrame, column: str, bins: int = 50, by: Sequence[str] = ()
     distinct value the range is value ± 0.5. Values are counted per group first, so the row that
     carries the range is joined to distinct values only.
     """
-    present = df.filter(F.col(column).isNotNull())
     x = F.col("_x")
-    counted = present.groupBy(*by, F.col(column).cast("double").alias("_x")).agg(
+    counted = present(df, [column, *by]).groupBy(*by, F.col(column).cast("double").alias("_x")).agg(
         F.count(F.lit(1)).alias("_n")
     )
     ranges = counted.groupBy(*by).agg(F.min("_x").alias("_min"), F.max("_x").alias("_max"))
@@ -163,7 +162,7 @@ def box_stats(df: DataFrame, column: str, by: Sequence[str] = (), reach: float =
     group = list(by) or ["_all"]
     rows = df if by else df.withColumn("_all", F.lit(0))
     counted = (
-        rows.filter(F.col(column).isNotNull())
+        present(rows, [column, *group])
         .groupBy(*group, F.col(column).cast("double").alias("_x"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -195,9 +194,9 @@ def top_words(
     df: DataFrame, text: str, by: str, stop_words: Sequence[str], top: int = 100
 ) -> DataFrame:
     """The most frequent words per group without stop words: (by, word, count, rank)."""
-    words = df.filter(F.col(by).isNotNull()).select(
-        by, F.explode(remove_stop_words(tokens(F.col(text)), stop_words)).alias("word")
-    )
+    kept = remove_stop_words(tokens(F.col(text)), stop_words)
+    worded = compute_once(present(df.select(by, text), [by]), {"_words": kept})
+    words = worded.select(by, F.explode("_words").alias("word"))
     counts = words.groupBy(by, "word").agg(F.count(F.lit(1)).alias("count"))
     return top_n(counts, [by], [F.desc("count"), F.col("word")], top)
 
@@ -251,7 +250,7 @@ def density(
     point are combined map-side, so the work is (distinct values x points) and the shuffle is small.
     """
     counted = (
-        df.filter(F.col(column).isNotNull() & F.col(by).isNotNull())
+        present(df, [column, by])
         .groupBy(by, F.col(column).cast("double").alias("_x"))
         .agg(F.count(F.lit(1)).alias("_w"))
     )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from reviewlake.functions.scalars import outlier_verdict, percent
 from reviewlake.operators.clusters import as_vector
 from reviewlake.operators.joins import with_topic_names
+from reviewlake.operators.once import present
 from reviewlake.operators.ranks import top_n
 from reviewlake.operators.vectors import count_vectors, term_at, with_ngrams
 from reviewlake.session import cut_lineage
@@ -43,7 +44,7 @@ def term_counts(
         )
     rows = with_ngrams(df.select(F.col(topic).alias("topic"), words), words, ngram)
     grams = rows.select("topic", F.explode("_grams").alias("term"))
-    return grams.groupBy("topic", "term").agg(F.count(F.lit(1)).alias("n"))
+    return present(grams, ["topic", "term"]).groupBy("topic", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def ctfidf(counts: DataFrame) -> DataFrame:

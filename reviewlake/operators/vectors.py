@@ -30,7 +30,7 @@ def with_ngrams(
 ) -> DataFrame:
     """Adds the n-grams of an array of words, those made of ``only`` these words if given."""
     if ngram == (1, 1) and only is None:
-        return df.withColumn(output, F.col(words))
+        return compute_once(df, {output: F.col(words)})
     kept = F.col(words) if only is None else only_words(F.col(words), only)
     staged = compute_once(df, {"_kept": kept})
     return compute_once(staged, {output: ngrams(F.col("_kept"), *ngram)}).drop("_kept")

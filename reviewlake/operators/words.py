@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.functions import text as tx
 from reviewlake.operators.joins import is_small
+from reviewlake.operators.once import compute_once
 
 # Rows of a word table that may be broadcast: two short strings each.
 MAX_BROADCAST_FORMS = 500_000
@@ -16,7 +17,8 @@ MAX_BROADCAST_FORMS = 500_000
 
 def stem_table(df: DataFrame, words: str) -> DataFrame:
     """(word, base) for the distinct words of an array column, by the suffix rules."""
-    distinct = df.select(F.explode(F.array_distinct(words)).alias("word")).distinct()
+    listed = compute_once(df.select(words), {"_words": F.array_distinct(words)})
+    distinct = listed.select(F.explode("_words").alias("word")).distinct()
     return distinct.select("word", tx.stem(F.col("word")).alias("base"))
 
 
@@ -28,7 +30,8 @@ def apply_base_forms(
     A small table is broadcast. A larger one is joined on the word: words are first reduced to their
     positions per document, so that a frequent word is one row per document and not one per use.
     """
-    placed = df.select(key, F.posexplode(words).alias("_at", "word"))
+    worded = compute_once(df.select(key, words), {"_words": F.col(words)})
+    placed = worded.select(key, F.posexplode("_words").alias("_at", "word"))
     table = forms.select("word", "base")
     if is_small(table, MAX_BROADCAST_FORMS):
         based = placed.join(F.broadcast(table), "word", "left")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.functions.scalars import parse_date, parse_number
+from reviewlake.operators.once import compute_once
 
 # The named characters a title may contain; '&amp;' goes last.
 ENTITIES: tuple[tuple[str, str], ...] = (
@@ -40,15 +41,14 @@ def extract_rows(
 
     Each field is the first group of its pattern within the row, null where it does not match.
     """
-    rows = df.select(
-        key,
-        F.posexplode(F.regexp_extract_all(html, F.lit(row_pattern), F.lit(0))).alias("position", "_row"),
-    )
-    found = [
+    found = F.regexp_extract_all(html, F.lit(row_pattern), F.lit(0))
+    listed = compute_once(df.select(key, html), {"_rows": found})
+    rows = listed.select(key, F.posexplode("_rows").alias("position", "_row"))
+    values = [
         F.when(F.col("_row").rlike(pattern), F.regexp_extract("_row", pattern, 1)).alias(name)
         for name, pattern in fields.items()
     ]
-    return rows.select(key, F.col("position").cast("long"), *found)
+    return rows.select(key, F.col("position").cast("long"), *values)
 
 
 def game_rows(df: DataFrame, key: str = "path", html: str = "html") -> DataFrame:
@@ -58,12 +58,11 @@ def game_rows(df: DataFrame, key: str = "path", html: str = "html") -> DataFrame
     and followers are the ``data-sort`` values of cells 4 to 7. The first row of an appid counts.
     """
     body = F.regexp_extract(html, r"(?is)<tbody.*?</tbody>", 0)
-    rows = df.select(
-        F.col(key).alias("_doc"),
-        F.posexplode(
-            F.regexp_extract_all(body, F.lit(r"(?is)<tr\b.*?</tr>"), F.lit(0))
-        ).alias("_at", "_row"),
+    listed = compute_once(
+        df.select(F.col(key).alias("_doc"), html),
+        {"_rows": F.regexp_extract_all(body, F.lit(r"(?is)<tr\b.*?</tr>"), F.lit(0))},
     )
+    rows = listed.select("_doc", F.posexplode("_rows").alias("_at", "_row"))
     cells = rows.select(
         "_doc",
         "_at",
