@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, SparkSession
+from pyspark.ml.feature import StopWordsRemover
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters that count as white space.
@@ -173,13 +174,13 @@ def remove_stop_words_text(text: Column, stop_words: Sequence[str]) -> Column:
     return F.array_join(remove_stop_words(split_words(text), stop_words), " ")
 
 
-def english_stop_words(spark: SparkSession) -> list[str]:
-    """The English list Spark ML ships."""
-    from pyspark.ml.feature import StopWordsRemover
+def english_stop_words(extra: Sequence[str] = ()) -> list[str]:
+    """The English list Spark ML ships (it needs a running session) and ``extra`` words.
 
-    if spark.sparkContext._jvm is None:
-        raise RuntimeError("needs a running session")
-    return list(StopWordsRemover.loadDefaultStopWords("english"))
+    ``extra`` is SHOP_STOP_WORDS for word-frequency tables and DOMAIN_STOP_WORDS for topics of words.
+    """
+    listed = StopWordsRemover.loadDefaultStopWords("english")
+    return list(dict.fromkeys([*listed, *extra]))
 
 
 # Fixed values: (ending, replacement) pairs of the suffix stemmer; the first that fits is used.

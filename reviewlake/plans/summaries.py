@@ -166,7 +166,7 @@ def _sections(part: Column) -> Column:
 def article_body(
     inputs: DataFrame, cluster: str, product: str, name: Column, positives: int = 5, negatives: int = 3
 ) -> DataFrame:
-    """(cluster, body): the text handed to a summariser.
+    """(cluster, body): the text handed to a summariser. Its headings are fixed values.
 
     A product contributes its first positive reviews cut to 500 characters, its first negative ones cut
     to 300, each part only if there are such reviews.
@@ -202,7 +202,7 @@ def article_body(
 
 
 def template_summary(inputs: DataFrame, cluster: str, product: str, name: Column) -> DataFrame:
-    """(cluster, summary): a Markdown summary without a model."""
+    """(cluster, summary): a Markdown summary without a model. Its headings are fixed values."""
 
     def quoted(heading: str, reviews: str) -> Column:
         return F.when(

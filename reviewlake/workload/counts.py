@@ -407,7 +407,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
           s AS (SELECT (SELECT count(*) FROM {LABELLED_SQL}) AS s0, count(*) AS s1,
             count(*) FILTER (trim(text) <> '') AS s2, count(*) FILTER (trim(text) <> '' AND length(text) >= 10) AS s3,
             count(*) FILTER (trim(text) <> '' AND length(text) >= 10 AND quality IS NOT NULL) AS s4 FROM d)
-        SELECT 0 AS step, 'original' AS name, s0 AS rows, 0 AS removed, 0.0::DOUBLE AS removed_pct FROM s
+        SELECT 0::BIGINT AS step, 'original' AS name, s0 AS rows, 0 AS removed, 0.0::DOUBLE AS removed_pct FROM s
         UNION ALL SELECT 1, 'no duplicates', s1, s0 - s1, round(100.0 * (s0 - s1) / s0, 6) FROM s
         UNION ALL SELECT 2, 'with text', s2, s1 - s2, round(100.0 * (s1 - s2) / s0, 6) FROM s
         UNION ALL SELECT 3, 'long enough', s3, s2 - s3, round(100.0 * (s2 - s3) / s0, 6) FROM s
@@ -419,14 +419,14 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "prf8_pipeline_report",
+    "prf8_stage_report",
     f"""WITH o AS (SELECT doc_id, text, quality FROM {LABELLED_SQL}),
           c AS (SELECT * FROM o WHERE length(text) >= 10 AND quality IS NOT NULL),
           m AS (SELECT min(n) AS n FROM (SELECT count(*) AS n FROM c GROUP BY quality)),
           s AS (SELECT (SELECT count(*) FROM o) AS o, (SELECT count(*) FROM c) AS c, 2 * n AS b,
             2 * floor(0.7::DOUBLE * n)::BIGINT AS tr,
             2 * floor(0.5::DOUBLE * (n - floor(0.7::DOUBLE * n)))::BIGINT AS va FROM m)
-        SELECT 0 AS position, 'original' AS stage, o AS rows, 100.0::DOUBLE AS percent FROM s
+        SELECT 0::BIGINT AS position, 'original' AS stage, o AS rows, 100.0::DOUBLE AS percent FROM s
         UNION ALL SELECT 1, 'cleaned', c, round(100.0 * c / o, 6) FROM s
         UNION ALL SELECT 2, 'balanced', b, round(100.0 * b / o, 6) FROM s
         UNION ALL SELECT 3, 'train', tr, round(100.0 * tr / b, 6) FROM s

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from reviewlake.operators import clusters, sentiment, topics, vectors
 from reviewlake.operators.filters import at_least_chars
-from reviewlake.plans import review_analysis, topic_model
-from reviewlake.workload.registry import query, reviews, scratch, table
+from reviewlake.plans import review_analysis, review_topics, topic_model
+from reviewlake.workload.registry import documents, query, reviews, scratch, table
 from reviewlake.workload.text import STOP_WORDS
 from reviewlake.workload.vectors import text_vectors, worded
 
@@ -141,6 +141,13 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return topics.lda_topics(rows, topics.lda(rows, "counts", 7)).select("doc_id", "topic", "confidence")
 
 
+@query("lda3_topics_of_cleaned_reviews")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    rows = documents(spark, sf).select("doc_id", "text")
+    model = review_topics.fit(rows, "text", 3, STOP_WORDS)
+    return model.place(rows, "text").select("doc_id", "topic", "confidence")
+
+
 @query("lda4_perplexity")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows, _ = lda_counts(spark, sf)
@@ -190,7 +197,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("count"))
 
 
-@query("sen3_reload_check", "SELECT count(*) AS rows, 0 AS mismatches FROM documents JOIN labels USING (doc_id)")
+@query("sen3_reload_check", "SELECT count(*) AS rows, 0::BIGINT AS mismatches FROM documents JOIN labels USING (doc_id)")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark)
     rows = reviews(spark, sf).select("doc_id", "text", "quality")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlake.operators import aspects, clusters, components, sentiment, topics, vectors
-from reviewlake.plans import review_analysis, topic_model
+from reviewlake.plans import review_analysis, review_topics, topic_model
 
 
 @pytest.fixture(scope="module")
@@ -212,6 +212,20 @@ def test_lda(docs):
     assert topics.lda_perplexity(model, counted) > 1
 
 
+def test_review_topics_round_trip(spark, tmp_path):
+    rows = [(i, "lovely castle story narrative ghost" if i % 2 else "crash stutter driver graphics engine") for i in range(40)]
+    df = spark.createDataFrame([*rows, (99, "too short")], "id long, text string")
+    model = review_topics.fit(df, "text", 2, ["lovely"], min_df=2, max_df=0.9)
+    assert "lovely" not in model.terms and "crash" not in model.terms and "castle story" in model.terms
+    placed = {r["id"]: r["topic"] for r in model.place(df, "text").collect()}
+    assert 99 not in placed and len(set(placed.values())) == 2
+    assert len({topic for i, topic in placed.items() if i % 2}) == 1
+    assert model.perplexity(df, "text") > 1 and model.top_words(3).count() == 6
+    review_topics.save(spark, model, str(tmp_path / "m"))
+    loaded = review_topics.load(spark, str(tmp_path / "m"))
+    assert {r["id"]: r["topic"] for r in loaded.place(df, "text").collect()} == placed
+
+
 def test_sentiment_model(spark, tmp_path):
     rows = [(i, "great fun love it" if i % 3 else "awful boring waste", int(i % 3 > 0)) for i in range(90)]
     df = spark.createDataFrame(rows, "id long, text string, label int")
