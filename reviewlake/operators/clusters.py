@@ -13,7 +13,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, PCAModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,12 +35,12 @@ def as_vector(df: DataFrame, column: str) -> DataFrame:
     return df
 
 
-def _at_once(run: Callable[[Any], Any], inputs: Sequence[Any]) -> list[Any]:
+def _at_once(spark: SparkSession, run: Callable[[Any], Any], inputs: Sequence[Any]) -> list[Any]:
     """Results of a few Spark jobs started side by side, in the order of the inputs."""
     if not inputs:
         raise ValueError("nothing to run")
     with ThreadPool(min(PARALLEL_RUNS, len(inputs))) as pool:
-        return pool.map(inheritable_thread_target(run), inputs)
+        return pool.map(inheritable_thread_target(spark)(run), inputs)
 
 
 def kmeans(
@@ -68,7 +68,7 @@ def kmeans(
                 estimator = estimator.setWeightCol(weight)
             return estimator.fit(vectors)
 
-        models = _at_once(run, seeds)
+        models = _at_once(df.sparkSession, run, seeds)
         # The first of equals, so the choice does not depend on which run ended first.
         return min(models, key=lambda model: model.summary.trainingCost)
     finally:
@@ -141,7 +141,7 @@ def silhouette_sweep(
             model = kmeans(vectors, vector, k, seeds)
             return int(k), float(evaluator.evaluate(assign(vectors, model, vector)))
 
-        scores = _at_once(run, ks)
+        scores = _at_once(df.sparkSession, run, ks)
     finally:
         vectors.unpersist()
     best = max(scores, key=lambda pair: (pair[1], -pair[0]))[0]
@@ -166,7 +166,7 @@ def elbow_sweep(
             ).first()["s"]
             return 1, float(sum(stats["variance"].toArray()) * (stats["count"] - 1))
 
-        rows = _at_once(run, ks)
+        rows = _at_once(df.sparkSession, run, ks)
     finally:
         vectors.unpersist()
     return df.sparkSession.createDataFrame(rows, "k long, inertia double")

@@ -77,27 +77,32 @@ def _top(counts: DataFrame, n: int) -> DataFrame:
     return counts.orderBy(F.desc("frequency"), "term").limit(n)
 
 
-def _frequent_words(
-    df: DataFrame, words: str, max_features: int, min_df: int | float, max_df: int | float
+def _usable_words(
+    df: DataFrame,
+    words: str,
+    shortest: int,
+    max_features: int,
+    min_df: int | float,
+    max_df: int | float,
 ) -> list[str] | None:
     """Words that can occur in one of the ``max_features`` most frequent n-grams; None if too many.
 
-    An n-gram is at most as frequent as each of its words, and the ``max_features``-th most frequent
-    single word is a lower bound for what makes the list. Bounded by MAX_LISTED_TERMS.
+    An n-gram is at most as frequent as the shorter ones in it. So the ``max_features``-th most
+    frequent of the shortest ones is a lower bound for what makes the list, and a longer one is made
+    of shortest ones above that bound. Bounded by MAX_LISTED_TERMS.
     """
-    counts = _within(_counts(df, words, (1, 1)), df, min_df, 1.0)
+    counts = _within(_counts(df, words, (shortest, shortest)), df, min_df, 1.0)
     if isinstance(max_df, float) and max_df >= 1.0:
         highest = math.inf
     else:
         highest = max_df if isinstance(max_df, int) else max_df * df.count()
     rows = _top(counts, MAX_LISTED_TERMS + 1).collect()
     qualified = [row["frequency"] for row in rows if row["df"] <= highest]
-    if len(qualified) < max_features:
-        return None
-    least = qualified[max_features - 1]
+    least = qualified[max_features - 1] if len(qualified) >= max_features else 0
     if len(rows) > MAX_LISTED_TERMS and rows[-1]["frequency"] >= least:
         return None
-    return [row["term"] for row in rows if row["frequency"] >= least]
+    usable = [row["term"] for row in rows if row["frequency"] >= least]
+    return sorted({word for term in usable for word in term.split(" ")})
 
 
 def vocabulary(
@@ -111,13 +116,13 @@ def vocabulary(
     """(term, df, frequency) of the n-grams of an array-of-words column.
 
     ``min_df`` and ``max_df`` are numbers of documents, or shares of all documents when given as a
-    float. ``max_features`` keeps the most frequent terms (ties by term). For n-grams up from single
-    words, a first pass over single words finds which words the most frequent n-grams can be made of;
-    other n-grams are not built. The result is the same without that pass.
+    float. ``max_features`` keeps the most frequent terms (ties by term). With several sizes, a first pass
+    over the shortest finds which words the most frequent n-grams can be made of; other n-grams are
+    not built. The result is the same without that pass.
     """
     only = None
-    if max_features and ngram[0] == 1 and ngram[1] > 1:
-        only = _frequent_words(df, words, max_features, min_df, max_df)
+    if max_features and ngram[1] > ngram[0]:
+        only = _usable_words(df, words, ngram[0], max_features, min_df, max_df)
     counts = _within(_counts(df, words, ngram, only), df, min_df, max_df)
     return _top(counts, max_features) if max_features else counts
 

@@ -108,13 +108,17 @@ def grams(text, low, high):
 
 @pytest.mark.parametrize("low, high, top, least, most", [
     (1, 1, None, 1, 1.0), (1, 3, 5, 1, 1.0), (1, 2, 4, 2, 0.6), (2, 3, 3, 1, 1.0), (1, 3, 4, 2, 1.0), (1, 3, 50, 1, 1.0),
+    (2, 3, 50, 2, 1.0), (1, 2, 2, 1, 2),
 ])
-def test_vocabulary(docs, low, high, top, least, most):
+@pytest.mark.parametrize("listed", [5_000, 2])
+def test_vocabulary(docs, low, high, top, least, most, listed, monkeypatch):
+    monkeypatch.setattr(vectors, "MAX_LISTED_TERMS", listed)
     frequency, documents = Counter(), Counter()
     for _, _, text in DOCS:
         frequency.update(grams(text, low, high))
         documents.update(set(grams(text, low, high)))
-    kept = [t for t in frequency if least <= documents[t] <= most * len(DOCS)]
+    highest = most if isinstance(most, int) else most * len(DOCS)
+    kept = [t for t in frequency if least <= documents[t] <= highest]
     kept = sorted(kept, key=lambda t: (-frequency[t], t))[:top]
     found = vectors.vocabulary(docs, "words", (low, high), top, least, most).collect()
     assert {r["term"]: (r["df"], r["frequency"]) for r in found} == {t: (documents[t], frequency[t]) for t in kept}
