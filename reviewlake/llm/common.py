@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +22,7 @@ def written(df: DataFrame, name: str = "stage") -> DataFrame:
     """``df`` as Parquet in the shared folder, read again."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -30,3 +33,51 @@ def utf8(column: str = "text") -> Column:
 
 def identifier(column: str = "doc_id") -> Column:
     return F.col(column).cast("long")
+
+
+def range_cuts(df: DataFrame, column: str, parts: int) -> list[int]:
+    """At most ``parts - 1`` values that split the rows into ranges of about equal counts."""
+    if parts < 2:
+        return []
+    shares = [i / parts for i in range(1, parts)]
+    found = df.agg(F.percentile_approx(column, shares, max(10_000, 20 * parts)).alias("cuts")).first()
+    return sorted(set(found["cuts"] or []))
+
+
+def shuffle_parts(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def by_size(batches: Iterable[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that a column of strings or bytes holds about ``limit`` bytes at most, one row at least."""
+    for batch in batches:
+        start, held = 0, 0
+        for i, value in enumerate(batch.column(column)):
+            size = value.as_buffer().size if value.is_valid else 0
+            if held and held + size > limit:
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += size
+        if start < batch.num_rows:
+            yield batch.slice(start)
+
+
+class TwoGenerations(dict):
+    """A cache of at most ``2 * size`` entries; those not asked for while ``size`` new ones came are forgotten.
+
+    A missing key is looked up in the older entries, then made by ``make``.
+    """
+
+    def __init__(self, make: Callable[[Any], Any], size: int) -> None:
+        super().__init__()
+        self.make, self.size, self.older = make, size, {}
+
+    def __missing__(self, key: Any) -> Any:
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
