@@ -2,14 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reviewlake.llm import simhash
+from reviewlake.llm import byte_bpe, direct_codes, packing, secrets, simhash
 from reviewlake.llm.registry import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
 
 
+@query("op3_secret_ledger")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.findings(table(spark, sf, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("path").alias("doc_id"),
+        *map(number, ("assign", "access", "hex")),
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op6_direct_codes")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    found = direct_codes.write_and_read(table(spark, sf, "documents"), vocabulary, end=2)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op7_residual_packing")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.placements(table(spark, sf, "documents"), vocabulary, end=0)
+
+
+@query("op8_byte_bpe")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    decoded = byte_bpe.decode(byte_bpe.encode(table(spark, sf, "documents"), ranks), ranks)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query("op9_simhash_golay")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
