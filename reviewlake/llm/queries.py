@@ -6,12 +6,26 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import byte_bpe, direct_codes, packing, secrets, simhash
+from reviewlake.llm import byte_bpe, direct_codes, packing, secrets, simhash, syncmers, toxicity, va_search
 from reviewlake.llm.registry import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
 
 
+@query("op1_nnpu_toxicity")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op2_closed_syncmers")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    found = syncmers.with_next(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        "near_edited", "near_next",
+    )
+
+
 @query("op3_secret_ledger")
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     found = secrets.findings(table(spark, sf, "documents"))
@@ -28,6 +42,25 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "op4_va_file_search",
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+    r AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+)
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return va_search.top_k(table(spark, sf, "embeddings"), "vec_id % 50 = 0")
+
+
 @query("op6_direct_codes")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
