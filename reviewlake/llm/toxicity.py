@@ -27,7 +27,9 @@ DIMENSIONS = 1 << 22
 #: The bounded training sample: about so many toxic texts for all, and unlabelled ones for each classifier.
 POSITIVES, UNLABELLED, CLASSIFIERS = 3_000, 6_000, 3
 #: A feature is learnt if so many of the toxic texts have it, and this share of them.
-LEAST_TEXTS, LEAST_SHARE = 3, 0.005
+LEAST_TEXTS, LEAST_SHARE = 3, 0.01
+#: And if it is so many times as frequent in them as in clean texts, by the same prior-corrected estimate as the risk.
+LEAST_LIFT = 5.0
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
 
 
@@ -68,13 +70,21 @@ def _gradient(
 
 
 def fit(
-    texts: list[np.ndarray], toxic: np.ndarray, prior: float, steps: int = 300, rate: float = 0.1, decay: float = 2e-5
+    texts: list[np.ndarray], toxic: np.ndarray, prior: float, steps: int = 300, rate: float = 0.1, decay: float = 1e-4
 ) -> tuple[np.ndarray, np.ndarray, float]:
     """(features, weights, bias) learnt from texts' features by Adam over all texts at once."""
     flat = np.concatenate(texts) if texts else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(texts)), [len(text) for text in texts]).astype(np.int64)
     names, counts = np.unique(flat[toxic[owner]], return_counts=True)
-    names = names[counts >= max(LEAST_TEXTS, LEAST_SHARE * toxic.sum())]
+    rest, others = np.unique(flat[~toxic[owner]], return_counts=True)
+    in_rest = np.zeros(len(names))
+    if len(rest):
+        at = np.minimum(np.searchsorted(rest, names), len(rest) - 1)
+        in_rest = np.where(rest[at] == names, others[at], 0) / max(1, (~toxic).sum())
+    in_toxic = counts / max(1, toxic.sum())
+    in_clean = np.maximum(0, in_rest - prior * in_toxic) / (1 - prior)
+    enough = counts >= max(LEAST_TEXTS, LEAST_SHARE * toxic.sum())
+    names = names[enough & (in_toxic >= LEAST_LIFT * in_clean)]
     place = np.searchsorted(names, flat)
     place[place == len(names)] = 0
     known = names[place] == flat if len(names) else np.zeros(len(flat), bool)
