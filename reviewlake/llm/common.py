@@ -6,7 +6,10 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,3 +84,43 @@ class TwoGenerations(dict):
             value = self.make(key)
         self[key] = value
         return value
+
+
+def document_shards(docs: DataFrame, size: int) -> DataFrame:
+    """(shard, ids, known, lengths, data): the documents in shards of about ``size`` bytes, compressed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        packer = zstandard.ZstdCompressor(level=3)
+        ids: list[int | None] = []
+        texts: list[bytes] = []
+        held = 0
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({
+                "shard": pa.array([number], pa.int64()),
+                "ids": pa.array([ids], pa.list_(pa.int64())),
+                "lengths": pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
+                "data": pa.array([packer.compress(b"".join(texts))], pa.binary()),
+            })
+
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                value = text.as_py()
+                if texts and held + len(value) > size:
+                    yield row()
+                    number, ids, texts, held = number + 1, [], [], 0
+                ids.append(doc_id)
+                texts.append(value)
+                held += len(value)
+        if texts:
+            yield row()
+
+    return docs.select(identifier().alias("doc_id"), utf8().alias("text")).mapInArrow(
+        run, "shard long, ids array<long>, lengths array<long>, data binary"
+    )
+
+
+def opened(data: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A shard's bytes, and where its documents end."""
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8), np.cumsum(lengths)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import byte_bpe, direct_codes, packing, secrets, simhash, syncmers, toxicity, va_search
+from reviewlake.llm import backoff_lm, bwt_dedup, byte_bpe, direct_codes, packing, secrets, simhash, syncmers, toxicity, va_search
 from reviewlake.llm.registry import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -61,6 +61,11 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return va_search.top_k(table(spark, sf, "embeddings"), "vec_id % 50 = 0")
 
 
+@query("op5_backoff_automaton")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return backoff_lm.score(table(spark, sf, "documents"))
+
+
 @query("op6_direct_codes")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
@@ -89,3 +94,9 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_simhash_golay")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op10_merged_bwt")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    found = bwt_dedup.remove_repeats(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -70,7 +70,7 @@ def _gradient(
 
 
 def fit(
-    texts: list[np.ndarray], toxic: np.ndarray, prior: float, steps: int = 300, rate: float = 0.1, decay: float = 1e-4
+    texts: list[np.ndarray], toxic: np.ndarray, prior: float, steps: int = 300, rate: float = 0.1, decay: float = 2e-4
 ) -> tuple[np.ndarray, np.ndarray, float]:
     """(features, weights, bias) learnt from texts' features by Adam over all texts at once."""
     flat = np.concatenate(texts) if texts else np.zeros(0, np.int64)
