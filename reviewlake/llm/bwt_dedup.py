@@ -16,7 +16,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewlake.llm.common import document_shards, opened, shuffle_parts, written
 
@@ -339,15 +341,16 @@ def _range_rows(strings: DataFrame, parts: int) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, shard: int = SHARD) -> DataFrame:
+def remove_repeats(docs: DataFrame, shard: int = SHARD, carried: Column | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): every row's text without the bytes that earlier documents have.
 
     A byte goes if a string of WIDTH bytes over it also starts in a document with a smaller doc_id. Null texts
     are empty. Documents without doc_id come after all others and don't remove each other's bytes, nor do rows with
-    one doc_id. Rows stay as many as they are. An empty table gives an empty table.
+    one doc_id. Rows stay as many as they are. An empty table gives an empty table. A string column ``carried`` of
+    ``docs`` comes back with each row.
     """
     parts = shuffle_parts(docs.sparkSession)
-    shards = written(document_shards(docs, shard), "shards")
+    shards = written(document_shards(docs, shard, carried), "shards")
     shared = _shared_rows(_anchor_rows(shards, parts), parts)
     ranges = _range_rows(_string_rows(shards, shared, parts), parts)
 
@@ -376,9 +379,32 @@ def remove_repeats(docs: DataFrame, shard: int = SHARD) -> DataFrame:
                 "n_removed": removed[ends] - removed[base],
                 "n_spans": spans[ends] - spans[base],
                 "kept": [whole[a:b] for a, b in zip(left[base].tolist(), left[ends].tolist())],
+                "carried": list(row["carried"]),
             }
         )
 
-    return shards.groupBy("shard").cogroup(ranges.groupBy("shard")).applyInPandas(
-        cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-    )
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, carried string"
+    out = shards.groupBy("shard").cogroup(ranges.groupBy("shard")).applyInPandas(cut, schema)
+    return out.drop("carried") if carried is None else out
+
+
+def without_repeats(docs: DataFrame, shard: int = SHARD) -> DataFrame:
+    """The rows of ``docs`` with the bytes gone that earlier documents have; n_chars follows the text.
+
+    Rows that lose their whole text go. Characters of which a byte is gone go as a whole. The other columns are carried
+    along as JSON. Null texts become empty.
+    """
+    row = T.StructType([field for field in docs.schema.fields if field.name != "text"])
+    found = remove_repeats(docs, shard, F.to_json(F.struct(*[f"`{name}`" for name in row.names])))
+    left = found.filter((F.col("n_removed") < F.col("n_bytes")) | (F.col("n_bytes") == 0))
+    text = F.when(F.col("n_removed") == 0, F.col("kept").cast("string")).otherwise(_whole_characters(F.col("kept")))
+    back = left.select(F.from_json("carried", row).alias("row"), text.alias("text"))
+    columns = {name: F.col("row")[name] for name in row.names} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.length("text").cast("long")
+    return back.select([columns[name].cast(docs.schema[name].dataType).alias(name) for name in docs.columns])
+
+
+@F.pandas_udf("string")
+def _whole_characters(kept: pd.Series) -> pd.Series:
+    return kept.map(lambda data: bytes(data).decode("utf-8", "ignore"))

@@ -86,13 +86,17 @@ class TwoGenerations(dict):
         return value
 
 
-def document_shards(docs: DataFrame, size: int) -> DataFrame:
-    """(shard, ids, known, lengths, data): the documents in shards of about ``size`` bytes, compressed."""
+def document_shards(docs: DataFrame, size: int, carried: Column | None = None) -> DataFrame:
+    """(shard, ids, lengths, data, carried): the documents in shards of about ``size`` bytes, compressed.
+
+    ``carried`` is a string column of ``docs`` that goes with each document, or null.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         packer = zstandard.ZstdCompressor(level=3)
         ids: list[int | None] = []
+        extra: list[str | None] = []
         texts: list[bytes] = []
         held = 0
 
@@ -102,22 +106,25 @@ def document_shards(docs: DataFrame, size: int) -> DataFrame:
                 "ids": pa.array([ids], pa.list_(pa.int64())),
                 "lengths": pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
                 "data": pa.array([packer.compress(b"".join(texts))], pa.binary()),
+                "carried": pa.array([extra], pa.list_(pa.string())),
             })
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, text, more in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 value = text.as_py()
                 if texts and held + len(value) > size:
                     yield row()
-                    number, ids, texts, held = number + 1, [], [], 0
+                    number, ids, extra, texts, held = number + 1, [], [], [], 0
                 ids.append(doc_id)
+                extra.append(more)
                 texts.append(value)
                 held += len(value)
         if texts:
             yield row()
 
-    return docs.select(identifier().alias("doc_id"), utf8().alias("text")).mapInArrow(
-        run, "shard long, ids array<long>, lengths array<long>, data binary"
+    other = F.lit(None).cast("string") if carried is None else carried
+    return docs.select(identifier().alias("doc_id"), utf8().alias("text"), other.alias("carried")).mapInArrow(
+        run, "shard long, ids array<long>, lengths array<long>, data binary, carried array<string>"
     )
 
 
