@@ -405,6 +405,6 @@ def without_repeats(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     return back.select([columns[name].cast(docs.schema[name].dataType).alias(name) for name in docs.columns])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _whole_characters(kept: pd.Series) -> pd.Series:
     return kept.map(lambda data: bytes(data).decode("utf-8", "ignore"))
