@@ -70,10 +70,10 @@ def anchored(data: np.ndarray, ends: np.ndarray, width: int = WIDTH, kmer: int =
     return document[first], first, windows, least[first]
 
 
-def transform(strings: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def transform(strings: list[np.ndarray], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bwt, string, place): the transform of strings of symbols above 0, each ended by its own 0, and what each row is.
 
-    Suffixes are ordered, and equal ones by the number of their string.
+    Suffixes are ordered by ``width`` symbols at least, and those equal so far by the number of their string.
     """
     lengths = np.array([len(s) + 1 for s in strings])
     text = np.zeros(lengths.sum(), np.uint8)
@@ -84,9 +84,14 @@ def transform(strings: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nda
     string = np.repeat(np.arange(len(strings)), lengths)
     place = np.arange(len(text)) - np.repeat(lasts - lengths + 1, lengths)
     left = lengths[string] - place  # symbols to the end, the 0 included
-    rank = text.astype(np.int64)
-    reach = 1
-    while reach < lengths.max():
+    packed = np.zeros(len(text), np.uint64)
+    for i in range(8):
+        ahead = np.zeros(len(text), np.uint64)
+        ahead[: len(text) - i] = text[i:]
+        packed = packed << np.uint64(8) | np.where(left > i, ahead, 0)
+    _, rank = np.unique(packed, return_inverse=True)
+    reach = 8
+    while reach < width:
         after = np.zeros(len(text), np.int64)
         after[:-reach] = rank[reach:] + 1
         after[left <= reach] = 0
@@ -98,30 +103,32 @@ def transform(strings: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def merge(transforms: list[np.ndarray], rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """(source, interval): of which transform each merged row is, and the number of its interval of equal prefixes.
+    """(rows, interval): the rows whose first ``rounds`` symbols repeat, interleaved in order, and their interval's number.
 
-    A round takes the rows in their order so far and deals each to the place of the symbol before it, so the order by
-    h symbols becomes one by h + 1; rows of one source never change their order. Intervals are split
-    where the new first symbol, or the interval the rest came from, differs.
+    Rows are numbered through all transforms. A round takes the interleaving so far and deals each row to the place of the
+    symbol before it, so the order by h symbols becomes one by h + 1; rows of one transform never change their order.
+    Intervals are split where the new first symbol, or the interval that the rest came from, differs. A row alone in its
+    interval stays alone whatever is put before it, and an ended suffix has no h symbols: both leave the interleaving.
     """
-    sizes = [len(t) for t in transforms]
-    rows = np.concatenate(transforms)
-    ended = [int((t == 0).sum()) for t in transforms]
-    kind = np.uint8 if len(transforms) < 256 else np.uint16 if len(transforms) < 65536 else np.int64
-    source = np.repeat(np.arange(len(transforms)), sizes).astype(kind)
-    heads = np.repeat(np.arange(len(transforms)), ended).astype(kind)
-    interval = np.zeros(len(rows), np.int64)
+    symbols = np.concatenate(transforms)
+    before = np.zeros(len(symbols), np.int64)  # the row of the suffix that begins one symbol earlier
+    start = 0
+    for t in transforms:
+        found = np.flatnonzero(t)
+        before[start + found[np.argsort(t[found], kind="stable")]] = start + np.arange(len(t) - len(found), len(t))
+        start += len(t)
+    rows, interval = np.arange(len(symbols)), np.zeros(len(symbols), np.int64)
     for _ in range(rounds):
-        symbols = np.empty_like(rows)
-        symbols[np.argsort(source, kind="stable")] = rows
-        found = np.flatnonzero(symbols)
-        moved = found[np.argsort(symbols[found], kind="stable")]
-        first, rest = symbols[moved], interval[moved]
-        split = np.ones(len(moved), np.int64)
+        first = symbols[rows]
+        found = np.flatnonzero(first)
+        found = found[np.argsort(first[found], kind="stable")]
+        first, rest = first[found], interval[found]
+        split = np.ones(len(found), bool)
         split[1:] = (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])
-        source = np.concatenate([heads, source[moved]])
-        interval = np.concatenate([np.zeros(len(heads), np.int64), np.cumsum(split)])
-    return source, interval
+        alone = split & np.append(split[1:], True)
+        found, split = found[~alone], split[~alone]
+        rows, interval = before[rows[found]], np.cumsum(split)
+    return rows, interval
 
 
 def least_documents(
@@ -129,23 +136,19 @@ def least_documents(
 ) -> list[list[np.ndarray]]:
     """For each string of each shard, the least document that has the window, for each of its windows in order."""
     symbols = [[np.minimum(np.frombuffer(s, np.uint8), 254) + np.uint8(1) for s in strings] for strings in shards]
-    made = [transform(strings) for strings in symbols]
-    source, interval = merge([m[0] for m in made], width)
-    order = np.argsort(source, kind="stable")
-    of_row = interval[order]  # rows in the order of the sources
-    shard = np.repeat(np.arange(len(shards)), [len(m[0]) for m in made])
-    string, place = np.concatenate([m[1] for m in made]), np.concatenate([m[2] for m in made])
+    made = [transform(strings, width) for strings in symbols]
+    rows, interval = merge([m[0] for m in made], width)
     firsts = np.concatenate([[0], np.cumsum([len(s) for s in shards])])[:-1]
-    number = string + firsts[shard]
-    lengths = np.array([len(s) for strings in shards for s in strings])
-    window = place + width <= lengths[number]
-    owner = np.concatenate(documents)[number]
+    number = np.concatenate([m[1] + first for m, first in zip(made, firsts)])[rows]
+    place = np.concatenate([m[2] for m in made])[rows]
+    owner = np.concatenate(documents)
     least = np.full(interval.max(initial=0) + 1, _LAST, np.int64)
-    np.minimum.at(least, of_row[window], owner[window])
-    back = np.lexsort((place[window], number[window]))
-    flat = least[of_row[window][back]]
-    cuts = np.cumsum(lengths - width + 1)
-    parts = np.split(flat, cuts[:-1]) if len(lengths) else []
+    np.minimum.at(least, interval, owner[number])
+    windows = np.array([len(s) - width + 1 for strings in shards for s in strings])
+    starts = np.cumsum(windows) - windows
+    flat = np.repeat(owner, windows)  # a window that doesn't repeat is its own string's
+    flat[starts[number] + place] = least[interval]
+    parts = np.split(flat, starts[1:])
     return [parts[a : a + len(s)] for a, s in zip(firsts.tolist(), shards)]
 
 
@@ -191,10 +194,12 @@ def _shared_rows(anchors: DataFrame, parts: int) -> DataFrame:
             for bucket, shard, marks in zip(*(c.to_pylist() for c in batch.columns)):
                 held.setdefault(bucket, []).append((shard, np.frombuffer(marks, "<u4")))
         for bucket, rows in held.items():
-            names, counts = np.unique(np.concatenate([marks for _, marks in rows]), return_counts=True)
-            shared = names[counts > 1]
+            names, place = np.unique(np.concatenate([marks for _, marks in rows]), return_inverse=True)
+            shared = (np.bincount(place, minlength=len(names)) > 1)[place]
+            at = 0
             for shard, marks in rows:
-                own = np.intersect1d(marks, shared)
+                own = marks[shared[at : at + len(marks)]]
+                at += len(marks)
                 if len(own):
                     yield pa.RecordBatch.from_pydict({
                         "shard": pa.array([shard], pa.int64()), "bucket": pa.array([bucket], pa.int32()),
