@@ -25,7 +25,7 @@ from reviewlake.llm.common import document_shards, opened, shuffle_parts, writte
 WIDTH, KMER = 50, 16
 SHARD = 4 << 20
 #: Windows of one string at most, and suffixes indexed at a time.
-WINDOWS, INDEXED = 64, 1 << 21
+WINDOWS, INDEXED = 64, 1 << 20
 _LAST = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
 
@@ -111,13 +111,14 @@ def merge(transforms: list[np.ndarray], rounds: int) -> tuple[np.ndarray, np.nda
     interval stays alone whatever is put before it, and an ended suffix has no h symbols: both leave the interleaving.
     """
     symbols = np.concatenate(transforms)
-    before = np.zeros(len(symbols), np.int64)  # the row of the suffix that begins one symbol earlier
+    kind = np.int32 if len(symbols) < 1 << 31 else np.int64
+    before = np.zeros(len(symbols), kind)  # the row of the suffix that begins one symbol earlier
     start = 0
     for t in transforms:
         found = np.flatnonzero(t)
         before[start + found[np.argsort(t[found], kind="stable")]] = start + np.arange(len(t) - len(found), len(t))
         start += len(t)
-    rows, interval = np.arange(len(symbols)), np.zeros(len(symbols), np.int64)
+    rows, interval = np.arange(len(symbols), dtype=kind), np.zeros(len(symbols), kind)
     for _ in range(rounds):
         first = symbols[rows]
         found = np.flatnonzero(first)
@@ -127,7 +128,7 @@ def merge(transforms: list[np.ndarray], rounds: int) -> tuple[np.ndarray, np.nda
         split[1:] = (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])
         alone = split & np.append(split[1:], True)
         found, split = found[~alone], split[~alone]
-        rows, interval = before[rows[found]], np.cumsum(split)
+        rows, interval = before[rows[found]], np.cumsum(split, dtype=kind)
     return rows, interval
 
 
