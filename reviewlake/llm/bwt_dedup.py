@@ -3,7 +3,7 @@
 Every window of WIDTH bytes has an anchor, the least hash of its KMER-byte runs, so equal windows have equal anchors.
 Texts are stored in shards of a few megabytes. The shards' anchors are dealt to buckets, which tell each shard the ones
 that another document has too; around those, runs of windows with one anchor become strings, equal strings of a
-shard once. A string that is the only one of its anchor is repeated as a whole. All others are indexed: the strings of
+shard once. A string that can't share a window with another one of its anchor is repeated as a whole. All others are indexed: the strings of
 a shard have a Burrows-Wheeler transform, and the transforms are merged by refining their interleaving, one more
 character of context in each round, without sorting suffixes again. The rounds also part the interleaving where common
 prefixes end, so after WIDTH rounds its intervals are the repeated windows, and the least document of each is known.
@@ -36,6 +36,23 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
+def _runs(data: np.ndarray, length: int) -> np.ndarray:
+    """A polynomial hash of every run of ``length`` bytes."""
+
+    def joined(a: np.ndarray, b: np.ndarray, of_a: int, of_b: int) -> np.ndarray:
+        n = max(0, len(data) - of_a - of_b + 1)
+        return a[:n] * np.uint64(pow(_BASE, of_b, 1 << 64)) + b[of_a : of_a + n]
+
+    power, size = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(_BASE), 1
+    made, done = None, 0
+    while done < length:
+        if length & size:
+            made, done = (power, size) if made is None else (joined(made, power, done, size), done + size)
+        if done < length:
+            power, size = joined(power, power, size, size), 2 * size
+    return made
+
+
 def anchored(data: np.ndarray, ends: np.ndarray, width: int = WIDTH, kmer: int = KMER) -> tuple[np.ndarray, ...]:
     """(document, start, windows, anchor) of every run of windows with one anchor within one document, in order.
 
@@ -44,13 +61,7 @@ def anchored(data: np.ndarray, ends: np.ndarray, width: int = WIDTH, kmer: int =
     none = np.zeros(0, np.int64)
     if len(data) < width:
         return none, none, none, np.zeros(0, np.uint64)
-    runs, length = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(_BASE), 1
-    while 2 * length <= kmer:
-        runs = runs[:-length] * np.uint64(pow(_BASE, length, 1 << 64)) + runs[length:]
-        length *= 2
-    if length < kmer:
-        runs = _mixed(runs)[: len(data) - kmer + 1] * np.uint64(3) + _mixed(runs)[kmer - length :]
-    least, reach, span = _mixed(runs), 1, width - kmer + 1
+    least, reach, span = _mixed(_runs(data, kmer)), 1, width - kmer + 1
     while 2 * reach <= span:
         least, reach = np.minimum(least[:-reach], least[reach:]), 2 * reach
     n = len(data) - width + 1
@@ -256,15 +267,41 @@ def _string_rows(shards: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
     return shards.groupBy("shard").cogroup(shared.groupBy("shard")).applyInPandas(run, _STRINGS)
 
 
+def _may_share(texts: list[bytes], anchor: np.ndarray, width: int = WIDTH, kmer: int = KMER) -> np.ndarray:
+    """Whether a string can have a window of another one with its anchor.
+
+    Such a window has half of its other bytes on the left of the anchor's run or on the right of it, so the run extended
+    that far is in both strings. A string that has the run more than once may always share.
+    """
+    wing = -(-(width - kmer) // 2)
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    lengths = np.array([len(text) for text in texts])
+    ends = np.cumsum(lengths)
+    hashes, long = _mixed(_runs(data, kmer)), _runs(data, kmer + wing)
+    at = np.flatnonzero(hashes == np.repeat(anchor, lengths)[: len(hashes)])
+    string = np.searchsorted(ends, at, side="right")
+    inside = at + kmer <= ends[string]
+    at, string = at[inside], string[inside]
+    may = np.bincount(string, minlength=len(texts)) != 1
+    starts = ends - lengths
+    for fits, first in ((at - wing >= starts[string], at - wing), (at + kmer + wing <= ends[string], at)):
+        _, place, counts = np.unique(long[first[fits]], return_inverse=True, return_counts=True)
+        may[string[fits][counts[place] > 1]] = True
+    return may
+
+
 def _window_owners(
     strings: dict[bytes, int], least: np.ndarray, anchor: np.ndarray, shard: np.ndarray
 ) -> dict[int, np.ndarray]:
-    """For every string that isn't the only one of its anchor, the least document of each of its windows."""
+    """For every string that may share a window with another, the least document of each of its windows."""
     _, group, counts = np.unique(anchor, return_inverse=True, return_counts=True)
     several = np.flatnonzero(counts[group] > 1)
-    several = several[np.lexsort((shard[several], group[several]))]
     texts = list(strings)
     out: dict[int, np.ndarray] = {}
+    if not len(several):
+        return out
+    several = several[_may_share([texts[i] for i in several.tolist()], anchor[several])]
+    several = several[np.lexsort((shard[several], group[several]))]
     batch: list[int] = []
     size = 0
     for i, number in enumerate(several.tolist()):
