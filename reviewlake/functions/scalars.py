@@ -59,9 +59,15 @@ def l2_norm(vector: Column) -> Column:
 
 def l2_normalise(vector: Column) -> Column:
     """The vector at unit length; the zero vector stays as it is."""
-    norm = l2_norm(vector)
-    return F.transform(
-        vector, lambda x: F.when(norm == 0, x.cast("double")).otherwise(x.cast("double") / norm)
+    # The norm is an element of an array, so that the inner lambda sees a value, not the aggregate.
+    return F.get(
+        F.transform(
+            F.array(l2_norm(vector)),
+            lambda norm: F.transform(
+                vector, lambda x: F.when(norm == 0, x.cast("double")).otherwise(x.cast("double") / norm)
+            ),
+        ),
+        F.lit(0),
     )
 
 

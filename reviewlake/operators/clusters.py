@@ -58,7 +58,10 @@ def kmeans(
     for.
     """
     used = [vector] if weight is None else [vector, weight]
-    vectors = as_vector(df.select(*used), vector).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = as_vector(df.select(*used), vector)
+    # A sweep keeps the same table for all its runs; then it isn't this run's to drop.
+    shared = vectors.storageLevel != StorageLevel.NONE
+    vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         def run(seed: int) -> KMeansModel:
             estimator = KMeans(
@@ -72,7 +75,8 @@ def kmeans(
         # The first of equals, so the choice does not depend on which run ended first.
         return min(models, key=lambda model: model.summary.trainingCost)
     finally:
-        vectors.unpersist()
+        if not shared:
+            vectors.unpersist()
 
 
 def assign(df: DataFrame, model: KMeansModel, vector: str, cluster: str = "cluster") -> DataFrame:
@@ -173,7 +177,6 @@ def elbow_sweep(
 
 
 MAX_GRID_DIMENSIONS = 4
-MAX_CENTRES = 10_000
 
 
 def grid_cells(df: DataFrame, vector: str, side: float, dimensions: int) -> DataFrame:
@@ -280,15 +283,11 @@ def nearest(
 ) -> DataFrame:
     """Adds the id of the nearest centre (ties to the smaller id), or -1 beyond ``radius``.
 
-    ``centres`` is (topic, centre). At most MAX_CENTRES of them are carried to every row as one array
-    value and compared in place; more is an error, since topics are meant to be a short list.
+    ``centres`` is (topic, centre), one per topic, and carried to every row as one array value to be
+    compared in place.
     """
-    kept = centres.limit(MAX_CENTRES + 1)
-    listed = kept.agg(F.array_sort(F.collect_list(F.struct("topic", "centre")))).scalar()
-    checked = F.when(
-        F.size(listed) > MAX_CENTRES, F.raise_error(F.lit(f"more than {MAX_CENTRES} centres"))
-    ).otherwise(listed)
-    carried = df.withColumn("_centres", checked)
+    listed = centres.agg(F.array_sort(F.collect_list(F.struct("topic", "centre")))).scalar()
+    carried = df.withColumn("_centres", listed)
     distances = F.transform(
         "_centres",
         lambda c: F.struct(

@@ -7,15 +7,14 @@ from pyspark.sql import functions as F
 
 from reviewlake.session import cut_lineage
 
-MAX_ROUNDS = 100
 SALTS = 16
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node id reachable over undirected edges (src, dst).
 
     Each round every node takes the smallest label among itself and its neighbours, then the label of
-    that label, which halves long chains. Rounds are checkpointed.
+    that label, which halves long chains, until nothing changes. Rounds are checkpointed.
     """
     both = cut_lineage(
         edges.select("src", "dst")
@@ -24,7 +23,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = M
         .distinct()
     )
     labels = cut_lineage(nodes.select("node", F.col("node").alias("component")).distinct())
-    for _ in range(max_rounds):
+    while True:
         seen = both.join(
             labels.select(F.col("node").alias("dst"), F.col("component").alias("_near")), "dst"
         ).groupBy(F.col("src").alias("node")).agg(F.min("_near").alias("_near"))
@@ -48,4 +47,3 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = M
         labels = following.select("node", "component")
         if not changed:
             return labels
-    raise RuntimeError(f"components not settled after {max_rounds} rounds")

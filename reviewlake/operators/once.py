@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
@@ -21,7 +22,7 @@ def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 
 def present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows with a value in every named column.
+    """Rows with a value, which NaN is not, in every named column.
 
     Joins and explodes drop the other rows anyway. Said up front, every branch that reads the table
     has the same filters, so that Spark computes the exchange they share once.
@@ -29,4 +30,7 @@ def present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     out = df
     for name in columns:
         out = out.filter(F.col(name).isNotNull())
+        # A floating NaN is a missing value too.
+        if name in df.columns and isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+            out = out.filter(~F.isnan(name))
     return out

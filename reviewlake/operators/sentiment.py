@@ -32,8 +32,8 @@ def train(
     df: DataFrame,
     text: str,
     label: str,
-    max_features: int = 20_000,
-    min_df: float = 2.0,
+    max_features: int | None = None,
+    min_df: float = 1.0,
     max_iter: int = 50,
     regularisation: float = 0.01,
     stop_words: Sequence[str] = (),
@@ -41,8 +41,8 @@ def train(
 ) -> PipelineModel:
     """TF-IDF and logistic regression on a 0/1 label.
 
-    The vocabulary is the only thing sized by the data that reaches the driver, and ``max_features``
-    bounds it.
+    The vocabulary of the labelled rows is the only thing sized by the data that reaches the driver;
+    ``max_features`` bounds it if given.
     """
     rows = df.filter(F.col(text).isNotNull() & F.col(label).isNotNull())
     rows = rows.select(F.col(text), F.col(label).cast("double").alias(label))
@@ -54,7 +54,7 @@ def train(
     remover = StopWordsRemover(inputCol="_tokens", outputCol="_words", stopWords=list(stop_words))
     words = remover.transform(tokenizer.transform(rows))
     counter = CountVectorizer(
-        inputCol="_words", outputCol="_counts", vocabSize=max_features, minDF=min_df
+        inputCol="_words", outputCol="_counts", vocabSize=max_features or 2**31 - 1, minDF=min_df
     ).fit(words)
     # The later stages read the count vectors many times; the texts are not needed any more.
     counted = counter.transform(words).drop(text, "_tokens", "_words")

@@ -19,9 +19,6 @@ from reviewlake.operators.ranks import top_n
 from reviewlake.operators.vectors import count_vectors, term_at, with_ngrams
 from reviewlake.session import cut_lineage
 
-# Topics a reduction or a similarity matrix accepts: these are per-topic, not per-row, computations.
-MAX_TOPICS = 500
-
 
 def term_counts(
     df: DataFrame,
@@ -53,10 +50,10 @@ def ctfidf(counts: DataFrame) -> DataFrame:
     A is the mean number of words per topic. Everything runs on the counted (topic, term) table.
     """
     topics = counts.groupBy("topic").agg(F.sum("n").alias("_words"))
-    mean_words = topics.agg(F.struct(F.avg("_words").alias("mean"), F.count(F.lit(1)).alias("n"))).scalar()
+    mean_words = topics.agg(F.avg("_words")).scalar()
     terms = counts.groupBy("term").agg(F.sum("n").alias("_uses"))
-    joined = counts.join(terms, "term").join(_few(topics, "_words", mean_words["n"]), "topic")
-    weight = (F.col("n") / F.col("_words")) * F.log(1 + mean_words["mean"] / F.col("_uses"))
+    joined = counts.join(terms, "term").join(topics, "topic")
+    weight = (F.col("n") / F.col("_words")) * F.log(1 + mean_words / F.col("_uses"))
     return joined.select("topic", "term", weight.alias("weight"))
 
 
@@ -102,24 +99,14 @@ def outlier_report(df: DataFrame, topic: str = "topic") -> DataFrame:
     )
 
 
-def _few(per_topic: DataFrame, column: str, found: Column | None = None) -> DataFrame:
-    """A table of one row per topic as a broadcast side: at most MAX_TOPICS + 1 rows by a limit, and
-    an error, not a shorter table, where there are more."""
-    if found is None:
-        found = per_topic.agg(F.count(F.lit(1))).scalar()
-    stop = F.raise_error(F.lit(f"more than {MAX_TOPICS} topics: cluster more coarsely first"))
-    checked = F.when(found > MAX_TOPICS, stop).otherwise(F.col(column))
-    return F.broadcast(per_topic.limit(MAX_TOPICS + 1).withColumn(column, checked))
-
-
 def similarity(weights: DataFrame) -> DataFrame:
     """(topic_a, topic_b, cosine) for topic_a < topic_b that share a term.
 
-    The table has one row per (topic, term) and topics are a short, checked list, so what is gathered
-    per term is at most MAX_TOPICS weights. Products are summed map-side per pair of topics.
+    The table has one row per (topic, term), so what is gathered per term is one weight per topic.
+    Products are summed map-side per pair of topics.
     """
     norms = weights.groupBy("topic").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"))
-    unit = weights.join(_few(norms, "_norm"), "topic").select(
+    unit = weights.join(norms, "topic").select(
         "term", F.struct("topic", (F.col("weight") / F.col("_norm")).alias("w")).alias("_entry")
     )
     listed = unit.groupBy("term").agg(F.sort_array(F.collect_list("_entry")).alias("_entries"))
@@ -160,11 +147,9 @@ def merge_order(counts: DataFrame, sizes: DataFrame, keep: int) -> list[tuple[in
 
     Each round merges the smallest topic (ties to the smaller id) into the one whose class-based
     TF-IDF row is nearest by cosine (ties likewise). Topic -1 takes no part. Term counts stay a
-    distributed table; the driver holds the topic sizes, at most MAX_TOPICS numbers.
+    distributed table; the driver holds one number per topic.
     """
-    rows = sizes.filter(F.col("topic") != -1).select("topic", "size").limit(MAX_TOPICS + 1).collect()
-    if len(rows) > MAX_TOPICS:
-        raise ValueError(f"more than {MAX_TOPICS} topics: cluster more coarsely first")
+    rows = sizes.filter(F.col("topic") != -1).select("topic", "size").collect()
     held = {row["topic"]: row["size"] for row in rows}
     table = cut_lineage(counts.filter(F.col("topic") != -1))
     merged: dict[int, int] = {}
@@ -218,13 +203,13 @@ def named_topics(df: DataFrame, topic: str, words: str, n: int = 4) -> DataFrame
     return with_topic_names(df, names(top, n), topic)
 
 
-def lda(df: DataFrame, counts: str, k: int, seed: int = 42, max_iter: int = 20) -> LDAModel:
-    """Latent Dirichlet allocation on count vectors (online variational Bayes).
+def lda(df: DataFrame, counts: str, k: int, seed: int = 42, max_iter: int = 10) -> LDAModel:
+    """Latent Dirichlet allocation on count vectors (variational Bayes over all vectors).
 
-    Each iteration samples the vectors, so they are kept meanwhile.
+    Each iteration reads the vectors, so they are kept meanwhile.
     """
     estimator = LDA(
-        k=k, seed=seed, maxIter=max_iter, featuresCol=counts, topicDistributionCol="_topics"
+        k=k, seed=seed, maxIter=max_iter, subsamplingRate=1.0, featuresCol=counts, topicDistributionCol="_topics"
     )
     rows = df.select(counts).persist(StorageLevel.MEMORY_AND_DISK)
     try:

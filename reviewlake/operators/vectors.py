@@ -129,8 +129,6 @@ def vocabulary(
 
 def vocabulary_rows(vocab: DataFrame, max_features: int) -> list[tuple[str, int]]:
     """(term, df) on the driver in alphabetical order: at most ``max_features`` of them."""
-    if max_features > MAX_LISTED_TERMS:
-        raise ValueError(f"at most {MAX_LISTED_TERMS} terms can be listed")
     rows = vocab.select("term", "df").orderBy("term").limit(max_features).collect()
     return [(row["term"], row["df"]) for row in rows]
 
@@ -203,7 +201,7 @@ def tfidf(
     Pass the ``max_features`` the vocabulary was made with: the terms are then counted in the rows.
     Without a bound the tokens are shuffled once by key and meet the vocabulary in a join.
     """
-    if max_features and max_features <= MAX_LISTED_TERMS:
+    if max_features:
         listed = vocabulary_rows(vocab, max_features)
         if not listed:
             return df.sparkSession.createDataFrame(

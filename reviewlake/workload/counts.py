@@ -254,15 +254,15 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     """WITH e AS (SELECT event_type = 'error' AS outlier, value AS x FROM events),
          s AS (SELECT outlier, count(*) AS n, stddev_samp(x) * pow(count(*), -0.2) AS h, min(x) AS lo, max(x) AS hi
                FROM e GROUP BY outlier),
-         g AS (SELECT outlier, n, h, range AS point, lo - 0.5 * (hi - lo) + range * (2 * (hi - lo) / 199) AS at
-               FROM s, range(200))
+         g AS (SELECT outlier, n, h, range AS point, lo - 0.5 * (hi - lo) + range * (2 * (hi - lo) / 999) AS at
+               FROM s, range(1000))
        SELECT g.outlier, point, round(any_value(g.at), 6) AS x,
          round(sum(exp(-0.5 * ((g.at - e.x) / h) * ((g.at - e.x) / h))) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 9) AS density
        FROM g JOIN e ON g.outlier = e.outlier GROUP BY g.outlier, point""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "events").select((F.col("event_type") == "error").alias("outlier"), "value")
-    curve = stats.density(rows, "value", "outlier", 200)
+    curve = stats.density(rows, "value", "outlier")
     return curve.withColumns({"x": six("x"), "density": F.round("density", 9)})
 
 

@@ -12,8 +12,6 @@ from reviewlake.workload.registry import documents, query, reviews, scratch, tab
 from reviewlake.workload.text import STOP_WORDS
 from reviewlake.workload.vectors import text_vectors, worded
 
-FEW_SEEDS = clusters.START_SEEDS[:3]
-
 
 def embedded(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").select("vec_id", "embedding")
@@ -42,7 +40,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @query("clu3_assign_clusters")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = embedded(spark, sf)
-    model = clusters.kmeans(rows, "embedding", 10, FEW_SEEDS)
+    model = clusters.kmeans(rows, "embedding", 10)
     return clusters.assign(rows, model, "embedding").select("vec_id", "cluster")
 
 
@@ -64,12 +62,12 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("clu6_silhouette_sweep")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return clusters.silhouette_sweep(embedded(spark, sf), "embedding", seeds=FEW_SEEDS[:1])
+    return clusters.silhouette_sweep(embedded(spark, sf), "embedding")
 
 
 @query("clu7_elbow_sweep")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return clusters.elbow_sweep(embedded(spark, sf), "embedding", seeds=FEW_SEEDS)
+    return clusters.elbow_sweep(embedded(spark, sf), "embedding")
 
 
 def topic_documents(spark: SparkSession, sf: str) -> DataFrame:

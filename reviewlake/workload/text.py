@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from reviewlake.functions import scalars
 from reviewlake.functions import text as tx
 from reviewlake.operators import words
-from reviewlake.operators.ranks import top_n
 from reviewlake.plans.summaries import joined_in_order
 from reviewlake.workload import sqltext as sq
 from reviewlake.workload.registry import documents, query, six, table
@@ -236,12 +235,12 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     "txt14_join_list",
     """SELECT role, string_agg(text, chr(10) || '- ' ORDER BY rn) AS value FROM (
          SELECT role, text, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) AS rn
-         FROM conversations) WHERE rn <= 50 GROUP BY role""",
+         FROM conversations) GROUP BY role""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "conversations")
-    first = top_n(rows, ["role"], [F.col("conv_id"), F.col("turn")], 50)
-    return first.groupBy("role").agg(joined_in_order("rank", "text", "\n- ").alias("value"))
+    placed = rows.withColumn("rank", F.struct("conv_id", "turn"))
+    return placed.groupBy("role").agg(joined_in_order("rank", "text", "\n- ").alias("value"))
 
 
 @query(

@@ -156,10 +156,11 @@ def test_ctfidf(docs):
             assert found[topic, word] == pytest.approx(n / sum(words.values()) * math.log(1 + mean / uses[word]))
 
 
-def test_too_many_topics_is_an_error(docs, monkeypatch):
-    monkeypatch.setattr(topics, "MAX_TOPICS", 2)
-    with pytest.raises(Exception, match="more than 2 topics"):
-        topics.ctfidf(topics.term_counts(docs, "topic", "words")).collect()
+def test_many_topics_and_terms(spark):
+    counts = spark.range(501).selectExpr("id AS topic", "concat('t', id % 7) AS term", "id + 1 AS n")
+    assert topics.ctfidf(counts).count() == 501
+    vocab = spark.range(5_001).selectExpr("concat('t', id) AS term", "1L AS df")
+    assert len(vectors.vocabulary_rows(vocab, 6_000)) == 5_001
 
 
 def test_names(docs):

@@ -106,3 +106,9 @@ def test_density_integrates_to_one(spark):
         curve = sorted((row["x"], row["density"]) for row in found if row["g"] == name)
         xs, ys = zip(*curve)
         assert np.trapezoid(ys, xs) == pytest.approx(1.0, abs=0.01)
+
+
+def test_nan_is_missing(spark):
+    rows = spark.createDataFrame([(1, float("nan")), (1, 1.0), (1, 2.0), (1, 3.0)], "g int, x double")
+    assert ranks.quantiles(rows, ["g"], "x", [0.0, 0.5, 1.0]).first()[1:] == (1.0, 2.0, 3.0)
+    assert stats.box_stats(rows, "x").first()["median"] == 2.0
