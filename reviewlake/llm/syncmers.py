@@ -132,7 +132,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     heads = {row["part"]: row["head"] for row in rows.groupBy(part.alias("part")).agg(F.max("place").alias("head")).collect()}
     order = sorted(heads, reverse=True)
     sent = [(heads[p], order[i - 1]) for i, p in enumerate(order)]  # the first range's head goes to the last range
-    also = F.create_map(*[F.lit(x) for head, to in sent for x in (head, to)]) if sent else F.create_map().cast("map<bigint,int>")
+    pairs = [F.lit(x).cast(kind) for head, to in sent for x, kind in ((head, "long"), (to, "int"))]
+    also = F.create_map(*pairs).cast("map<bigint,int>")
     dealt = rows.select(
         "doc_id", "text", "place", F.inline(F.array(
             F.struct(part.alias("part"), F.lit(False).alias("extra")),

@@ -40,7 +40,7 @@ def _features_of(word: bytes) -> tuple[int, ...]:
 
 @lru_cache(maxsize=1)
 def _hashed() -> TwoGenerations:
-    return TwoGenerations(_features_of, 200_000)
+    return TwoGenerations(_features_of, 50_000)
 
 
 def features(text: bytes) -> list[int]:

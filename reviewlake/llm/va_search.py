@@ -91,10 +91,10 @@ def build(embeddings: DataFrame, k: int, column: str = "embedding") -> tuple[Dat
     return vectors, written(blocks.mapInPandas(approximate, schema), "va-file")
 
 
-def _bounds(queries: np.ndarray, low: bytes, width: bytes, cells: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Lower and upper bounds of the scores of a block's vectors, from their cells."""
+def _bounds(queries: np.ndarray, low: bytes, width: bytes, cells: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of the scores of a block's ``n`` vectors, from their cells."""
     least, wide = np.frombuffer(low, np.int64), np.frombuffer(width, np.int64)
-    number = np.frombuffer(cells, np.uint8).reshape(-1, len(least))
+    number = np.frombuffer(cells, np.uint8).reshape(n, len(least))
     safe = int(np.abs(least.astype(float)).max(initial=0) + CELLS * wide.astype(float).max(initial=0)) < 1 << 62
     if safe:
         corner, room = least + number.astype(np.int64) * wide, wide - 1
@@ -129,7 +129,7 @@ def top_k(embeddings: DataFrame, is_query: str, k: int = 5, column: str = "embed
     def least(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
-                lower, _ = _bounds(_matrix([q["vector"] for q in row.queries]), row.low, row.width, row.cells)
+                lower, _ = _bounds(_matrix([q["vector"] for q in row.queries]), row.low, row.width, row.cells, len(row.ids))
                 own = {i: n for n, ids in enumerate(row.ids) for i in ids}
                 found = []
                 for q, bounds in zip(row.queries, lower):
@@ -153,7 +153,7 @@ def top_k(embeddings: DataFrame, is_query: str, k: int = 5, column: str = "embed
         for frame in frames:
             for row in frame.itertuples():
                 matrix = _matrix([q["vector"] for q in row.queries])
-                _, upper = _bounds(matrix, row.low, row.width, row.cells)
+                _, upper = _bounds(matrix, row.low, row.width, row.cells, len(row.ids))
                 exact = np.frombuffer(row.exact, np.int64).reshape(len(row.ids), -1)
                 found = []
                 for q, vector, bounds in zip(row.queries, matrix, upper):
