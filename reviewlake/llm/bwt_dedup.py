@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -257,7 +258,7 @@ def _string_rows(shards: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
                 name = np.zeros(len(number), np.uint64)
                 name[string] = anchor[at]
                 values = (
-                    b, key[0], name, np.array([len(s) for s in number], np.int32), b"".join(number), least,
+                    b, key[0], name, np.array([len(s) for s in number], np.int32), zstandard.compress(b"".join(number)), least,
                     string, document[at].astype(np.int32), (first[at] - base[document[at]]).astype(np.int64), owner,
                 )
                 for column, value in zip(out.values(), values):
@@ -329,7 +330,7 @@ def _range_rows(strings: DataFrame, parts: int) -> DataFrame:
         mine = []
         for row in rows:
             stops = np.cumsum(np.frombuffer(row["lengths"], np.int32))
-            chars, names = row["chars"], np.frombuffer(row["anchors"], np.uint64).tolist()
+            chars, names = zstandard.decompress(row["chars"]), np.frombuffer(row["anchors"], np.uint64).tolist()
             local = np.zeros(len(stops), np.int64)
             start = 0
             for i, (stop, doc) in enumerate(zip(stops.tolist(), np.frombuffer(row["least"], np.int64).tolist())):
