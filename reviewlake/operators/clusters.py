@@ -1,4 +1,4 @@
-"""K-means, PCA, cluster-count sweeps and density clustering on vectors."""
+"""K-means, PCA, cluster-count sweeps, grids and nearest centres on vectors."""
 
 from __future__ import annotations
 
@@ -13,15 +13,13 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, PCAModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewlake.functions.scalars import squared_distance
-from reviewlake.operators.components import connected_components
 from reviewlake.operators.ranks import top_n
 from reviewlake.operators.vectors import term_at
-from reviewlake.session import cut_lineage
 
 # Ten starts from these seeds, the best one kept.
 START_SEEDS: tuple[int, ...] = tuple(range(42, 52))
@@ -180,16 +178,17 @@ MAX_GRID_DIMENSIONS = 4
 
 
 def grid_cells(df: DataFrame, vector: str, side: float, dimensions: int) -> DataFrame:
-    """Adds ``cell``: the grid cell of the first ``dimensions`` coordinates."""
+    """Adds ``cell``: the grid cell of the first ``dimensions`` coordinates; absent ones count as 0."""
     if not 1 <= dimensions <= MAX_GRID_DIMENSIONS:
         raise ValueError(f"between 1 and {MAX_GRID_DIMENSIONS} dimensions, project the vectors first")
     places = [
-        F.floor(F.col(vector)[i].cast("double") / side).cast("long") for i in range(dimensions)
+        F.floor(F.coalesce(F.get(F.col(vector), F.lit(i)).cast("double"), F.lit(0.0)) / side).cast("long")
+        for i in range(dimensions)
     ]
     return df.withColumn("cell", F.array(*places))
 
 
-def _neighbours(dimensions: int) -> Column:
+def neighbour_offsets(dimensions: int) -> Column:
     """Offsets of a cell and all cells that touch it, as one array literal."""
     offsets: list[list[int]] = [[]]
     for _ in range(dimensions):
@@ -204,80 +203,13 @@ def cell_densities(cells: DataFrame, dimensions: int) -> DataFrame:
     number of neighbours, so a crowded cell costs no more than an empty one.
     """
     counts = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("points"))
-    sent = counts.withColumn("_to", F.explode(_neighbours(dimensions))).select(
+    sent = counts.withColumn("_to", F.explode(neighbour_offsets(dimensions))).select(
         F.zip_with("cell", "_to", lambda a, b: a + b).alias("cell"), F.col("points").alias("_points")
     )
     received = sent.groupBy("cell").agg(F.sum("_points").alias("nearby"))
     return counts.join(received, "cell")
 
 
-def density_cells(
-    cells: DataFrame, dimensions: int, min_samples: int, min_cluster_size: int
-) -> DataFrame:
-    """(cell, cluster) of the cells that belong to a cluster.
-
-    A cell is dense if it and the cells it touches hold ``min_samples`` points. Touching dense cells
-    form a cluster; a thin cell next to a dense one joins the smallest cluster id it touches. Clusters
-    with fewer than ``min_cluster_size`` points are noise. Clusters are numbered from 0 by size.
-    """
-    offsets = _neighbours(dimensions)
-    densities = cut_lineage(cell_densities(cells, dimensions))
-    dense = densities.filter(F.col("nearby") >= min_samples)
-    # Node ids: cells as text, ordered and unique.
-    named = dense.select(F.array_join("cell", ",").alias("node"), "cell")
-    around = named.select(
-        F.col("node").alias("src"), "cell", F.explode(offsets).alias("_step")
-    ).select("src", F.array_join(F.zip_with("cell", "_step", lambda a, b: a + b), ",").alias("dst"))
-    edges = around.join(named.select(F.col("node").alias("dst")), "dst").filter("src < dst")
-    parts = connected_components(named.select("node"), edges.select("src", "dst"))
-    touching = (
-        densities.select("cell", F.explode(offsets).alias("_step"))
-        .select(
-            "cell", F.array_join(F.zip_with("cell", "_step", lambda a, b: a + b), ",").alias("node")
-        )
-        .join(parts, "node")
-        .withColumn("_self", F.col("node") == F.array_join("cell", ","))
-    )
-    # A dense cell keeps its own component; a thin one takes the smallest it touches.
-    own = F.min(F.when(F.col("_self"), F.col("component")))
-    member = touching.groupBy("cell").agg(
-        F.coalesce(own, F.min("component")).alias("component")
-    )
-    sized = member.join(densities.select("cell", "points"), "cell")
-    sizes = sized.groupBy("component").agg(F.sum("points").alias("size")).filter(
-        F.col("size") >= min_cluster_size
-    )
-    # Clusters number at most rows / min_cluster_size; their list is numbered in one window.
-    numbers = sizes.withColumn(
-        "cluster",
-        F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("size"), "component")) - 1,
-    )
-    return member.join(numbers, "component").select("cell", F.col("cluster").cast("int"))
-
-
-def density_clusters(
-    df: DataFrame,
-    vector: str,
-    side: float,
-    dimensions: int = 2,
-    min_samples: int = 10,
-    min_cluster_size: int = 15,
-    output: str = "cluster",
-) -> DataFrame:
-    """Density clustering with noise = -1 on the leading coordinates of a vector.
-
-    The neighbourhood of a point is its grid cell of width ``side`` and the cells that touch it. All
-    work is on counts per cell, so neither copies nor crowded regions produce pairs of points.
-    """
-    cells = grid_cells(df, vector, side, dimensions)
-    clusters = density_cells(cells, dimensions, min_samples, min_cluster_size)
-    return (
-        cells.join(clusters, "cell", "left")
-        .withColumn(output, F.coalesce(F.col("cluster"), F.lit(-1)))
-        .select(*df.columns, output)
-    )
-
-
 def nearest(
     df: DataFrame, vector: str, centres: DataFrame, radius: float | None = None, output: str = "topic"
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.functions import text as tx
-from reviewlake.operators import clusters, filters, topics
+from reviewlake.operators import clusters, density, filters, topics
 from reviewlake.operators.joins import with_topic_names
 from reviewlake.operators.once import compute_once
 from reviewlake.session import cut_lineage
@@ -42,8 +42,7 @@ def fit(
     vector: str,
     words: str,
     components: int = 50,
-    side: float = 0.5,
-    dimensions: int = 2,
+    reach: float = 0.5,
     min_samples: int = 35,
     min_cluster_size: int = 400,
     nr_topics: int | None = None,
@@ -51,13 +50,13 @@ def fit(
 ) -> tuple[TopicModel, DataFrame]:
     """The fitted model and the rows with topic and topic_name.
 
-    Vectors are projected to ``components`` dimensions; density is measured on the leading
-    ``dimensions`` of them, which carry the most variance.
+    Vectors are projected to ``components`` dimensions; density is measured over all of them, within
+    ``reach`` of each point.
     """
     projection = clusters.pca(df, vector, components)
     projected = projection.transform(df, vector, "_components")
-    placed = clusters.density_clusters(
-        projected, "_components", side, dimensions, min_samples, min_cluster_size, "topic"
+    placed = density.density_clusters(
+        projected, key, "_components", reach, min_samples, min_cluster_size, "topic"
     )
     placed = cut_lineage(placed)
     if nr_topics is not None:

@@ -80,7 +80,7 @@ def topic_documents(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = topic_documents(spark, sf)
     _, placed = topic_model.fit(
-        rows, "doc_id", "embedding", "words", components=3, side=0.05, min_samples=40, min_cluster_size=10
+        rows, "doc_id", "embedding", "words", components=3, reach=0.0525, min_samples=5, min_cluster_size=5
     )
     return placed.select("doc_id", "topic", "topic_name")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.functions import text as tx
-from reviewlake.operators import clusters, topics, vectors
+from reviewlake.operators import clusters, density, topics, vectors
 from reviewlake.workload import sqltext as sq
 from reviewlake.workload.registry import documents, query, rounded, table
 from reviewlake.workload.text import STOP_SQL, STOP_WORDS
@@ -199,20 +199,32 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("cell")[0].alias("x"), F.col("cell")[1].alias("y"), "points", "nearby")
 
 
+NEAR_SQL = """(SELECT a.vec_id, b.vec_id AS other FROM embeddings a JOIN embeddings b
+    ON list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) <= 1.16)"""
+
+
+@query("clu8_neighbour_counts", f"SELECT vec_id, count(*) AS nearby FROM {NEAR_SQL} GROUP BY vec_id")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    points = density.with_blocks(density.distinct_points(table(spark, sf, "embeddings"), "vec_id", "embedding"), 1.16, 2)
+    return density.neighbour_counts(points, 1.16, 2).select(F.col("node").alias("vec_id"), "nearby")
+
+
 @query(
     "clu8_density_clusters",
-    f"""WITH RECURSIVE d AS {DENSITY_SQL}, core AS (SELECT x, y FROM d WHERE nearby >= 60),
-          reach(x, y, rx, ry) AS (SELECT x, y, x, y FROM core
-            UNION SELECT c.x, c.y, r.rx, r.ry FROM reach r JOIN core c ON abs(r.x - c.x) <= 1 AND abs(r.y - c.y) <= 1),
-          part AS (SELECT x, y, min(rx || ',' || ry) AS component FROM reach GROUP BY x, y),
-          touch AS (SELECT d.x, d.y, d.points,
-              coalesce(any_value(p.component) FILTER (p.x = d.x AND p.y = d.y), min(p.component)) AS component
-            FROM d JOIN part p ON abs(d.x - p.x) <= 1 AND abs(d.y - p.y) <= 1 GROUP BY d.x, d.y, d.points),
-          sizes AS (SELECT component, sum(points) AS size FROM touch GROUP BY component HAVING sum(points) >= 15),
+    f"""WITH RECURSIVE near AS MATERIALIZED {NEAR_SQL},
+          core AS MATERIALIZED (SELECT vec_id FROM near GROUP BY vec_id HAVING count(*) >= 5),
+          link AS MATERIALIZED (SELECT n.vec_id, n.other FROM near n SEMI JOIN core c ON n.other = c.vec_id),
+          reach(vec_id, r) AS (SELECT vec_id, vec_id FROM core
+            UNION SELECT l.vec_id, r.r FROM reach r JOIN link l ON l.other = r.vec_id SEMI JOIN core c ON l.vec_id = c.vec_id),
+          part AS (SELECT vec_id, min(r) AS component FROM reach GROUP BY vec_id),
+          member AS (SELECT * FROM part UNION ALL
+            SELECT l.vec_id, min(p.component) FROM link l JOIN part p ON l.other = p.vec_id
+            WHERE l.vec_id NOT IN (SELECT vec_id FROM core) GROUP BY l.vec_id),
+          sizes AS (SELECT component, count(*) AS size FROM member GROUP BY component HAVING count(*) >= 5),
           num AS (SELECT component, row_number() OVER (ORDER BY size DESC, component) - 1 AS cluster FROM sizes)
-        SELECT vec_id, CAST(coalesce(cluster, -1) AS INTEGER) AS cluster FROM {CELLS_SQL} c
-        LEFT JOIN touch t ON c.x = t.x AND c.y = t.y LEFT JOIN num USING (component)""",
+        SELECT vec_id, CAST(coalesce(cluster, -1) AS INTEGER) AS cluster FROM embeddings
+        LEFT JOIN member USING (vec_id) LEFT JOIN num USING (component)""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "embeddings").select("vec_id", "embedding")
-    return clusters.density_clusters(rows, "embedding", 0.05, 2, 60, 15).select("vec_id", "cluster")
+    return density.density_clusters(rows, "vec_id", "embedding", 1.16, 5, 5).select("vec_id", "cluster")

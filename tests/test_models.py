@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reviewlake.operators import aspects, clusters, components, sentiment, topics, vectors
+from reviewlake.operators import aspects, clusters, components, density, sentiment, topics, vectors
 from reviewlake.plans import review_analysis, review_topics, topic_model
 
 
@@ -26,7 +26,7 @@ def blobs(spark):
 
 
 def test_density_clusters_find_blobs_and_noise(blobs):
-    found = clusters.density_clusters(blobs, "v", 0.5, 2, min_samples=10, min_cluster_size=15).collect()
+    found = density.density_clusters(blobs, "id", "v", 0.5, min_samples=10, min_cluster_size=15).collect()
     assert len(found) == blobs.count()
     by_label = {label: Counter(r["cluster"] for r in found if r["label"] == label) for label in (-1, 0, 1, 2)}
     assert set(by_label[-1]) == {-1}
@@ -37,10 +37,57 @@ def test_density_clusters_find_blobs_and_noise(blobs):
 
 
 def test_small_clusters_are_noise(blobs):
-    found = clusters.density_clusters(blobs, "v", 0.5, 2, min_samples=10, min_cluster_size=200)
+    found = density.density_clusters(blobs, "id", "v", 0.5, min_samples=10, min_cluster_size=200)
     assert set(r["cluster"] for r in found.select("cluster").distinct().collect()) == {-1, 0}
 
 
+def brute_density(points, radius, min_samples, min_cluster_size):
+    v = np.array(points, dtype=float)
+    near = ((v[:, None] - v[None]) ** 2).sum(-1) <= radius**2
+    core = near.sum(1) >= min_samples
+    labels = np.where(core, np.arange(len(v)), len(v))
+    while True:
+        reached = np.where(near & core[None] & core[:, None], labels[None], len(v)).min(1)
+        if (reached == labels).all():
+            break
+        labels = reached
+    labels = np.where(core, labels, np.where(near & core[None], labels[None], len(v)).min(1))
+    sizes = Counter(x for x in labels if x < len(v))
+    kept = sorted((x for x in sizes if sizes[x] >= min_cluster_size), key=lambda x: (-sizes[x], x))
+    return [kept.index(x) if x in kept else -1 for x in labels]
+
+
+def density_labels(spark, points, radius, *sizes, dimensions=2):
+    df = spark.createDataFrame(list(enumerate(points)), "id long, v array<double>")
+    found = density.density_clusters(df, "id", "v", radius, *sizes, dimensions=dimensions).collect()
+    assert len(found) == len(points)
+    return [r["cluster"] for r in sorted(found, key=lambda r: r["id"])]
+
+
+def test_density_reads_every_coordinate(spark):
+    rng = np.random.default_rng(4)
+    points = rng.normal(0, 0.1, (200, 5))
+    points[100:, 4] += 9
+    found = density_labels(spark, points.tolist(), 0.5, 5, 20)
+    assert {found[0], found[150]} == {0, 1} and len(set(found[:100])) == 1 and len(set(found[100:])) == 1
+
+
+@pytest.mark.parametrize("dimensions", [1, 3])
+def test_density_equals_brute_force(spark, dimensions):
+    # Crowded cells of many blocks, copies, ties on the radius and lone points.
+    rng = np.random.default_rng(7)
+    points = np.vstack([rng.normal(0, 1, (500, 3)), np.repeat(rng.normal(3, 1, (4, 3)), 30, axis=0)]).round(1)
+    for radius, *sizes in [(0.4, 6, 10), (0.5, 3, 4)]:
+        found = density_labels(spark, points.tolist(), radius, *sizes, dimensions=dimensions)
+        assert found == brute_density(points, radius, *sizes)
+
+
+def test_density_of_odd_vectors(spark):
+    points = [None, [float("nan"), 0.0], [None, 1.0], [0.0, 0.0], [-0.0, 0.0], [float("inf"), 0.0]]
+    assert density_labels(spark, points, 0.5, 2, 2) == [-1, -1, -1, 0, 0, -1]
+    assert density_labels(spark, [], 0.5, 2, 2) == []
+
+
 def test_grid_needs_few_dimensions(blobs):
     with pytest.raises(ValueError):
         clusters.grid_cells(blobs, "v", 0.5, 9)
@@ -192,7 +239,7 @@ def test_nearest_centre(spark):
 def test_topic_model_round_trip(blobs, tmp_path):
     rows = blobs.withColumn("words", F.array(F.concat(F.lit("word"), F.col("label").cast("string")), F.lit("shared")))
     model, placed = topic_model.fit(
-        rows, "id", "v", "words", components=2, side=0.6, min_samples=10, min_cluster_size=50, radius=3.0
+        rows, "id", "v", "words", components=2, reach=0.6, min_samples=10, min_cluster_size=50, radius=3.0
     )
     names = {r["topic"]: r["topic_name"] for r in placed.select("topic", "topic_name").distinct().collect()}
     assert names[-1] == "Outlier" and names[0].startswith("0_")
