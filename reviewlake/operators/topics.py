@@ -233,14 +233,16 @@ def lda_top_words(model: LDAModel, terms: list[str], n: int = 10) -> DataFrame:
 
 
 def lda_topics(df: DataFrame, model: LDAModel) -> DataFrame:
-    """Adds the dominant ``topic`` (from 0) and its ``confidence``."""
+    """Adds the dominant ``topic`` (from 0) and its ``confidence``; without any known term all topics are alike."""
+    known = F.col("_highest") > 0
     weights = vector_to_array(F.col(model.getTopicDistributionCol()))
     scored = model.transform(df)
     return (
         scored.withColumn("_weights", weights)
-        .withColumn("confidence", F.array_max("_weights"))
-        .withColumn("topic", (F.array_position("_weights", F.col("confidence")) - 1).cast("int"))
-        .drop("_weights", model.getTopicDistributionCol())
+        .withColumn("_highest", F.array_max("_weights"))
+        .withColumn("confidence", F.when(known, F.col("_highest")).otherwise(F.lit(1 / model.getK())))
+        .withColumn("topic", (F.array_position("_weights", F.col("_highest")) - 1).cast("int"))
+        .drop("_weights", "_highest", model.getTopicDistributionCol())
     )
 
 

@@ -1,63 +1,140 @@
-"""Fitted models. Results depend on numerical optimisation, so these have no SQL."""
+"""Fitted models.
+
+What a fit finds depends on numerical optimisation, so most queries return facts about the fitted result that SQL can
+work out from the tables: sizes, conserved sums, and counts of rows that break what the model promises.
+"""
 
 from __future__ import annotations
 
+from pyspark.ml.clustering import KMeansModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlake.functions.scalars import squared_distance
 from reviewlake.operators import clusters, sentiment, topics, vectors
 from reviewlake.operators.filters import at_least_chars
 from reviewlake.plans import review_analysis, review_topics, topic_model
-from reviewlake.workload.registry import documents, query, reviews, scratch, table
+from reviewlake.workload.registry import REVIEWS_SQL, documents, query, reviews, scratch, six, table
 from reviewlake.workload.text import STOP_WORDS
-from reviewlake.workload.vectors import text_vectors, worded
+from reviewlake.workload.vectors import ALL_SQL, text_vectors, vocabulary_sql, worded
 
 
 def embedded(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").select("vec_id", "embedding")
 
 
-@query("clu1_text_kmeans")
+def kmeans_facts(rows: DataFrame, model: KMeansModel, vector: str) -> DataFrame:
+    """One row: rows, clusters, ``strays`` (rows nearer to another centre) and ``moved`` (centres off their members' mean)."""
+    placed = clusters.as_vector(clusters.assign(rows, model, vector), vector)
+    centres = rows.sparkSession.createDataFrame(
+        [(i, [float(x) for x in centre]) for i, centre in enumerate(model.clusterCenters())],
+        "topic int, centre array<double>",
+    )
+    listed = centres.agg(F.array_sort(F.collect_list(F.struct("topic", "centre")))).scalar()
+    far = F.transform("_centres", lambda c: squared_distance(F.col("_v"), c["centre"]))
+    measured = placed.select("cluster", vector_to_array(F.col(vector)).alias("_v"), listed.alias("_centres")).select(
+        "cluster", far.alias("_far")
+    )
+    stray = F.get("_far", F.col("cluster")) > F.array_min("_far") + 1e-6
+    means = topics.centres(placed.withColumn("topic", F.col("cluster")), "topic", vector)
+    shift = squared_distance(F.col("centre"), F.col("_mean"))
+    moved = centres.join(means.withColumnRenamed("centre", "_mean"), "topic").agg(
+        F.count_if(shift > 1e-4).alias("moved")
+    )
+    return measured.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("cluster").alias("clusters"),
+        F.count_if(stray).alias("strays"),
+    ).withColumn("moved", moved.scalar())
+
+
+def kmeans_sql(name: str, k: int) -> str:
+    return f"SELECT count(*) AS rows, {k} AS clusters, 0 AS strays, 0 AS moved FROM {name}"
+
+
+@query("clu1_text_kmeans", kmeans_sql("documents", 5))
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows, _ = text_vectors(spark, sf)
-    model = clusters.kmeans(rows, "features", 5)
-    return clusters.assign(rows, model, "features").select("doc_id", "cluster")
+    return kmeans_facts(rows, clusters.kmeans(rows, "features", 5), "features")
 
 
-@query("clu1_product_clusters")
+@query(
+    "clu1_product_clusters",
+    """SELECT count(*) AS descriptions, CAST(sum(n) AS BIGINT) AS rows, 5 AS clusters, 0 AS divided
+       FROM (SELECT p_type, p_brand, count(*) AS n FROM part GROUP BY p_type, p_brand)""",
+)
 def _(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part").select("p_partkey", "p_type", "p_brand")
-    return review_analysis.cluster_products(part, "p_type", "p_brand", 5)
+    placed = review_analysis.cluster_products(part, "p_type", "p_brand", 5)
+    equal = placed.groupBy("p_type", "p_brand").agg(
+        F.count("meta_category").alias("n"),
+        F.min("meta_category").alias("low"),
+        F.max("meta_category").alias("high"),
+    )
+    return equal.agg(
+        F.count(F.lit(1)).alias("descriptions"),
+        F.sum("n").alias("rows"),
+        F.count_distinct("low").alias("clusters"),
+        F.count_if(F.col("low") != F.col("high")).alias("divided"),
+    )
 
 
-@query("clu2_embedding_kmeans")
+@query("clu2_embedding_kmeans", kmeans_sql("embeddings", 5))
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = embedded(spark, sf)
-    model = clusters.kmeans(rows, "embedding", 5)
-    return clusters.assign(rows, model, "embedding").groupBy("cluster").agg(F.count(F.lit(1)).alias("count"))
+    return kmeans_facts(rows, clusters.kmeans(rows, "embedding", 5), "embedding")
 
 
-@query("clu3_assign_clusters")
+@query("clu3_assign_clusters", kmeans_sql("embeddings", 10))
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = embedded(spark, sf)
-    model = clusters.kmeans(rows, "embedding", 10)
-    return clusters.assign(rows, model, "embedding").select("vec_id", "cluster")
+    return kmeans_facts(rows, clusters.kmeans(rows, "embedding", 10), "embedding")
+
+
+COORDINATES_SQL = """(SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos
+    FROM embeddings)"""
+TOTAL_SQL = f"(SELECT sum(v) FROM (SELECT var_samp(x) AS v FROM {COORDINATES_SQL} GROUP BY pos))"
+COORDINATES = 64
 
 
-@query("clu5_pca")
+@query(
+    "clu5_pca",
+    f"""SELECT count(*) AS rows, round({TOTAL_SQL}, 6) AS variance, 0 AS crossed, 0 AS rising FROM embeddings""",
+)
 def _(spark: SparkSession, sf: str) -> DataFrame:
+    # A full rotation keeps the total variance; its components are uncorrelated and fall in variance.
     rows = embedded(spark, sf)
-    projection = clusters.pca(rows, "embedding", 3)
-    return projection.transform(rows, "embedding").select(
-        "vec_id", *[F.col("components")[i].alias(f"pc{i + 1}") for i in range(3)]
+    moved = clusters.pca(rows, "embedding", COORDINATES).transform(rows, "embedding")
+    parts = moved.select(*[F.col("components")[i].alias(f"c{i}") for i in range(COORDINATES)])
+    variances = [F.var_samp(f"c{i}") for i in range(COORDINATES)]
+    crossed = [
+        (F.abs(F.covar_samp(f"c{i}", f"c{j}")) > 1e-9).cast("int") for i in range(8) for j in range(i)
+    ]
+    rising = [(variances[i + 1] > variances[i] + 1e-9).cast("int") for i in range(COORDINATES - 1)]
+    return parts.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.round(sum(variances[1:], variances[0]), 6).alias("variance"),
+        sum(crossed[1:], crossed[0]).alias("crossed"),
+        sum(rising[1:], rising[0]).alias("rising"),
     )
 
 
-@query("clu5_explained_variance")
+@query(
+    "clu5_explained_variance",
+    f"""SELECT {COORDINATES} AS components, 1.0::DOUBLE AS total, round(sum(c * c) / power({TOTAL_SQL}, 2), 9) AS squares
+        FROM (SELECT covar_samp(a.x, b.x) AS c FROM {COORDINATES_SQL} a JOIN {COORDINATES_SQL} b USING (vec_id)
+              GROUP BY a.pos, b.pos)""",
+)
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    projection = clusters.pca(embedded(spark, sf), "embedding", 50)
-    rows = [(i + 1, share) for i, share in enumerate(projection.explained_variance)]
-    return spark.createDataFrame(rows, "component long, explained double")
+    # The squared shares add up to the squared entries of the covariance matrix over its squared trace.
+    shares = clusters.pca(embedded(spark, sf), "embedding", COORDINATES).explained_variance
+    rows = [(i + 1, share) for i, share in enumerate(shares)]
+    return spark.createDataFrame(rows, "component long, explained double").agg(
+        F.count(F.lit(1)).alias("components"),
+        F.round(F.sum("explained"), 9).alias("total"),
+        F.round(F.sum(F.col("explained") * F.col("explained")), 9).alias("squares"),
+    )
 
 
 @query("clu6_silhouette_sweep")
@@ -65,9 +142,19 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return clusters.silhouette_sweep(embedded(spark, sf), "embedding")
 
 
-@query("clu7_elbow_sweep")
+@query(
+    "clu7_elbow_sweep",
+    f"""SELECT 6 AS runs, round(sum(v * n), 4) AS one_cluster, 0 AS rising
+        FROM (SELECT var_pop(x) AS v, count(*) AS n FROM {COORDINATES_SQL} GROUP BY pos)""",
+)
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return clusters.elbow_sweep(embedded(spark, sf), "embedding")
+    costs = clusters.elbow_sweep(embedded(spark, sf), "embedding")
+    smaller = costs.select((F.col("k") + 1).alias("k"), F.col("inertia").alias("_before"))
+    return costs.join(smaller, "k", "left").agg(
+        F.count(F.lit(1)).alias("runs"),
+        F.round(F.max(F.when(F.col("k") == 1, F.col("inertia"))), 4).alias("one_cluster"),
+        F.count_if(F.col("inertia") > F.col("_before")).alias("rising"),
+    )
 
 
 def topic_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,21 +163,26 @@ def topic_documents(spark: SparkSession, sf: str) -> DataFrame:
     return worded(spark, sf).join(vectors_by_id, "doc_id")
 
 
-@query("top1_topic_model")
+@query("top1_topic_model", "SELECT doc_id, true AS named FROM documents JOIN embeddings ON doc_id = vec_id")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = topic_documents(spark, sf)
     _, placed = topic_model.fit(
         rows, "doc_id", "embedding", "words", components=3, reach=0.0525, min_samples=5, min_cluster_size=5
     )
-    return placed.select("doc_id", "topic", "topic_name")
+    outlier = F.col("topic_name") == "Outlier"
+    named = F.when(F.col("topic") == -1, outlier).otherwise(F.col("topic_name").startswith(F.concat("topic", F.lit("_"))))
+    return placed.select("doc_id", F.coalesce(named, F.lit(False)).alias("named"))
 
 
-@query("top3_reduce_topics")
+SOURCES_SQL = r"(SELECT CAST(regexp_extract(source, '(\d+)$', 1) AS BIGINT) AS topic FROM documents)"
+
+
+@query("top3_reduce_topics", f"SELECT count(*) AS rows, least(12, count(DISTINCT topic)) AS topics FROM {SOURCES_SQL}")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = numbered_sources(spark, sf)
     counts = source_counts(rows)
     reduced = topics.reduce_topics(rows, "topic", counts, 12)
-    return reduced.groupBy("topic").agg(F.count(F.lit(1)).alias("count"))
+    return reduced.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("topic").alias("topics"))
 
 
 def numbered_sources(spark: SparkSession, sf: str) -> DataFrame:
@@ -105,11 +197,23 @@ def source_counts(rows: DataFrame) -> DataFrame:
     return topics.term_counts(rows, "topic", "words", vectors.vocabulary_terms(vocab, 1000), (1, 3))
 
 
-@query("top5_hierarchy")
+@query(
+    "top5_hierarchy",
+    f"""SELECT count(*) - 1 AS merges, count(*) - 1 AS topics, 0 AS gone, arg_min(topic, (size, topic)) AS first
+        FROM (SELECT topic, count(*) AS size FROM {SOURCES_SQL} GROUP BY topic)""",
+)
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = numbered_sources(spark, sf)
     sizes = rows.groupBy("topic").agg(F.count(F.lit(1)).alias("size"))
-    return topics.hierarchy(rows, source_counts(rows), sizes)
+    merges = topics.hierarchy(rows, source_counts(rows), sizes)
+    # A topic is merged once, the smallest first, and nothing is merged into one that is gone.
+    before = merges.select(F.col("topic").alias("into"), F.col("step").alias("_gone"))
+    return merges.join(before, "into", "left").agg(
+        F.count(F.lit(1)).alias("merges"),
+        F.count_distinct("topic").alias("topics"),
+        F.count_if(F.col("_gone") <= F.col("step")).alias("gone"),
+        F.min_by("topic", "step").alias("first"),
+    )
 
 
 def lda_counts(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
@@ -120,37 +224,55 @@ def lda_counts(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
     return counted.select("doc_id", "counts"), terms
 
 
-@query("lda1_topic_sizes")
+LDA_TERMS_SQL = vocabulary_sql(1, 2, 1500, "15", f"0.6 * {ALL_SQL}")
+
+
+def valid_topic(k: int):
+    """Whether topic and confidence are those of the heaviest of ``k`` topics."""
+    return F.col("topic").between(0, k - 1) & F.col("confidence").between(1 / k - 1e-9, 1 + 1e-9)
+
+
+@query("lda1_topic_sizes", "SELECT count(*) AS rows, true AS within FROM documents")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows, _ = lda_counts(spark, sf)
     placed = topics.lda_topics(rows, topics.lda(rows, "counts", 3))
-    return placed.groupBy("topic").agg(F.count(F.lit(1)).alias("count"))
+    sizes = placed.groupBy("topic").agg(F.count(F.lit(1)).alias("count"))
+    return sizes.agg(F.sum("count").alias("rows"), F.bool_and(F.col("topic").between(0, 2)).alias("within"))
 
 
-@query("lda2_top_words")
+@query("lda2_top_words", f"SELECT term, 6 AS topics, true AS positive FROM {LDA_TERMS_SQL}")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows, terms = lda_counts(spark, sf)
-    return topics.lda_top_words(topics.lda(rows, "counts", 6), terms)
+    # Read to its end, the list of every topic is the whole vocabulary.
+    listed = topics.lda_top_words(topics.lda(rows, "counts", 6), terms, len(terms))
+    return listed.groupBy("term").agg(
+        F.count_distinct("topic").alias("topics"), F.bool_and(F.col("weight") > 0).alias("positive")
+    )
 
 
-@query("lda3_document_topics")
+@query("lda3_document_topics", "SELECT doc_id, true AS valid FROM documents")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows, _ = lda_counts(spark, sf)
-    return topics.lda_topics(rows, topics.lda(rows, "counts", 7)).select("doc_id", "topic", "confidence")
+    placed = topics.lda_topics(rows, topics.lda(rows, "counts", 7))
+    return placed.select("doc_id", valid_topic(7).alias("valid"))
 
 
-@query("lda3_topics_of_cleaned_reviews")
+@query(
+    "lda3_topics_of_cleaned_reviews", "SELECT doc_id, true AS valid FROM documents WHERE length(text) >= 20"
+)
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = documents(spark, sf).select("doc_id", "text")
     model = review_topics.fit(rows, "text", 3, STOP_WORDS)
-    return model.place(rows, "text").select("doc_id", "topic", "confidence")
+    return model.place(rows, "text").select("doc_id", valid_topic(3).alias("valid"))
 
 
-@query("lda4_perplexity")
+@query("lda4_perplexity", f"SELECT count(*) AS terms, true AS plausible FROM {LDA_TERMS_SQL}")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    rows, _ = lda_counts(spark, sf)
-    model = topics.lda(rows, "counts", 3)
-    return spark.createDataFrame([(topics.lda_perplexity(model, rows),)], "perplexity double")
+    rows, terms = lda_counts(spark, sf)
+    perplexity = topics.lda_perplexity(topics.lda(rows, "counts", 3), rows)
+    # Terms known to be used are guessed better than all terms alike.
+    found = spark.createDataFrame([(len(terms), perplexity)], "terms long, perplexity double")
+    return found.select("terms", F.col("perplexity").between(1, F.col("terms")).alias("plausible"))
 
 
 def sentiment_run(spark: SparkSession, sf: str) -> review_analysis.SentimentRun:
@@ -158,14 +280,47 @@ def sentiment_run(spark: SparkSession, sf: str) -> review_analysis.SentimentRun:
     return review_analysis.run_sentiment(rows, "text", "quality", "doc_id", scratch(spark))
 
 
-@query("sen1_train_metrics")
+TEST_SQL = f"""(SELECT quality, count(*) - CAST(floor(0.8 * count(*)) AS BIGINT) AS rows FROM {REVIEWS_SQL}
+    WHERE length(text) >= 10 GROUP BY quality)"""
+
+
+@query(
+    "sen1_train_metrics",
+    f"""SELECT CAST(sum(rows) FILTER (quality = 0) AS BIGINT) AS support_0, CAST(sum(rows) FILTER (quality = 1) AS BIGINT) AS support_1,
+          CAST(sum(rows) AS BIGINT) AS support, 0.0::DOUBLE AS accuracy_gap, 0.0::DOUBLE AS recall_gap FROM {TEST_SQL}""",
+)
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return sentiment_run(spark, sf).metrics
+    # The report against the scored rows themselves.
+    run = sentiment_run(spark, sf)
+    hit = (F.col("prediction") == F.col("quality")).cast("double")
+    plain = run.scored.agg(F.avg(hit).alias("_hits"), F.avg(F.when(F.col("quality") == 1, hit)).alias("_recall"))
+
+    def of(name: str, measure: str):
+        return F.max(F.when(F.col("name") == name, F.col(measure)))
+
+    facts = run.metrics.agg(
+        of("0", "support").alias("support_0"),
+        of("1", "support").alias("support_1"),
+        of("accuracy", "support").alias("support"),
+        of("accuracy", "precision").alias("_accuracy"),
+        of("1", "recall").alias("_positive"),
+    )
+    return facts.select(
+        "support_0",
+        "support_1",
+        "support",
+        F.abs(six(F.col("_accuracy") - plain.select("_hits").scalar())).alias("accuracy_gap"),
+        F.abs(six(F.col("_positive") - plain.select("_recall").scalar())).alias("recall_gap"),
+    )
 
 
-@query("sen2_batch_scores")
+@query("sen2_batch_scores", f"SELECT quality, rows, 0 AS odd FROM {TEST_SQL}")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return sentiment_run(spark, sf).scored.select("doc_id", "quality", "prediction", "probability")
+    said = F.col("prediction") == (F.col("probability") > 0.5).cast("int")
+    fits = said & F.col("probability").between(0, 1)
+    return sentiment_run(spark, sf).scored.groupBy("quality").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(~F.coalesce(fits, F.lit(False))).alias("odd")
+    )
 
 
 @query(
@@ -185,14 +340,13 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("mod1_save_load")
+@query("mod1_save_load", f"SELECT count(*) AS rows, 0 AS mismatches FROM {REVIEWS_SQL}")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = reviews(spark, sf).select("doc_id", "text", "quality")
     model = sentiment.train(rows, "text", "quality", stop_words=STOP_WORDS)
     path = scratch(spark)
     sentiment.save(model, path)
-    scored = sentiment.predict(rows, sentiment.load(path))
-    return scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("count"))
+    return sentiment.reload_mismatches(rows, "doc_id", model, sentiment.load(path))
 
 
 @query("sen3_reload_check", "SELECT count(*) AS rows, 0::BIGINT AS mismatches FROM documents JOIN labels USING (doc_id)")
