@@ -73,22 +73,22 @@ def fit(
     texts: list[np.ndarray], toxic: np.ndarray, prior: float, steps: int = 300, rate: float = 0.1, decay: float = 2e-4
 ) -> tuple[np.ndarray, np.ndarray, float]:
     """(features, weights, bias) learnt from texts' features by Adam over all texts at once."""
-    flat = np.concatenate(texts) if texts else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(texts)), [len(text) for text in texts]).astype(np.int64)
-    names, counts = np.unique(flat[toxic[owner]], return_counts=True)
-    rest, others = np.unique(flat[~toxic[owner]], return_counts=True)
-    in_rest = np.zeros(len(names))
-    if len(rest):
-        at = np.minimum(np.searchsorted(rest, names), len(rest) - 1)
-        in_rest = np.where(rest[at] == names, others[at], 0) / max(1, (~toxic).sum())
+    # Features are small numbers, so that tables over all of them replace sorted copies of the sample.
+    lengths = np.array([len(text) for text in texts], np.int64)
+    flat = np.concatenate(texts) if texts else np.zeros(0, np.int32)
+    from_toxic, size = np.repeat(toxic, lengths), int(flat.max(initial=-1)) + 1
+    counts = np.bincount(flat[from_toxic], minlength=size)
+    in_rest = np.bincount(flat[~from_toxic], minlength=size) / max(1, (~toxic).sum())
     in_toxic = counts / max(1, toxic.sum())
     in_clean = np.maximum(0, in_rest - prior * in_toxic) / (1 - prior)
     enough = counts >= max(LEAST_TEXTS, LEAST_SHARE * toxic.sum())
-    names = names[enough & (in_toxic >= LEAST_LIFT * in_clean)]
-    place = np.searchsorted(names, flat)
-    place[place == len(names)] = 0
-    known = names[place] == flat if len(names) else np.zeros(len(flat), bool)
-    columns, owner = place[known], owner[known]
+    names = np.flatnonzero(enough & (in_toxic >= LEAST_LIFT * in_clean))
+    place = np.full(size, -1, np.int32)
+    place[names] = np.arange(len(names))
+    columns = place[flat]
+    known = columns >= 0
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)[known]
+    columns = columns[known]
     firsts = np.searchsorted(owner, np.arange(len(texts) + 1))
     weights, bias = np.zeros(len(names)), float(np.log(prior / (1 - prior)))
     mean, square, mean_b, square_b = np.zeros(len(names)), np.zeros(len(names)), 0.0, 0.0
@@ -141,7 +141,7 @@ def train(docs: DataFrame, labels: DataFrame, classifiers: int = CLASSIFIERS) ->
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
         order = np.argsort([zlib.crc32(np.asarray(f, np.int32).tobytes()) for f in rows["features"]], kind="stable")
-        held = [np.asarray(rows["features"].iloc[i], np.int64) for i in order]
+        held = [np.asarray(rows["features"].iloc[i], np.int32) for i in order]
         names, weights, bias = fit(held, rows["toxic"].to_numpy(bool)[order], prior)
         return pd.DataFrame({"one": [int(rows["one"].iloc[0])], "names": [names], "weights": [weights], "bias": [bias]})
 
