@@ -51,5 +51,5 @@ class LibraryEncoder:
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> LibraryEncoder:
-    return LibraryEncoder(path)
+def encoder(path: str, cache: int = CACHE) -> LibraryEncoder:
+    return LibraryEncoder(path, cache)

@@ -22,6 +22,8 @@ from reviewlake.session import cut_lineage
 CAPACITY = 2048
 #: Items of a partition in the first round, and partitions that meet in a later one.
 ITEMS, FAN_IN = 50_000, 8
+#: Text pieces whose ids a worker keeps; workers outlive the tasks, so they hold them through later stages.
+PIECES = 100_000
 #: A bin this full is done. Of the others a partition hands on as many as CARRY, the emptiest; the rest are done too.
 NEARLY_FULL, CARRY = 0.995, 10_000
 
@@ -107,7 +109,7 @@ def pieces(docs: DataFrame, vocabulary: str, end: int, capacity: int = CAPACITY)
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library, last = encoder(vocabulary), np.array([end], "<u4").tobytes()
+        library, last = encoder(vocabulary, PIECES), np.array([end], "<u4").tobytes()
         for batch in by_size(batches, 1, 1 << 21):
             texts = [text.as_py().decode("utf-8", "replace") for text in batch.column(1)]
             columns: list[list] = [[], [], [], [], [], []]
