@@ -32,9 +32,12 @@ _BASE = 0x9E3779B97F4A7C15
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
-    values = (values ^ (values >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return values ^ (values >> np.uint64(32))
+    """The values mixed, in their own array."""
+    for shift, factor in ((31, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        values ^= values >> np.uint64(shift)
+        values *= np.uint64(factor)
+    values ^= values >> np.uint64(32)
+    return values
 
 
 def _runs(data: np.ndarray, length: int) -> np.ndarray:
@@ -42,9 +45,13 @@ def _runs(data: np.ndarray, length: int) -> np.ndarray:
 
     def joined(a: np.ndarray, b: np.ndarray, of_a: int, of_b: int) -> np.ndarray:
         n = max(0, len(data) - of_a - of_b + 1)
-        return a[:n] * np.uint64(pow(_BASE, of_b, 1 << 64)) + b[of_a : of_a + n]
+        out = a[:n] * np.uint64(pow(_BASE, of_b, 1 << 64))
+        out += b[of_a : of_a + n]
+        return out
 
-    power, size = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(_BASE), 1
+    power, size = data.astype(np.uint64), 1
+    power += np.uint64(1)
+    power *= np.uint64(_BASE)
     made, done = None, 0
     while done < length:
         if length & size:
@@ -67,12 +74,12 @@ def anchored(data: np.ndarray, ends: np.ndarray, width: int = WIDTH, kmer: int =
         least, reach = np.minimum(least[:-reach], least[reach:]), 2 * reach
     n = len(data) - width + 1
     least = np.minimum(least[:n], least[span - reach :][:n])
-    document = np.searchsorted(ends, np.arange(n), side="right")
-    inside = np.arange(n) + width <= ends[document]
+    document = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0))[:n]
+    inside = np.arange(width, n + width, dtype=np.int64) <= ends[document]
     begins = np.ones(n, bool)
     begins[1:] = (least[1:] != least[:-1]) | (document[1:] != document[:-1])
     starts = np.flatnonzero(begins)
-    counts = np.add.reduceat(inside.astype(np.int64), starts)
+    counts = np.add.reduceat(inside, starts, dtype=np.int64)
     starts, counts = starts[counts > 0], counts[counts > 0]
     pieces = -(-counts // WINDOWS)  # long runs, of periodic texts, are cut
     first = np.repeat(starts, pieces)
