@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.operators.ranks import top_n
 from reviewlake.plans import summaries
 from reviewlake.schemas import API_PAGE
 from reviewlake.sinks import files, keyed
@@ -129,15 +128,14 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "src8_cap_per_app",
-    """SELECT conv_id, turn, role, text FROM (
-         SELECT *, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) AS rn
-         FROM conversations) WHERE rn <= 1000""",
+    """SELECT conv_id AS appid, text AS review FROM (
+         SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn
+         FROM conversations) WHERE rn <= 3""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "conversations")
-    return top_n(
-        rows, ["role"], [F.col("conv_id"), F.col("turn")], review_pages.MAX_REVIEWS_PER_APP, "_rank"
-    ).drop("_rank")
+    # A cap below most apps' number of entries, so that it is reached.
+    capped = review_pages.cap_per_app(review_pages.entries(api_pages(spark, sf)), 3)
+    return capped.select("appid", F.col("entry.review").alias("review"))
 
 
 @query(

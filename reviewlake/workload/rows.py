@@ -327,10 +327,12 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "jn7_not_yet_done",
-    "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    """SELECT c_custkey, c_name FROM customer
+       WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    done = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    urgent = table(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    done = urgent.select(F.col("o_custkey").alias("c_custkey"))
     return joins.not_in(table(spark, sf, "customer").select("c_custkey", "c_name"), done, "c_custkey")
 
 

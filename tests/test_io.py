@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from reviewlake.operators.ranks import top_n
@@ -84,6 +86,19 @@ def test_ingest_pages_twice_adds_nothing(spark, tmp_path):
     assert run(progress) == (5, 3)
 
 
+@pytest.mark.parametrize("files_per_batch", [1, 100])
+def test_cap_holds_over_batches(spark, tmp_path, files_per_batch):
+    for page in range(1, 4):
+        # Each page repeats the last review of the one before it.
+        write_page(tmp_path / "in", 10, page, [entry(2 * page + i, str(700 + page)) for i in range(3)])
+        at = 1_700_000_000 + page
+        os.utime(tmp_path / "in" / "appid=10" / f"{page}.json", (at, at))
+    target, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    ingest.ingest_pages(spark, str(tmp_path / "in"), target, progress, files_per_batch, cap=4).awaitTermination()
+    found = spark.read.parquet(f"{target}/reviews").collect()
+    assert sorted(r["recommendationid"] for r in found) == [2, 3, 4, 5]
+
+
 GAMES = """<html><table><tbody>
 <tr class="app" data-appid="570"><td>1</td><td></td><td><a href="/x">Left &amp; <b>Right</b></a></td><td></td>
 <td data-sort="1999">$19.99</td><td data-sort="88,5">88</td><td data-sort="1700000000">x</td><td data-sort="1234">1</td></tr>
