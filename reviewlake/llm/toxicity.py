@@ -163,7 +163,7 @@ def score(docs: DataFrame, models: list[tuple[np.ndarray, np.ndarray, float]]) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, biases = shared.value
-        words = TwoGenerations(lambda word: tuple(f for f in _features_of(word) if f in known), 200_000)
+        words = TwoGenerations(lambda word: tuple(f for f in _features_of(word) if f in known), 50_000)
         for batch in by_size(batches, 1, 1 << 23):
             scores = []
             for text in batch.column(1):
