@@ -2,12 +2,13 @@
 
 A run of WIDTH bytes is a closed syncmer if the least hash of its inner runs of INNER bytes is that of the first or of
 the last one. That depends on the run alone, so the same passage gives the same anchors in every text, and there is
-one in every WIDTH - INNER + 1 neighbouring runs. A fingerprint keeps the ANCHORS syncmers of the least hashes, each
-with its place; two fingerprints are alike as far as the least hashes of both together are in both and in one order.
+one in every WIDTH - INNER + 1 neighbouring runs. A fingerprint keeps all of a text's closed syncmers, each with its
+place; two fingerprints are alike as far as the anchors of both together are in both and in one order.
 """
 
 from __future__ import annotations
 
+import base64
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -19,9 +20,10 @@ from pyspark.sql import functions as F
 
 from reviewlake.llm.common import by_size, identifier, range_cuts, shuffle_parts, utf8
 
-INNER, WIDTH, ANCHORS = 8, 16, 64
+INNER, WIDTH = 8, 16
 _BASE = 0x9E3779B97F4A7C15
 _WORD = (1 << 64) - 1
+#: Anchors and the bytes they start at, by anchor. An anchor is 32 bits of hash, and how often the text had it before.
 Sketch = tuple[np.ndarray, np.ndarray]
 
 
@@ -36,8 +38,18 @@ def _doubled(values: np.ndarray, length: int) -> np.ndarray:
     return values[:-length] * np.uint64(pow(_BASE, length, 1 << 64)) + values[length:]
 
 
+def _sketch(hashes: np.ndarray, places: np.ndarray) -> Sketch:
+    """The sketch of a text's hashes, which come by place."""
+    order = np.argsort(hashes, kind="stable")
+    hashes, number = hashes[order], np.arange(len(hashes))
+    begins = np.ones(len(hashes), bool)
+    begins[1:] = hashes[1:] != hashes[:-1]
+    earlier = number - np.maximum.accumulate(np.where(begins, number, 0))
+    return hashes << np.uint64(32) | earlier.astype(np.uint64), places[order]
+
+
 def sketches(texts: list[bytes]) -> list[Sketch]:
-    """(hashes, places) of each text, by hash. A text without a syncmer has itself as its only anchor, an empty one none."""
+    """The sketch of each text. A text without a syncmer has itself as its only anchor, an empty one none."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     ends = np.cumsum([len(text) for text in texts])
     at, chosen = np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -57,41 +69,53 @@ def sketches(texts: list[bytes]) -> list[Sketch]:
     out, start = [], 0
     for text, end in zip(texts, ends.tolist()):
         a, b = np.searchsorted(at, (start, max(start, end - WIDTH + 1)))
-        hashes, first = np.unique(chosen[a:b], return_index=True)
-        places = at[a:b][first] - start
+        hashes, places = chosen[a:b], at[a:b] - start
         if not len(hashes) and text:
             hashes, places = np.array([xxhash.xxh32_intdigest(text)], np.uint64), np.zeros(1, np.int64)
-        out.append((hashes[:ANCHORS], places[:ANCHORS]))
+        out.append(_sketch(hashes, places))
         start = end
     return out
 
 
 def printed(sketch: Sketch) -> str:
-    """The anchors in their order in the text: eight digits of the hash, and the byte the anchor starts at."""
-    pairs = sorted(zip(sketch[1].tolist(), sketch[0].tolist()))
-    return " ".join([f"{value:08x}@{place:x}" for place, value in pairs])
+    """The anchors in their order in the text, in base 64: four bytes of each hash, then a byte for each way from the place before.
+
+    No way is longer than WIDTH - INNER + 1 bytes, as there is an anchor in so many neighbouring runs.
+    """
+    order = np.argsort(sketch[1], kind="stable")
+    hashes, ways = sketch[0][order] >> np.uint64(32), np.diff(sketch[1][order], prepend=0)
+    return base64.b64encode(hashes.astype("<u4").tobytes() + ways.astype(np.uint8).tobytes()).decode("ascii")
 
 
 def parsed(fingerprint: str) -> Sketch:
-    pairs = sorted((int(value, 16), int(place, 16)) for value, _, place in (a.partition("@") for a in fingerprint.split()))
-    return np.array([p[0] for p in pairs], np.uint64), np.array([p[1] for p in pairs], np.int64)
+    data = base64.b64decode(fingerprint)
+    n = len(data) // 5
+    places = np.cumsum(np.frombuffer(data, np.uint8, offset=4 * n).astype(np.int64)) if n else np.zeros(0, np.int64)
+    return _sketch(np.frombuffer(data, "<u4", n).astype(np.uint64), places)
 
 
 def likeness(a: Sketch, b: Sketch) -> float:
-    """0 to 1: the share of the least hashes of both that are in both texts, in the same order. Empty texts are alike."""
+    """0 to 1: the share of the anchors of both that are in both texts, in the same order. Empty texts are alike.
+
+    Where a text has one hash several times, its first anchor is held against the other text's first, and so on.
+    """
     if not len(a[0]) and not len(b[0]):
         return 1.0
-    both, at_a, at_b = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    if not len(both):
+    if not len(a[0]) or not len(b[0]):
         return 0.0
-    considered = np.union1d(a[0], b[0])[:ANCHORS]
-    counts = both <= considered[-1]
-    order = np.argsort(a[1][at_a[counts]], kind="stable")
+    at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+    both = np.flatnonzero(b[0][at] == a[0])
+    places = b[1][at[both]][np.argsort(a[1][both], kind="stable")]
     tails: list[int] = []  # longest run of anchors that come in the same order in both
-    for place in b[1][at_b[counts]][order].tolist():
-        i = bisect_left(tails, place)
-        tails[i : i + 1] = [place]
-    return len(tails) / len(considered)
+    last = -1
+    for place in places.tolist():
+        if place > last:
+            tails.append(place)
+            last = place
+        else:
+            tails[bisect_left(tails, place)] = place
+            last = tails[-1]
+    return len(tails) / (len(a[0]) + len(b[0]) - len(both))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
