@@ -32,12 +32,20 @@ class Rule:
 
 #: The rules, in the order in which findings at one place are listed. A run of hexadecimal digits or of
 #: key characters is as long as it can be, so the least length can stand in the pattern.
+#: A key runs from its BEGIN line to the next END line. Without one before the next five dashes, it has the header lines,
+#: runs of 40 key characters and whole lines of key characters that follow; line ends may be written as \n or \r.
+_NEXT = r"""(?:\s|\\[nr]|["'+,])"""
+_KEY = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:[^-]++|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|(?:{_NEXT}++(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+"
+    rf"(?:{_NEXT}*+[A-Za-z0-9+/]{{40,}}+={{0,2}}|[ \t\x22'+,]*+(?:[\r\n]|\\[nr]){_NEXT}*+[A-Za-z0-9+/]++={{0,2}}(?=[ \t]*+(?:[\x22'\r\n]|\\[nr]|\Z)))*+)"
+)
 _NAMES = "(?i:(password|passwd|secret|token|api_?key))"
 RULES = (
     Rule("assign", 1, _NAMES + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, _NAMES + r"""["']?\x20*[:=]"""),
     Rule("access", 1, r"AKIA[A-Z0-9]{16,}", 0, 20, r"AKIA[A-Z0-9]{16}"),
     Rule("hex", 1, r"[0-9a-f]{24,}", 0, 24, r"[0-9a-f]{24}"),
-    Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1, r"-----BEGIN"),
+    Rule("pem", 2, _KEY, 0, 1, r"-----BEGIN"),
 )
 LEDGER = "blob binary, kind string, rule_version int, spans array<struct<start: long, end: long>>"
 
