@@ -7,6 +7,9 @@ shard once. A string that can't share a window with another one of its anchor is
 a shard have a Burrows-Wheeler transform, and the transforms are merged by refining their interleaving, one more
 character of context in each round, without sorting suffixes again. The rounds also part the interleaving where common
 prefixes end, so after WIDTH rounds its intervals are the repeated windows, and the least document of each is known.
+
+An anchor with more than about HOT distinct strings is not indexed in one task: each of its windows has the hash of the
+whole window as its anchor instead, which equal windows share too. The new anchors are dealt to buckets as the others are.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ WIDTH, KMER = 50, 16
 SHARD = 4 << 20
 #: Windows of one string at most, and suffixes indexed at a time.
 WINDOWS, INDEXED = 64, 1 << 20
+#: Distinct strings of an anchor from which its windows are parted, counted from one of ONE_IN.
+HOT, ONE_IN = 1 << 14, 64
 _LAST = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
 
@@ -61,10 +66,13 @@ def _runs(data: np.ndarray, length: int) -> np.ndarray:
     return made
 
 
-def anchored(data: np.ndarray, ends: np.ndarray, width: int = WIDTH, kmer: int = KMER) -> tuple[np.ndarray, ...]:
+def anchored(
+    data: np.ndarray, ends: np.ndarray, width: int = WIDTH, kmer: int = KMER, hot: np.ndarray | None = None
+) -> tuple[np.ndarray, ...]:
     """(document, start, windows, anchor) of every run of windows with one anchor within one document, in order.
 
-    ``data`` holds the documents one after another, ``ends`` where each ends; starts are places in ``data``.
+    ``data`` holds the documents one after another, ``ends`` where each ends; starts are places in ``data``. Windows with
+    an anchor in ``hot`` have the hash of the whole window instead.
     """
     none = np.zeros(0, np.int64)
     if len(data) < width:
@@ -74,6 +82,10 @@ def anchored(data: np.ndarray, ends: np.ndarray, width: int = WIDTH, kmer: int =
         least, reach = np.minimum(least[:-reach], least[reach:]), 2 * reach
     n = len(data) - width + 1
     least = np.minimum(least[:n], least[span - reach :][:n])
+    if hot is not None and len(hot):
+        parted = np.isin(least, hot)
+        if parted.any():
+            least = np.where(parted, _mixed(_runs(data, width)), least)
     document = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0))[:n]
     inside = np.arange(width, n + width, dtype=np.int64) <= ends[document]
     begins = np.ones(n, bool)
@@ -177,14 +189,41 @@ def _order_of(ids: list) -> np.ndarray:
     return np.array([_LAST if i is None or i != i else int(i) for i in ids], np.int64)
 
 
-def _anchor_rows(shards: DataFrame, parts: int) -> DataFrame:
+def _sampled(data: np.ndarray, first: np.ndarray, windows: np.ndarray, anchor: np.ndarray, one_in: int) -> np.ndarray:
+    """(anchor, hash) of one of ``one_in`` distinct strings, the same ones in every shard."""
+    if not len(first):
+        return np.zeros((0, 2), np.uint64)
+    whole = _mixed(_runs(data, WIDTH))
+    name = whole[first] + np.uint64(3) * whole[first + windows // 2] + np.uint64(5) * whole[first + windows - 1]
+    name = _mixed(name + windows.astype(np.uint64))
+    chosen = name % np.uint64(one_in) == 0
+    return np.unique(np.stack([anchor[chosen], name[chosen]], axis=1), axis=0)
+
+
+def _hot_anchors(shards: DataFrame, hot: int, one_in: int) -> np.ndarray:
+    """The anchors with more than about ``hot`` distinct strings; there is at most one in so many strings of all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                data, ends = opened(row["data"], np.array(row["lengths"], np.int64))
+                _, first, windows, anchor = anchored(data, ends)
+                pairs = _sampled(data, first, windows, anchor, one_in).view(np.int64)
+                yield pa.RecordBatch.from_pydict({"anchor": pa.array(pairs[:, 0]), "name": pa.array(pairs[:, 1])})
+
+    sampled = shards.mapInArrow(run, "anchor long, name long").distinct()
+    found = sampled.groupBy("anchor").count().filter(F.col("count") > hot // one_in).select("anchor").collect()
+    return np.sort(np.array([row["anchor"] for row in found], np.int64).view(np.uint64))
+
+
+def _anchor_rows(shards: DataFrame, parts: int, hot: np.ndarray | None = None) -> DataFrame:
     """(bucket, shard, marks): the anchors of a shard, twice if two of its documents have it, as 32 bits each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 data, ends = opened(row["data"], np.array(row["lengths"], np.int64))
-                document, _, _, anchor = anchored(data, ends)
+                document, _, _, anchor = anchored(data, ends, hot=hot)
                 order = np.lexsort((document, anchor))
                 anchor, document = anchor[order], document[order]
                 new = np.ones(len(anchor), bool)
@@ -235,7 +274,7 @@ _STRINGS = (
 )
 
 
-def _string_rows(shards: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
+def _string_rows(shards: DataFrame, shared: DataFrame, parts: int, hot: np.ndarray | None = None) -> DataFrame:
     """Per bucket, a shard's distinct strings around shared anchors and where they are."""
 
     def run(key: tuple, texts: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
@@ -244,7 +283,7 @@ def _string_rows(shards: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
             row = texts.iloc[0]
             data, ends = opened(row["data"], np.array(row["lengths"], np.int64))
             owners = _order_of(list(row["ids"]))
-            document, first, windows, anchor = anchored(data, ends)
+            document, first, windows, anchor = anchored(data, ends, hot=hot)
             names = (anchor % np.uint64(parts)) << np.uint64(32) | anchor >> np.uint64(32)
             wanted = np.concatenate([
                 np.frombuffer(m, "<u4").astype(np.uint64) | np.uint64(b) << np.uint64(32)
@@ -392,7 +431,9 @@ def _range_rows(strings: DataFrame, parts: int) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, shard: int = SHARD, carried: Column | None = None) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, shard: int = SHARD, carried: Column | None = None, hot: int = HOT, one_in: int = ONE_IN
+) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): every row's text without the bytes that earlier documents have.
 
     A byte goes if a string of WIDTH bytes over it also starts in a document with a smaller doc_id. Null texts
@@ -402,8 +443,9 @@ def remove_repeats(docs: DataFrame, shard: int = SHARD, carried: Column | None =
     """
     parts = shuffle_parts(docs.sparkSession)
     shards = written(document_shards(docs, shard, carried), "shards")
-    shared = _shared_rows(_anchor_rows(shards, parts), parts)
-    ranges = _range_rows(_string_rows(shards, shared, parts), parts)
+    split = _hot_anchors(shards, hot, one_in)
+    shared = _shared_rows(_anchor_rows(shards, parts, split), parts)
+    ranges = _range_rows(_string_rows(shards, shared, parts, split), parts)
 
     def cut(_: tuple, texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         row = texts.iloc[0]
