@@ -38,6 +38,32 @@ def identifier(column: str = "doc_id") -> Column:
     return F.col(column).cast("long")
 
 
+def bucketed(df: DataFrame, key: str, parts: int, name: str = "bucketed") -> DataFrame:
+    """``df`` in the shared folder in ``parts`` buckets by ``key``, read again: what is joined to it by that key comes to it.
+
+    The table is dropped from the catalog once it is read; its files stay, as those of ``written`` do.
+    """
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    writer = df.repartition(parts, key).write.option("path", scratch(spark, name)).option("compression", "zstd")
+    writer.bucketBy(parts, key).saveAsTable(table, format="parquet")
+    found = spark.table(table).select("*")
+    found.schema  # resolves the table before its name goes
+    spark.sql(f"DROP TABLE {table}")
+    return found
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], spread: str, salts: int = 16, how: str = "inner") -> DataFrame:
+    """``left`` joined to the few columns of ``right``, whose rows are unique by ``on``; a key of many left rows is salted.
+
+    ``spread`` is a column of ``left`` that differs among rows of one key.
+    """
+    salt = "_join_salt"
+    dealt = left.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    copies = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copies, [*on, salt], how).drop(salt)
+
+
 def range_cuts(df: DataFrame, column: str, parts: int) -> list[int]:
     """At most ``parts - 1`` values that split the rows into ranges of about equal counts."""
     if parts < 2:
