@@ -1,17 +1,22 @@
 """Token ids by the tokenizers library, with the ids of text pieces that its rules keep apart cached.
 
 A word between white space has the same ids wherever it stands if the file's pre-tokenizer drops white space, and a
-pre-token has them if it splits by the byte-level pattern. Both are checked against whole texts in the tests. The library
-takes an added token such as <|endoftext|> out of a text before these rules, so a text with one is encoded as a whole.
+pre-token has them if it splits by the byte-level pattern. On a miss a word is cut into the file's own pre-tokens, which are
+cached too, and only a pre-token never seen goes through the file's model, without the library's rules around it. All this is
+checked against whole texts in the tests. The library takes an added token such as <|endoftext|> out of a text before
+these rules, so a text with one is encoded as a whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
+import regex
 
 from reviewlake.llm.common import TwoGenerations
 from reviewlake.llm.pretokens import token_slices
@@ -19,6 +24,15 @@ from reviewlake.llm.pretokens import token_slices
 CACHE = 250_000
 #: str.split() parts words here, the library doesn't.
 _UNLIKE = ("\x1c", "\x1d", "\x1e", "\x1f")
+#: Bytes that the byte-level alphabet writes as themselves; the others follow from code point 256 on, in order.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_PLAIN = re.compile("[!-~]+")
+
+
+def byte_alphabet() -> dict[int, int]:
+    """The code point that the byte-level alphabet writes for a byte."""
+    others = [byte for byte in range(256) if byte not in _PRINTED]
+    return {byte: byte for byte in _PRINTED} | {byte: 256 + i for i, byte in enumerate(others)}
 
 
 class LibraryEncoder:
@@ -33,12 +47,46 @@ class LibraryEncoder:
         # Without normalisation a token is found as it is written; with it, other spellings may become one.
         contents = None if any(token.normalized for token in added) else [re.escape(token.content) for token in added]
         self.added = re.compile("" if contents is None else "|".join(contents) or r"(?!)")
-        self.words = TwoGenerations(self.whole, cache)
-        self.pieces = TwoGenerations(lambda piece: self.whole(piece.decode("utf-8")), cache)
+        self.split = self._printed_rules(path)
+        self.alphabet = byte_alphabet()
+        self.words = TwoGenerations(self._of_word, cache)
+        self.parts = TwoGenerations(self._of_part, cache)
+        self.pieces = TwoGenerations(self._of_piece, cache)
+
+    @staticmethod
+    def _printed_rules(path: str) -> regex.Pattern | None:
+        """The pattern that cuts words of printed ASCII, if the file puts these in lower case and knows no other rule."""
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        normal, cutting = rules["normalizer"] or {}, rules["pre_tokenizer"] or {}
+        kinds = [step["type"] for step in normal.get("normalizers", [])]
+        steps = cutting.get("pretokenizers", [])
+        if kinds != ["NFC", "Replace", "Lowercase"] or normal["normalizers"][1]["pattern"] != {"Regex": r"\s+"}:
+            return None
+        if [step["type"] for step in steps] != ["Split", "ByteLevel"] or steps[1]["use_regex"] or steps[1]["add_prefix_space"]:
+            return None
+        if steps[0]["behavior"] != "Removed" or not steps[0]["invert"] or "Regex" not in steps[0]["pattern"]:
+            return None
+        return regex.compile(steps[0]["pattern"]["Regex"])
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _of_part(self, part: str) -> bytes:
+        """The ids of a pre-token, in the byte-level alphabet."""
+        ids = array("I", [token.id for token in self.library.model.tokenize(part)])
+        return ids.tobytes() if ids.itemsize == 4 else np.array(ids, "<u4").tobytes()
+
+    def _of_word(self, word: str) -> bytes:
+        parts = self.parts
+        if self.split is not None and _PLAIN.fullmatch(word):
+            return b"".join([parts[part] for part in self.split.findall(word.lower())])
+        normal = self.library.normalizer.normalize_str(word) if self.library.normalizer else word
+        return b"".join([parts[part] for part, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)])
+
+    def _of_piece(self, piece: bytes) -> bytes:
+        return self._of_part(piece.decode("latin-1").translate(self.alphabet))
+
     def by_words(self, texts: list[str]) -> list[bytes]:
         """For files that drop white space."""
         words = self.words
