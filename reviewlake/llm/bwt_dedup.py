@@ -2,8 +2,9 @@
 
 Every window of WIDTH bytes has an anchor, the least hash of its KMER-byte runs, so equal windows have equal anchors.
 Texts are stored in shards of a few megabytes. The shards' anchors are dealt to buckets, which tell each shard the ones
-that another document has too; around those, runs of windows with one anchor become strings, equal strings of a
-shard once. A string that can't share a window with another one of its anchor is repeated as a whole. All others are indexed: the strings of
+that another document has too; around those, runs of windows with one anchor become strings. A bucket gets the distinct
+strings of a shard with the least document of each, and answers in the order they came, so where a string stands is known to
+its shard alone. A string that can't share a window with another one of its anchor is repeated as a whole. All others are indexed: the strings of
 a shard have a Burrows-Wheeler transform, and the transforms are merged by refining their interleaving, one more
 character of context in each round, without sorting suffixes again. The rounds also part the interleaving where common
 prefixes end, so after WIDTH rounds its intervals are the repeated windows, and the least document of each is known.
@@ -14,7 +15,7 @@ whole window as its anchor instead, which equal windows share too. The new ancho
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,9 @@ from reviewlake.llm.common import document_shards, opened, shuffle_parts, writte
 WIDTH, KMER = 50, 16
 SHARD = 4 << 20
 #: Windows of one string at most, and suffixes indexed at a time.
-WINDOWS, INDEXED = 64, 1 << 20
+WINDOWS, INDEXED = 64, 1 << 18
+#: Bytes of texts whose strings make a bucket, and whose buckets make a partition.
+BUCKET, PARTITION = 4 << 20, 64 << 20
 #: Distinct strings of an anchor from which its windows are parted, counted from one of ONE_IN.
 HOT, ONE_IN = 1 << 14, 64
 _LAST = (1 << 63) - 1
@@ -106,31 +109,29 @@ def transform(strings: list[np.ndarray], width: int = WIDTH) -> tuple[np.ndarray
 
     Suffixes are ordered by ``width`` symbols at least, and those equal so far by the number of their string.
     """
-    lengths = np.array([len(s) + 1 for s in strings])
-    text = np.zeros(lengths.sum(), np.uint8)
-    lasts = np.cumsum(lengths) - 1
+    lengths = np.array([len(s) + 1 for s in strings], np.int32)
+    text = np.zeros(int(lengths.sum()), np.uint8)
+    lasts = np.cumsum(lengths, dtype=np.int32) - 1
     body = np.ones(len(text), bool)
     body[lasts] = False
     text[body] = np.concatenate(strings)
-    string = np.repeat(np.arange(len(strings)), lengths)
-    place = np.arange(len(text)) - np.repeat(lasts - lengths + 1, lengths)
-    left = lengths[string] - place  # symbols to the end, the 0 included
+    string = np.repeat(np.arange(len(strings), dtype=np.int32), lengths)
+    left = lasts[string] + 1 - np.arange(len(text), dtype=np.int32)  # symbols to the end, the 0 included
     packed = np.zeros(len(text), np.uint64)
     for i in range(8):
-        ahead = np.zeros(len(text), np.uint64)
-        ahead[: len(text) - i] = text[i:]
-        packed = packed << np.uint64(8) | np.where(left > i, ahead, 0)
-    _, rank = np.unique(packed, return_inverse=True)
+        packed <<= np.uint64(8)
+        packed[: len(text) - i] |= np.where(left[: len(text) - i] > i, text[i:], np.uint8(0)).astype(np.uint64)
+    rank = np.unique(packed, return_inverse=True)[1].astype(np.int32)
     reach = 8
     while reach < width:
-        after = np.zeros(len(text), np.int64)
-        after[:-reach] = rank[reach:] + 1
-        after[left <= reach] = 0
-        _, rank = np.unique(rank * (len(text) + 2) + after, return_inverse=True)
+        pair = rank * np.int64(len(text) + 2)
+        pair[:-reach] += np.where(left[:-reach] > reach, rank[reach:] + 1, 0)
+        rank = np.unique(pair, return_inverse=True)[1].astype(np.int32)
         reach *= 2
-    order = np.argsort(rank, kind="stable")  # equal suffixes stay in the order of their strings
-    before = np.where(place[order] > 0, text[order - 1], 0).astype(np.uint8)
-    return before, string[order], place[order]
+    order = np.argsort(rank, kind="stable").astype(np.int32)  # equal suffixes stay in the order of their strings
+    string, place = string[order], lengths[string[order]] - left[order]
+    before = np.where(place > 0, text[order - 1], 0).astype(np.uint8)
+    return before, string, place
 
 
 def merge(transforms: list[np.ndarray], rounds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -200,115 +201,131 @@ def _sampled(data: np.ndarray, first: np.ndarray, windows: np.ndarray, anchor: n
     return np.unique(np.stack([anchor[chosen], name[chosen]], axis=1), axis=0)
 
 
-def _hot_anchors(shards: DataFrame, hot: int, one_in: int) -> np.ndarray:
-    """The anchors with more than about ``hot`` distinct strings; there is at most one in so many strings of all texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                data, ends = opened(row["data"], np.array(row["lengths"], np.int64))
-                _, first, windows, anchor = anchored(data, ends)
-                pairs = _sampled(data, first, windows, anchor, one_in).view(np.int64)
-                yield pa.RecordBatch.from_pydict({"anchor": pa.array(pairs[:, 0]), "name": pa.array(pairs[:, 1])})
-
-    sampled = shards.mapInArrow(run, "anchor long, name long").distinct()
-    found = sampled.groupBy("anchor").count().filter(F.col("count") > hot // one_in).select("anchor").collect()
-    return np.sort(np.array([row["anchor"] for row in found], np.int64).view(np.uint64))
+def _anchor_rows(shards: DataFrame, buckets: int, one_in: int, hot: np.ndarray | None = None) -> DataFrame:
+    """(bucket, shard, marks): the anchors of a shard as 32 bits each, twice if two of its documents have it.
 
-
-def _anchor_rows(shards: DataFrame, parts: int, hot: np.ndarray | None = None) -> DataFrame:
-    """(bucket, shard, marks): the anchors of a shard, twice if two of its documents have it, as 32 bits each."""
+    Without ``hot`` bucket -1 has the shard's ``_sampled`` strings, one pair after another.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 data, ends = opened(row["data"], np.array(row["lengths"], np.int64))
-                document, _, _, anchor = anchored(data, ends, hot=hot)
+                document, first, windows, anchor = anchored(data, ends, hot=hot)
+                sampled = [] if hot is not None else [_sampled(data, first, windows, anchor, one_in).tobytes()]
                 order = np.lexsort((document, anchor))
                 anchor, document = anchor[order], document[order]
                 new = np.ones(len(anchor), bool)
                 new[1:] = (anchor[1:] != anchor[:-1]) | (document[1:] != document[:-1])
                 names, counts = np.unique(anchor[new], return_counts=True)
-                names = np.concatenate([names, names[counts > 1]])
-                bucket = (names % np.uint64(parts)).astype(np.int64)
-                mark = (names >> np.uint64(32)).astype("<u4")
-                order = np.lexsort((mark, bucket))
-                bucket, mark = bucket[order], mark[order]
-                present, first = np.unique(bucket, return_index=True)
+                names = np.sort(np.concatenate([names, names[counts > 1]]))
+                bucket = (names % np.uint64(buckets)).astype(np.int64)
+                mark = (names >> np.uint64(32)).astype("<u4")[np.argsort(bucket, kind="stable")]
+                present, size = np.unique(bucket, return_counts=True)
+                marks = np.split(mark, np.cumsum(size)[:-1]) if len(present) else []
                 yield pa.RecordBatch.from_pydict({
-                    "bucket": pa.array(present, pa.int32()),
-                    "shard": pa.array([row["shard"]] * len(present), pa.int64()),
-                    "marks": pa.array([m.tobytes() for m in np.split(mark, first[1:])] if len(present) else [], pa.binary()),
+                    "bucket": pa.array([-1] * len(sampled) + present.tolist(), pa.int32()),
+                    "shard": pa.array([row["shard"]] * (len(sampled) + len(present)), pa.int64()),
+                    "marks": pa.array(sampled + [m.tobytes() for m in marks], pa.binary()),
                 })
 
-    return shards.mapInArrow(run, "bucket int, shard long, marks binary")
+    return shards.select("shard", "lengths", "data").mapInArrow(run, "bucket int, shard long, marks binary")
 
 
-def _shared_rows(anchors: DataFrame, parts: int) -> DataFrame:
-    """(shard, bucket, marks): those of a shard's marks that are there twice or more in the bucket."""
+def _hot_anchors(dealt: DataFrame, hot: int, one_in: int) -> np.ndarray:
+    """The anchors with more than about ``hot`` distinct strings; there is at most one in so many strings of all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pairs in batch.column(0).to_pylist():
+                anchor, name = np.frombuffer(pairs, np.int64).reshape(-1, 2).T
+                yield pa.RecordBatch.from_pydict({"anchor": pa.array(anchor), "name": pa.array(name)})
+
+    sampled = dealt.filter("bucket = -1").select("marks").mapInArrow(run, "anchor long, name long").distinct()
+    found = sampled.groupBy("anchor").count().filter(F.col("count") > hot // one_in).select("anchor").collect()
+    return np.sort(np.array([row["anchor"] for row in found], np.int64).view(np.uint64))
+
+
+def _by_bucket(rows: DataFrame, parts: int, resolve: Callable[[list[dict]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """What ``resolve`` makes of the rows of each bucket; a task holds one bucket at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[int, np.ndarray]]] = {}
+        held: list[dict] = []
         for batch in batches:
-            for bucket, shard, marks in zip(*(c.to_pylist() for c in batch.columns)):
-                held.setdefault(bucket, []).append((shard, np.frombuffer(marks, "<u4")))
-        for bucket, rows in held.items():
-            names, place = np.unique(np.concatenate([marks for _, marks in rows]), return_inverse=True)
-            shared = (np.bincount(place, minlength=len(names)) > 1)[place]
-            at = 0
-            for shard, marks in rows:
-                own = marks[shared[at : at + len(marks)]]
-                at += len(marks)
-                if len(own):
-                    yield pa.RecordBatch.from_pydict({
-                        "shard": pa.array([shard], pa.int64()), "bucket": pa.array([bucket], pa.int32()),
-                        "marks": pa.array([own.astype("<u4").tobytes()], pa.binary()),
-                    })
+            for row in batch.to_pylist():
+                if held and held[0]["bucket"] != row["bucket"]:
+                    yield from resolve(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield from resolve(held)
 
-    return anchors.repartitionById(parts, "bucket").mapInArrow(run, "shard long, bucket int, marks binary")
+    return rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "shard").mapInArrow(run, schema)
 
 
-_STRINGS = (
-    "bucket int, shard long, anchors binary, lengths binary, chars binary, least binary, "
-    "string binary, document binary, start binary, owner binary"
-)
+def _shared_marks(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+    """(shard, bucket, marks): those of a shard's marks that are there twice or more in the bucket."""
+    held = [np.frombuffer(row["marks"], "<u4") for row in rows]
+    names, counts = np.unique(np.concatenate(held), return_counts=True)
+    several = names[counts > 1]
+    for row, marks in zip(rows, held):
+        own = np.intersect1d(marks, several)
+        if len(own):
+            yield pa.RecordBatch.from_pydict({
+                "shard": pa.array([row["shard"]], pa.int64()), "bucket": pa.array([row["bucket"]], pa.int32()),
+                "marks": pa.array([own.tobytes()], pa.binary()),
+            })
 
 
-def _string_rows(shards: DataFrame, shared: DataFrame, parts: int, hot: np.ndarray | None = None) -> DataFrame:
-    """Per bucket, a shard's distinct strings around shared anchors and where they are."""
+class _Strings:
+    """A shard's strings around shared anchors, bucket by bucket and in one order whenever they are made."""
+
+    def __init__(self, row: dict, marks: dict[int, bytes], buckets: int, hot: np.ndarray) -> None:
+        lengths = np.array(row["lengths"], np.int64)
+        self.data, self.ends = opened(row["data"], lengths)
+        self.base = self.ends - lengths
+        self.owners = _order_of(list(row["ids"]))
+        self.document, self.first, self.windows, self.anchor = anchored(self.data, self.ends, hot=hot)
+        names = (self.anchor % np.uint64(buckets)) << np.uint64(32) | self.anchor >> np.uint64(32)
+        wanted = [np.frombuffer(m, "<u4").astype(np.uint64) | np.uint64(b) << np.uint64(32) for b, m in marks.items()]
+        chosen = np.flatnonzero(np.isin(names, np.concatenate(wanted))) if wanted else np.zeros(0, np.int64)
+        bucket = (self.anchor[chosen] % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        self.buckets, size = np.unique(bucket, return_counts=True)
+        self.runs = np.split(chosen[order], np.cumsum(size)[:-1]) if len(self.buckets) else []
+
+    def of_buckets(self) -> Iterator[tuple[int, np.ndarray, list[bytes], np.ndarray]]:
+        """(bucket, runs, distinct strings, the number of each run's string)."""
+        whole = self.data.tobytes()
+        for bucket, at in zip(self.buckets.tolist(), self.runs):
+            number: dict[bytes, int] = {}
+            spans = zip(self.first[at].tolist(), (self.first[at] + self.windows[at] + WIDTH - 1).tolist())
+            string = np.array([number.setdefault(whole[x:y], len(number)) for x, y in spans], np.int32)
+            yield bucket, at, list(number), string
+
+
+_STRINGS = "bucket int, shard long, marks binary, anchors binary, lengths binary, chars binary, least binary"
+
+
+def _string_rows(shards: DataFrame, shared: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
+    """Per bucket, a shard's distinct strings around shared anchors and the least document of each."""
 
     def run(key: tuple, texts: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
         out = {name.split()[0]: [] for name in _STRINGS.split(", ")}
         if len(texts) and len(marks):
-            row = texts.iloc[0]
-            data, ends = opened(row["data"], np.array(row["lengths"], np.int64))
-            owners = _order_of(list(row["ids"]))
-            document, first, windows, anchor = anchored(data, ends, hot=hot)
-            names = (anchor % np.uint64(parts)) << np.uint64(32) | anchor >> np.uint64(32)
-            wanted = np.concatenate([
-                np.frombuffer(m, "<u4").astype(np.uint64) | np.uint64(b) << np.uint64(32)
-                for b, m in zip(marks["bucket"], marks["marks"])
-            ])
-            chosen = np.flatnonzero(np.isin(names, wanted))
-            bucket = (anchor[chosen] % np.uint64(parts)).astype(np.int64)
-            chosen, bucket = chosen[np.argsort(bucket, kind="stable")], np.sort(bucket, kind="stable")
-            base = ends - np.array(row["lengths"], np.int64)
-            whole = data.tobytes()
-            for b, at in zip(np.unique(bucket).tolist(), np.split(chosen, np.flatnonzero(np.diff(bucket)) + 1)):
-                number: dict[bytes, int] = {}
-                spans = zip(first[at].tolist(), (first[at] + windows[at] + WIDTH - 1).tolist())
-                string = np.array([number.setdefault(whole[x:y], len(number)) for x, y in spans], np.int32)
-                owner = owners[document[at]]
-                least = np.full(len(number), _LAST, np.int64)
-                np.minimum.at(least, string, owner)
-                name = np.zeros(len(number), np.uint64)
-                name[string] = anchor[at]
+            asked = dict(zip(marks["bucket"].tolist(), marks["marks"]))
+            held = _Strings(texts.iloc[0].to_dict(), asked, buckets, hot)
+            for bucket, at, strings, string in held.of_buckets():
+                least = np.full(len(strings), _LAST, np.int64)
+                np.minimum.at(least, string, held.owners[held.document[at]])
+                name = np.zeros(len(strings), np.uint64)
+                name[string] = held.anchor[at]
                 values = (
-                    b, key[0], name, np.array([len(s) for s in number], np.int32), zstandard.compress(b"".join(number)), least,
-                    string, document[at].astype(np.int32), (first[at] - base[document[at]]).astype(np.int64), owner,
+                    bucket, key[0], asked[bucket], name.tobytes(), np.array([len(s) for s in strings], np.int32).tobytes(),
+                    zstandard.compress(b"".join(strings)), least.tobytes(),
                 )
                 for column, value in zip(out.values(), values):
-                    column.append(value.tobytes() if isinstance(value, np.ndarray) else value)
+                    column.append(value)
         return pd.DataFrame(out)
 
     return shards.groupBy("shard").cogroup(shared.groupBy("shard")).applyInPandas(run, _STRINGS)
@@ -367,68 +384,69 @@ def _window_owners(
     return out
 
 
-def _range_rows(strings: DataFrame, parts: int) -> DataFrame:
-    """(shard, document, start, stop): the bytes of a shard's documents that earlier documents have."""
-
-    def resolve(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        number: dict[bytes, int] = {}
-        least, anchor, shard = [], [], []
-        mine = []
-        for row in rows:
-            stops = np.cumsum(np.frombuffer(row["lengths"], np.int32))
-            chars, names = zstandard.decompress(row["chars"]), np.frombuffer(row["anchors"], np.uint64).tolist()
-            local = np.zeros(len(stops), np.int64)
-            start = 0
-            for i, (stop, doc) in enumerate(zip(stops.tolist(), np.frombuffer(row["least"], np.int64).tolist())):
-                text = chars[start:stop]
-                start = stop
-                n = number.setdefault(text, len(number))
-                if n == len(least):
-                    least.append(doc)
-                    anchor.append(names[i])
-                    shard.append(row["shard"])
-                elif doc < least[n]:
-                    least[n] = doc
-                local[i] = n
-            mine.append(local)
-        leasts = np.array(least, np.int64)
-        windows = np.array([len(text) - WIDTH + 1 for text in number], np.int64)
-        inner = _window_owners(number, leasts, np.array(anchor, np.uint64), np.array(shard, np.int64))
-        mixed = np.zeros(len(leasts), bool)
-        mixed[list(inner)] = True
-        for row, local in zip(rows, mine):
-            string = local[np.frombuffer(row["string"], np.int32)]
-            document = np.frombuffer(row["document"], np.int32)
-            start, owner = np.frombuffer(row["start"], np.int64), np.frombuffer(row["owner"], np.int64)
-            whole = ~mixed[string] & (leasts[string] < owner)
-            d, a, b = [document[whole]], [start[whole]], [(start + windows[string] + WIDTH - 1)[whole]]
-            for i in np.flatnonzero(mixed[string]).tolist():
-                hit = np.flatnonzero(inner[string[i]] < owner[i])
-                if len(hit):
-                    breaks = np.flatnonzero(np.diff(hit) > 1)
-                    firsts, lasts = hit[np.append(0, breaks + 1)], hit[np.append(breaks, len(hit) - 1)]
-                    d.append(np.full(len(firsts), document[i], np.int32))
-                    a.append(start[i] + firsts)
-                    b.append(start[i] + lasts + WIDTH)
-            yield pa.RecordBatch.from_pydict({
-                "shard": pa.array([row["shard"]], pa.int64()),
-                "document": pa.array([np.concatenate(d).astype(np.int32).tobytes()], pa.binary()),
-                "start": pa.array([np.concatenate(a).astype(np.int64).tobytes()], pa.binary()),
-                "stop": pa.array([np.concatenate(b).astype(np.int64).tobytes()], pa.binary()),
-            })
+_ANSWERS = "shard long, bucket int, marks binary, least binary, mixed binary, inner binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[dict]] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                held.setdefault(row["bucket"], []).append(row)
-        for bucket in list(held):
-            rows = sorted(held.pop(bucket), key=lambda row: row["shard"])
-            yield from resolve(rows)
 
-    return strings.repartitionById(parts, "bucket").mapInArrow(
-        run, "shard long, document binary, start binary, stop binary"
-    )
+def _answers(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+    """For every string of a shard, in its order, the least document that has all of its windows, and where there is none.
+
+    For such strings ``inner`` has the least document of each of their windows, string by string.
+    """
+    number: dict[bytes, int] = {}
+    least, anchor, shard = [], [], []
+    mine = []
+    for row in rows:
+        stops = np.cumsum(np.frombuffer(row["lengths"], np.int32))
+        chars, names = zstandard.decompress(row["chars"]), np.frombuffer(row["anchors"], np.uint64).tolist()
+        local = np.zeros(len(stops), np.int32)
+        start = 0
+        for i, (stop, doc) in enumerate(zip(stops.tolist(), np.frombuffer(row["least"], np.int64).tolist())):
+            text = chars[start:stop]
+            start = stop
+            n = number.setdefault(text, len(number))
+            if n == len(least):
+                least.append(doc)
+                anchor.append(names[i])
+                shard.append(row["shard"])
+            elif doc < least[n]:
+                least[n] = doc
+            local[i] = n
+        mine.append(local)
+    leasts = np.array(least, np.int64)
+    inner = _window_owners(number, leasts, np.array(anchor, np.uint64), np.array(shard, np.int64))
+    mixed = np.zeros(len(leasts), np.uint8)
+    for n, windows in inner.items():
+        leasts[n], mixed[n] = windows[0], (windows != windows[0]).any()
+    for row, local in zip(rows, mine):
+        own = [inner[n] for n in local[mixed[local] > 0].tolist()]
+        yield pa.RecordBatch.from_pydict({
+            "shard": pa.array([row["shard"]], pa.int64()), "bucket": pa.array([row["bucket"]], pa.int32()),
+            "marks": pa.array([row["marks"]], pa.binary()),
+            "least": pa.array([zstandard.compress(leasts[local].tobytes())], pa.binary()),
+            "mixed": pa.array([mixed[local].tobytes()], pa.binary()),
+            "inner": pa.array([zstandard.compress(b"".join([windows.tobytes() for windows in own]))], pa.binary()),
+        })
+
+
+def _covered(held: _Strings, answers: dict[int, tuple[bytes, bytes, bytes]]) -> np.ndarray:
+    """Which bytes of a shard are in a window that a smaller document has."""
+    change = np.zeros(len(held.data) + 1, np.int32)
+    for bucket, at, strings, string in held.of_buckets():
+        whole, flags, parts = answers[bucket]
+        least, inner = (np.frombuffer(zstandard.decompress(part), np.int64) for part in (whole, parts))
+        mixed = np.frombuffer(flags, np.uint8) > 0
+        owner, first = held.owners[held.document[at]], held.first[at]
+        hit = ~mixed[string] & (least[string] < owner)
+        np.add.at(change, first[hit], 1)
+        np.add.at(change, (first + held.windows[at] + WIDTH - 1)[hit], -1)
+        ends = np.cumsum(np.where(mixed, [len(text) - WIDTH + 1 for text in strings], 0))
+        for i in np.flatnonzero(mixed[string]).tolist():
+            stop = ends[string[i]]
+            windows = inner[stop - held.windows[at[i]] : stop]
+            hits = first[i] + np.flatnonzero(windows < owner[i])
+            np.add.at(change, hits, 1)
+            np.add.at(change, hits + WIDTH, -1)
+    return np.cumsum(change[:-1]) > 0
 
 
 def remove_repeats(
@@ -441,23 +459,24 @@ def remove_repeats(
     one doc_id. Rows stay as many as they are. An empty table gives an empty table. A string column ``carried`` of
     ``docs`` comes back with each row.
     """
-    parts = shuffle_parts(docs.sparkSession)
     shards = written(document_shards(docs, shard, carried), "shards")
-    split = _hot_anchors(shards, hot, one_in)
-    shared = _shared_rows(_anchor_rows(shards, parts, split), parts)
-    ranges = _range_rows(_string_rows(shards, shared, parts, split), parts)
+    size = shards.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda n, x: n + x)).alias("size")).first()["size"]
+    parts = max(shuffle_parts(docs.sparkSession), -(-(size or 0) // PARTITION))
+    buckets = max(parts, -(-(size or 0) // BUCKET))
+    dealt = written(_anchor_rows(shards, buckets, one_in), "anchors")
+    split = _hot_anchors(dealt, hot, one_in)
+    # Hot anchors are rare; only then are the shards read once more.
+    dealt = _anchor_rows(shards, buckets, one_in, split) if len(split) else dealt.filter("bucket >= 0")
+    shared = _by_bucket(dealt, parts, _shared_marks, "shard long, bucket int, marks binary")
+    texts = shards.select("shard", "ids", "lengths", "data")
+    answers = _by_bucket(_string_rows(texts, shared, buckets, split), parts, _answers, _ANSWERS)
 
     def cut(_: tuple, texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        row = texts.iloc[0]
+        row = texts.iloc[0].to_dict()
         lengths = np.array(row["lengths"], np.int64)
-        data, ends = opened(row["data"], lengths)
-        base = ends - lengths
-        change = np.zeros(len(data) + 1, np.int32)
-        for document, start, stop in zip(found["document"], found["start"], found["stop"]):
-            at = base[np.frombuffer(document, np.int32)]
-            np.add.at(change, at + np.frombuffer(start, np.int64), 1)
-            np.add.at(change, at + np.frombuffer(stop, np.int64), -1)
-        gone = np.cumsum(change[:-1]) > 0
+        held = _Strings(row, dict(zip(found["bucket"].tolist(), found["marks"])), buckets, split)
+        data, ends, base = held.data, held.ends, held.base
+        gone = _covered(held, dict(zip(found["bucket"].tolist(), zip(found["least"], found["mixed"], found["inner"]))))
         removed = np.concatenate([[0], np.cumsum(gone)])
         begins = gone.copy()
         begins[1:] &= ~gone[:-1]
@@ -477,7 +496,7 @@ def remove_repeats(
         )
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, carried string"
-    out = shards.groupBy("shard").cogroup(ranges.groupBy("shard")).applyInPandas(cut, schema)
+    out = shards.groupBy("shard").cogroup(answers.groupBy("shard")).applyInPandas(cut, schema)
     return out.drop("carried") if carried is None else out
 
 
