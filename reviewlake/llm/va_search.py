@@ -118,9 +118,10 @@ def _meet(queries: DataFrame, files: DataFrame, columns: list[str]) -> DataFrame
 
 
 def top_k(embeddings: DataFrame, is_query: str, k: int = 5, column: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): for each row that ``is_query`` holds for, the k rows of the highest scores.
+    """(query_id, rank, vec_id, score): for each vec_id that ``is_query`` holds for, the k rows of the highest scores.
 
-    Ties go to the smaller vec_id; a query's own vec_id is no result. Vectors are compared with those of their own
+    Ties go to the smaller vec_id; a query's own vec_id is no result. A vec_id with several vectors is one query that each of
+    them asks, and a result once for each pair of vectors; repeated rows count once. Vectors are compared with those of their own
     dimension. Scores beyond 64 bits are returned as the nearest 64-bit number. An empty table gives an empty table.
     """
     vectors, files = build(embeddings, k, column)
@@ -130,7 +131,10 @@ def top_k(embeddings: DataFrame, is_query: str, k: int = 5, column: str = "embed
         for frame in frames:
             for row in frame.itertuples():
                 lower, _ = _bounds(_matrix([q["vector"] for q in row.queries]), row.low, row.width, row.cells, len(row.ids))
-                own = {i: n for n, ids in enumerate(row.ids) for i in ids}
+                own: dict[int, list[int]] = {}  # a vec_id may have several vectors
+                for n, ids in enumerate(row.ids):
+                    for i in ids:
+                        own.setdefault(i, []).append(n)
                 found = []
                 for q, bounds in zip(row.queries, lower):
                     if q["vec_id"] in own:
