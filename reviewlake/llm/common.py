@@ -64,6 +64,17 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], spread: str, s
     return dealt.join(copies, [*on, salt], how).drop(salt)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The names, each with as many underscores before it as no column of ``df`` has."""
+    taken, out = {name.lower() for name in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def range_cuts(df: DataFrame, column: str, parts: int) -> list[int]:
     """At most ``parts - 1`` values that split the rows into ranges of about equal counts."""
     if parts < 2:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import scratch
+from reviewlake.llm.common import free_names, scratch
 
 
 @dataclass(frozen=True)
@@ -108,6 +108,8 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> D
 
     place = F.array_position(F.array(*wanted), F.concat_ws("/", "kind", "rule_version")) - 1
     current = spark.read.schema(LEDGER).parquet(ledger).withColumn("place", place).filter("place >= 0")
+    # Runs beside each other may both have scanned a blob.
+    current = current.dropDuplicates(["blob", "place"])
     with_any = current.filter(F.size("spans") > 0).select("blob", "place", "kind", F.explode("spans").alias("span"))
     findings = with_any.groupBy("blob").agg(
         F.array_sort(F.collect_list(F.struct("span.start", "place", "kind", "span.end"))).alias("spans")
@@ -134,18 +136,20 @@ def findings(docs: DataFrame, ledger: str | None = None) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every found span, or run of overlapping ones, replaced by ``mark``; n_chars follows the text.
 
-    Rows are matched by their text, so null and repeated doc_ids are redacted as well. Null texts stay null.
+    Rows are matched by their text, so null and repeated doc_ids are redacted as well. Null texts stay null. Columns of any
+    other names stay as they are.
     """
+    name, spans, held = free_names(docs, "blob", "spans", "state")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     blob = F.unhex(F.sha2(text.cast("binary"), 256))
     found = (
-        findings(docs).filter(F.size("spans") > 0).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+        findings(docs).filter(F.size("spans") > 0).select(F.col("blob").alias(name), F.col("spans").alias(spans))
     )
-    found = found.dropDuplicates(["_blob"])
+    found = found.dropDuplicates([name])
     # The furthest end before each span, and the mark where a span begins beyond it.
     reach = "array<struct<from: bigint, start: bigint>>"
     state = F.aggregate(
-        "_spans",
+        spans,
         F.struct(F.lit(0).cast("long").alias("end"), F.array().cast(reach).alias("cuts")),
         lambda acc, s: F.struct(
             F.greatest(acc["end"], s["end"]).alias("end"),
@@ -155,13 +159,13 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
         ),
     )
     kept = F.transform(
-        F.col("_state.cuts"),
+        F.col(held)["cuts"],
         lambda c: F.concat(F.substring(F.col("text"), c["from"].cast("int") + 1, (c["start"] - c["from"]).cast("int")), F.lit(mark)),
     )
-    rest = F.substring(F.col("text"), F.col("_state.end").cast("int") + 1, F.lit(2**31 - 1))
-    clean = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.concat(F.array_join(kept, ""), rest))
-    out = docs.withColumn("_blob", blob).join(found, "_blob", "left").withColumn("_state", state)
+    rest = F.substring(F.col("text"), F.col(held)["end"].cast("int") + 1, F.lit(2**31 - 1))
+    clean = F.when(F.col(spans).isNull(), F.col("text")).otherwise(F.concat(F.array_join(kept, ""), rest))
+    out = docs.withColumn(name, blob).join(found, name, "left").withColumn(held, state)
     out = out.withColumn("text", clean)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(docs.columns)
+        out = out.withColumn("n_chars", F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+    return out.select([F.col(f"`{column}`") for column in docs.columns])

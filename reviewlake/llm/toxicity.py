@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import TwoGenerations, by_size, identifier, utf8
+from reviewlake.llm.common import TwoGenerations, by_size, free_names, identifier, utf8
 
 DIMENSIONS = 1 << 22
 #: The bounded training sample: about so many toxic texts for all, and unlabelled ones for each classifier.
@@ -193,6 +193,7 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFr
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` that aren't predicted toxic. Rows without doc_id stay; of repeated ids, all go or stay."""
-    rejected = scored(docs, labels, threshold).filter("predicted = 1").select(F.col("doc_id").alias("_toxic")).distinct()
-    return docs.join(rejected, identifier() == F.col("_toxic"), "left_anti").select(docs.columns)
+    """The rows of ``docs`` that aren't predicted toxic, by all labels. Rows without doc_id stay; of repeated ids, all go or stay."""
+    (toxic,) = free_names(docs, "toxic")
+    rejected = score(docs, train(docs, labels)).filter(F.col("score") >= threshold).select(F.col("doc_id").alias(toxic)).distinct()
+    return docs.join(rejected, identifier() == F.col(toxic), "left_anti").select([F.col(f"`{column}`") for column in docs.columns])
