@@ -1,10 +1,11 @@
 """Token ids by the tokenizers library, with the ids of text pieces that its rules keep apart cached.
 
-A word between white space has the same ids wherever it stands if the file's pre-tokenizer drops white space, and a
-pre-token has them if it splits by the byte-level pattern. On a miss a word is cut into the file's own pre-tokens, which are
-cached too, and only a pre-token never seen goes through the file's model, without the library's rules around it. All this is
-checked against whole texts in the tests. The library takes an added token such as <|endoftext|> out of a text before
-these rules, so a text with one is encoded as a whole.
+A word between white space has the same ids wherever it stands if the file's pre-tokenizer drops white space. If it splits
+by the byte-level pattern, so has a word with the blank before it, and so has what else of white space the pattern
+leaves. On a miss a piece in Latin script is cut into the file's pre-tokens, which are cached too, and only a pre-token
+never seen goes through the file's model, without the library's rules around it; any other piece goes through the library.
+All this is checked against whole texts in the tests. The library takes an added token such as <|endoftext|> out of a
+text before these rules, so a text with one is encoded as a whole.
 """
 
 from __future__ import annotations
@@ -16,17 +17,22 @@ from array import array
 from functools import lru_cache
 
 import numpy as np
-import regex
 
 from reviewlake.llm.common import TwoGenerations
-from reviewlake.llm.pretokens import token_slices
 
 CACHE = 250_000
-#: str.split() parts words here, the library doesn't.
-_UNLIKE = ("\x1c", "\x1d", "\x1e", "\x1f")
+#: White space for Python alone.
+_UNLIKE = re.compile("[\x1c-\x1f]")
 #: Bytes that the byte-level alphabet writes as themselves; the others follow from code point 256 on, in order.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_PLAIN = re.compile("[!-~]+")
+#: Letters that no normal form changes and whose small ones are single letters.
+_SMALL = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_LATIN = f"A-Z\u00c0-\u00d6\u00d8-\u00de{_SMALL}"
+_PLAIN = re.compile(f" ?[!-~{_LATIN}]+")
+#: A word with its blank, or white space as the byte-level pattern leaves it.
+_CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+#: The byte-level pattern within a plain word.
+_BYTE_LEVEL = re.compile(rf"'(?:[sdmt]|ll|ve|re)| ?[{_LATIN}]+| ?[0-9]+| ?[^\s0-9{_LATIN}]+")
 
 
 def byte_alphabet() -> dict[int, int]:
@@ -35,6 +41,20 @@ def byte_alphabet() -> dict[int, int]:
     return {byte: byte for byte in _PRINTED} | {byte: 256 + i for i, byte in enumerate(others)}
 
 
+def _word_pattern(rules: dict) -> re.Pattern | None:
+    """The pattern that cuts plain words in lower case, if the file normalises by NFC and case and knows no other rule."""
+    normal, cutting = rules["normalizer"] or {}, rules["pre_tokenizer"] or {}
+    kinds = [step["type"] for step in normal.get("normalizers", [])]
+    steps = cutting.get("pretokenizers", [])
+    if kinds != ["NFC", "Replace", "Lowercase"] or normal["normalizers"][1]["pattern"] != {"Regex": r"\s+"}:
+        return None
+    if [step["type"] for step in steps] != ["Split", "ByteLevel"] or steps[1]["use_regex"] or steps[1]["add_prefix_space"]:
+        return None
+    if steps[0]["behavior"] != "Removed" or not steps[0]["invert"] or "Regex" not in steps[0]["pattern"]:
+        return None
+    return re.compile(steps[0]["pattern"]["Regex"].replace(r"\p{L}", _SMALL).replace(r"\p{N}", "0-9"))
+
+
 class LibraryEncoder:
     """Ids as little-endian 32-bit bytes, as the library gives them without the tokens it puts around a text."""
 
@@ -43,69 +63,63 @@ class LibraryEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
         added = self.library.get_added_tokens_decoder().values()
         # Without normalisation a token is found as it is written; with it, other spellings may become one.
         contents = None if any(token.normalized for token in added) else [re.escape(token.content) for token in added]
         self.added = re.compile("" if contents is None else "|".join(contents) or r"(?!)")
-        self.split = self._printed_rules(path)
+        self.word_pattern = _word_pattern(rules)
+        cutting = rules["pre_tokenizer"] or {}
+        byte_level = cutting.get("type") == "ByteLevel" and cutting["use_regex"] and not cutting["add_prefix_space"]
+        self.piece_pattern = _BYTE_LEVEL if byte_level and rules["normalizer"] is None else None
         self.alphabet = byte_alphabet()
-        self.words = TwoGenerations(self._of_word, cache)
         self.parts = TwoGenerations(self._of_part, cache)
+        self.words = TwoGenerations(self._of_word, cache)
         self.pieces = TwoGenerations(self._of_piece, cache)
 
-    @staticmethod
-    def _printed_rules(path: str) -> regex.Pattern | None:
-        """The pattern that cuts words of printed ASCII, if the file puts these in lower case and knows no other rule."""
-        with open(path, encoding="utf-8") as file:
-            rules = json.load(file)
-        normal, cutting = rules["normalizer"] or {}, rules["pre_tokenizer"] or {}
-        kinds = [step["type"] for step in normal.get("normalizers", [])]
-        steps = cutting.get("pretokenizers", [])
-        if kinds != ["NFC", "Replace", "Lowercase"] or normal["normalizers"][1]["pattern"] != {"Regex": r"\s+"}:
-            return None
-        if [step["type"] for step in steps] != ["Split", "ByteLevel"] or steps[1]["use_regex"] or steps[1]["add_prefix_space"]:
-            return None
-        if steps[0]["behavior"] != "Removed" or not steps[0]["invert"] or "Regex" not in steps[0]["pattern"]:
-            return None
-        return regex.compile(steps[0]["pattern"]["Regex"])
+    def forget(self) -> None:
+        """Drops the cached ids: workers outlive tasks, and what they hold is there through later stages."""
+        for cache in (self.parts, self.words, self.pieces):
+            cache.forget()
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _of_part(self, part: str) -> bytes:
-        """The ids of a pre-token, in the byte-level alphabet."""
-        ids = array("I", [token.id for token in self.library.model.tokenize(part)])
+        """The ids of a pre-token."""
+        written = part.encode("utf-8").decode("latin-1").translate(self.alphabet)
+        ids = array("I", [token.id for token in self.library.model.tokenize(written)])
         return ids.tobytes() if ids.itemsize == 4 else np.array(ids, "<u4").tobytes()
 
     def _of_word(self, word: str) -> bytes:
+        if self.word_pattern is None or not _PLAIN.fullmatch(word):
+            return self.whole(word)
+        parts = self.parts
+        return b"".join([parts[part] for part in self.word_pattern.findall(word.lower())])
+
+    def _of_piece(self, piece: str) -> bytes:
+        if self.piece_pattern is None or not _PLAIN.fullmatch(piece):
+            return self.whole(piece)
         parts = self.parts
-        if self.split is not None and _PLAIN.fullmatch(word):
-            return b"".join([parts[part] for part in self.split.findall(word.lower())])
-        normal = self.library.normalizer.normalize_str(word) if self.library.normalizer else word
-        return b"".join([parts[part] for part, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)])
+        return b"".join([parts[part] for part in self.piece_pattern.findall(piece)])
 
-    def _of_piece(self, piece: bytes) -> bytes:
-        return self._of_part(piece.decode("latin-1").translate(self.alphabet))
+    def _special(self, text: str) -> bool:
+        return bool(_UNLIKE.search(text) or self.added.search(text))
 
     def by_words(self, texts: list[str]) -> list[bytes]:
         """For files that drop white space."""
         words = self.words
         return [
-            self.whole(text)
-            if any(mark in text for mark in _UNLIKE) or self.added.search(text)
-            else b"".join([words[w] for w in text.split()])
-            for text in texts
+            self.whole(text) if self._special(text) else b"".join([words[word] for word in text.split()]) for text in texts
         ]
 
     def by_pieces(self, texts: list[str]) -> list[bytes]:
         """For files that split by the byte-level pattern and don't normalise."""
-        special = {i for i, text in enumerate(texts) if self.added.search(text)}
-        data, bounds, firsts = token_slices(["" if i in special else text for i, text in enumerate(texts)])
-        at, pieces = bounds.tolist(), self.pieces
-        found = [pieces[data[a:b]] for a, b in zip(at, at[1:])]
+        pieces = self.pieces
         return [
-            self.whole(texts[i]) if i in special else b"".join(found[a:b])
-            for i, (a, b) in enumerate(zip(firsts.tolist(), firsts[1:].tolist()))
+            self.whole(text) if self._special(text) else b"".join([pieces[piece] for piece in _CHUNK.findall(text)])
+            for text in texts
         ]
 
 
