@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewlake.llm.common import document_shards, opened, shuffle_parts, written
+from reviewlake.llm.common import bucketed, document_shards, give_back, opened, shuffle_parts, written
 
 WIDTH, KMER = 50, 16
 SHARD = 4 << 20
@@ -228,6 +228,7 @@ def _anchor_rows(shards: DataFrame, buckets: int, one_in: int, hot: np.ndarray |
                     "shard": pa.array([row["shard"]] * (len(sampled) + len(present)), pa.int64()),
                     "marks": pa.array(sampled + [m.tobytes() for m in marks], pa.binary()),
                 })
+        give_back()
 
     return shards.select("shard", "lengths", "data").mapInArrow(run, "bucket int, shard long, marks binary")
 
@@ -259,21 +260,26 @@ def _by_bucket(rows: DataFrame, parts: int, resolve: Callable[[list[dict]], Iter
                 held.append(row)
         if held:
             yield from resolve(held)
+        give_back()
 
     return rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "shard").mapInArrow(run, schema)
 
 
 def _shared_marks(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-    """(shard, bucket, marks): those of a shard's marks that are there twice or more in the bucket."""
-    held = [np.frombuffer(row["marks"], "<u4") for row in rows]
-    names, counts = np.unique(np.concatenate(held), return_counts=True)
-    several = names[counts > 1]
-    for row, marks in zip(rows, held):
-        own = np.intersect1d(marks, several)
-        if len(own):
+    """(shard, bucket, marks): those of a shard's marks that are there twice or more in the bucket, in rising order."""
+    marks = np.concatenate([np.frombuffer(row["marks"], "<u4") for row in rows])
+    _, place, counts = np.unique(marks, return_inverse=True, return_counts=True)
+    several = counts[place] > 1
+    at = 0
+    for row in rows:
+        own = slice(at, at + len(row["marks"]) // 4)
+        at = own.stop
+        found = marks[own][several[own]]
+        found = found[np.append(True, found[1:] != found[:-1])] if len(found) else found  # a shard's marks are sorted
+        if len(found):
             yield pa.RecordBatch.from_pydict({
                 "shard": pa.array([row["shard"]], pa.int64()), "bucket": pa.array([row["bucket"]], pa.int32()),
-                "marks": pa.array([own.tobytes()], pa.binary()),
+                "marks": pa.array([found.tobytes()], pa.binary()),
             })
 
 
@@ -320,9 +326,11 @@ def _string_rows(shards: DataFrame, shared: DataFrame, buckets: int, hot: np.nda
                 np.minimum.at(least, string, held.owners[held.document[at]])
                 name = np.zeros(len(strings), np.uint64)
                 name[string] = held.anchor[at]
+                lengths = np.array([len(s) for s in strings], np.int32)
+                # The bucket stands for the rest of an anchor's name.
                 values = (
-                    bucket, key[0], asked[bucket], name.tobytes(), np.array([len(s) for s in strings], np.int32).tobytes(),
-                    zstandard.compress(b"".join(strings)), least.tobytes(),
+                    bucket, key[0], asked[bucket], (name >> np.uint64(32)).astype("<u4").tobytes(),
+                    zstandard.compress(lengths.tobytes()), zstandard.compress(b"".join(strings)), zstandard.compress(least.tobytes()),
                 )
                 for column, value in zip(out.values(), values):
                     column.append(value)
@@ -335,14 +343,15 @@ def _may_share(texts: list[bytes], anchor: np.ndarray, width: int = WIDTH, kmer:
     """Whether a string can have a window of another one with its anchor.
 
     Such a window has half of its other bytes on the left of the anchor's run or on the right of it, so the run extended
-    that far is in both strings. A string that has the run more than once may always share.
+    that far is in both strings. A string that has the run more than once may always share, as may one whose anchor, known by
+    its upper half, is the hash of a whole window.
     """
     wing = -(-(width - kmer) // 2)
     data = np.frombuffer(b"".join(texts), np.uint8)
     lengths = np.array([len(text) for text in texts])
     ends = np.cumsum(lengths)
     hashes, long = _mixed(_runs(data, kmer)), _runs(data, kmer + wing)
-    at = np.flatnonzero(hashes == np.repeat(anchor, lengths)[: len(hashes)])
+    at = np.flatnonzero((hashes >> np.uint64(32)).astype(np.uint32) == np.repeat(anchor, lengths)[: len(hashes)])
     string = np.searchsorted(ends, at, side="right")
     inside = at + kmer <= ends[string]
     at, string = at[inside], string[inside]
@@ -396,11 +405,11 @@ def _answers(rows: list[dict]) -> Iterator[pa.RecordBatch]:
     least, anchor, shard = [], [], []
     mine = []
     for row in rows:
-        stops = np.cumsum(np.frombuffer(row["lengths"], np.int32))
-        chars, names = zstandard.decompress(row["chars"]), np.frombuffer(row["anchors"], np.uint64).tolist()
+        stops = np.cumsum(np.frombuffer(zstandard.decompress(row["lengths"]), np.int32))
+        chars, names = zstandard.decompress(row["chars"]), np.frombuffer(row["anchors"], "<u4").tolist()
         local = np.zeros(len(stops), np.int32)
         start = 0
-        for i, (stop, doc) in enumerate(zip(stops.tolist(), np.frombuffer(row["least"], np.int64).tolist())):
+        for i, (stop, doc) in enumerate(zip(stops.tolist(), np.frombuffer(zstandard.decompress(row["least"]), np.int64).tolist())):
             text = chars[start:stop]
             start = stop
             n = number.setdefault(text, len(number))
@@ -413,7 +422,7 @@ def _answers(rows: list[dict]) -> Iterator[pa.RecordBatch]:
             local[i] = n
         mine.append(local)
     leasts = np.array(least, np.int64)
-    inner = _window_owners(number, leasts, np.array(anchor, np.uint64), np.array(shard, np.int64))
+    inner = _window_owners(number, leasts, np.array(anchor, np.uint32), np.array(shard, np.int64))
     mixed = np.zeros(len(leasts), np.uint8)
     for n, windows in inner.items():
         leasts[n], mixed[n] = windows[0], (windows != windows[0]).any()
@@ -459,9 +468,10 @@ def remove_repeats(
     one doc_id. Rows stay as many as they are. An empty table gives an empty table. A string column ``carried`` of
     ``docs`` comes back with each row.
     """
-    shards = written(document_shards(docs, shard, carried), "shards")
+    parts = shuffle_parts(docs.sparkSession)
+    shards = bucketed(document_shards(docs, shard, carried), "shard", parts, "texts")
     size = shards.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda n, x: n + x)).alias("size")).first()["size"]
-    parts = max(shuffle_parts(docs.sparkSession), -(-(size or 0) // PARTITION))
+    parts = max(parts, -(-(size or 0) // PARTITION))
     buckets = max(parts, -(-(size or 0) // BUCKET))
     dealt = written(_anchor_rows(shards, buckets, one_in), "anchors")
     split = _hot_anchors(dealt, hot, one_in)

@@ -136,12 +136,14 @@ def _shared(marks: DataFrame, parts: int) -> DataFrame:
             for bucket, shard, own in zip(*(column.to_pylist() for column in batch.columns)):
                 held.setdefault(bucket, []).append((shard, np.frombuffer(own, "<u4")))
         for bucket, rows in held.items():
-            names, counts = np.unique(np.concatenate([own for _, own in rows]), return_counts=True)
-            several = names[counts > 1]
+            _, place, counts = np.unique(np.concatenate([own for _, own in rows]), return_inverse=True, return_counts=True)
+            several, at = counts[place] > 1, 0
             for shard, own in rows:
+                found = own[several[at : at + len(own)]]
+                at += len(own)
                 yield pa.RecordBatch.from_pydict({
                     "shard": pa.array([shard], pa.int64()), "bucket": pa.array([bucket], pa.int32()),
-                    "marks": pa.array([np.intersect1d(own, several).tobytes()], pa.binary()),
+                    "marks": pa.array([found.tobytes()], pa.binary()),
                 })
 
     return marks.repartitionById(parts, "bucket").mapInArrow(run, "shard long, bucket int, marks binary")
