@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
@@ -102,6 +105,14 @@ def by_size(batches: Iterable[pa.RecordBatch], column: int, limit: int) -> Itera
             yield batch.slice(start)
 
 
+def give_back() -> None:
+    """Gives a task's freed memory back to the system; workers outlive tasks and would keep it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 class TwoGenerations(dict):
     """A cache of at most ``2 * size`` entries; those not asked for while ``size`` new ones came are forgotten.
 
@@ -122,6 +133,10 @@ class TwoGenerations(dict):
         self[key] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
+
 
 def document_shards(docs: DataFrame, size: int, carried: Column | None = None) -> DataFrame:
     """(shard, ids, lengths, data, carried): the documents in shards of about ``size`` bytes, compressed.

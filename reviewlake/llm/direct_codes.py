@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import by_size, identifier, range_cuts, scratch, shuffle_parts, utf8
+from reviewlake.llm.common import by_size, give_back, identifier, range_cuts, scratch, shuffle_parts, utf8
 from reviewlake.llm.library_tokens import encoder
 
 MAGIC = b"DAC1"
@@ -75,19 +75,36 @@ class Segment:
             at += 4 + 8 * n
             self.levels.append((values, words, ranks))
 
+    def rank(self, depth: int, place: int) -> int:
+        """How many chunks of a level go on before ``place``: a count of the directory, and few words."""
+        _, words, ranks = self.levels[depth]
+        word, bit = divmod(place, 64)
+        block = min(word // _RANK_WORDS, len(ranks) - 1)
+        inside = int(np.bitwise_count(words[block * _RANK_WORDS : word]).sum())
+        return int(ranks[block]) + inside + ((int(words[word]) & ((1 << bit) - 1)).bit_count() if bit else 0)
+
     def __getitem__(self, place: int) -> int:
         """One id, by a chunk and a rank per level."""
         if not 0 <= place < self.ids:
             raise IndexError(place)
         value = 0
-        for depth, (values, words, ranks) in enumerate(self.levels):
+        for depth, (values, words, _) in enumerate(self.levels):
             value |= int(values[place]) << 8 * depth
-            word, bit = divmod(place, 64)
-            if not int(words[word]) >> bit & 1:
+            if not int(words[place // 64]) >> place % 64 & 1:
                 break
-            block = word // _RANK_WORDS
-            inside = int(np.bitwise_count(words[block * _RANK_WORDS : word]).sum())
-            place = int(ranks[block]) + inside + (int(words[word]) & ((1 << bit) - 1)).bit_count()
+            place = self.rank(depth, place)
+        return value
+
+    def between(self, first: int, last: int, depth: int = 0) -> np.ndarray:
+        """The ids from ``first`` to before ``last``: the ranks of both ends say which chunks of the next level they have."""
+        values, words, _ = self.levels[depth]
+        value = values[first:last].astype("<u4")
+        if first < last and depth + 1 < len(self.levels):
+            start, stop = self.rank(depth, first), self.rank(depth, last)
+            if start < stop:
+                bits = np.unpackbits(words[first // 64 : -(-last // 64)].view("u1"), bitorder="little")
+                further = bits[first % 64 : first % 64 + last - first].astype(bool)
+                value[further] |= self.between(start, stop, depth + 1) << np.uint32(8)
         return value
 
     def all(self) -> np.ndarray:
@@ -132,6 +149,8 @@ def token_ids(docs: DataFrame, vocabulary: str, end: int, cuts: list[int]) -> Da
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part, pa.int32()), batch.column(0), sizes, raw], names=["part", "doc_id", "n_tokens", "ids"]
             )
+        library.forget()
+        give_back()
 
     return docs.select(identifier().alias("doc_id"), utf8().alias("text")).mapInArrow(
         run, "part int, doc_id long, n_tokens long, ids binary"
@@ -178,7 +197,10 @@ def write_codes(docs: DataFrame, path: str, vocabulary: str, end: int, segment:
 
 
 def read_codes(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) from the files: ``start`` counts the ids before, ``ids`` are 32-bit numbers."""
+    """(doc_id, start, n_tokens, ids) from the files: ``start`` counts the ids before, ``ids`` are 32-bit numbers.
+
+    Every document is read by itself, through the rank directories.
+    """
     schema = "part int, segment long, n_ids long, data binary"
     files = spark.read.schema(schema).parquet(path)
     # One row per part, so that this window is as small as the number of shuffle partitions.
@@ -190,7 +212,7 @@ def read_codes(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for part, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 found = Segment(data.as_py())
-                ids, docs = found.all(), found.documents
+                docs = found.documents
                 firsts = docs["first"].astype(np.int64)
                 lasts = np.append(firsts[1:], found.ids)
                 yield pa.RecordBatch.from_arrays(
@@ -199,7 +221,7 @@ def read_codes(spark: SparkSession, path: str) -> DataFrame:
                         pa.array(docs["doc_id"], mask=docs["known"] == 0),
                         pa.array(firsts + found.base),
                         pa.array(lasts - firsts),
-                        pa.array([ids[a:b].tobytes() for a, b in zip(firsts, lasts)], pa.binary()),
+                        pa.array([found.between(a, b).tobytes() for a, b in zip(firsts.tolist(), lasts.tolist())], pa.binary()),
                     ],
                     names=["part", "doc_id", "start", "n_tokens", "ids"],
                 )

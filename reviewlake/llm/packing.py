@@ -1,7 +1,9 @@
 """Best-fit packing of token pieces into sequences, by rounds over ever fewer partitions.
 
-Every partition packs its pieces best-fit, the longest first. Nearly full bins are done. The others are items of the
-next round, in which several partitions' bins meet, until one partition is left. Only ids and sizes are shuffled.
+Every partition packs its pieces best-fit, the longest first. Nearly full bins are done. All others are items of the next
+round, dealt anew to as many partitions as they need, until one partition is left, or a round has saved next to none of the
+bins that it could have saved at best. Only ids and sizes are shuffled. Bins move whole, which is the
+method's price beside packing all pieces at once.
 """
 
 from __future__ import annotations
@@ -15,17 +17,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import by_size, identifier, utf8, written
+from reviewlake.llm.common import by_size, give_back, identifier, utf8, written
 from reviewlake.llm.library_tokens import encoder
 from reviewlake.session import cut_lineage
 
 CAPACITY = 2048
-#: Items of a partition in the first round, and partitions that meet in a later one.
-ITEMS, FAN_IN = 50_000, 8
-#: Text pieces whose ids a worker keeps; workers outlive the tasks, so they hold them through later stages.
+#: Items of a partition on average, and the share of the bins more than its items need that a round must save for another one.
+ITEMS, LEAST_GAIN = 50_000, 0.05
+#: Text pieces whose ids a task keeps.
 PIECES = 100_000
-#: A bin this full is done. Of the others a partition hands on as many as CARRY, the emptiest; the rest are done too.
-NEARLY_FULL, CARRY = 0.995, 10_000
+#: A bin this full is done.
+NEARLY_FULL = 0.995
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,14 +61,8 @@ def _round(items: DataFrame, number: int, capacity: int, last: bool) -> DataFram
         sizes = rows["size"].to_numpy()
         bins, offsets = best_fit(sizes, capacity)
         fill = np.bincount(bins, weights=sizes).astype(np.int64)
-        still = fill < NEARLY_FULL * capacity
-        if last:
-            still[:] = False
-        elif still.sum() > CARRY:
-            emptiest = np.argsort(np.where(still, fill, capacity + 1), kind="stable")[:CARRY]
-            still[:] = False
-            still[emptiest] = True
-        name = (number << 58) | (int(key[0]) << 32) | bins
+        still = np.zeros(len(fill), bool) if last else fill < NEARLY_FULL * capacity
+        name = (number << 56) | (int(key[0]) << 32) | bins
         return pd.DataFrame(
             {"item": rows["item"], "bin": name, "offset": offsets, "fill": fill[bins], "open": still[bins]}
         )
@@ -82,13 +78,21 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     groups = max(1, -(-items.count() // ITEMS))
     dealt = items.select(F.pmod(F.xxhash64("item"), F.lit(groups)).alias("grp"), "item", F.col("size").cast("long"))
     placed = cut_lineage(_round(dealt, 0, capacity, groups == 1))
-    levels, current, number = [], placed, 0
+    levels, current, number, before, least = [], placed, 0, None, 0
     while groups > 1:
-        groups, number = -(-groups // FAN_IN), number + 1
-        group = F.shiftright("bin", 32).bitwiseAND(F.lit((1 << 26) - 1))
-        bins = current.filter(F.col("open") & (F.col("offset") == 0)).select(
-            F.floor(group / FAN_IN).cast("long").alias("grp"), F.col("bin").alias("item"), F.col("fill").alias("size")
-        )
+        left = current.filter(F.col("open") & (F.col("offset") == 0))
+        made, fill, done = current.filter(F.col("offset") == 0).agg(
+            F.count_if("open"), F.sum(F.when(F.col("open"), F.col("fill"))), F.count_if(~F.col("open"))
+        ).first()
+        if not made or (before is not None and before - made - done < LEAST_GAIN * (before - least)):
+            break
+        number, before, least = number + 1, made, -(-fill // capacity)
+        groups = max(1, -(-made // ITEMS))
+        # Another hash in every round, so that other bins meet.
+        bins = left.select(
+            F.pmod(F.xxhash64("bin", F.lit(number)), F.lit(groups)).alias("grp"),
+            F.col("bin").alias("item"), F.col("fill").alias("size"),
+        )
         current = cut_lineage(_round(bins, number, capacity, groups == 1))
         levels.append(current)
     out = placed.select("item", "bin", "offset")
@@ -129,6 +133,8 @@ def pieces(docs: DataFrame, vocabulary: str, end: int, capacity: int = CAPACITY)
                 [pa.array(column, kind) for column, kind in zip(columns, types)],
                 names=["doc_id", "piece", "start", "length", "ids", "ids_crc32"],
             )
+        library.forget()
+        give_back()
 
     return docs.select(identifier().alias("doc_id"), utf8().alias("text")).mapInArrow(
         run, "doc_id long, piece int, start long, length long, ids binary, ids_crc32 long"

@@ -11,8 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterator, Mapping
 from itertools import chain
 
 import numpy as np
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import TwoGenerations, by_size, free_names, identifier, utf8
+from reviewlake.llm.common import TwoGenerations, by_size, free_names, give_back, identifier, utf8
 
 DIMENSIONS = 1 << 22
 #: The bounded training sample: about so many toxic texts for all, and unlabelled ones for each classifier.
@@ -38,14 +37,8 @@ def _features_of(word: bytes) -> tuple[int, ...]:
     return tuple({zlib.crc32(part) % DIMENSIONS for part in (b"=" + word, b"4" + word[:4], b"5" + word[:5])})
 
 
-@lru_cache(maxsize=1)
-def _hashed() -> TwoGenerations:
-    return TwoGenerations(_features_of, 50_000)
-
-
-def features(text: bytes) -> list[int]:
-    """The distinct features of a whole text, in order."""
-    hashed = _hashed()
+def features(text: bytes, hashed: Mapping[bytes, tuple[int, ...]]) -> list[int]:
+    """The distinct features of a whole text, in order; ``hashed`` has those of its words."""
     return sorted(set(chain.from_iterable([hashed[word] for word in set(_WORD.findall(text.lower()))])))
 
 
@@ -128,11 +121,14 @@ def train(docs: DataFrame, labels: DataFrame, classifiers: int = CLASSIFIERS) ->
     others = texts.select("text", F.lit(False).alias("toxic"), mine.alias("ones")).filter(F.size("ones") > 0)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = TwoGenerations(_features_of, 50_000)
         for batch in by_size(batches, 0, 1 << 22):
-            found = [features(text.as_py()) for text in batch.column(0)]
+            found = [features(text.as_py(), hashed) for text in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.list_(pa.int32())), batch.column(1), batch.column(2)], names=["features", "toxic", "ones"]
             )
+        hashed.forget()
+        give_back()
 
     sample = toxic.unionByName(others).mapInArrow(extract, "features array<int>, toxic boolean, ones array<int>")
     dealt = sample.select("features", "toxic", F.explode("ones").alias("one"))
@@ -141,6 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, classifiers: int = CLASSIFIERS) ->
         order = np.argsort([zlib.crc32(np.asarray(f, np.int32).tobytes()) for f in rows["features"]], kind="stable")
         held = [np.asarray(rows["features"].iloc[i], np.int32) for i in order]
         names, weights, bias = fit(held, rows["toxic"].to_numpy(bool)[order], prior)
+        give_back()
         return pd.DataFrame({"one": [int(rows["one"].iloc[0])], "names": [names], "weights": [weights], "bias": [bias]})
 
     fitted = dealt.groupBy("one").applyInPandas(learn, "one int, names array<long>, weights array<double>, bias double")
@@ -172,6 +169,8 @@ def score(docs: DataFrame, models: list[tuple[np.ndarray, np.ndarray, float]]) -
                 z = np.array(biases) + (np.sum([known[f] for f in found], axis=0) if found else 0.0)
                 scores.append(float(np.mean(1 / (1 + np.exp(-np.clip(z, -60, 60))))) if len(biases) else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+        words.forget()
+        give_back()
 
     return docs.select(identifier().alias("doc_id"), utf8().alias("text")).mapInArrow(run, "doc_id long, score double")
 

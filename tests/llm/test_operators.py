@@ -214,6 +214,25 @@ def test_segment_random_access():
     assert [segment[i] for i in range(len(ids))] == ids.tolist() == segment.all().tolist()
     with pytest.raises(IndexError):
         segment[len(ids)]
+    for first in (0, 1, 63, 64, 65, 511, 700, 1604, len(ids)):
+        for last in (first, first + 1, first + 64, first + 513, len(ids)):
+            last = min(last, len(ids))
+            assert segment.between(first, last).tolist() == ids[first:last].tolist()
+
+
+def test_a_document_is_read_without_the_others():
+    ids = np.arange(5000, dtype="<u4") * 7919
+    segment = direct_codes.Segment(direct_codes._segment([(1, ids[:2000]), (2, ids[2000:2100]), (3, ids[2100:])], 0))
+    read: list[int] = []
+
+    class Watched(np.ndarray):
+        def __getitem__(self, at):
+            read.append(at.stop - at.start if isinstance(at, slice) else 1)
+            return np.asarray(self)[at]
+
+    segment.levels = [(values.view(Watched), words, ranks) for values, words, ranks in segment.levels]
+    assert segment.between(2000, 2100).tolist() == ids[2000:2100].tolist()
+    assert sum(read) <= 100 * len(segment.levels)
 
 
 def test_packing(spark, docs, empty):
@@ -238,7 +257,6 @@ def test_packing(spark, docs, empty):
 
 def test_packing_rounds(spark, monkeypatch):
     monkeypatch.setattr(packing, "ITEMS", 50)
-    monkeypatch.setattr(packing, "FAN_IN", 2)
     items = spark.range(600).selectExpr("id AS item", "1 + (id * 7919) % 100 AS size")
     found = packing.pack(items, 100).join(items, "item").toPandas()
     assert len(found) == 600
@@ -247,6 +265,17 @@ def test_packing_rounds(spark, monkeypatch):
     assert found["bin"].nunique() <= 1.05 * -(-found["size"].sum() // 100) + 1
 
 
+@pytest.mark.parametrize("sizes", [[60] * 400, [55] * 200 + [45] * 200, [100] * 300, [1] * 500])
+def test_packing_of_bins_that_stay_underfull(spark, monkeypatch, sizes):
+    monkeypatch.setattr(packing, "ITEMS", 40)
+    items = spark.createDataFrame(list(enumerate(sizes)), "item long, size int")
+    found = packing.pack(items, 100).join(items, "item").toPandas()
+    fill = found.groupby("bin")["size"].sum()
+    assert len(found) == len(sizes) and fill.max() <= 100
+    least = sum(size > 50 for size in sizes) or -(-sum(sizes) // 100)
+    assert len(fill) <= 1.05 * least + 1
+
+
 def test_byte_bpe(docs, empty):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
