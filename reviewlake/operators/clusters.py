@@ -9,18 +9,20 @@ from typing import Any
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, PCAModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewlake.functions.scalars import squared_distance
+from reviewlake.operators.blocks import mean_silhouettes, nearest
+from reviewlake.operators.grid import cell_densities, grid_cells, neighbour_offsets
 from reviewlake.operators.ranks import top_n
 from reviewlake.operators.vectors import term_at
 
+__all__ = ["cell_densities", "grid_cells", "nearest", "neighbour_offsets"]
+
 # Ten starts from these seeds, the best one kept.
 START_SEEDS: tuple[int, ...] = tuple(range(42, 52))
 PARALLEL_RUNS = 4
@@ -134,21 +136,25 @@ def pca(df: DataFrame, vector: str, k: int) -> Projection:
 def silhouette_sweep(
     df: DataFrame, vector: str, ks: Sequence[int] = tuple(range(2, 11)), seeds: Sequence[int] = START_SEEDS
 ) -> DataFrame:
-    """(k, silhouette, best): silhouette with squared Euclidean distance for each k."""
+    """(k, silhouette, best): the mean Euclidean silhouette of k-means for each k; distances are taken once for all."""
     vectors = as_vector(df.select(vector), vector).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        evaluator = ClusteringEvaluator(featuresCol=vector, predictionCol="cluster")
 
-        def run(k: int) -> tuple[int, float]:
-            model = kmeans(vectors, vector, k, seeds)
-            return int(k), float(evaluator.evaluate(assign(vectors, model, vector)))
+        def run(k: int) -> KMeansModel:
+            return kmeans(vectors, vector, k, seeds)
 
-        scores = _at_once(df.sparkSession, run, ks)
+        models = _at_once(df.sparkSession, run, ks)
+        placed = vectors
+        for k, model in zip(ks, models):
+            placed = model.transform(placed).withColumnRenamed("cluster", f"_k{k}")
+        points = placed.withColumn(vector, vector_to_array(vector))
+        found = mean_silhouettes(points, vector, [f"_k{k}" for k in ks]).collect()
     finally:
         vectors.unpersist()
-    best = max(scores, key=lambda pair: (pair[1], -pair[0]))[0]
+    scores = {int(row["labelling"][2:]): float(row["silhouette"]) for row in found}
+    best = max(scores.items(), key=lambda pair: (pair[1], -pair[0]))[0]
     return df.sparkSession.createDataFrame(
-        [(k, s, k == best) for k, s in scores], "k long, silhouette double, best boolean"
+        [(int(k), scores[k], k == best) for k in ks], "k long, silhouette double, best boolean"
     )
 
 
@@ -172,62 +178,3 @@ def elbow_sweep(
     finally:
         vectors.unpersist()
     return df.sparkSession.createDataFrame(rows, "k long, inertia double")
-
-
-MAX_GRID_DIMENSIONS = 4
-
-
-def grid_cells(df: DataFrame, vector: str, side: float, dimensions: int) -> DataFrame:
-    """Adds ``cell``: the grid cell of the first ``dimensions`` coordinates; absent ones count as 0."""
-    if not 1 <= dimensions <= MAX_GRID_DIMENSIONS:
-        raise ValueError(f"between 1 and {MAX_GRID_DIMENSIONS} dimensions, project the vectors first")
-    places = [
-        F.floor(F.coalesce(F.get(F.col(vector), F.lit(i)).cast("double"), F.lit(0.0)) / side).cast("long")
-        for i in range(dimensions)
-    ]
-    return df.withColumn("cell", F.array(*places))
-
-
-def neighbour_offsets(dimensions: int) -> Column:
-    """Offsets of a cell and all cells that touch it, as one array literal."""
-    offsets: list[list[int]] = [[]]
-    for _ in range(dimensions):
-        offsets = [head + [step] for head in offsets for step in (-1, 0, 1)]
-    return F.array(*[F.array(*[F.lit(x).cast("long") for x in offset]) for offset in offsets])
-
-
-def cell_densities(cells: DataFrame, dimensions: int) -> DataFrame:
-    """(cell, points, nearby) per occupied cell; ``nearby`` counts the points of it and the cells it touches.
-
-    Points are counted per cell before anything is paired, and each cell sends its count to a fixed
-    number of neighbours, so a crowded cell costs no more than an empty one.
-    """
-    counts = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("points"))
-    sent = counts.withColumn("_to", F.explode(neighbour_offsets(dimensions))).select(
-        F.zip_with("cell", "_to", lambda a, b: a + b).alias("cell"), F.col("points").alias("_points")
-    )
-    received = sent.groupBy("cell").agg(F.sum("_points").alias("nearby"))
-    return counts.join(received, "cell")
-
-
-def nearest(
-    df: DataFrame, vector: str, centres: DataFrame, radius: float | None = None, output: str = "topic"
-) -> DataFrame:
-    """Adds the id of the nearest centre (ties to the smaller id), or -1 beyond ``radius``.
-
-    ``centres`` is (topic, centre), one per topic, and carried to every row as one array value to be
-    compared in place.
-    """
-    listed = centres.agg(F.array_sort(F.collect_list(F.struct("topic", "centre")))).scalar()
-    carried = df.withColumn("_centres", listed)
-    distances = F.transform(
-        "_centres",
-        lambda c: F.struct(
-            squared_distance(F.col(vector), c["centre"]).alias("d"), c["topic"].alias("topic")
-        ),
-    )
-    placed = carried.withColumn("_best", F.array_min(distances)).drop("_centres")
-    choice = F.col("_best")["topic"]
-    if radius is not None:
-        choice = F.when(F.sqrt(F.col("_best")["d"]) <= radius, choice).otherwise(-1)
-    return placed.withColumn(output, choice).drop("_best")

@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewlake.operators.clusters import grid_cells, neighbour_offsets
 from reviewlake.operators.components import connected_components
+from reviewlake.operators.grid import grid_cells, neighbour_offsets
 from reviewlake.session import cut_lineage
 
 # Points of a block, on average, and parts a crowded cell or a frequent vector is salted into.

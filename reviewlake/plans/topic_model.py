@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.functions import text as tx
-from reviewlake.operators import clusters, density, filters, topics
+from reviewlake.operators import clusters, density, filters, hierarchy, topics
 from reviewlake.operators.joins import with_topic_names
 from reviewlake.operators.once import compute_once
 from reviewlake.session import cut_lineage
@@ -42,7 +42,7 @@ def fit(
     vector: str,
     words: str,
     components: int = 50,
-    reach: float = 0.5,
+    reach: float | None = None,
     min_samples: int = 35,
     min_cluster_size: int = 400,
     nr_topics: int | None = None,
@@ -50,14 +50,19 @@ def fit(
 ) -> tuple[TopicModel, DataFrame]:
     """The fitted model and the rows with topic and topic_name.
 
-    Vectors are projected to ``components`` dimensions; density is measured over all of them, within
-    ``reach`` of each point.
+    Vectors are projected to ``components`` dimensions; density is measured over all of them. Topics are the most stable
+    clusters of the density hierarchy; with ``reach``, those at this one radius instead.
     """
     projection = clusters.pca(df, vector, components)
-    projected = projection.transform(df, vector, "_components")
-    placed = density.density_clusters(
-        projected, key, "_components", reach, min_samples, min_cluster_size, "topic"
-    )
+    projected = cut_lineage(projection.transform(df, vector, "_components"))
+    if reach is None:
+        placed = hierarchy.hierarchical_clusters(
+            projected, key, "_components", min_cluster_size, min_samples, "topic"
+        )
+    else:
+        placed = density.density_clusters(
+            projected, key, "_components", reach, min_samples, min_cluster_size, "topic"
+        )
     placed = cut_lineage(placed)
     if nr_topics is not None:
         counts = topics.term_counts(placed.filter(F.col("topic") != -1), "topic", words)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.functions import text as tx
-from reviewlake.operators import clusters, density, topics, vectors
+from reviewlake.operators import clusters, density, hierarchy, topics, vectors
 from reviewlake.workload import sqltext as sq
 from reviewlake.workload.registry import documents, query, rounded, table
 from reviewlake.workload.text import STOP_SQL, STOP_WORDS
@@ -228,3 +228,44 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "embeddings").select("vec_id", "embedding")
     return density.density_clusters(rows, "vec_id", "embedding", 1.16, 5, 5).select("vec_id", "cluster")
+
+
+SAMPLES = 10
+CORE_SQL = f"""(SELECT vec_id, core FROM (
+    SELECT a.vec_id, list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS core,
+      row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[])) AS place
+    FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) WHERE place = {SAMPLES})"""
+
+
+def embedding_points(spark: SparkSession, sf: str) -> DataFrame:
+    return hierarchy.numbered_points(table(spark, sf, "embeddings"), "vec_id", "embedding")
+
+
+@query("clu8_core_distances", f"SELECT vec_id, round(core, 6) AS core FROM {CORE_SQL}")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    points = embedding_points(spark, sf)
+    cores = hierarchy.opened_points(hierarchy.core_distances(points, SAMPLES))
+    return rounded(points.join(cores, "number").select(F.col("node").alias("vec_id"), "core"), "core")
+
+
+@query(
+    "clu8_tree_edges",
+    f"""WITH core AS MATERIALIZED {CORE_SQL}
+        SELECT a.vec_id, round(min(greatest(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), x.core, y.core)), 6) AS w
+        FROM embeddings a JOIN core x ON a.vec_id = x.vec_id JOIN embeddings b ON a.vec_id <> b.vec_id
+          JOIN core y ON b.vec_id = y.vec_id GROUP BY a.vec_id""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """The shortest edge of the spanning tree at every point, which is its shortest of all; the tree's edges are tested too."""
+    points = embedding_points(spark, sf)
+    tree, _, _ = hierarchy.linkage(points, SAMPLES, 15)
+    ends = tree.select(F.explode(F.array("i", "j")).alias("number"), "w").groupBy("number").agg(F.min("w").alias("w"))
+    return rounded(ends.join(points, "number").select(F.col("node").alias("vec_id"), "w"), "w")
+
+
+@query("clu8_hierarchy")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """The most stable clusters of all embeddings; tested against a plain version."""
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    found = hierarchy.hierarchical_clusters(rows, "vec_id", "embedding", 5, 3, probability="probability")
+    return rounded(found.select("vec_id", "cluster", "probability"), "probability")
