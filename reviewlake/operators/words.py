@@ -2,24 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.functions import text as tx
-from reviewlake.operators.joins import is_small
+from reviewlake.functions.porter import porter_stem
 from reviewlake.operators.once import compute_once
 
-# Rows of a word table that may be broadcast: two short strings each.
-MAX_BROADCAST_FORMS = 500_000
+
+SALTS = 16
+
+
+def distinct_words(df: DataFrame, words: str) -> DataFrame:
+    """(word): the distinct words of an array column; each row and each task sends a word once."""
+    listed = compute_once(df.select(words), {"_words": F.array_distinct(words)})
+    return listed.select(F.explode("_words").alias("word")).filter(F.col("word").isNotNull()).distinct()
 
 
 def stem_table(df: DataFrame, words: str) -> DataFrame:
     """(word, base) for the distinct words of an array column, by the suffix rules."""
-    listed = compute_once(df.select(words), {"_words": F.array_distinct(words)})
-    distinct = listed.select(F.explode("_words").alias("word")).distinct()
-    return distinct.select("word", tx.stem(F.col("word")).alias("base"))
+    return distinct_words(df, words).select("word", tx.stem(F.col("word")).alias("base"))
+
+
+def porter_table(df: DataFrame, words: str) -> DataFrame:
+    """(word, base) for the distinct words of an array column, by the Porter stemmer.
+
+    Python sees a word once, however often the texts have it.
+    """
+
+    def stemmed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.assign(base=frame["word"].map(porter_stem))
+
+    return distinct_words(df, words).mapInPandas(stemmed, "word string, base string")
 
 
 def apply_base_forms(
@@ -27,19 +45,19 @@ def apply_base_forms(
 ) -> DataFrame:
     """Adds the words joined by a space, each replaced by its base form if the table has one.
 
-    A small table is broadcast. A larger one is joined on the word: words are first reduced to their
-    positions per document, so that a frequent word is one row per document and not one per use.
+    Words are first reduced to their positions per document, so that a frequent word is one row per document and
+    not one per use. How the table is joined is Spark's choice; words without a base form aren't joined at all, and
+    a word that a third of all documents have is salted by document.
     """
     worded = compute_once(df.select(key, words), {"_words": F.col(words)})
     placed = worded.select(key, F.posexplode("_words").alias("_at", "word"))
-    table = forms.select("word", "base")
-    if is_small(table, MAX_BROADCAST_FORMS):
-        based = placed.join(F.broadcast(table), "word", "left")
-    else:
-        places = placed.groupBy(key, "word").agg(F.collect_list("_at").alias("_places"))
-        based = places.join(table, "word", "left").select(
-            key, "word", "base", F.explode("_places").alias("_at")
-        )
+    places = placed.groupBy(key, "word").agg(F.collect_list("_at").alias("_places"))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    table = forms.filter(F.col("word") != F.col("base")).select("word", "base", salts.alias("_salt"))
+    salted = places.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)))
+    based = salted.join(table, ["word", "_salt"], "left").select(
+        key, "word", "base", F.explode("_places").alias("_at")
+    )
     entry = F.struct(F.col("_at"), F.coalesce("base", "word").alias("_word"))
     texts = (
         based.groupBy(key)
@@ -57,12 +75,14 @@ def preprocess(
     forms: DataFrame | None = None,
     stem: bool = False,
     output: str = "clean_review",
+    porter: bool = False,
 ) -> DataFrame:
-    """Letters only, then stop words out, then base forms from a table or stems by rule."""
+    """Letters only, then stop words out, then base forms from a table, or stems by Porter's or the suffix rules."""
     words: Column = tx.remove_stop_words(tx.split_words(tx.letters_only(F.col(text))), stop_words)
-    if forms is not None:
+    if forms is not None or porter:
         staged = df.withColumn("_words", words)
-        return apply_base_forms(staged, key, "_words", forms, output).drop("_words")
+        table = porter_table(staged, "_words") if forms is None else forms
+        return apply_base_forms(staged, key, "_words", table, output).drop("_words")
     if stem:
         words = F.transform(words, tx.stem)
     return df.withColumn(output, F.array_join(words, " "))

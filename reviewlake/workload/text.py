@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.functions import scalars
+from reviewlake.functions import porter, scalars
 from reviewlake.functions import text as tx
 from reviewlake.operators import words
 from reviewlake.plans.summaries import joined_in_order
@@ -188,6 +188,94 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return words.stem_table(docs, "words")
 
 
+def _sounds_sql(word: str) -> str:
+    """V or C for every letter; a run of y is resolved from its left, one letter in each pass."""
+    out = f"regexp_replace(regexp_replace(regexp_replace({word}, '[aeiou]', 'V', 'g'), '[^Vy]', 'C', 'g'), '^y', 'C')"
+    for _ in range(4):
+        out = f"regexp_replace(regexp_replace({out}, 'Vy', 'VC', 'g'), 'Cy', 'CV', 'g')"
+    return out
+
+
+def _porter_sql(words: str) -> str:
+    """(word, base) of the query ``words`` (word), one step after another."""
+
+    def left(n: int) -> str:
+        return f"left(w, length(w) - {n})"
+
+    def measure(n: int) -> str:
+        return f"len(regexp_extract_all(left(c, length(c) - {n}), 'V+C+'))"
+
+    def short(n: int) -> str:
+        kinds = f"left(c, length(c) - {n})"
+        return f"({kinds} = 'VC' OR ({kinds} SIMILAR TO '.*CVC' AND {left(n)} NOT SIMILAR TO '.*[wxy]'))"
+
+    def step(name: str, before: str, cases: list[tuple[str, str]]) -> str:
+        chosen = " ".join(f"WHEN {when} THEN {then}" for when, then in cases)
+        return f"{name} AS (SELECT word, w, {_sounds_sql('w')} AS c FROM (SELECT word, CASE {chosen} ELSE w END AS w FROM {before}))"
+
+    def ends(ending: str) -> str:
+        return f"w LIKE '%{ending}'"
+
+    def rules(pairs, condition) -> list[tuple[str, str]]:
+        return [(ends(e), f"CASE WHEN {condition(e)} THEN {left(len(e))} || '{by}' ELSE w END") for e, by in pairs]
+
+    irregular = " ".join(f"WHEN '{word}' THEN '{stem}'" for word, stem in porter.IRREGULAR.items())
+    steps = [
+        f"p0 AS (SELECT word, word AS w, {_sounds_sql('word')} AS c FROM ({words}))",
+        step("p1", "p0", [
+            (f"{ends('ies')} AND length(w) = 4", left(1)), (ends("ies"), left(2)), (ends("sses"), left(2)),
+            (f"{ends('s')} AND NOT {ends('ss')}", left(1)),
+        ]),
+        f"""p2 AS (SELECT word, w, {_sounds_sql('w')} AS c, cut FROM (SELECT word, CASE
+            WHEN {ends('ied')} AND length(w) = 4 THEN {left(1)} WHEN {ends('ied')} THEN {left(2)}
+            WHEN {ends('eed')} THEN CASE WHEN {measure(3)} > 0 THEN {left(1)} ELSE w END
+            WHEN {ends('ed')} AND left(c, length(c) - 2) LIKE '%V%' THEN {left(2)}
+            WHEN {ends('ing')} AND left(c, length(c) - 3) LIKE '%V%' THEN {left(3)} ELSE w END AS w,
+          NOT {ends('ied')} AND NOT {ends('eed')} AND (({ends('ed')} AND left(c, length(c) - 2) LIKE '%V%')
+            OR ({ends('ing')} AND left(c, length(c) - 3) LIKE '%V%')) AS cut FROM p1))""",
+        step("p3", "p2", [
+            (f"cut AND ({ends('at')} OR {ends('bl')} OR {ends('iz')})", "w || 'e'"),
+            ("cut AND length(w) > 1 AND right(w, 1) = left(right(w, 2), 1) AND c LIKE '%C'",
+             f"CASE WHEN right(w, 1) IN ('l', 's', 'z') THEN w ELSE {left(1)} END"),
+            (f"cut AND {measure(0)} = 1 AND {short(0)}", "w || 'e'"),
+        ]),
+        step("p4", "p3", [(f"{ends('y')} AND length(w) > 2 AND left(c, length(c) - 1) LIKE '%C'", f"{left(1)} || 'i'")]),
+        step("p5", "p4", [(f"{ends('alli')} AND {measure(4)} > 0", left(2))]),
+        step("p6", "p5", rules(porter.SECOND, lambda e: f"{measure(3 if e == 'logi' else len(e))} > 0")),
+        step("p7", "p6", rules(porter.THIRD, lambda e: f"{measure(len(e))} > 0")),
+        step("p8", "p7", rules([(e, "") for e in porter.FOURTH], lambda e: f"{measure(len(e))} > 1"
+             + (f" AND {left(3)} SIMILAR TO '.*[st]'" if e == "ion" else ""))),
+        step("p9", "p8", [(f"{ends('e')} AND ({measure(1)} > 1 OR ({measure(1)} = 1 AND NOT {short(1)}))", left(1))]),
+        step("p10", "p9", [(f"{ends('ll')} AND {measure(1)} > 1", left(1))]),
+    ]
+    return f"""(WITH {', '.join(steps)}
+        SELECT word, CASE word {irregular} ELSE CASE WHEN length(word) <= 2 THEN word ELSE w END END AS base FROM p10)"""
+
+
+@query(
+    "txt10_porter_stems",
+    f"SELECT word, base FROM {_porter_sql(f'SELECT DISTINCT unnest({sq.tokens("text")}) AS word FROM documents')}",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _documents(spark, sf, tx.tokens(F.col("text")), "words")
+    return words.porter_table(docs, "words")
+
+
+@query(
+    "txt11_preprocess_porter",
+    f"""WITH kept AS (SELECT doc_id, list_filter({sq.word_list(sq.letters_only('text'))},
+            lambda w: w NOT IN ({STOP_SQL})) AS ws FROM documents),
+          placed AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM kept),
+          stems AS {_porter_sql('SELECT DISTINCT word FROM placed')}
+        SELECT d.doc_id, coalesce(t.clean_review, '') AS clean_review FROM documents d LEFT JOIN (
+          SELECT doc_id, string_agg(base, ' ' ORDER BY pos) AS clean_review FROM placed JOIN stems USING (word)
+          GROUP BY doc_id) t USING (doc_id)""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select("doc_id", "text")
+    return words.preprocess(docs, "doc_id", "text", STOP_WORDS, porter=True).drop("text")
+
+
 @query(
     "txt11_preprocess",
     f"""WITH kept AS (SELECT doc_id, list_filter({sq.word_list(sq.letters_only('text'))},
