@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewlake.plans import summaries
 from reviewlake.schemas import API_PAGE
 from reviewlake.sinks import files, keyed
+from reviewlake.sinks.keyed_table import KeyedTable
 from reviewlake.sources import delimited, html_rows, review_pages, tables
 from reviewlake.streaming import ingest
 from reviewlake.workload.registry import (
@@ -358,3 +359,125 @@ def _ingest(spark: SparkSession, path: str, rows: DataFrame) -> None:
     ingest.ingest_stream(
         stream, f"{path}/target", f"{path}/progress", "doc_id", ["lang", "source"]
     ).awaitTermination()
+
+
+def _keyed(spark: SparkSession, rows: DataFrame, key: str, name: str = "table") -> KeyedTable:
+    return KeyedTable(spark, f"{scratch(spark)}/{name}", rows.schema, (key,), 16)
+
+
+APPS, PAGE_SIZE = 8, 4
+CHAIN_SQL = f"""(WITH e AS (
+      SELECT conv_id % {APPS} AS appid, conv_id * 100000 + turn AS recommendationid, text,
+        (row_number() OVER (PARTITION BY conv_id % {APPS} ORDER BY conv_id, turn) - 1) // {PAGE_SIZE} + 1 AS page
+      FROM conversations),
+    p AS (SELECT appid, page, CASE WHEN page = appid % 5 + 2 THEN 1 ELSE page END AS cursor FROM e GROUP BY appid, page),
+    s AS (SELECT appid, page, row_number() OVER (PARTITION BY appid, cursor ORDER BY page) > 1 AS again FROM p),
+    f AS (SELECT appid, min(page) AS stop FROM s WHERE again GROUP BY appid)
+    SELECT e.* FROM e LEFT JOIN f USING (appid) WHERE stop IS NULL OR page < stop)"""
+
+
+def page_files(spark: SparkSession, sf: str) -> str:
+    """Saved API pages, one file each: a later page of every app repeats the first one's cursor, and every third file has a byte-order mark."""
+    path = scratch(spark)
+    app, order = (F.col("conv_id") % APPS).alias("appid"), Window.partitionBy("appid").orderBy("conv_id", "turn")
+    rows = table(spark, sf, "conversations").select(
+        app, "conv_id", "turn",
+        F.struct(
+            (F.col("conv_id") * 100000 + F.col("turn")).cast("string").alias("recommendationid"),
+            F.struct(F.length("role").cast("string").alias("steamid")).alias("author"),
+            F.col("text").alias("review"),
+        ).alias("entry"),
+    )
+    page = F.floor((F.row_number().over(order) - 1) / PAGE_SIZE) + 1
+    pages = rows.withColumn("page", page).groupBy("appid", "page").agg(
+        F.sort_array(F.collect_list(F.struct("conv_id", "turn", "entry"))).alias("_rows")
+    )
+    body = F.to_json(F.struct(
+        F.when(F.col("page") == F.col("appid") % 5 + 2, F.lit(1)).otherwise(F.col("page")).cast("string").alias("cursor"),
+        F.transform("_rows", lambda r: r["entry"]).alias("reviews"),
+        F.struct(
+            F.lit("Mixed").alias("review_score_desc"), (F.col("appid") * 10 + F.col("page")).alias("total_reviews")
+        ).alias("query_summary"),
+    ))
+    marked = F.when(F.col("page") % 3 == 0, F.concat(F.lit("\ufeff"), body)).otherwise(body)
+    files_ = pages.select(marked.alias("value"), "appid", "page")
+    files_.write.partitionBy("appid", "page").text(path)
+    return path
+
+
+@query("src7_pages_from_files", f"SELECT appid, page, recommendationid, text AS review FROM {CHAIN_SQL}")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Reviews of saved page files, as far as the cursors of an app lead on."""
+    pages = review_pages.followed(review_pages.read_pages(spark, page_files(spark, sf)))
+    entry = F.col("entry")
+    return review_pages.entries(pages).select(
+        "appid", "page", entry["recommendationid"].cast("long").alias("recommendationid"), entry["review"].alias("review")
+    )
+
+
+@query(
+    "src7_query_summaries",
+    f"""SELECT g.appid, CASE WHEN c.appid IS NULL THEN 'none' ELSE 'Mixed' END AS review_score_desc,
+          CASE WHEN c.appid IS NULL THEN -1 ELSE g.appid * 10 + 1 END AS total_reviews
+        FROM (SELECT unnest(range(0, {2 * APPS})) AS appid) g
+          LEFT JOIN (SELECT DISTINCT conv_id % {APPS} AS appid FROM conversations) c USING (appid)""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """The summaries of saved pages bring a table of games up to date."""
+    known = spark.range(2 * APPS).select(
+        F.col("id").alias("appid"), F.lit("none").alias("review_score_desc"), F.lit(-1).cast("long").alias("total_reviews")
+    )
+    found = review_pages.query_summaries(review_pages.read_pages(spark, page_files(spark, sf)))
+    return keyed.update_from(known, found.select("appid", "review_score_desc", "total_reviews"), "appid")
+
+
+@query("inc1_page_ingest", f"SELECT appid, count(*) AS held FROM {CHAIN_SQL.replace('page < stop', 'true')} GROUP BY appid")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """All saved pages through a stream into keyed tables, then the same pages with a new start: nothing is added."""
+    source, target = page_files(spark, sf), scratch(spark)
+    kept = ingest.ReviewTables.at(spark, target, 16)
+    for run in range(2):
+        ingest.ingest_review_pages(spark, source, kept, f"{target}/progress-{run}", cap=10**9).awaitTermination()
+    return kept.counts.read()
+
+
+@query("snk4_keyed_table", "SELECT doc_id, source FROM documents")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Insert-or-ignore into buckets: the labelled documents, then all of them twice."""
+    everything = table(spark, sf, "documents").select("doc_id", "source")
+    target = _keyed(spark, everything, "doc_id")
+    target.insert_or_ignore(reviews(spark, sf).select("doc_id", "source"), ["source"])
+    for _ in range(2):
+        target.insert_or_ignore(everything.unionByName(everything), ["source"])
+    return target.read()
+
+
+@query("inc1_keyed_ingest", "SELECT doc_id, lang, source FROM documents")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """The stream of ``inc1_incremental_ingest`` into a keyed table: every micro-batch reads its own buckets."""
+    path = scratch(spark)
+    rows = table(spark, sf, "documents").select("doc_id", "lang", "source")
+    target = _keyed(spark, rows, "doc_id")
+    for arrival in (reviews(spark, sf).select(*rows.columns), rows.unionByName(rows)):
+        files.append(arrival, f"{path}/incoming")
+        for _ in range(2):
+            stream = ingest.parquet_stream(spark, f"{path}/incoming", rows.schema)
+            ingest.ingest_stream(stream, target, f"{path}/progress", "doc_id", ["lang", "source"]).awaitTermination()
+    return target.read()
+
+
+@query(
+    "sum7_keyed_cache",
+    """SELECT l_orderkey AS appid, arg_max(l_extendedprice, (l_shipdate, l_linenumber)) AS price,
+         max(l_shipdate) AS at FROM lineitem GROUP BY l_orderkey""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """A cache of the latest entry per key, brought up to date by three changes of it."""
+    entries = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("appid"), F.col("l_extendedprice").alias("price"), F.col("l_shipdate").alias("at"),
+        F.col("l_linenumber").alias("line"),
+    )
+    cache = _keyed(spark, entries, "appid")
+    for part in range(3):
+        cache.upsert(entries.filter(F.col("line") % 3 == part), ["at", "line"])
+    return cache.read().select("appid", "price", "at")
