@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from reviewlake.functions import text as tx
 from reviewlake.functions.scalars import best_column
-from reviewlake.operators.joins import broadcast_if_small
 from reviewlake.operators.once import compute_once
 from reviewlake.operators.stats import group_stats
 
@@ -83,7 +82,7 @@ def score_with_table(df: DataFrame, key: str, text: str, lexicon: DataFrame, lab
     worded = compute_once(df.select(key, text), {"_words": tx.tokens(F.col(text))})
     words = worded.select(key, F.explode("_words").alias("term"))
     hits = words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("_n")).join(
-        broadcast_if_small(lexicon), "term"
+        lexicon, "term"
     )
     weights = hits.groupBy(key).pivot("label", list(labels)).agg(F.sum(F.col("_n") * F.col("weight")))
     blank = tx.is_blank(F.col(text))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 # Most rows a side may have to be broadcast: narrow rows, so tens of megabytes at most.
 MAX_BROADCAST_ROWS = 100_000
+SALTS = 16
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
@@ -16,11 +17,6 @@ def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint for a side that is small now; a larger one keeps the shuffle join."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
 def few_values(df: DataFrame, columns: Sequence[str], max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     """Whether a table with one row per distinct value of ``columns`` may be broadcast."""
     return is_small(df.select(*columns).distinct(), max_rows)
@@ -43,8 +39,13 @@ def beside(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def with_topic_names(df: DataFrame, names: DataFrame, topic: str = "topic") -> DataFrame:
-    """Adds ``topic_name``; topic -1 is 'Outlier'. ``names`` has (topic, topic_name)."""
-    named = df.join(broadcast_if_small(names), topic, "left")
+    """Adds ``topic_name``; topic -1 is 'Outlier'. ``names`` has (topic, topic_name).
+
+    A topic may be that of a third of all rows, so names are handed out under every salt; how they are joined is Spark's choice.
+    """
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    named = salted.join(names.withColumn("_salt", salts), [topic, "_salt"], "left").drop("_salt")
     return named.withColumn(
         "topic_name", F.when(F.col(topic) == -1, "Outlier").otherwise(F.col("topic_name"))
     )

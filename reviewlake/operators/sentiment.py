@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,10 @@ def class_weight(df: DataFrame, label: str) -> Column:
     return F.when(F.col(label) == 1, rows / (2 * positive)).otherwise(rows / (2 * (rows - positive)))
 
 
+# Numbers that words are hashed to: what a model, and the driver while it trains, hold for any number of words.
+WIDTH = 1 << 18
+
+
 def train(
     df: DataFrame,
     text: str,
@@ -38,11 +43,13 @@ def train(
     regularisation: float = 0.01,
     stop_words: Sequence[str] = (),
     balanced: bool = True,
+    width: int = WIDTH,
 ) -> PipelineModel:
     """TF-IDF and logistic regression on a 0/1 label.
 
-    The vocabulary of the labelled rows is the only thing sized by the data that reaches the driver;
-    ``max_features`` bounds it if given.
+    Words are hashed to ``width`` features, so no vocabulary is built and the driver holds a coefficient per feature, however
+    many words there are; words that share a number share a coefficient. With ``max_features`` the most frequent words are
+    the features, as a list of that length. ``min_df`` is the number of rows a feature is in at least, or below 1 their share.
     """
     rows = df.filter(F.col(text).isNotNull() & F.col(label).isNotNull())
     rows = rows.select(F.col(text), F.col(label).cast("double").alias(label))
@@ -53,14 +60,17 @@ def train(
     )
     remover = StopWordsRemover(inputCol="_tokens", outputCol="_words", stopWords=list(stop_words))
     words = remover.transform(tokenizer.transform(rows))
-    counter = CountVectorizer(
-        inputCol="_words", outputCol="_counts", vocabSize=max_features or 2**31 - 1, minDF=min_df
-    ).fit(words)
+    if max_features is None:
+        counter = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=width)
+        least = min_df if min_df >= 1 else min_df * rows.count()
+    else:
+        counter = CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=max_features, minDF=min_df).fit(words)
+        least = 0
     # The later stages read the count vectors many times; the texts are not needed any more.
     counted = counter.transform(words).drop(text, "_tokens", "_words")
     counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        idf = IDF(inputCol="_counts", outputCol="_features").fit(counted)
+        idf = IDF(inputCol="_counts", outputCol="_features", minDocFreq=math.ceil(least)).fit(counted)
         regression = LogisticRegression(
             featuresCol="_features",
             labelCol=label,

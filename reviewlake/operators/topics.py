@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.functions import vector_to_array
@@ -118,76 +120,105 @@ def similarity(weights: DataFrame) -> DataFrame:
     )
 
 
-def _nearest_topic(counts: DataFrame, merged: dict[int, int], small: int) -> tuple[int, float] | None:
-    """The topic whose class-based TF-IDF row is nearest to that of ``small``, and the cosine."""
-    table = counts
-    if merged:
-        mapping = F.create_map(*[F.lit(x) for pair in merged.items() for x in pair])
-        moved = F.coalesce(F.try_element_at(mapping, F.col("topic")), F.col("topic"))
-        table = counts.groupBy(moved.alias("topic"), "term").agg(F.sum("n").alias("n"))
-    weights = ctfidf(table)
-    mine = weights.filter(F.col("topic") == small).select("term", F.col("weight").alias("_mine"))
-    own = mine.agg(F.sqrt(F.sum(F.col("_mine") * F.col("_mine")))).scalar()
-    near = (
-        weights.filter(F.col("topic") != small)
-        .join(mine, "term", "left")
-        .groupBy("topic")
-        .agg(
-            F.coalesce(F.sum(F.col("weight") * F.col("_mine")), F.lit(0.0)).alias("_dot"),
-            F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"),
+def products(weights: DataFrame) -> DataFrame:
+    """(topic_a, topic_b, dot) of the topics' rows, for topic_a <= topic_b that share a term."""
+    listed = weights.groupBy("term").agg(
+        F.sort_array(F.collect_list(F.struct("topic", F.col("weight").alias("w")))).alias("_entries")
+    )
+    first = listed.select("_entries", F.posexplode("_entries").alias("_at", "_a"))
+    later = F.slice("_entries", F.col("_at") + 1, F.size("_entries"))
+    pairs = first.select("_a", F.explode(later).alias("_b"))
+    return pairs.groupBy(F.col("_a.topic").alias("topic_a"), F.col("_b.topic").alias("topic_b")).agg(
+        F.sum(F.col("_a.w") * F.col("_b.w")).alias("dot")
+    )
+
+
+def _merged(rows: pd.DataFrame, keep: int) -> list[tuple[int, int, float]]:
+    """The merges of ``merge_order`` from (topic_a, topic_b, dot) and, where topic_b is missing, (topic_a, size, words)."""
+    own = rows[rows["topic_b"].isna()].sort_values("topic_a")
+    names = [int(name) for name in own["topic_a"]]
+    size, words = own["size"].to_numpy(float), own["words"].to_numpy(float)
+    place = {name: i for i, name in enumerate(names)}
+    held = rows[rows["topic_b"].notna()]
+    gram = np.zeros((len(names), len(names)))
+    x, y = (np.array([place[int(name)] for name in held[column]], np.int64) for column in ("topic_a", "topic_b"))
+    gram[x, y] = gram[y, x] = held["dot"].to_numpy(float)
+    alive, out = np.ones(len(names), bool), []
+    while alive.sum() > max(keep, 1):
+        left = np.flatnonzero(alive)
+        small = int(left[np.argmin(size[left])])  # the first of equals has the least id
+        others = left[left != small]
+        length = np.sqrt(np.maximum(gram[small, small] * gram[others, others], 0))
+        cosine = np.round(np.divide(gram[small, others], length, out=np.zeros(len(others)), where=length > 0), 9)
+        best = int(np.argmax(cosine))
+        into = int(others[best])
+        out.append((names[small], names[into], float(cosine[best])))
+        # The merged row is the mean of both, weighted by their words.
+        both = words[small] + words[into]
+        share = words[small] / both if both else 0.0
+        row = share * gram[small] + (1 - share) * gram[into]
+        corner = share * row[small] + (1 - share) * row[into]
+        gram[into] = gram[:, into] = row
+        gram[into, into] = corner
+        size[into], words[into] = size[into] + size[small], both
+        alive[small] = False
+    return out
+
+
+def merges(counts: DataFrame, sizes: DataFrame, keep: int) -> DataFrame:
+    """(step, topic, into, cosine, final): the merges that leave ``keep`` topics, and what each merged topic ends in.
+
+    Each step merges the smallest topic (ties to the smaller id) into the one whose class-based TF-IDF row is nearest by
+    cosine (ties likewise); without a shared term all cosines are 0. A merged topic's row is the row of its words, with the
+    terms weighted as before the first merge. Topic -1 takes no part. The products of all rows are one distributed job; the
+    steps are taken in one task over them, a number for each pair of topics and none for rows or terms.
+    """
+    used = counts.filter(F.col("topic") != -1)
+    rows = cut_lineage(used)
+    words = rows.groupBy("topic").agg(F.sum("n").alias("words"))
+    own = sizes.filter(F.col("topic") != -1).join(words, "topic", "left").select(
+        F.col("topic").cast("long").alias("topic_a"), F.lit(None).cast("long").alias("topic_b"),
+        F.lit(None).cast("double").alias("dot"), F.col("size").cast("double").alias("size"),
+        F.coalesce(F.col("words"), F.lit(0)).cast("double").alias("words"),
+    )
+    pairs = products(ctfidf(rows)).join(own.select("topic_a"), "topic_a", "left_semi").select(
+        F.col("topic_a").cast("long"), F.col("topic_b").cast("long"), "dot",
+        F.lit(None).cast("double").alias("size"), F.lit(None).cast("double").alias("words"),
+    )
+
+    def stepped(table: pd.DataFrame) -> pd.DataFrame:
+        found = _merged(table, keep)
+        final: dict[int, int] = {}
+        for source, into, _ in reversed(found):
+            final[source] = final.get(into, into)
+        return pd.DataFrame(
+            [(step, a, b, cosine, final[a]) for step, (a, b, cosine) in enumerate(found)],
+            columns=["step", "topic", "into", "cosine", "final"],
         )
+
+    return own.unionByName(pairs).groupBy(F.lit(0).alias("one")).applyInPandas(
+        stepped, "step long, topic long, into long, cosine double, final long"
     )
-    cosine = F.round(F.coalesce(F.try_divide(F.col("_dot"), F.col("_norm") * own), F.lit(0.0)), 9)
-    best = near.select("topic", cosine.alias("cosine")).orderBy(F.desc("cosine"), "topic").first()
-    return None if best is None else (best["topic"], float(best["cosine"]))
 
 
 def merge_order(counts: DataFrame, sizes: DataFrame, keep: int) -> list[tuple[int, int, float]]:
-    """The merges (smallest topic, nearest topic, cosine) that leave ``keep`` topics.
-
-    Each round merges the smallest topic (ties to the smaller id) into the one whose class-based
-    TF-IDF row is nearest by cosine (ties likewise). Topic -1 takes no part. Term counts stay a
-    distributed table; the driver holds one number per topic.
-    """
-    rows = sizes.filter(F.col("topic") != -1).select("topic", "size").collect()
-    held = {row["topic"]: row["size"] for row in rows}
-    table = cut_lineage(counts.filter(F.col("topic") != -1))
-    merged: dict[int, int] = {}
-    merges: list[tuple[int, int, float]] = []
-    while len(held) > max(keep, 1):
-        small = min(held, key=lambda topic: (held[topic], topic))
-        # Without any terms left to compare by, the smallest id takes it.
-        found = _nearest_topic(table, merged, small)
-        target, cosine = found or (min(topic for topic in held if topic != small), 0.0)
-        merges.append((small, target, cosine))
-        held[target] += held.pop(small)
-        merged = {old: (target if new == small else new) for old, new in merged.items()}
-        merged[small] = target
-    return merges
+    """The steps of ``merges`` as (topic, into, cosine), one for each topic that goes."""
+    rows = merges(counts, sizes, keep).orderBy("step").collect()
+    return [(row["topic"], row["into"], row["cosine"]) for row in rows]
 
 
 def reduce_topics(df: DataFrame, topic: str, counts: DataFrame, keep: int) -> DataFrame:
     """Rows with their topic after merging down to ``keep`` topics."""
     sizes = df.groupBy(F.col(topic).alias("topic")).agg(F.count(F.lit(1)).alias("size"))
-    final: dict[int, int] = {}
-    for source, target, _ in merge_order(counts, sizes, keep):
-        final = {old: (target if new == source else new) for old, new in final.items()}
-        final[source] = target
-    if not final:
-        return df
     kind = df.schema[topic].dataType
-    mapping = F.create_map(*[F.lit(x).cast(kind) for pair in final.items() for x in pair])
-    moved = F.coalesce(F.try_element_at(mapping, F.col(topic)), F.col(topic))
-    return df.withColumn(topic, moved)
+    moved = merges(counts, sizes, keep).select(F.col("topic").cast(kind).alias("_from"), F.col("final").cast(kind).alias("_to"))
+    found = df.join(moved, F.col(topic) == F.col("_from"), "left")
+    return found.withColumn(topic, F.coalesce("_to", topic)).select(df.columns)
 
 
 def hierarchy(df: DataFrame, counts: DataFrame, sizes: DataFrame) -> DataFrame:
     """(step, topic, into, cosine): the merge order down to a single topic."""
-    merges = merge_order(counts, sizes, 1)
-    return df.sparkSession.createDataFrame(
-        [(i, int(a), int(b), c) for i, (a, b, c) in enumerate(merges)],
-        "step long, topic long, into long, cosine double",
-    )
+    return merges(counts, sizes, 1).drop("final")
 
 
 def centres(df: DataFrame, topic: str, vector: str) -> DataFrame:
@@ -232,13 +263,19 @@ def lda_top_words(model: LDAModel, terms: list[str], n: int = 10) -> DataFrame:
     )
 
 
-def lda_topics(df: DataFrame, model: LDAModel) -> DataFrame:
-    """Adds the dominant ``topic`` (from 0) and its ``confidence``; without any known term all topics are alike."""
+def lda_topics(df: DataFrame, model: LDAModel, weights: str | None = None) -> DataFrame:
+    """Adds the dominant ``topic`` (from 0) and its ``confidence``; without any known term all topics are alike.
+
+    ``weights`` names a column for the shares of all topics, which add up to 1.
+    """
     known = F.col("_highest") > 0
-    weights = vector_to_array(F.col(model.getTopicDistributionCol()))
+    shares = vector_to_array(F.col(model.getTopicDistributionCol()))
+    alike = F.array_repeat(F.lit(1 / model.getK()), model.getK())
     scored = model.transform(df)
+    if weights is not None:
+        scored = scored.withColumn(weights, F.when(F.array_max(shares) > 0, shares).otherwise(alike))
     return (
-        scored.withColumn("_weights", weights)
+        scored.withColumn("_weights", shares)
         .withColumn("_highest", F.array_max("_weights"))
         .withColumn("confidence", F.when(known, F.col("_highest")).otherwise(F.lit(1 / model.getK())))
         .withColumn("topic", (F.array_position("_weights", F.col("_highest")) - 1).cast("int"))

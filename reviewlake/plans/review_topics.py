@@ -32,9 +32,9 @@ class ReviewTopics:
         rows = clean_words(df, text, self.stop_words)
         return vectors.count_vectors(rows, "words", self.terms, NGRAM).drop("words")
 
-    def place(self, df: DataFrame, text: str) -> DataFrame:
-        """Reviews with their topic and its confidence."""
-        return topics.lda_topics(self.count(df, text), self.model).drop("counts")
+    def place(self, df: DataFrame, text: str, weights: str | None = None) -> DataFrame:
+        """Reviews with their topic and its confidence, and the weights of all topics if a column is named for them."""
+        return topics.lda_topics(self.count(df, text), self.model, weights).drop("counts")
 
     def top_words(self, n: int = 10) -> DataFrame:
         return topics.lda_top_words(self.model, self.terms, n)

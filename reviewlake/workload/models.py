@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.functions.scalars import squared_distance
 from reviewlake.operators import clusters, sentiment, topics, vectors
+from reviewlake.operators.blocks import mean_silhouettes
 from reviewlake.operators.filters import at_least_chars
 from reviewlake.plans import review_analysis, review_topics, topic_model
 from reviewlake.workload.registry import REVIEWS_SQL, documents, query, reviews, scratch, six, table
@@ -142,6 +144,23 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return clusters.silhouette_sweep(embedded(spark, sf), "embedding")
 
 
+@query(
+    "clu6_silhouette",
+    """WITH d AS (
+         SELECT a.vec_id, a.label AS own, b.label AS other, list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS d
+         FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+       m AS (SELECT vec_id, own, other, avg(d) AS d FROM d GROUP BY vec_id, own, other),
+       s AS (SELECT vec_id, max(d) FILTER (own = other) AS a, min(d) FILTER (own <> other) AS b FROM m GROUP BY vec_id)
+       SELECT 'label' AS labelling, round(avg(CASE WHEN a IS NULL OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6)
+         AS silhouette FROM s""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """The given labels as clusters: exact mean distances, as the sweep takes them for its own clusters."""
+    rows = table(spark, sf, "embeddings")
+    found = mean_silhouettes(rows, "embedding", ["label"])
+    return found.withColumn("silhouette", six("silhouette"))
+
+
 @query(
     "clu7_elbow_sweep",
     f"""SELECT 6 AS runs, round(sum(v * n), 4) AS one_cluster, 0 AS rising
@@ -163,15 +182,33 @@ def topic_documents(spark: SparkSession, sf: str) -> DataFrame:
     return worded(spark, sf).join(vectors_by_id, "doc_id")
 
 
-@query("top1_topic_model", "SELECT doc_id, true AS named FROM documents JOIN embeddings ON doc_id = vec_id")
+@query("top1_topic_model")
 def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Topics of all embedded documents by 50 components; the clustering is tested against a plain version."""
     rows = topic_documents(spark, sf)
-    _, placed = topic_model.fit(
-        rows, "doc_id", "embedding", "words", components=3, reach=0.0525, min_samples=5, min_cluster_size=5
-    )
+    _, placed = topic_model.fit(rows, "doc_id", "embedding", "words", components=50, min_samples=3, min_cluster_size=5)
+    return placed.select("doc_id", "topic", "topic_name")
+
+
+@query(
+    "top1_topic_facts",
+    "SELECT count(*) AS rows, 0 AS small, 0 AS misnamed, 0 AS unordered FROM documents JOIN embeddings ON doc_id = vec_id",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Topics are large enough, numbered by falling size, and named by their number or as outliers."""
+    rows = topic_documents(spark, sf)
+    _, placed = topic_model.fit(rows, "doc_id", "embedding", "words", components=50, min_samples=3, min_cluster_size=5)
     outlier = F.col("topic_name") == "Outlier"
     named = F.when(F.col("topic") == -1, outlier).otherwise(F.col("topic_name").startswith(F.concat("topic", F.lit("_"))))
-    return placed.select("doc_id", F.coalesce(named, F.lit(False)).alias("named"))
+    sizes = placed.groupBy("topic").agg(F.count(F.lit(1)).alias("size"), F.count_if(~named).alias("misnamed"))
+    following = sizes.select((F.col("topic") - 1).alias("topic"), F.col("size").alias("_next"))
+    real = F.col("topic") >= 0
+    return sizes.join(following, "topic", "left").agg(
+        F.sum("size").alias("rows"),
+        F.count_if(real & (F.col("size") < 5)).alias("small"),
+        F.sum("misnamed").alias("misnamed"),
+        F.count_if(real & (F.col("_next") > F.col("size"))).alias("unordered"),
+    )
 
 
 SOURCES_SQL = r"(SELECT CAST(regexp_extract(source, '(\d+)$', 1) AS BIGINT) AS topic FROM documents)"
@@ -227,17 +264,32 @@ def lda_counts(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
 LDA_TERMS_SQL = vocabulary_sql(1, 2, 1500, "15", f"0.6 * {ALL_SQL}")
 
 
-def valid_topic(k: int):
-    """Whether topic and confidence are those of the heaviest of ``k`` topics."""
-    return F.col("topic").between(0, k - 1) & F.col("confidence").between(1 / k - 1e-9, 1 + 1e-9)
+def topic_facts(placed: DataFrame, weights: str) -> DataFrame:
+    """(doc_id, total, topics, heaviest, confidence): what the weights of all topics say of a document's topic."""
+    top = F.array_max(weights)
+    return placed.select(
+        "doc_id",
+        six(F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)).alias("total"),
+        F.size(weights).cast("long").alias("topics"),
+        (F.array_position(weights, top) - 1 == F.col("topic")).alias("heaviest"),
+        six(F.col("confidence") - top).alias("off"),
+    )
 
 
-@query("lda1_topic_sizes", "SELECT count(*) AS rows, true AS within FROM documents")
+@query("lda1_topic_sizes", "SELECT count(*) AS rows, true AS within, count(*)::DOUBLE AS weight, 0 AS off FROM documents")
 def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes by topic add up to all documents, as the weights of all topics do, and fit the documents' heaviest weights."""
     rows, _ = lda_counts(spark, sf)
-    placed = topics.lda_topics(rows, topics.lda(rows, "counts", 3))
-    sizes = placed.groupBy("topic").agg(F.count(F.lit(1)).alias("count"))
-    return sizes.agg(F.sum("count").alias("rows"), F.bool_and(F.col("topic").between(0, 2)).alias("within"))
+    placed = topics.lda_topics(rows, topics.lda(rows, "counts", 3), "weights")
+    heaviest = F.array_position("weights", F.array_max("weights")) - 1
+    sizes = placed.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("count"), F.count_if(heaviest != F.col("topic")).alias("off"),
+        F.sum(F.aggregate("weights", F.lit(0.0), lambda a, x: a + x)).alias("weight"),
+    )
+    return sizes.agg(
+        F.sum("count").alias("rows"), F.bool_and(F.col("topic").between(0, 2)).alias("within"),
+        F.round(F.sum("weight"), 6).alias("weight"), F.sum("off").alias("off"),
+    )
 
 
 @query("lda2_top_words", f"SELECT term, 6 AS topics, true AS positive FROM {LDA_TERMS_SQL}")
@@ -250,29 +302,35 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("lda3_document_topics", "SELECT doc_id, true AS valid FROM documents")
+FACTS_SQL = "doc_id, 1.0::DOUBLE AS total, {k}::BIGINT AS topics, true AS heaviest, 0.0::DOUBLE AS off FROM documents"
+
+
+@query("lda3_document_topics", f"SELECT {FACTS_SQL.format(k=7)}")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows, _ = lda_counts(spark, sf)
-    placed = topics.lda_topics(rows, topics.lda(rows, "counts", 7))
-    return placed.select("doc_id", valid_topic(7).alias("valid"))
+    return topic_facts(topics.lda_topics(rows, topics.lda(rows, "counts", 7), "weights"), "weights")
 
 
-@query(
-    "lda3_topics_of_cleaned_reviews", "SELECT doc_id, true AS valid FROM documents WHERE length(text) >= 20"
-)
+@query("lda3_topics_of_cleaned_reviews", f"SELECT {FACTS_SQL.format(k=3)} WHERE length(text) >= 20")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     rows = documents(spark, sf).select("doc_id", "text")
     model = review_topics.fit(rows, "text", 3, STOP_WORDS)
-    return model.place(rows, "text").select("doc_id", valid_topic(3).alias("valid"))
+    return topic_facts(model.place(rows, "text", "weights"), "weights")
 
 
-@query("lda4_perplexity", f"SELECT count(*) AS terms, true AS plausible FROM {LDA_TERMS_SQL}")
+@query(
+    "lda4_perplexity",
+    f"""SELECT count(*) AS terms, CAST(sum(frequency) AS BIGINT) AS uses, true AS plausible FROM {LDA_TERMS_SQL}""",
+)
 def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Terms known to be used are guessed better than all terms alike, over all uses of all terms."""
     rows, terms = lda_counts(spark, sf)
     perplexity = topics.lda_perplexity(topics.lda(rows, "counts", 3), rows)
-    # Terms known to be used are guessed better than all terms alike.
-    found = spark.createDataFrame([(len(terms), perplexity)], "terms long, perplexity double")
-    return found.select("terms", F.col("perplexity").between(1, F.col("terms")).alias("plausible"))
+    found = rows.agg(Summarizer.sum(F.col("counts")).alias("sums")).select(
+        F.aggregate(vector_to_array("sums"), F.lit(0.0), lambda a, x: a + x).cast("long").alias("uses"),
+        F.lit(len(terms)).cast("long").alias("terms"),
+    )
+    return found.select("terms", "uses", F.lit(perplexity).between(1, F.col("terms")).alias("plausible"))
 
 
 def sentiment_run(spark: SparkSession, sf: str) -> review_analysis.SentimentRun:
