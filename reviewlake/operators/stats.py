@@ -241,47 +241,77 @@ def outlier_share(df: DataFrame, outlier: Column) -> DataFrame:
     return counts.withColumn("fraction", F.col("count") / total)
 
 
+# Moments of a bin of half a bandwidth: the first one left out is below 1e-14 of a kernel's height.
+MOMENTS = 15
+# Bandwidths beyond which a kernel is 0 in double precision.
+REACH = 39
+
+
+def _hermite(count: int) -> list[list[int]]:
+    """Coefficients of the polynomials He_0, He_1, ... by He_k+1 = u He_k - k He_k-1."""
+    out = [[1], [0, 1]]
+    for k in range(1, count - 1):
+        raised = [0, *out[k]]
+        out.append([x - k * (out[k - 1][j] if j < len(out[k - 1]) else 0) for j, x in enumerate(raised)])
+    return out[:count]
+
+
 def density(
     df: DataFrame, column: str, by: str, points: int = 1000
 ) -> DataFrame:
     """Gaussian kernel density per group with Scott's bandwidth: (by, point, x, density).
 
-    The grid runs half a range beyond both ends. Equal values are counted first and the sums per grid
-    point are combined map-side, so the work is (distinct values x points) and the shuffle is small.
+    The grid runs half a range beyond both ends. Values are binned once, half a bandwidth to a bin, with the sums of the
+    powers of their places in it. With u from a grid point to the middle of the bin and v from there to a value, in
+    bandwidths, the kernel is exp(-u u / 2) times the sum of He_k(u) v^k / k!, so a bin is a polynomial in u, exact to
+    rounding. A pass over the rows finds the bandwidths, another one the bins; only bins meet grid points, within the
+    reach of a kernel.
     """
-    counted = (
-        present(df, [column, by])
-        .groupBy(by, F.col(column).cast("double").alias("_x"))
-        .agg(F.count(F.lit(1)).alias("_w"))
-    )
-    n = F.sum("_w")
-    mean = F.sum(F.col("_x") * F.col("_w")) / n
-    means = counted.groupBy(by).agg(
-        n.alias("_n"), mean.alias("_mean"), F.min("_x").alias("_min"), F.max("_x").alias("_max")
-    )
-    spread = (
-        _join_groups(counted, means, df, [by])
-        .groupBy(by, "_n", "_min", "_max")
-        .agg(F.sum(F.pow(F.col("_x") - F.col("_mean"), 2) * F.col("_w")).alias("_ss"))
-    )
+    rows = present(df, [column, by]).select(by, F.col(column).cast("double").alias("_x"))
     width = F.col("_max") - F.col("_min")
-    settings = spread.select(
-        by,
-        "_n",
-        (F.sqrt(F.col("_ss") / (F.col("_n") - 1)) * F.pow(F.col("_n"), F.lit(-0.2))).alias("_h"),
-        (F.col("_min") - width * 0.5).alias("_from"),
-        (width * 2 / (points - 1)).alias("_step"),
-    ).filter(F.col("_h") > 0)
+    settings = (
+        rows.groupBy(by)
+        .agg(
+            F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_s"),
+            F.min("_x").alias("_min"), F.max("_x").alias("_max"),
+        )
+        .select(
+            by, "_n", "_min",
+            (F.col("_s") * F.pow(F.col("_n"), F.lit(-0.2))).alias("_h"),
+            (F.col("_min") - width * 0.5).alias("_from"),
+            (width * 2 / (points - 1)).alias("_step"),
+        )
+        .filter(F.col("_h") > 0)
+    )
+    side = F.col("_h") / 2
+    bin_ = F.floor((F.col("_x") - F.col("_min")) / side)
+    placed = _join_groups(rows, settings, df, [by]).withColumn("_bin", bin_)
+    place = (F.col("_x") - F.col("_min") - (F.col("_bin") + 0.5) * side) / F.col("_h")
+    powers = [F.sum(F.pow(F.col("_v"), F.lit(k))).alias(f"_m{k}") for k in range(MOMENTS)]
+    bins = placed.withColumn("_v", place).groupBy(by, "_bin", "_n", "_min", "_h", "_from", "_step").agg(*powers)
+    # The bin's polynomial: every moment over k!, times the coefficients of He_k.
+    terms = _hermite(MOMENTS)
+    shape = [
+        sum((F.col(f"_m{k}") * (terms[k][j] / math.factorial(k)) for k in range(j, MOMENTS) if terms[k][j]), F.lit(0.0)).alias(f"_a{j}")
+        for j in range(MOMENTS)
+    ]
+    middle = F.col("_min") + (F.col("_bin") + 0.5) * F.col("_h") / 2
+    shaped = bins.select(by, "_n", "_h", "_from", "_step", middle.alias("_c"), *shape)
+    first = F.greatest(F.lit(0), F.ceil((F.col("_c") - REACH * F.col("_h") - F.col("_from")) / F.col("_step")))
+    last = F.least(F.lit(points - 1), F.floor((F.col("_c") + REACH * F.col("_h") - F.col("_from")) / F.col("_step")))
+    met = shaped.withColumn("point", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
     at = F.col("_from") + F.col("point") * F.col("_step")
-    z = (at - F.col("_x")) / F.col("_h")
-    sums = (
-        _join_groups(counted, settings, df, [by])
-        .withColumn("point", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(points - 1).cast("long"))))
-        .groupBy(by, "point", "_n", "_h", at.alias("x"))
-        .agg(F.sum(F.exp(z * z * -0.5) * F.col("_w")).alias("_sum"))
-    )
+    met = met.withColumn("_u", (at - F.col("_c")) / F.col("_h"))
+    value = F.col(f"_a{MOMENTS - 1}")
+    for j in range(MOMENTS - 2, -1, -1):
+        value = value * F.col("_u") + F.col(f"_a{j}")
+    found = met.select(by, "point", "_n", "_h", (value * F.exp(F.col("_u") * F.col("_u") * -0.5)).alias("_part"))
+    sums = found.groupBy(by, "point").agg(F.sum("_part").alias("_sum"))
+    # Grid points that no kernel reaches have density 0.
+    grid = settings.withColumn("point", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(points - 1).cast("long"))))
     scale = F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi)
-    return sums.select(by, "point", "x", (F.col("_sum") / scale).alias("density"))
+    whole = grid.join(sums, [by, "point"], "left")
+    return whole.select(by, "point", at.alias("x"), (F.coalesce("_sum", F.lit(0.0)) / scale).alias("density"))
 
 
 def review_totals(df: DataFrame, label: str, product: str) -> DataFrame:
