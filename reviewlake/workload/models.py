@@ -139,6 +139,22 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "clu5_projected_centres",
+    """WITH e AS (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
+         o AS (SELECT pos, avg(x) AS m FROM e GROUP BY pos),
+         c AS (SELECT label, pos, avg(x) AS m FROM e GROUP BY label, pos)
+       SELECT label AS topic, round(sqrt(sum((c.m - o.m) * (c.m - o.m))), 6) AS distance FROM c JOIN o USING (pos) GROUP BY label""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Cluster centres moved to the components of all rows: a full rotation keeps their distance from the mean of all rows."""
+    rows = table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    projection = clusters.pca(rows, "embedding", COORDINATES)
+    moved = projection.transform(topics.centres(rows, "label", "embedding"), "centre")
+    length = F.sqrt(F.aggregate("components", F.lit(0.0), lambda a, x: a + x * x))
+    return moved.select("topic", six(length).alias("distance"))
+
+
 @query("clu6_silhouette_sweep")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return clusters.silhouette_sweep(embedded(spark, sf), "embedding")
