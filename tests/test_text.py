@@ -132,9 +132,15 @@ def test_english_stop_words(spark):
     assert "the" in listed and "amazon" in listed and len(listed) > 100
 
 
-@pytest.mark.parametrize("limit", [500_000, 0])
-def test_base_forms_keep_order(spark, monkeypatch, limit):
-    monkeypatch.setattr(words, "MAX_BROADCAST_FORMS", limit)
+@pytest.fixture(params=["10m", "-1"])
+def broadcasts(spark, request):
+    """Spark with and without broadcasts of its own choice."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_base_forms_keep_order(spark, broadcasts):
     docs = spark.createDataFrame([(1, ["cats", "run", "cats"]), (2, [])], "id long, words array<string>")
     forms = spark.createDataFrame([("cats", "cat"), ("dogs", "dog")], "word string, base string")
     found = words.apply_base_forms(docs, "id", "words", forms).orderBy("id").collect()
