@@ -76,6 +76,7 @@ class LibraryEncoder:
         self.alphabet = byte_alphabet()
         self.parts = TwoGenerations(self._of_part, cache)
         self.words = TwoGenerations(self._of_word, cache)
+        # A pre-token by the byte-level pattern is a piece of its own, so one cache has both.
         self.pieces = TwoGenerations(self._of_piece, cache)
 
     def forget(self) -> None:
@@ -101,8 +102,11 @@ class LibraryEncoder:
     def _of_piece(self, piece: str) -> bytes:
         if self.piece_pattern is None or not _PLAIN.fullmatch(piece):
             return self.whole(piece)
-        parts = self.parts
-        return b"".join([parts[part] for part in self.piece_pattern.findall(piece)])
+        parts = self.piece_pattern.findall(piece)
+        if len(parts) == 1:
+            return self._of_part(piece)
+        pieces = self.pieces
+        return b"".join([pieces[part] for part in parts])
 
     def _special(self, text: str) -> bool:
         return bool(_UNLIKE.search(text) or self.added.search(text))

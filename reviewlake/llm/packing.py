@@ -25,7 +25,7 @@ CAPACITY = 2048
 #: Items of a partition on average, and the share of the bins more than its items need that a round must save for another one.
 ITEMS, LEAST_GAIN = 50_000, 0.05
 #: Text pieces whose ids a task keeps.
-PIECES = 100_000
+PIECES = 250_000
 #: A bin this full is done.
 NEARLY_FULL = 0.995
 
