@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+from pyarrow import ArrowInvalid, ArrowNotImplementedError
+from pyarrow import fs as storage
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +58,39 @@ def write_texts(df: DataFrame, path: str, product: str, text: str, title: str |
     )
 
 
+def write_named(df: DataFrame, path: str, group: str, number: str, text: str) -> None:
+    """One text file per row, ``<path>/<group>=<value>/<number>.json``, in a store that all executors share.
+
+    A folder per file, as Spark's own writer needs it, costs more to make and to list than the file. Where tasks cannot
+    write to the store themselves, that writer is used, with folders ``<number>=<value>``. A task that runs again writes the
+    same files again, and a file has its name when it is whole.
+    """
+    names = [F.coalesce(F.col(name).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).alias(name) for name in (group, number)]
+    spread = df.select(*names, F.coalesce(text, F.lit("")).alias("value")).repartition(group, number)
+    try:
+        storage.FileSystem.from_uri(path)
+    except (ArrowInvalid, ArrowNotImplementedError, OSError):
+        spread.write.partitionBy(group, number).text(path)
+        return
+
+    def written(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, root = storage.FileSystem.from_uri(path)
+        attempt, made, count = TaskContext.get().taskAttemptId(), set(), 0
+        for frame in frames:
+            for folder, name, value in frame.itertuples(index=False, name=None):
+                place = f"{root}/{group}={folder}"
+                if place not in made:
+                    store.create_dir(place, recursive=True)
+                    made.add(place)
+                with store.open_output_stream(f"{place}/_{name}.{attempt}") as out:
+                    out.write(f"{value}\n".encode())
+                store.move(f"{place}/_{name}.{attempt}", f"{place}/{name}.json")
+                count += 1
+        yield pd.DataFrame({"files": [count]})
+
+    spread.mapInPandas(written, "files long").agg(F.sum("files")).collect()
+
+
 def export_rows(summaries: DataFrame, statistics: DataFrame, config: dict[str, object]) -> DataFrame:
     """(value): JSON lines of kind 'summary' per product, then one 'metadata' and one 'config' line."""
     lines = summaries.select(
