@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewlake.functions import text as tx
 from reviewlake.functions.porter import porter_stem
 from reviewlake.operators.once import compute_once
 
-
-SALTS = 16
+# Documents of a chunk, on average.
+CHUNK_ROWS = 256
 
 
 def distinct_words(df: DataFrame, words: str) -> DataFrame:
@@ -45,26 +47,39 @@ def apply_base_forms(
 ) -> DataFrame:
     """Adds the words joined by a space, each replaced by its base form if the table has one.
 
-    Words are first reduced to their positions per document, so that a frequent word is one row per document and
-    not one per use. How the table is joined is Spark's choice; words without a base form aren't joined at all, and
-    a word that a third of all documents have is salted by document.
+    Documents lie in chunks by the hash of their key. Only the distinct words of a chunk meet the table, so a word is one row
+    per chunk and not one per document or use; how the table is joined is Spark's choice. Each chunk then gets the base
+    forms of its own words, and a document is moved once, whole. The table has one base form per word.
     """
-    worded = compute_once(df.select(key, words), {"_words": F.col(words)})
-    placed = worded.select(key, F.posexplode("_words").alias("_at", "word"))
-    places = placed.groupBy(key, "word").agg(F.collect_list("_at").alias("_places"))
-    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-    table = forms.filter(F.col("word") != F.col("base")).select("word", "base", salts.alias("_salt"))
-    salted = places.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)))
-    based = salted.join(table, ["word", "_salt"], "left").select(
-        key, "word", "base", F.explode("_places").alias("_at")
-    )
-    entry = F.struct(F.col("_at"), F.coalesce("base", "word").alias("_word"))
-    texts = (
-        based.groupBy(key)
-        .agg(F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["_word"]).alias("_words"))
-        .select(key, F.array_join("_words", " ").alias(output))
-    )
-    return df.join(texts, key, "left").withColumn(output, F.coalesce(output, F.lit("")))
+    chunks = max(1, -(-df.count() // CHUNK_ROWS))
+    placed = df.withColumn("_chunk", F.pmod(F.xxhash64(key), F.lit(chunks)))
+    # Dealt by chunk first: then the distinct words of a chunk are found without moving them again.
+    dealt = compute_once(placed.select("_chunk", words).repartition("_chunk"), {"_words": F.array_distinct(words)})
+    listed = dealt.select("_chunk", F.explode("_words").alias("word")).filter(F.col("word").isNotNull()).distinct()
+    table = forms.filter(F.col("word") != F.col("base")).select("word", "base")
+    found = listed.join(table, "word").select(F.col("_chunk").alias("_of"), "word", "base")
+    kept = [key, *[name for name in df.columns if name != key]]
+
+    def based(documents: pa.Table, pairs: pa.Table) -> pa.Table:
+        bases = dict(zip(pairs["word"].to_pylist(), pairs["base"].to_pylist()))
+        texts = [
+            " ".join([bases.get(word, word) for word in listed or () if word is not None])
+            for listed in documents[words].to_pylist()
+        ]
+        return documents.select(kept).append_column(output, pa.array(texts, pa.string()))
+
+    schema = T.StructType([*[df.schema[name] for name in kept], T.StructField(output, T.StringType())])
+    return placed.groupBy("_chunk").cogroup(found.groupBy("_of")).applyInArrow(based, schema)
+
+
+def porter_text(words: Column) -> Column:
+    """The Porter stems of an array of words, joined by a space. Rows stay where they are."""
+
+    @F.pandas_udf("string")
+    def stemmed(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda listed: " ".join([porter_stem(word) for word in listed if word is not None]))
+
+    return stemmed(F.coalesce(words, F.array().cast("array<string>")))
 
 
 def preprocess(
@@ -79,10 +94,10 @@ def preprocess(
 ) -> DataFrame:
     """Letters only, then stop words out, then base forms from a table, or stems by Porter's or the suffix rules."""
     words: Column = tx.remove_stop_words(tx.split_words(tx.letters_only(F.col(text))), stop_words)
-    if forms is not None or porter:
-        staged = df.withColumn("_words", words)
-        table = porter_table(staged, "_words") if forms is None else forms
-        return apply_base_forms(staged, key, "_words", table, output).drop("_words")
+    if forms is not None:
+        return apply_base_forms(df.withColumn("_words", words), key, "_words", forms, output).drop("_words")
+    if porter:
+        return df.withColumn(output, porter_text(words))
     if stem:
         words = F.transform(words, tx.stem)
     return df.withColumn(output, F.array_join(words, " "))

@@ -152,3 +152,17 @@ def test_preprocess_with_forms(spark):
     forms = spark.createDataFrame([("cats", "cat"), ("ran", "run")], "word string, base string")
     found = words.preprocess(docs, "id", "review", ["the"], forms).first()
     assert found["clean_review"] == "cat run"
+
+
+def test_base_forms_of_many_chunks(spark, monkeypatch):
+    monkeypatch.setattr(words, "CHUNK_ROWS", 3)
+    rows = [(i, ["the"] * (i % 4) + [f"w{i % 7}", None, f"w{i}"], 2**60 + i) for i in range(40)] + [(40, [], None), (41, None, 1)]
+    docs = spark.createDataFrame(rows, "id long, words array<string>, other long")
+    forms = spark.createDataFrame([("the", "a"), ("w3", "x"), ("w30", "y"), ("w5", "w5"), ("unseen", "z")], "word string, base string")
+    table = {"the": "a", "w3": "x", "w30": "y"}
+    wanted = [(i, ws, other, " ".join(table.get(w, w) for w in ws or [] if w is not None)) for i, ws, other in rows]
+    found = words.apply_base_forms(docs, "id", "words", forms)
+    assert [tuple(row) for row in found.orderBy("id").collect()] == wanted
+    # No row per use or per document of a word: texts are moved whole.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" not in plan and "CoGroup" in plan
