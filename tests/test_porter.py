@@ -120,3 +120,10 @@ def test_stems_are_put_back_in_order(spark):
     assert {r["id"]: r["clean_review"] for r in done.collect()} == {
         1: "poni hop hop relat poni", 2: "", 3: "", 4: "poni", 5: "xyz"
     }
+
+
+def test_porter_moves_no_tokens(spark):
+    df = spark.createDataFrame([(1, "The cats and running dogs"), (2, None), (3, "the the"), (4, "Running running")], "id long, text string")
+    done = words.preprocess(df, "id", "text", ["the", "and"], porter=True)
+    assert [row["clean_review"] for row in done.orderBy("id").collect()] == ["cat run dog", "", "", "run run"]
+    assert "Exchange" not in done._jdf.queryExecution().executedPlan().toString()
