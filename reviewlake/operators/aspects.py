@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.functions import text as tx
 from reviewlake.functions.scalars import best_column
-from reviewlake.operators.once import compute_once
+from reviewlake.operators.once import compute_once, counted_entries
 from reviewlake.operators.stats import group_stats
 
 # The aspects of a game review.
@@ -78,12 +78,13 @@ def score(
 
 
 def score_with_table(df: DataFrame, key: str, text: str, lexicon: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """The same scores for a lexicon kept as a table (label, term, weight): (key, score_<label>...)."""
+    """The same scores for a lexicon kept as a table (label, term, weight): (key, score_<label>...).
+
+    Words are counted inside their row, so no task keeps a table of all words of its rows.
+    """
     worded = compute_once(df.select(key, text), {"_words": tx.tokens(F.col(text))})
-    words = worded.select(key, F.explode("_words").alias("term"))
-    hits = words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("_n")).join(
-        lexicon, "term"
-    )
+    words = worded.select(key, F.inline(counted_entries(F.col("_words"))).alias("term", "_n"))
+    hits = words.join(lexicon, "term")
     weights = hits.groupBy(key).pivot("label", list(labels)).agg(F.sum(F.col("_n") * F.col("weight")))
     blank = tx.is_blank(F.col(text))
     scored = df.select(key, blank.alias("_blank")).join(weights, key, "left")

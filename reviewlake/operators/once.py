@@ -34,3 +34,26 @@ def present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         if name in df.columns and isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
             out = out.filter(~F.isnan(name))
     return out
+
+
+def counted_entries(listed: Column) -> Column:
+    """The distinct entries of an array with how often they occur, as structs (term, n); entries without a value are left out.
+
+    Counted inside the row: the array is put in order, and an entry ends where the next one begins.
+    """
+    ordered = F.array_sort(F.filter(listed, lambda x: x.isNotNull()))
+
+    def runs(row: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(row) - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(row, i) != F.get(row, i - 1)))
+        parts = F.transform(
+            F.array(F.struct(row.alias("row"), starts.alias("starts"))),
+            lambda s: F.zip_with(
+                s["starts"], F.concat(F.slice(s["starts"], 2, F.size(s["starts"])), F.array(F.size(s["row"]))),
+                lambda a, b: F.struct(F.get(s["row"], a).alias("term"), (b - a).cast("long").alias("n")),
+            ),
+        )
+        return F.get(parts, F.lit(0))
+
+    # A lambda's argument is a value: the array is put in order once.
+    return F.get(F.transform(F.filter(F.array(ordered), lambda row: F.size(row) > 0), runs), F.lit(0))
