@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from reviewlake.operators import aspects, clusters, components, density, sentiment, topics, vectors
 from reviewlake.plans import review_analysis, review_topics, topic_model
+from reviewlake.workload import models as queries_of_models
+from tests.conftest import SMALL
 
 
 @pytest.fixture(scope="module")
@@ -324,3 +326,11 @@ def test_product_clusters(spark):
     found = review_analysis.cluster_products(df, "category", "product", 2).collect()
     pairs = {(r["category"], r["meta_category"]) for r in found}
     assert len(found) == 40 and len(pairs) == 2
+
+
+def test_lda_counts_are_made_once(spark):
+    rows, terms = queries_of_models.lda_counts(spark, SMALL)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert terms and rows.count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()
+    # What reads the counts reads no text.
+    assert "parquet" not in plan and "text" not in plan
