@@ -20,6 +20,8 @@ from reviewlake.session import cut_lineage
 
 # Vectors of a block, on average, and rows of a block that are multiplied at a time.
 BLOCK_ROWS, SLICE = 4096, 512
+# Vectors whose sums one task keeps, at most: all others are sent once to each such group.
+GROUP_ROWS = 32768
 
 
 def vector_blocks(rows: DataFrame, key: str, vector: str, columns: Sequence[str], size: int = BLOCK_ROWS) -> DataFrame:
@@ -119,12 +121,21 @@ def mean_silhouettes(df: DataFrame, vector: str, labels: Sequence[str]) -> DataF
     own = [f"_l{i}" for i in range(len(labels))]
     distinct = named.groupBy("_name", *own).agg(F.first("_v").alias("_v"), F.count(F.lit(1)).alias("_n"))
     keyed = distinct.withColumn("_key", F.to_json(F.struct("_name", *own)))
+    keyed = cut_lineage(keyed)
+    # Groups as large as leaves work for all cores.
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = max(BLOCK_ROWS, min(GROUP_ROWS, keyed.count() // (2 * cores)))
     blocks = cut_lineage(vector_blocks(keyed, "_key", "_v", ["_n", *own]))
-    count = (blocks.agg(F.max("block")).first()[0] or 0) + 1
+    groups = vector_blocks(keyed, "_key", "_v", ["_n", *own], size)
+    count = max(1, -(-keyed.count() // size))
     other = blocks.withColumnsRenamed({"block": "other", "v": "w", "_n": "_m"} | {f"_l{i}": f"_k{i}" for i in range(len(labels))})
+    sent = other.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))))
+    # A group's own rows come once, before all others.
+    pairs = groups.withColumn("other", F.lit(-1).cast("long")).unionByName(sent, allowMissingColumns=True)
+    pairs = pairs.repartition(count, "block").sortWithinPartitions("block", "other")
 
     def found(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, mine, sums, sizes = None, None, [], []
+        block, mine, vectors, sums, sizes = None, None, None, [], []
 
         def done() -> pd.DataFrame:
             total, rows = [], []
@@ -153,10 +164,12 @@ def mean_silhouettes(df: DataFrame, vector: str, labels: Sequence[str]) -> DataF
                         yield done()
                     block = row["block"]
                     mine = {"n": np.asarray(row["_n"]), "labels": [list(row[name]) for name in own]}
+                    vectors = _matrix(row["v"], len(mine["n"]))
                     sums = [np.zeros((len(mine["n"]), 0)) for _ in own]
                     sizes = [{} for _ in own]
+                    continue
                 weight = np.asarray(row["_m"], float)
-                vectors, others = _matrix(row["v"], len(mine["n"])), _matrix(row["w"], len(weight))
+                others = _matrix(row["w"], len(weight))
                 hot = []
                 for i, size in enumerate(sizes):
                     labels_ = [None if x is None or x != x else int(x) for x in row[f"_k{i}"]]
@@ -177,7 +190,7 @@ def mean_silhouettes(df: DataFrame, vector: str, labels: Sequence[str]) -> DataF
         if block is not None:
             yield done()
 
-    parts = _paired(blocks, other, count).mapInPandas(found, "labelling int, total double, rows long")
+    parts = pairs.mapInPandas(found, "labelling int, total double, rows long")
     sums = parts.groupBy("labelling").agg((F.sum("total") / F.sum("rows")).alias("silhouette"))
     names = F.array(*[F.lit(name) for name in labels])
     return sums.select(F.get(names, F.col("labelling")).alias("labelling"), "silhouette")

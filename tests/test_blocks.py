@@ -78,3 +78,18 @@ def test_silhouettes_equal_a_loop(spark, monkeypatch, size):
     found = {r["labelling"]: r["silhouette"] for r in blocks.mean_silhouettes(df, "v", ["a", "b", "c"]).collect()}
     for name, column in zip("abc", labels):
         assert math.isclose(found[name], _silhouette(points, column), abs_tol=1e-9)
+
+
+def test_a_block_is_sent_to_groups_not_to_blocks(spark, monkeypatch):
+    monkeypatch.setattr(blocks.vector_blocks, "__defaults__", (6,))
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 18)
+    monkeypatch.setattr(blocks, "SLICE", 5)
+    sizes = []
+    made = blocks.vector_blocks
+    monkeypatch.setattr(blocks, "vector_blocks", lambda *given: sizes.append(given[4:]) or made(*given))
+    points = _points(9, 49, 4)
+    labels = [i % 3 for i in range(len(points))]
+    df = spark.createDataFrame([(i, v, labels[i]) for i, v in enumerate(points)], "id long, v array<double>, a int")
+    found = blocks.mean_silhouettes(df, "v", ["a"]).first()["silhouette"]
+    assert math.isclose(found, _silhouette(points, labels), abs_tol=1e-9)
+    assert sizes == [(), (18,)]  # three groups of 18 read nine blocks of 6
