@@ -32,6 +32,8 @@ BLOCK_POINTS = 1024
 PIVOTS = 16
 SUMMARIES = 512
 CHUNK_EDGES = 1 << 20
+# Blocks whose core distances one task finds together, at most: a block is sent to each such group once.
+GROUP_BLOCKS = 16
 # The density of points that coincide.
 LEAST_DISTANCE = 1e-12
 
@@ -178,28 +180,55 @@ def with_core_distances(blocks: DataFrame, k: int) -> DataFrame:
 
     limits = blocks.mapInPandas(bounded, "block long, floor double, limit double")
     pairs = near_blocks(blocks.select("block", "low", "high").join(limits, "block"))
-    sides = pairs.join(blocks.select(F.col("block").alias("b"), "numbers", "counts", "vectors"), "b")
-    spread = sides.repartition("a").sortWithinPartitions("a", F.col("a") != F.col("b"), "lower", "b")
+    # Neighbouring blocks make a group; groups as large as leave work for all cores.
+    cores_held = blocks.sparkSession.sparkContext.defaultParallelism
+    size = max(1, min(GROUP_BLOCKS, blocks.count() // (3 * cores_held)))
+    place = F.row_number().over(Window.orderBy("block")) - 1  # blocks are few; only their names are ordered
+    groups = cut_lineage(blocks.select(F.col("block").alias("a"), F.floor(place / size).alias("grp")))
+    wanted = pairs.join(groups, "a").groupBy("grp", "b").agg(
+        F.collect_list("a").alias("a"), F.collect_list("lower").alias("lower"), F.min("lower").alias("_first"),
+        F.bool_or(F.col("a") == F.col("b")).alias("own"),
+    )
+    sides = wanted.join(blocks.select(F.col("block").alias("b"), "numbers", "counts", "vectors"), "b")
+    spread = sides.repartition("grp").sortWithinPartitions("grp", F.col("own").cast("int").desc(), "_first", "b")
 
     def measured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, own, best = None, None, None
+        group, held, best, waiting = None, {}, {}, []
 
         def done() -> pd.DataFrame:
-            cores = _kth(*best, k).astype(float)
-            return pd.DataFrame({"block": [block], "cores": [cores.tobytes()], "floor": [cores.min()]})
+            cores = {block: _kth(*found, k).astype(float) for block, found in best.items()}
+            return pd.DataFrame(
+                {"block": list(cores), "cores": [x.tobytes() for x in cores.values()], "floor": [x.min() for x in cores.values()]}
+            )
+
+        def met(row) -> None:
+            _, counts, vectors = _opened(row)
+            for a, lower in zip(row.a, row.lower):
+                if a != row.b and lower <= _kth(*best[a], k).max():
+                    far = np.concatenate([best[a][0], distances(held[a], vectors)], axis=1)
+                    seen = np.concatenate([best[a][1], np.tile(counts, (len(held[a]), 1))], axis=1)
+                    best[a] = _nearest(far, seen, k)
+
+        def met_own() -> None:
+            for row in waiting:
+                met(row)
+            waiting.clear()
 
         for frame in frames:
             for row in frame.itertuples(index=False):
-                if row.a != block:
-                    if block is not None:
+                if row.grp != group:
+                    if group is not None:
+                        met_own()
                         yield done()
-                    block, own, best = row.a, _opened(row)[2], _own_nearest(row, k)  # its own pair comes first
-                elif row.lower <= _kth(*best, k).max():
-                    _, counts, vectors = _opened(row)
-                    far = np.concatenate([best[0], distances(own, vectors)], axis=1)
-                    seen = np.concatenate([best[1], np.tile(counts, (len(own), 1))], axis=1)
-                    best = _nearest(far, seen, k)
-        if block is not None:
+                    group, held, best = row.grp, {}, {}
+                if row.own:  # the group's own blocks come first, each with its own pair
+                    held[row.b], best[row.b] = _opened(row)[2], _own_nearest(row, k)
+                    waiting.append(row)
+                else:
+                    met_own()
+                    met(row)
+        if group is not None:
+            met_own()
             yield done()
 
     cores = spread.mapInPandas(measured, "block long, cores binary, floor double")

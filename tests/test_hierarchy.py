@@ -205,3 +205,16 @@ def test_block_tree_breaks_ties_by_number():
                     group[member] = group[a]
         found = hierarchy.block_tree(weights, numbers)
         assert {tuple(sorted((int(numbers[x]), int(numbers[y])))) for x, y in found} == wanted
+
+
+@pytest.mark.parametrize("most", [1, 16])
+def test_core_distances_of_groups_of_blocks(spark, monkeypatch, most):
+    monkeypatch.setattr(hierarchy, "BLOCK_POINTS", 4)
+    monkeypatch.setattr(hierarchy, "GROUP_BLOCKS", most)
+    rows = _blobs(5, 3, [(150, 1.0), (150, 4.0)])
+    rows.append((9000, rows[0][1]))  # a copy
+    points = hierarchy.numbered_points(_table(spark, rows), "id", "v")
+    cores = hierarchy.opened_points(hierarchy.core_distances(points, 5)).join(points, "number").select("node", "core").collect()
+    wanted = {i: sorted(_distance(v, w) for j, w in rows if j != i)[4] for i, v in rows[:-1]}
+    assert {row["node"] for row in cores} == set(wanted)
+    assert all(math.isclose(row["core"], wanted[row["node"]], abs_tol=1e-9) for row in cores)
