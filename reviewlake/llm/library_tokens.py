@@ -22,13 +22,16 @@ from reviewlake.llm.common import TwoGenerations
 
 CACHE = 250_000
 #: White space for Python alone.
-_UNLIKE = re.compile("[\x1c-\x1f]")
+_UNLIKE = ("\x1c", "\x1d", "\x1e", "\x1f")
 #: Bytes that the byte-level alphabet writes as themselves; the others follow from code point 256 on, in order.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 #: Letters that no normal form changes and whose small ones are single letters.
 _SMALL = "a-z\u00df-\u00f6\u00f8-\u00ff"
 _LATIN = f"A-Z\u00c0-\u00d6\u00d8-\u00de{_SMALL}"
 _PLAIN = re.compile(f" ?[!-~{_LATIN}]+")
+#: The pattern for plain words in lower case that cuts letters, and one mark after them, as ``_of_word`` does without it.
+_LETTERS_APART = rf"'s|'t|'re|'ve|'m|'ll|'d|[{_SMALL}]+|[0-9]|[^\s{_SMALL}0-9]+"
+_MARKS = frozenset(".,;:!?")
 #: A word with its blank, or white space as the byte-level pattern leaves it.
 _CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: The byte-level pattern within a plain word.
@@ -67,9 +70,12 @@ class LibraryEncoder:
             rules = json.load(file)
         added = self.library.get_added_tokens_decoder().values()
         # Without normalisation a token is found as it is written; with it, other spellings may become one.
-        contents = None if any(token.normalized for token in added) else [re.escape(token.content) for token in added]
-        self.added = re.compile("" if contents is None else "|".join(contents) or r"(?!)")
+        # The empty string is in every text.
+        self.added = [""] if any(token.normalized for token in added) else [token.content for token in added]
+        # What all added tokens begin with: most texts have none of it, and are searched once.
+        self.opening = os.path.commonprefix(self.added)
         self.word_pattern = _word_pattern(rules)
+        self.letters_apart = self.word_pattern is not None and self.word_pattern.pattern == _LETTERS_APART
         cutting = rules["pre_tokenizer"] or {}
         byte_level = cutting.get("type") == "ByteLevel" and cutting["use_regex"] and not cutting["add_prefix_space"]
         self.piece_pattern = _BYTE_LEVEL if byte_level and rules["normalizer"] is None else None
@@ -94,6 +100,11 @@ class LibraryEncoder:
         return ids.tobytes() if ids.itemsize == 4 else np.array(ids, "<u4").tobytes()
 
     def _of_word(self, word: str) -> bytes:
+        if self.letters_apart and word.isascii():
+            if word.isalpha():
+                return self.parts[word.lower()]
+            if word[-1] in _MARKS and word[:-1].isalpha():
+                return self.parts[word[:-1].lower()] + self.parts[word[-1]]
         if self.word_pattern is None or not _PLAIN.fullmatch(word):
             return self.whole(word)
         parts = self.parts
@@ -109,7 +120,10 @@ class LibraryEncoder:
         return b"".join([pieces[part] for part in parts])
 
     def _special(self, text: str) -> bool:
-        return bool(_UNLIKE.search(text) or self.added.search(text))
+        if self.opening in text and any(token in text for token in self.added):
+            return True
+        # A search for one string is much faster than a pattern that tries several at each place.
+        return any(mark in text for mark in _UNLIKE)
 
     def by_words(self, texts: list[str]) -> list[bytes]:
         """For files that drop white space."""
