@@ -4,7 +4,8 @@ Counts are gathered from the whole corpus. Texts are stored in shards; a shard s
 as hashes with their counts, to buckets, which add them up over all shards and send each shard the sums in the
 order in which it asked. So a shard gets what its own texts need of a model of any size. The need becomes an
 automaton: the root has an arc for every word, the state of a word has arcs for the pairs it begins, and failure arcs
-lead from it to the root at the price of its backoff weight. A text is one traversal from left to right.
+lead from it to the root at the price of its backoff weight. Whatever arc a word takes leads to the state of that word, so
+the steps of a shard's texts are taken all at once.
 
 With c the counts in training tokens, N their number, V the distinct ones and K the weight of the shorter context:
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,47 +38,61 @@ _FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
 
 class Automaton:
-    """States with arcs (state, token) -> (weight, next state) and one failure arc each; state 0 is the root."""
-
-    def __init__(self, tokens: int) -> None:
-        self.tokens = tokens
-        self.arcs: dict[int, tuple[float, int]] = {}
-        self.failure: list[int] = []
-        self.backoff: list[float] = []
-
-    def score(self, start: int, text: list[int]) -> float:
-        """The weights along ``text`` from state ``start``. The root must have an arc for every token."""
-        arcs, tokens, failure, backoff = self.arcs.get, self.tokens, self.failure, self.backoff
-        total, state = 0.0, start
-        for token in text:
-            arc = arcs(state * tokens + token)
-            while arc is None:
-                total += backoff[state]
-                state = failure[state]
-                arc = arcs(state * tokens + token)
-            total += arc[0]
-            state = arc[1]
-        return total
+    """States with arcs (state, token) -> (weight, next state) and one failure arc each; state 0 is the root.
+
+    ``keys``, the arcs' state * tokens + token, are in rising order. The root must have an arc for every token.
+    """
+
+    def __init__(
+        self, tokens: int, keys: np.ndarray, weights: np.ndarray, nexts: np.ndarray, failure: np.ndarray, backoff: np.ndarray
+    ) -> None:
+        self.tokens, self.keys, self.weights, self.nexts, self.failure, self.backoff = tokens, keys, weights, nexts, failure, backoff
+
+    def steps(self, states: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(weight, next state) of one step each, with the failure arcs it takes before there is an arc."""
+        weight, state, after = np.zeros(len(states)), states.copy(), np.zeros(len(states), np.int64)
+        left = np.arange(len(states))
+        while len(left):
+            wanted = state[left] * self.tokens + tokens[left]
+            arc = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            held = self.keys[arc] == wanted
+            weight[left[held]] += self.weights[arc[held]]
+            after[left[held]] = self.nexts[arc[held]]
+            left = left[~held]
+            weight[left] += self.backoff[state[left]]
+            state[left] = self.failure[state[left]]
+        return weight, after
+
+    def walk(self, start: int, tokens: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+        """The weights of the steps along texts that begin at ``firsts``, each from state ``start``.
+
+        Of texts whose every step leads to the state of its token, all steps are taken at once.
+        """
+        states = np.append(start, tokens[:-1] + 1)
+        states[firsts] = start
+        weight, after = self.steps(states, tokens)
+        if (after != tokens + 1).any():
+            raise ValueError("a step leads to another state than that of its token")
+        return weight
 
 
 def bigram_automaton(words: np.ndarray, pairs: tuple[np.ndarray, np.ndarray, np.ndarray], total: int, distinct: int,
                      documents: int, weight: float) -> Automaton:
-    """Of the words' counts and the pairs (first, second, count); first is a word, or the number of words at a begin.
+    """Of the words' counts and the pairs (first, second, count) in order; first is a word, or the number of words at a begin.
 
     State w + 1 is that of word w, the last one that of the begin of a text.
     """
     n = len(words)
-    made = Automaton(n)
     single = (words + 1.0) / (total + distinct + 1.0)
     contexts = np.append(words, documents).astype(float)
-    made.failure = [0] * (n + 2)
-    made.backoff = [0.0, *np.log10(weight / (contexts + weight)).tolist()]
-    made.arcs = {w: (p, w + 1) for w, p in enumerate(np.log10(single).tolist())}
+    backoff = np.append(0.0, np.log10(weight / (contexts + weight)))
     first, second, count = (values[pairs[2] > 0] for values in pairs)
-    weights = np.log10((count + weight * single[second]) / (contexts[first] + weight)).tolist()
-    keys = ((first + 1) * n + second).tolist()
-    made.arcs.update(zip(keys, zip(weights, (second + 1).tolist())))
-    return made
+    weights = np.log10((count + weight * single[second]) / (contexts[first] + weight))
+    every = np.arange(n)
+    return Automaton(
+        n, np.append(every, (first + 1) * n + second), np.append(np.log10(single), weights),
+        np.append(every, second) + 1, np.zeros(n + 2, np.int64), backoff,
+    )
 
 
 class _Texts:
@@ -87,11 +103,7 @@ class _Texts:
         data, ends = opened(row["data"], lengths)
         whole = data.tobytes().lower()
         split = [whole[a:b].split() for a, b in zip((ends - lengths).tolist(), ends.tolist())]
-        number: dict[bytes, int] = {END: 0}
-        for words in split:
-            for word in words:
-                if word not in number:
-                    number[word] = len(number)
+        number = {word: i for i, word in enumerate(dict.fromkeys(chain([END], chain.from_iterable(split))))}
         self.ids = [None if i is None or i != i else int(i) for i in row["ids"]]
         self.fold = [None if i is None else zlib.crc32(str(i).encode()) % folds for i in self.ids]
         self.sizes = np.array([len(words) + 1 for words in split], np.int64)
@@ -100,7 +112,7 @@ class _Texts:
         lasts = np.cumsum(self.sizes) - 1
         inner = np.ones(len(self.flat), bool)
         inner[lasts] = False
-        self.flat[inner] = np.fromiter((number[word] for words in split for word in words), np.int64, int(inner.sum()))
+        self.flat[inner] = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int64, int(inner.sum()))
         before = np.append(self.words, self.flat[:-1])
         before[(lasts - self.sizes + 1)] = self.words
         trained = np.repeat([fold is not None and fold != held_out for fold in self.fold], self.sizes)
@@ -118,9 +130,10 @@ class _Texts:
         """(bucket, places) of the words or pairs, in the order of their hashes."""
         keys = self.word_keys if kind == WORDS else self.pair_keys
         bucket = (keys % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((keys, bucket))
-        present, first = np.unique(bucket[order], return_index=True)
-        return zip(present.tolist(), np.split(order, first[1:]))
+        order = np.argsort(keys)  # equal hashes have equal answers
+        order = order[np.argsort(bucket[order].astype(np.uint16 if parts <= 1 << 16 else np.int64), kind="stable")]
+        first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        return zip(bucket[order[first]].tolist(), np.split(order, first[1:]))
 
 
 def _six_bytes(keys: np.ndarray) -> bytes:
@@ -220,7 +233,7 @@ def score(docs: DataFrame, folds: int = 7, held_out: int = 2, weight: float = CO
         ends = np.cumsum(texts.sizes)
         starts = ends - texts.sizes
         begin = texts.words + 1
-        tokens = texts.flat.tolist()
+        weights = automaton.walk(begin, texts.flat, starts)
         return pd.DataFrame(
             {
                 "doc_id": pd.array(texts.ids, "Int64"),
@@ -229,7 +242,7 @@ def score(docs: DataFrame, folds: int = 7, held_out: int = 2, weight: float = CO
                 "n_known": np.add.reduceat((words[texts.flat] > 0).astype(np.int64), starts),
                 "train_tokens": total,
                 "base_score": np.add.reduceat(base[texts.flat], starts),
-                "score": [automaton.score(begin, tokens[a:b]) for a, b in zip(starts.tolist(), ends.tolist())],
+                "score": np.add.reduceat(weights, starts),
             }
         )
 
