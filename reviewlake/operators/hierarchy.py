@@ -6,12 +6,14 @@ is the hierarchy; a part with fewer than ``min_cluster_size`` points is not a cl
 
 Distinct vectors lie in blocks of similar ones. A few pivots give every block intervals of distances, and by the triangle
 inequality these bound the distance of two blocks in any number of dimensions. Core distances read the blocks that
-may hold a near point, in the order of their bounds. An edge of the spanning tree is also one of the spanning tree of
-the two blocks it joins, so pairs of blocks propose their own trees' edges, and only pairs that may beat the edges
-already known to span everything are compared at all. The proposed edges are then joined in the order of their length, a
+may hold a near point, in the order of their bounds. The trees of the blocks, the shortest edges of a chain of blocks and
+the edges to near points span everything; their hierarchy says from when on two points are surely together, and no edge
+between them that is longer is one of the spanning tree. So pairs of blocks only propose edges that are no longer: a few
+per point. The proposed edges are then joined in the order of their length, a
 bounded number at a time, and that order is the hierarchy: each join of two clusters and each point falling into
 one is a row, never a tree in memory. Only the table of clusters, of which there are at most twice the points over
-``min_cluster_size``, is walked in one task. Vectors without structure give no bound and are compared in all pairs of blocks.
+``min_cluster_size``, is walked in one task. Vectors without structure give no bound and are compared in all pairs of blocks,
+by short products; only pairs that pass are measured in full.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlake.operators.density import SALTS, _numbered, _vector_name, distinct_points
+from reviewlake.operators.density import SALTS, _hooked, _numbered, _vector_name, distinct_points
 from reviewlake.session import cut_lineage
 
 # Points of a block, pivots, block summaries that are compared at a time, and edges joined in one task.
@@ -32,8 +34,13 @@ BLOCK_POINTS = 1024
 PIVOTS = 16
 SUMMARIES = 512
 CHUNK_EDGES = 1 << 20
-# Blocks whose core distances one task finds together, at most: a block is sent to each such group once.
+# Rows of a block that meet another one at a time: their distances stay in a core's cache.
+SLICE = 128
+# Blocks that one task compares with others together, at most: a block is sent to each such group once.
 GROUP_BLOCKS = 16
+# Edges to near points, of each point, among those that span everything; clusters of these edges' hierarchy, about half at most.
+NEAR_EDGES = 4
+KNOWN_CLUSTERS = 500
 # The density of points that coincide.
 LEAST_DISTANCE = 1e-12
 
@@ -51,6 +58,91 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0))
 
 
+class Side:
+    """Vectors of a block as one side of a product that gives squared distances."""
+
+    def __init__(self, vectors: np.ndarray) -> None:
+        self.vectors, self.lengths = vectors, (vectors * vectors).sum(1)
+        self.top = float(self.lengths.max(initial=0.0))
+        self.made: dict[tuple, np.ndarray] = {}
+
+    def left(self, kind: type) -> np.ndarray:
+        if ("left", kind) not in self.made:
+            ones = np.ones((len(self.vectors), 1))
+            whole = np.concatenate([self.vectors, self.lengths[:, None], ones], axis=1)
+            self.made["left", kind] = whole.astype(kind)
+        return self.made["left", kind]
+
+    def right(self, kind: type) -> np.ndarray:
+        if ("right", kind) not in self.made:
+            ones = np.ones((len(self.vectors), 1))
+            whole = np.concatenate([-2 * self.vectors, ones, self.lengths[:, None]], axis=1)
+            self.made["right", kind] = whole.T.astype(kind, order="C")
+        return self.made["right", kind]
+
+
+def apart(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Distances of the rows ``i`` of ``a`` and ``j`` of ``b``, from differences."""
+    far = np.empty(len(i))
+    for at in range(0, len(i), 1 << 14):
+        part = slice(at, at + (1 << 14))
+        far[part] = np.sqrt(((a[i[part]] - b[j[part]]) ** 2).sum(1))
+    return far
+
+
+def _true(marks: np.ndarray) -> np.ndarray:
+    """Places of the few true ones: eight are looked at together."""
+    marks = marks.ravel()
+    whole = len(marks) // 8 * 8
+    eights = np.flatnonzero(marks[:whole].view(np.uint64))
+    at = (8 * eights[:, None] + np.arange(8)).ravel()
+    return np.concatenate([at[marks[at]], whole + np.flatnonzero(marks[whole:])])
+
+
+def close_pairs(
+    a: Side, b: Side, rows: np.ndarray, columns: np.ndarray | None = None, both: np.ndarray | None = None
+) -> tuple[np.ndarray, ...]:
+    """(i, j, distance) of the pairs no further apart than ``rows`` at i, ``columns`` at j, or ``both`` at i and j.
+
+    A short product leaves out what is surely further apart; all others are measured by differences.
+    """
+    top = a.top + b.top
+    for kind in (np.float32, np.float64):
+        # Short numbers where none of them overflows or vanishes.
+        if kind is np.float32 and not 1e-30 < top < 1e30:
+            continue
+        eps = float(np.finfo(kind).eps)
+        doubt = (a.vectors.shape[1] + 8) * eps * 2 * top
+        def reach(limit: np.ndarray) -> np.ndarray:
+            with np.errstate(over="ignore"):
+                return (limit * limit * (1 + 4 * eps) + doubt).astype(kind)
+
+        left, right = a.left(kind), b.right(kind)
+        by_row, by_column = reach(rows)[:, None], None if columns is None else reach(columns)
+        found = []
+        for start in range(0, len(left), SLICE):
+            part = slice(start, start + SLICE)
+            squared = left[part] @ right
+            near = squared <= by_row[part]
+            if by_column is not None:
+                near |= squared <= by_column
+            if both is not None:
+                near |= squared <= reach(both[part])
+            found.append(_true(near) + start * len(b.vectors))
+        at = np.concatenate(found) if found else np.zeros(0, np.int64)
+        if len(at) <= len(a.vectors) * len(b.vectors) // 32:
+            break
+    i, j = np.divmod(at, max(1, len(b.vectors)))
+    far = apart(a.vectors, b.vectors, i, j)
+    limit = rows[i]
+    if columns is not None:
+        limit = np.maximum(limit, columns[j])
+    if both is not None:
+        limit = np.maximum(limit, both[i, j])
+    near = far <= limit
+    return i[near], j[near], far[near]
+
+
 def numbered_points(df: DataFrame, key: str, vector: str) -> DataFrame:
     """(number, name, node, n, v): the distinct vectors, numbered in the order of their smallest keys."""
     points = distinct_points(df, key, vector).orderBy("node")
@@ -150,64 +242,103 @@ def _kth(far: np.ndarray, counts: np.ndarray, k: int) -> np.ndarray:
     return np.where(enough.any(1), found, np.inf)
 
 
-def _nearest(far: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``k`` least distances of each row with their counts, in rising order."""
-    if far.shape[1] > k:
-        part = np.argpartition(far, k - 1, axis=1)[:, :k]
-        far, counts = np.take_along_axis(far, part, 1), np.take_along_axis(counts, part, 1)
-    order = np.argsort(far, axis=1, kind="stable")
-    return np.take_along_axis(far, order, 1), np.take_along_axis(counts, order, 1)
+class Nearest:
+    """The least distances of a block's points that make ``k`` points, their counts and numbers, in rising order."""
+
+    def __init__(self, row, k: int) -> None:
+        self.k, (numbers, counts, vectors) = k, _opened(row)
+        self.side = Side(vectors)
+        far, n = distances(vectors, vectors), len(numbers)
+        seen = np.tile(counts, (n, 1))
+        own = np.arange(n)
+        seen[own, own] -= 1  # of a point itself its other copies are near
+        far[own, own] = np.where(counts > 1, 0.0, np.inf)
+        part = np.argpartition(far, k - 1, axis=1)[:, :k] if n > k else np.tile(own, (n, 1))
+        i, j = np.repeat(own, part.shape[1]), part.ravel()
+        measured = np.where(i == j, far[i, j], apart(vectors, vectors, i, j))
+        self.far = np.full((n, k), np.inf)
+        self.counts, self.numbers = np.zeros((n, k), np.int64), np.full((n, k), -1)
+        self._keep(i, measured, seen[i, j], numbers[j])
+
+    def _keep(self, i: np.ndarray, far: np.ndarray, counts: np.ndarray, numbers: np.ndarray) -> None:
+        order = np.lexsort((far, i))
+        i, far, counts, numbers = i[order], far[order], counts[order], numbers[order]
+        starts = np.flatnonzero(np.diff(i, prepend=-1))
+        place = np.arange(len(i)) - np.repeat(starts, np.diff(starts, append=len(i)))
+        first = place < self.k
+        at = i[first], place[first]
+        self.far[at], self.counts[at], self.numbers[at] = far[first], counts[first], numbers[first]
+
+    def reach(self) -> np.ndarray:
+        return _kth(self.far, self.counts, self.k)
+
+    def meet(self, other: Side, counts: np.ndarray, numbers: np.ndarray) -> None:
+        i, j, far = close_pairs(self.side, other, self.reach())
+        if len(i):
+            rows = np.unique(i)
+            self._keep(
+                np.concatenate([np.repeat(rows, self.k), i]), np.concatenate([self.far[rows].ravel(), far]),
+                np.concatenate([self.counts[rows].ravel(), counts[j]]),
+                np.concatenate([self.numbers[rows].ravel(), numbers[j]]),
+            )
+
+
+def _block_groups(blocks: DataFrame) -> tuple[DataFrame, int]:
+    """(block, grp) and how many: neighbouring blocks make a group; groups as large as leave work for all cores."""
+    cores_held, count = blocks.sparkSession.sparkContext.defaultParallelism, blocks.count()
+    size = max(1, min(GROUP_BLOCKS, count // (3 * cores_held)))
+    place = F.row_number().over(Window.orderBy("block")) - 1  # blocks are few; only their names are ordered
+    return cut_lineage(blocks.select("block", F.floor(place / size).alias("grp"))), -(-count // size)
 
 
-def _own_nearest(row, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """``_nearest`` within a block; of a point itself its other copies are near."""
-    _, counts, vectors = _opened(row)
-    far, seen = distances(vectors, vectors), np.tile(counts, (len(counts), 1))
-    own = np.arange(len(counts))
-    seen[own, own] -= 1
-    far[own, own] = np.where(counts > 1, 0.0, np.inf)
-    return _nearest(far, seen, k)
+def _dealt(rows: DataFrame, groups: int) -> DataFrame:
+    """Each group in a partition, as far as there are not too many."""
+    parts = max(1, min(groups, 48 * rows.sparkSession.sparkContext.defaultParallelism))
+    return rows.repartitionById(parts, F.pmod("grp", F.lit(parts)).cast("int"))
 
 
 def with_core_distances(blocks: DataFrame, k: int) -> DataFrame:
-    """Blocks with ``cores``, the distance of each point to its ``k``-th other one, copies counted, and the least of them."""
+    """Blocks with ``cores``, the distance of each point to its ``k``-th other one, copies counted, and the least of them.
+
+    ``near`` are numbers of up to NEAR_EDGES near points of each point, -1 for none, and ``far`` their distances.
+    """
 
     def bounded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples(index=False):
-                limit = float(_kth(*_own_nearest(row, k), k).max())
+                limit = float(Nearest(row, k).reach().max())
                 yield pd.DataFrame({"block": [row.block], "floor": [0.0], "limit": [limit]})
 
     limits = blocks.mapInPandas(bounded, "block long, floor double, limit double")
     pairs = near_blocks(blocks.select("block", "low", "high").join(limits, "block"))
-    # Neighbouring blocks make a group; groups as large as leave work for all cores.
-    cores_held = blocks.sparkSession.sparkContext.defaultParallelism
-    size = max(1, min(GROUP_BLOCKS, blocks.count() // (3 * cores_held)))
-    place = F.row_number().over(Window.orderBy("block")) - 1  # blocks are few; only their names are ordered
-    groups = cut_lineage(blocks.select(F.col("block").alias("a"), F.floor(place / size).alias("grp")))
-    wanted = pairs.join(groups, "a").groupBy("grp", "b").agg(
+    groups, count = _block_groups(blocks)
+    wanted = pairs.join(groups.withColumnRenamed("block", "a"), "a").groupBy("grp", "b").agg(
         F.collect_list("a").alias("a"), F.collect_list("lower").alias("lower"), F.min("lower").alias("_first"),
         F.bool_or(F.col("a") == F.col("b")).alias("own"),
     )
     sides = wanted.join(blocks.select(F.col("block").alias("b"), "numbers", "counts", "vectors"), "b")
-    spread = sides.repartition("grp").sortWithinPartitions("grp", F.col("own").cast("int").desc(), "_first", "b")
+    spread = _dealt(sides, count).sortWithinPartitions("grp", F.col("own").cast("int").desc(), "_first", "b")
 
     def measured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, held, best, waiting = None, {}, {}, []
+        group, best, waiting = None, {}, []
 
         def done() -> pd.DataFrame:
-            cores = {block: _kth(*found, k).astype(float) for block, found in best.items()}
+            cores = [held.reach() for held in best.values()]
+            near = min(k, NEAR_EDGES)
             return pd.DataFrame(
-                {"block": list(cores), "cores": [x.tobytes() for x in cores.values()], "floor": [x.min() for x in cores.values()]}
-            )
+                {
+                    "block": list(best), "cores": [x.tobytes() for x in cores], "floor": [x.min() for x in cores],
+                    "near": [held.numbers[:, :near].tobytes() for held in best.values()],
+                    "far": [held.far[:, :near].tobytes() for held in best.values()],
+                }
+            )
 
         def met(row) -> None:
-            _, counts, vectors = _opened(row)
+            numbers, counts, vectors = _opened(row)
+            other = best[row.b].side if row.b in best else Side(vectors)
             for a, lower in zip(row.a, row.lower):
-                if a != row.b and lower <= _kth(*best[a], k).max():
-                    far = np.concatenate([best[a][0], distances(held[a], vectors)], axis=1)
-                    seen = np.concatenate([best[a][1], np.tile(counts, (len(held[a]), 1))], axis=1)
-                    best[a] = _nearest(far, seen, k)
+                if a != row.b and lower <= best[a].reach().max():
+                    best[a].meet(other, counts, numbers)
 
         def met_own() -> None:
             for row in waiting:
@@ -220,9 +351,9 @@ def with_core_distances(blocks: DataFrame, k: int) -> DataFrame:
                     if group is not None:
                         met_own()
                         yield done()
-                    group, held, best = row.grp, {}, {}
+                    group, best = row.grp, {}
                 if row.own:  # the group's own blocks come first, each with its own pair
-                    held[row.b], best[row.b] = _opened(row)[2], _own_nearest(row, k)
+                    best[row.b] = Nearest(row, k)
                     waiting.append(row)
                 else:
                     met_own()
@@ -231,7 +362,7 @@ def with_core_distances(blocks: DataFrame, k: int) -> DataFrame:
             met_own()
             yield done()
 
-    cores = spread.mapInPandas(measured, "block long, cores binary, floor double")
+    cores = spread.mapInPandas(measured, "block long, cores binary, floor double, near binary, far binary")
     return cut_lineage(blocks.join(cores, "block"))
 
 
@@ -273,7 +404,9 @@ def _proposed(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
                     numbers, vectors = np.concatenate([numbers, more]), np.concatenate([vectors, others])
                     cores = np.concatenate([cores, np.frombuffer(row.cores_b)])
                 weights = distances(vectors, vectors)
-                weights = np.maximum(weights, np.maximum(cores[:, None], cores[None, :]))
+                least = np.maximum(cores[:, None], cores[None, :])
+                # A product differs from a core distance, measured by differences, in the last digits.
+                weights = np.where(weights <= least * (1 + 1e-12), least, weights)
                 weights = np.minimum(weights, weights.T)  # the same in both directions, also in the last digit
                 edges = block_tree(weights, numbers)
                 if row.a != row.b:
@@ -302,22 +435,163 @@ def opened_points(blocks: DataFrame) -> DataFrame:
     return blocks.mapInPandas(run, "number long, n long, core double")
 
 
-def candidate_edges(blocks: DataFrame) -> DataFrame:
-    """(w, i, j): edges among which all of the minimum spanning tree are. ``blocks`` have core distances."""
+def near_edges(blocks: DataFrame) -> DataFrame:
+    """(w, i, j): the edges from every point to its ``near`` ones."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                numbers = _opened(row)[0]
+                near = np.frombuffer(row.near, np.int64).reshape(len(numbers), -1)
+                at, place = np.nonzero((near >= 0) & (near != numbers[:, None]))
+                far = np.maximum(np.frombuffer(row.far).reshape(near.shape)[at, place], np.frombuffer(row.cores)[at])
+                yield pd.DataFrame({"number": near[at, place], "other": numbers[at], "w": far})
+
+    ends = blocks.mapInPandas(run, "number long, other long, w double")
+    edges = ends.join(opened_points(blocks).select("number", "core"), "number").select(
+        F.greatest("w", "core").alias("w"), F.least("number", "other").alias("i"), F.greatest("number", "other").alias("j")
+    )
+    return edges.dropDuplicates(["i", "j"])
+
+
+def cluster_levels(joins: list[tuple[int, int, float]]) -> tuple[np.ndarray, np.ndarray]:
+    """(clusters, level): from when on two clusters are in one. ``joins`` are (cluster, the one it joins, w)."""
+    names = np.array(sorted({name for i, into, _ in joins for name in (i, into)}), np.int64)
+    place = {int(name): at for at, name in enumerate(names)}
+    level, held = np.zeros((max(1, len(names)),) * 2), {}
+    for i, into, w in sorted(joins, key=lambda join: join[1]):
+        own, new = [*held.pop(i, []), place[i]], held.setdefault(into, [])
+        for one, two in ((own, [*new, place[into]]), ([*new, place[into]], own)):
+            level[np.ix_(one, two)] = w
+        new += own
+    return names, level
+
+
+def forest(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of the edges (x, y) between ``n`` places, in their order, join what those before them do not."""
+    labels, kept, at = np.arange(n), np.zeros(len(x), bool), np.arange(len(x))
+    while True:
+        at = at[labels[x[at]] != labels[y[at]]]
+        if not len(at):
+            return np.flatnonzero(kept)
+        first = np.full(n, len(x))
+        np.minimum.at(first, labels[x[at]], at)
+        np.minimum.at(first, labels[y[at]], at)
+        chosen = np.unique(first[first < len(x)])
+        kept[chosen] = True
+        labels = _hooked(labels, x[chosen], y[chosen])
+
+
+class Bounded:
+    """A block with the level from which on each point is in its cluster."""
+
+    def __init__(self, row, names: np.ndarray) -> None:
+        self.numbers, _, vectors = _opened(row)
+        self.side, self.cores, self.levels = Side(vectors), np.frombuffer(row.cores), np.frombuffer(row.levels)
+        clusters = np.frombuffer(row.clusters, np.int64)
+        self.places = np.minimum(np.searchsorted(names, clusters), max(0, len(names) - 1))
+
+    def crossing(self, other: Bounded, level: np.ndarray, lower: float) -> pd.DataFrame | None:
+        """Edges to another block that are no longer than needed to have both ends together."""
+        own, others = np.unique(self.places), np.unique(other.places)
+        between = level[np.ix_(own, others)]
+        top = max(between.max(), self.levels.max(), other.levels.max())
+        if lower * (1 - 1e-9) > top:
+            return None
+        # A little room, since distances by products and by differences are not the same in the last digits.
+        room = 1 + 1e-9
+        rows, columns, both = self.levels * room, other.levels * room, None
+        if between.min() == between.max():
+            rows = np.maximum(rows, between[0, 0] * room)
+        else:
+            both = level[np.ix_(self.places, other.places)] * room
+        i, j, far = close_pairs(self.side, other.side, rows, columns, both)
+        w = np.maximum(far, np.maximum(self.cores[i], other.cores[j]))
+        near = w <= np.maximum(np.maximum(rows[i], columns[j]), 0.0 if both is None else both[i, j])
+        i, j, w = i[near], j[near], w[near]
+        low, high = np.minimum(self.numbers[i], other.numbers[j]), np.maximum(self.numbers[i], other.numbers[j])
+        if len(w) > len(self.numbers) + len(other.numbers):
+            order = np.lexsort((high, low, w))
+            kept = order[forest(len(self.numbers) + len(other.numbers), i[order], len(self.numbers) + j[order])]
+            low, high, w = low[kept], high[kept], w[kept]
+        return pd.DataFrame({"w": w, "i": low, "j": high}) if len(w) else None
+
+
+def _levelled(blocks: DataFrame, falls: DataFrame, highest: float) -> DataFrame:
+    """Blocks with ``levels`` and ``clusters``: when each point falls into which cluster; ``highest`` and -1 if into none."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                numbers = _opened(row)[0]
+                yield pd.DataFrame({"block": row.block, "place": np.arange(len(numbers)), "number": numbers})
+
+    named = blocks.mapInPandas(run, "block long, place long, number long")
+    entry = F.struct("place", F.coalesce("w", F.lit(highest)).alias("w"), F.coalesce("cluster", F.lit(-1)).alias("cluster"))
+    listed = named.join(falls.select("number", "cluster", "w"), "number", "left").groupBy("block").agg(
+        F.sort_array(F.collect_list(entry)).alias("e")
+    )
+
+    def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame(
+                {
+                    "block": frame["block"],
+                    "levels": [np.asarray(x, float).tobytes() for x in frame["w"]],
+                    "clusters": [np.asarray(x, np.int64).tobytes() for x in frame["cluster"]],
+                }
+            )
+
+    flat = listed.select("block", F.col("e.w").alias("w"), F.col("e.cluster").alias("cluster"))
+    return blocks.join(flat.mapInPandas(packed, "block long, levels binary, clusters binary"), "block")
+
+
+def candidate_edges(points: DataFrame, blocks: DataFrame, chunk: int = CHUNK_EDGES) -> DataFrame:
+    """(w, i, j): edges among which all of the minimum spanning tree are. ``blocks`` of ``points`` have core distances."""
     order = Window.orderBy("block")  # blocks are few; only their names are ordered
     chain = blocks.select(F.col("block").alias("a"), F.lead("block").over(order).alias("b"))
     chain = cut_lineage(chain)
     first = chain.select("a", F.col("a").alias("b")).unionByName(chain.filter("b IS NOT NULL"))
-    known = cut_lineage(_proposed(first, blocks))
-    # Blocks' own trees and the shortest edge of each step of the chain span everything: no longer edge is needed.
-    reach = known.groupBy("a", "b").agg(
-        F.when(F.col("a") == F.col("b"), F.max("w")).otherwise(F.min("w")).alias("w")
-    )
-    limit = reach.agg(F.max("w")).first()[0]
-    floors = blocks.select("block", "low", "high", "floor")
-    summaries = floors.withColumn("limit", F.lit(float(limit) if limit is not None else 0.0))
-    others = near_blocks(summaries).filter(F.col("a") < F.col("b")).join(chain.filter("b IS NOT NULL"), ["a", "b"], "left_anti")
-    return known.select("w", "i", "j").unionByName(_proposed(others.select("a", "b"), blocks).select("w", "i", "j"))
+    # Blocks' own trees and those of the chain span everything.
+    spanning = _proposed(first, blocks).select("w", "i", "j").unionByName(near_edges(blocks))
+    total = points.agg(F.sum("n")).first()[0] or 0
+    tree, falls, joined = _linked(points, blocks, cut_lineage(spanning), max(2, -(-total // KNOWN_CLUSTERS)), chunk)
+    known = cut_lineage(tree.select("w", "i", "j"))
+    longest = known.agg(F.max("w")).first()[0] or 0.0
+    names, level = cluster_levels([tuple(row) for row in joined.select("i", "cluster", "w").collect()])
+    bounded = cut_lineage(_levelled(blocks, falls, float(longest)))
+
+    summaries = blocks.select("block", "low", "high", "floor").withColumn("limit", F.lit(float(longest)))
+    groups, count = _block_groups(blocks)
+    grp_a = groups.select(F.col("block").alias("a"), "grp")
+    grp_b = groups.select(F.col("block").alias("b"), F.col("grp").alias("_grp"))
+    # Two groups meet in one of them, which is the lower one as often as the upper one.
+    here = (F.col("grp") < F.col("_grp")) == ((F.col("grp") + F.col("_grp")) % 2 == 0)
+    met = F.when(F.col("grp") == F.col("_grp"), F.col("a") <= F.col("b")).otherwise(here)
+    others = near_blocks(summaries).join(chain.filter("b IS NOT NULL"), ["a", "b"], "left_anti")
+    wanted = others.join(grp_a, "a").join(grp_b, "b").filter(met).groupBy("grp", "b").agg(
+        F.collect_list("a").alias("a"), F.collect_list("lower").alias("lower"),
+        F.bool_or(F.col("grp") == F.col("_grp")).alias("own"),
+    )
+    columns = ("numbers", "counts", "vectors", "cores", "levels", "clusters")
+    sides = wanted.join(bounded.select(F.col("block").alias("b"), *columns), "b")
+    spread = _dealt(sides, count).sortWithinPartitions("grp", F.col("own").cast("int").desc(), "b")
+
+    def crossed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, held = None, {}
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                if row.grp != group:
+                    group, held = row.grp, {}
+                other = Bounded(row, names)
+                if row.own:  # the group's own blocks come first, by their names
+                    held[row.b] = other
+                for a, lower in zip(row.a, row.lower):
+                    found = held[a].crossing(other, level, lower) if a != row.b else None
+                    if found is not None:
+                        yield found
+
+    return known.unionByName(spread.mapInPandas(crossed, "w double, i long, j long"))
 
 
 _ROWS = "kind int, i long, j long, size long, cluster long, w double"
@@ -431,8 +705,13 @@ def linkage(
     cluster, w); and which clusters a new one takes in (i, cluster, size, w). A cluster's number is above those it took in.
     """
     blocks = core_distances(points, min_samples)
-    edges = candidate_edges(blocks)
+    return _linked(points, blocks, candidate_edges(points, blocks, chunk), min_cluster_size, chunk)
+
 
+def _linked(
+    points: DataFrame, blocks: DataFrame, edges: DataFrame, min_cluster_size: int, chunk: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(tree, falls, joins) of the hierarchy that ``edges`` make."""
     many = opened_points(blocks).filter(F.col("n") >= min_cluster_size)
     heavy = many.select(F.col("core").alias("w"), F.col("number").alias("i"), F.col("number").alias("j"))
     dealt, chunks = _chunked(cut_lineage(edges.unionByName(heavy)), chunk)
