@@ -16,14 +16,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import by_size, identifier, utf8
+from reviewlake.llm.common import by_size, give_back, identifier, utf8
 
 PREFIX, SUFFIX, MIDDLE = b"<P>", b"<S>", b"<M>"
 PLAIN, PSM, SPM = "plain", "psm", "spm"
 #: Of 100 texts, those that are cut, and of 100 cut ones, those whose suffix comes first.
 CUT, SUFFIX_FIRST = 90, 20
-#: Bytes of texts moved at a time, one text at least.
-BATCH = 1 << 20
+#: Bytes of texts moved at a time, one text at least; a byte takes some sixty while it is moved.
+BATCH = 1 << 18
 
 
 def joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -172,6 +172,7 @@ def transform(docs: DataFrame, seed: str = "1", cut: int = CUT, suffix_first: in
                 "middle_chars": pa.array(chars[second] - chars[first], pa.int64(), mask=plain),
                 "output": parted(out, out_ends),
             })
+        give_back()
 
     rows = docs.select(identifier().alias("doc_id"), utf8().alias("text"), *[_draw(i, seed) for i in (1, 2, 3, 4)])
     return rows.mapInArrow(
@@ -195,5 +196,6 @@ def restore(made: DataFrame) -> DataFrame:
             data, ends = joined(batch.column(output).fill_null(b""))
             back, back_ends = gather(data, ends, np.array(kinds, np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, parted(back, back_ends)], names=[*names, "restored"])
+        give_back()
 
     return made.mapInArrow(run, made.selectExpr("*", "cast(null as binary) AS restored").schema)
