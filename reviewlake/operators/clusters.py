@@ -254,11 +254,7 @@ def silhouette_sweep(
     """(k, silhouette, best): the mean Euclidean silhouette of k-means for each k; distances are taken once for all."""
     vectors = as_vector(df.select(vector), vector).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-
-        def run(k: int) -> KMeansModel:
-            return kmeans(vectors, vector, k, seeds)
-
-        models = _at_once(df.sparkSession, run, ks)
+        models = kmeans_sweep(vectors, vector, ks, seeds)
         placed = vectors
         for k, model in zip(ks, models):
             placed = model.transform(placed).withColumnRenamed("cluster", f"_k{k}")

@@ -38,3 +38,11 @@ def test_only_the_best_run_of_each_k_is_fitted_alone(spark, monkeypatch):
     monkeypatch.setattr(KMeans, "fit", lambda self, df: (fitted.append(self.getMaxIter()), fit(self, df))[1])
     costs = clusters.elbow_sweep(_rows(spark, "dense"), "v", [1, 2, 3], [1, 2, 3, 4]).collect()
     assert [row["k"] for row in costs] == [1, 2, 3] and len([steps for steps in fitted if steps]) == 2
+
+
+def test_the_silhouette_sweep_compares_all_runs_at_once(spark, monkeypatch):
+    asked = []
+    best = clusters.best_seeds
+    monkeypatch.setattr(clusters, "best_seeds", lambda *a: (asked.append(a[2]), best(*a))[1])
+    found = clusters.silhouette_sweep(_rows(spark, "dense"), "v", [2, 3], [1, 2]).collect()
+    assert [row["k"] for row in found] == [2, 3] and asked == [[2, 3]]
