@@ -6,7 +6,6 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -237,16 +236,12 @@ def named_topics(df: DataFrame, topic: str, words: str, n: int = 4) -> DataFrame
 def lda(df: DataFrame, counts: str, k: int, seed: int = 42, max_iter: int = 10) -> LDAModel:
     """Latent Dirichlet allocation on count vectors (variational Bayes over all vectors).
 
-    Each iteration reads the vectors, so they are kept meanwhile.
+    Each iteration reads the vectors, a row at a time: a caller for whom they are costly to make cuts their lineage first.
     """
     estimator = LDA(
         k=k, seed=seed, maxIter=max_iter, subsamplingRate=1.0, featuresCol=counts, topicDistributionCol="_topics"
     )
-    rows = df.select(counts).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return estimator.fit(rows)
-    finally:
-        rows.unpersist()
+    return estimator.fit(df.select(counts))
 
 
 def lda_top_words(model: LDAModel, terms: list[str], n: int = 10) -> DataFrame:

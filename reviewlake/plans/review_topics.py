@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from reviewlake.functions import text as tx
 from reviewlake.operators import filters, topics, vectors
 from reviewlake.operators.once import compute_once
+from reviewlake.session import cut_lineage, stored
 
 # The vocabulary of the topics and the shortest review.
 NGRAM = (1, 2)
@@ -61,10 +62,10 @@ def fit(
     seed: int = 42,
 ) -> ReviewTopics:
     """Topics of the reviews; ``place`` gives every review its topic."""
-    rows = clean_words(df, text, stop_words)
+    rows = stored(clean_words(df, text, stop_words).select("words"))
     vocab = vectors.vocabulary(rows, "words", NGRAM, MAX_FEATURES, min_df, max_df)
     terms = vectors.vocabulary_terms(vocab, MAX_FEATURES)
-    counted = vectors.count_vectors(rows, "words", terms, NGRAM)
+    counted = cut_lineage(vectors.count_vectors(rows, "words", terms, NGRAM).select("counts"))
     return ReviewTopics(topics.lda(counted, "counts", k, seed), terms, list(stop_words))
 
 

@@ -6,7 +6,6 @@ work out from the tables: sizes, conserved sums, and counts of rows that break w
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -18,7 +17,7 @@ from reviewlake.operators import clusters, sentiment, topics, vectors
 from reviewlake.operators.blocks import mean_silhouettes
 from reviewlake.operators.filters import at_least_chars
 from reviewlake.plans import review_analysis, review_topics, topic_model
-from reviewlake.session import cut_lineage
+from reviewlake.session import cut_lineage, stored
 from reviewlake.workload.registry import REVIEWS_SQL, documents, query, reviews, scratch, six, table
 from reviewlake.workload.text import STOP_WORDS
 from reviewlake.workload.vectors import ALL_SQL, text_vectors, vocabulary_sql, worded
@@ -273,14 +272,11 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 def lda_counts(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
     """(doc_id, counts) and the terms. Texts are split once and counted once: a fit and what is asked of it read the counts."""
-    docs = worded(spark, sf).select("doc_id", "words").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        vocab = vectors.vocabulary(docs, "words", (1, 2), 1500, 15, 0.6)
-        terms = vectors.vocabulary_terms(vocab, 1500)
-        counted = vectors.count_vectors(docs, "words", terms, (1, 2))
-        return cut_lineage(counted.select("doc_id", "counts")), terms
-    finally:
-        docs.unpersist()
+    docs = stored(worded(spark, sf).select("doc_id", "words"))
+    vocab = vectors.vocabulary(docs, "words", (1, 2), 1500, 15, 0.6)
+    terms = vectors.vocabulary_terms(vocab, 1500)
+    counted = vectors.count_vectors(docs, "words", terms, (1, 2))
+    return cut_lineage(counted.select("doc_id", "counts")), terms
 
 
 LDA_TERMS_SQL = vocabulary_sql(1, 2, 1500, "15", f"0.6 * {ALL_SQL}")
