@@ -5,7 +5,7 @@ Texts are stored in shards of a few megabytes. The shards' anchors are dealt to
 that another document has too; around those, runs of windows with one anchor become strings. A bucket gets the distinct
 strings of a shard with the least document of each, and answers in the order they came, so where a string stands is known to
 its shard alone. A string that can't share a window with another one of its anchor is repeated as a whole. All others are indexed: the strings of
-a shard have a Burrows-Wheeler transform, and the transforms are merged by refining their interleaving, one more
+a shard, or of several that send little, have a Burrows-Wheeler transform, and the transforms are merged by refining their interleaving, one more
 character of context in each round, without sorting suffixes again. The rounds also part the interleaving where common
 prefixes end, so after WIDTH rounds its intervals are the repeated windows, and the least document of each is known.
 
@@ -29,10 +29,12 @@ from reviewlake.llm.common import bucketed, document_shards, give_back, opened,
 
 WIDTH, KMER = 50, 16
 SHARD = 4 << 20
-#: Windows of one string at most, and suffixes indexed at a time.
-WINDOWS, INDEXED = 64, 1 << 18
-#: Bytes of texts whose strings make a bucket, and whose buckets make a partition.
-BUCKET, PARTITION = 4 << 20, 64 << 20
+#: Windows of one string at most, suffixes indexed at a time, and suffixes of one transform at least.
+WINDOWS, INDEXED, TRANSFORMED = 64, 1 << 18, 1 << 16
+#: Bytes of texts whose strings make a bucket, and whose buckets make a partition. Each shard sends a row to each bucket.
+BUCKET, PARTITION = 16 << 20, 64 << 20
+#: Places hashed at a time: their numbers stay in a core's cache.
+PIECE = 1 << 14
 #: Distinct strings of an anchor from which its windows are parted, counted from one of ONE_IN.
 HOT, ONE_IN = 1 << 14, 64
 _LAST = (1 << 63) - 1
@@ -69,6 +71,20 @@ def _runs(data: np.ndarray, length: int) -> np.ndarray:
     return made
 
 
+def _by_piece(data: np.ndarray, reach: int, made: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """What ``made`` has for every run of ``reach`` bytes, a piece of the data at a time."""
+    out = np.empty(max(0, len(data) - reach + 1), np.uint64)
+    for at in range(0, len(out), PIECE):
+        part = data[at : at + PIECE + reach - 1]
+        out[at : at + PIECE] = made(part)
+    return out
+
+
+def _whole(data: np.ndarray, length: int) -> np.ndarray:
+    """The mixed hash of every run of ``length`` bytes."""
+    return _by_piece(data, length, lambda part: _mixed(_runs(part, length)))
+
+
 def anchored(
     data: np.ndarray, ends: np.ndarray, width: int = WIDTH, kmer: int = KMER, hot: np.ndarray | None = None
 ) -> tuple[np.ndarray, ...]:
@@ -80,28 +96,35 @@ def anchored(
     none = np.zeros(0, np.int64)
     if len(data) < width:
         return none, none, none, np.zeros(0, np.uint64)
-    least, reach, span = _mixed(_runs(data, kmer)), 1, width - kmer + 1
-    while 2 * reach <= span:
-        least, reach = np.minimum(least[:-reach], least[reach:]), 2 * reach
-    n = len(data) - width + 1
-    least = np.minimum(least[:n], least[span - reach :][:n])
+    span = width - kmer + 1
+
+    def made(part: np.ndarray) -> np.ndarray:
+        least, reach = _mixed(_runs(part, kmer)), 1
+        while 2 * reach <= span:
+            least, reach = np.minimum(least[:-reach], least[reach:]), 2 * reach
+        n = len(part) - width + 1
+        return np.minimum(least[:n], least[span - reach :][:n])
+
+    least = _by_piece(data, width, made)
+    n = len(least)
     if hot is not None and len(hot):
         parted = np.isin(least, hot)
         if parted.any():
-            least = np.where(parted, _mixed(_runs(data, width)), least)
-    document = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0))[:n]
-    inside = np.arange(width, n + width, dtype=np.int64) <= ends[document]
+            least = np.where(parted, _whole(data, width), least)
     begins = np.ones(n, bool)
-    begins[1:] = (least[1:] != least[:-1]) | (document[1:] != document[:-1])
+    np.not_equal(least[1:], least[:-1], out=begins[1:])
+    begins[ends[ends < n]] = True
     starts = np.flatnonzero(begins)
-    counts = np.add.reduceat(inside, starts, dtype=np.int64)
-    starts, counts = starts[counts > 0], counts[counts > 0]
+    document = np.searchsorted(ends, starts, side="right").astype(np.int32)
+    counts = np.minimum(np.append(starts[1:], n), ends[document] - width + 1) - starts
+    inside = counts > 0
+    starts, counts, document = starts[inside], counts[inside], document[inside]
     pieces = -(-counts // WINDOWS)  # long runs, of periodic texts, are cut
     first = np.repeat(starts, pieces)
     number = np.arange(len(first)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     first = first + number * WINDOWS
     windows = np.minimum(WINDOWS, np.repeat(counts, pieces) - number * WINDOWS)
-    return document[first], first, windows, least[first]
+    return np.repeat(document, pieces), first, windows, least[first]
 
 
 def transform(strings: list[np.ndarray], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -194,7 +217,7 @@ def _sampled(data: np.ndarray, first: np.ndarray, windows: np.ndarray, anchor: n
     """(anchor, hash) of one of ``one_in`` distinct strings, the same ones in every shard."""
     if not len(first):
         return np.zeros((0, 2), np.uint64)
-    whole = _mixed(_runs(data, WIDTH))
+    whole = _whole(data, WIDTH)
     name = whole[first] + np.uint64(3) * whole[first + windows // 2] + np.uint64(5) * whole[first + windows - 1]
     name = _mixed(name + windows.astype(np.uint64))
     chosen = name % np.uint64(one_in) == 0
@@ -262,7 +285,9 @@ def _by_bucket(rows: DataFrame, parts: int, resolve: Callable[[list[dict]], Iter
             yield from resolve(held)
         give_back()
 
-    return rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "shard").mapInArrow(run, schema)
+    # There are few buckets in a partition: they are dealt evenly.
+    dealt = rows.repartitionById(parts, F.pmod("bucket", F.lit(parts)).cast("int"))
+    return dealt.sortWithinPartitions("bucket", "shard").mapInArrow(run, schema)
 
 
 def _shared_marks(rows: list[dict]) -> Iterator[pa.RecordBatch]:
@@ -350,7 +375,7 @@ def _may_share(texts: list[bytes], anchor: np.ndarray, width: int = WIDTH, kmer:
     data = np.frombuffer(b"".join(texts), np.uint8)
     lengths = np.array([len(text) for text in texts])
     ends = np.cumsum(lengths)
-    hashes, long = _mixed(_runs(data, kmer)), _runs(data, kmer + wing)
+    hashes, long = _whole(data, kmer), _by_piece(data, kmer + wing, lambda part: _runs(part, kmer + wing))
     at = np.flatnonzero((hashes >> np.uint64(32)).astype(np.uint32) == np.repeat(anchor, lengths)[: len(hashes)])
     string = np.searchsorted(ends, at, side="right")
     inside = at + kmer <= ends[string]
@@ -363,6 +388,23 @@ def _may_share(texts: list[bytes], anchor: np.ndarray, width: int = WIDTH, kmer:
     return may
 
 
+def _transformed(batch: list[int], shard: np.ndarray, sizes: list[int]) -> list[list[int]]:
+    """The members of a batch by transform: those of a shard, and of more shards until there are enough suffixes.
+
+    What many shards send to a batch is little each, and their transforms are as many as the shards.
+    """
+    place = np.argsort(shard, kind="stable")
+    total = np.cumsum(np.array(sizes)[place])
+    owner = shard[place]
+    ends = np.flatnonzero(np.append(owner[1:] != owner[:-1], True))  # a shard's last member
+    out, start, done = [], 0, 0
+    for end in ends.tolist():
+        if total[end] - done >= TRANSFORMED or end + 1 == len(place):
+            out.append([batch[i] for i in place[start : end + 1].tolist()])
+            start, done = end + 1, total[end]
+    return out
+
+
 def _window_owners(
     strings: dict[bytes, int], least: np.ndarray, anchor: np.ndarray, shard: np.ndarray
 ) -> dict[int, np.ndarray]:
@@ -382,10 +424,7 @@ def _window_owners(
         size += len(texts[number]) + 1
         last = i + 1 == len(several)
         if last or (size >= INDEXED and group[several[i + 1]] != group[number]):
-            by_shard: dict[int, list[int]] = {}
-            for member in batch:
-                by_shard.setdefault(int(shard[member]), []).append(member)
-            members = list(by_shard.values())
+            members = _transformed(batch, shard[batch], [len(texts[member]) + 1 for member in batch])
             found = least_documents([[texts[m] for m in ms] for ms in members], [least[ms] for ms in members])
             for ms, arrays in zip(members, found):
                 out.update(zip(ms, arrays))
@@ -402,27 +441,23 @@ def _answers(rows: list[dict]) -> Iterator[pa.RecordBatch]:
     For such strings ``inner`` has the least document of each of their windows, string by string.
     """
     number: dict[bytes, int] = {}
-    least, anchor, shard = [], [], []
+    lengths = [np.frombuffer(zstandard.decompress(row["lengths"]), np.int32) for row in rows]
+    total = sum(map(len, lengths))
+    leasts, anchor, shard = np.full(total, _LAST, np.int64), np.zeros(total, np.uint32), np.zeros(total, np.int64)
     mine = []
-    for row in rows:
-        stops = np.cumsum(np.frombuffer(zstandard.decompress(row["lengths"]), np.int32))
-        chars, names = zstandard.decompress(row["chars"]), np.frombuffer(row["anchors"], "<u4").tolist()
-        local = np.zeros(len(stops), np.int32)
-        start = 0
-        for i, (stop, doc) in enumerate(zip(stops.tolist(), np.frombuffer(zstandard.decompress(row["least"]), np.int64).tolist())):
-            text = chars[start:stop]
-            start = stop
-            n = number.setdefault(text, len(number))
-            if n == len(least):
-                least.append(doc)
-                anchor.append(names[i])
-                shard.append(row["shard"])
-            elif doc < least[n]:
-                least[n] = doc
-            local[i] = n
+    for row, own in zip(rows, lengths):
+        chars, stops = zstandard.decompress(row["chars"]), np.cumsum(own)
+        known = len(number)
+        spans = zip((stops - own).tolist(), stops.tolist())
+        local = np.fromiter((number.setdefault(chars[a:b], len(number)) for a, b in spans), np.int32, len(own))
+        # A shard's strings differ, so no place is there twice.
+        leasts[local] = np.minimum(leasts[local], np.frombuffer(zstandard.decompress(row["least"]), np.int64))
+        new = local >= known
+        anchor[local[new]] = np.frombuffer(row["anchors"], "<u4")[new]
+        shard[local[new]] = row["shard"]
         mine.append(local)
-    leasts = np.array(least, np.int64)
-    inner = _window_owners(number, leasts, np.array(anchor, np.uint32), np.array(shard, np.int64))
+    leasts, anchor, shard = (held[: len(number)] for held in (leasts, anchor, shard))
+    inner = _window_owners(number, leasts, anchor, shard)
     mixed = np.zeros(len(leasts), np.uint8)
     for n, windows in inner.items():
         leasts[n], mixed[n] = windows[0], (windows != windows[0]).any()
