@@ -20,6 +20,8 @@ from reviewlake.session import cut_lineage
 
 # Vectors of a block, on average, and rows of a block that are multiplied at a time.
 BLOCK_ROWS, SLICE = 4096, 512
+# Rows whose distances to a block stay in a core's cache.
+NEAR_ROWS = 64
 # Vectors whose sums one task keeps, at most: all others are sent once to each such group.
 GROUP_ROWS = 32768
 
@@ -47,6 +49,25 @@ def _matrix(values, rows: int) -> np.ndarray:
     return np.asarray(values, dtype=float).reshape(rows, -1)
 
 
+class Distances:
+    """Euclidean distances to fixed vectors: one product for a slice of rows, and differences where they are short."""
+
+    def __init__(self, others: np.ndarray) -> None:
+        self.others, self.lengths = others, (others * others).sum(1)
+        self.top = self.lengths.max(initial=0.0)
+        ones = np.ones((len(others), 1))
+        self.side = np.concatenate([-2 * others, ones, self.lengths[:, None]], axis=1).T.copy()
+
+    def of(self, rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        squared = np.concatenate([rows, lengths[:, None], np.ones((len(rows), 1))], axis=1) @ self.side
+        # As ``distances`` has it, but only rows that may have a short one are looked through.
+        for i in np.flatnonzero(~(squared.min(1) >= 1e-4 * (lengths + self.top))).tolist():
+            j = np.flatnonzero(squared[i] < 1e-4 * (lengths[i] + self.lengths))
+            squared[i, j] = ((rows[i] - self.others[j]) ** 2).sum(1)
+            np.maximum(squared[i], 0, out=squared[i])
+        return np.sqrt(squared, out=squared)
+
+
 def nearest(
     df: DataFrame, vector: str, centres: DataFrame, radius: float | None = None, output: str = "topic"
 ) -> DataFrame:
@@ -122,9 +143,9 @@ def mean_silhouettes(df: DataFrame, vector: str, labels: Sequence[str]) -> DataF
     distinct = named.groupBy("_name", *own).agg(F.first("_v").alias("_v"), F.count(F.lit(1)).alias("_n"))
     keyed = distinct.withColumn("_key", F.to_json(F.struct("_name", *own)))
     keyed = cut_lineage(keyed)
-    # Groups as large as leaves work for all cores.
+    # Groups as large as leaves work for all cores, two for each of them.
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = max(BLOCK_ROWS, min(GROUP_ROWS, keyed.count() // (2 * cores)))
+    size = max(BLOCK_ROWS, min(GROUP_ROWS, -(-keyed.count() // (2 * cores))))
     blocks = cut_lineage(vector_blocks(keyed, "_key", "_v", ["_n", *own]))
     groups = vector_blocks(keyed, "_key", "_v", ["_n", *own], size)
     count = max(1, -(-keyed.count() // size))
@@ -132,18 +153,24 @@ def mean_silhouettes(df: DataFrame, vector: str, labels: Sequence[str]) -> DataF
     sent = other.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))))
     # A group's own rows come once, before all others.
     pairs = groups.withColumn("other", F.lit(-1).cast("long")).unionByName(sent, allowMissingColumns=True)
-    pairs = pairs.repartition(count, "block").sortWithinPartitions("block", "other")
+    # A task for each group.
+    pairs = pairs.repartitionById(count, F.col("block").cast("int")).sortWithinPartitions("block", "other")
 
     def found(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, mine, vectors, sums, sizes = None, None, None, [], []
+        block, mine, vectors, lengths = None, None, None, None
+        # A column for each label of each labelling: the sums of distances to its rows, and their number.
+        place: dict[tuple[int, int], int] = {}
+        sums, sizes = np.zeros((0, 0)), np.zeros(0)
 
         def done() -> pd.DataFrame:
             total, rows = [], []
-            for labels_, table, size in zip(mine["labels"], sums, sizes):
+            for i, labels_ in enumerate(mine["labels"]):
                 known = np.array([x is not None and x == x for x in labels_])
-                place = {name: i for i, name in enumerate(size)}
-                at = np.array([place[int(x)] if k else 0 for x, k in zip(labels_, known)], np.int64)
-                held = np.array(list(size.values()), float)
+                names = {name: column for (labelling, name), column in place.items() if labelling == i}
+                local = {name: at for at, name in enumerate(names)}
+                columns = np.array(list(names.values()), np.int64)
+                table, held = sums[:, columns], sizes[columns]
+                at = np.array([local[int(x)] if k else 0 for x, k in zip(labels_, known)], np.int64)
                 each = np.arange(len(at))
                 alone = held[at] <= 1
                 inner = table[each, at] / np.maximum(held[at] - 1, 1)
@@ -165,28 +192,25 @@ def mean_silhouettes(df: DataFrame, vector: str, labels: Sequence[str]) -> DataF
                     block = row["block"]
                     mine = {"n": np.asarray(row["_n"]), "labels": [list(row[name]) for name in own]}
                     vectors = _matrix(row["v"], len(mine["n"]))
-                    sums = [np.zeros((len(mine["n"]), 0)) for _ in own]
-                    sizes = [{} for _ in own]
+                    lengths = (vectors * vectors).sum(1)
+                    place, sums, sizes = {}, np.zeros((len(vectors), 0)), np.zeros(0)
                     continue
                 weight = np.asarray(row["_m"], float)
                 others = _matrix(row["w"], len(weight))
-                hot = []
-                for i, size in enumerate(sizes):
-                    labels_ = [None if x is None or x != x else int(x) for x in row[f"_k{i}"]]
-                    for name, n in zip(labels_, weight.tolist()):
-                        if name is not None:
-                            size[name] = size.get(name, 0) + n
-                    place = {name: at for at, name in enumerate(size)}
-                    table = np.zeros((len(weight), len(place)))
-                    for at, name in enumerate(labels_):
-                        if name is not None:
-                            table[at, place[name]] = weight[at]
-                    hot.append(table)
-                    sums[i] = np.pad(sums[i], ((0, 0), (0, len(place) - sums[i].shape[1])))
-                for at in range(0, len(vectors), SLICE):
-                    far = distances(vectors[at : at + SLICE], others)
-                    for table, held in zip(hot, sums):
-                        held[at : at + SLICE] += far @ table
+                held, columns = [], []
+                for i in range(len(own)):
+                    for at, x in enumerate(row[f"_k{i}"]):
+                        if x is not None and x == x:
+                            held.append(at)
+                            columns.append(place.setdefault((i, int(x)), len(place)))
+                sums = np.pad(sums, ((0, 0), (0, len(place) - sums.shape[1])))
+                table = np.zeros((len(weight), len(place)))
+                table[held, columns] = weight[held]
+                sizes = np.pad(sizes, (0, len(place) - len(sizes))) + table.sum(0)
+                side = Distances(others)
+                for at in range(0, len(vectors), NEAR_ROWS):
+                    part = slice(at, at + NEAR_ROWS)
+                    sums[part] += side.of(vectors[part], lengths[part]) @ table
         if block is not None:
             yield done()
 
